@@ -1,0 +1,34 @@
+"""Join helpers: broadcast only behind a size check.
+
+Dimension sides (customers, merchants, watchlist) are broadcast only when the
+optimizer's size estimate of the *pruned* side is within a bound; otherwise the
+side is left alone and Spark plans a shuffle join, which adaptive execution can
+still turn into a broadcast at runtime (measured sizes) or split when a key is
+skewed (``spark.sql.adaptive.skewJoin.enabled``).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Upper bound for an explicit broadcast (bytes of the estimated, pruned side).
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of ``df`` (what ``explain('cost')`` prints)."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # pragma: no cover - estimate unavailable (e.g. Spark Connect)
+        return None
+
+
+def sized_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """``broadcast(df)`` if its estimated size is known and at most ``max_bytes``;
+    the frame unchanged otherwise (shuffle join, AQE decides at runtime)."""
+    limit = DEFAULT_BROADCAST_BYTES if max_bytes is None else max_bytes
+    size = estimated_bytes(df)
+    if size is not None and size <= limit:
+        return F.broadcast(df)
+    return df
