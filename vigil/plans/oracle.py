@@ -53,7 +53,10 @@ JOIN (SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey >= 0 AND s_suppkey
 JOIN {NATION} n ON n.n_nationkey = e.event_id % 25""")
 
 
-def _customer_select(key: str, limit: str) -> str:
+def _customer_select(key: str, limit: str, date_text: bool = False) -> str:
+    open_date = f"CAST(DATE '2020-01-01' + CAST({key} % 1000 AS INTEGER) AS DATE)"
+    if date_text:
+        open_date = f"strftime({open_date}, '%Y-%m-%d')"
     return f"""
   'CUST' || {pad(key, 6)} AS customer_id,
   'Customer' AS first_name,
@@ -65,7 +68,7 @@ def _customer_select(key: str, limit: str) -> str:
   n.n_name AS country,
   CAST(NULL AS DECIMAL(18,2)) AS annual_income,
   c.c_mktsegment AS customer_segment,
-  CAST(DATE '2020-01-01' + CAST({key} % 1000 AS INTEGER) AS DATE) AS account_open_date,
+  {open_date} AS account_open_date,
   CAST(({key} * 37) % 101 AS INTEGER) AS risk_score,
   CAST(NULL AS DECIMAL(18,2)) AS preferred_spending_min,
   CAST(NULL AS DECIMAL(18,2)) AS preferred_spending_max,
@@ -83,13 +86,13 @@ SELECT {_customer_select('c.c_custkey', 'c.c_acctbal')}
 FROM customer c LEFT JOIN {NATION} n ON n.n_nationkey = c.c_nationkey""")
 
 _cte("customer_log", [], f"""
-SELECT {_customer_select('c.c_custkey', 'c.c_acctbal')}, TIMESTAMP '{A.SNAPSHOT_TIME}' AS update_timestamp
+SELECT {_customer_select('c.c_custkey', 'c.c_acctbal', True)}, TIMESTAMP '{A.SNAPSHOT_TIME}' AS update_timestamp
 FROM customer c LEFT JOIN {NATION} n ON n.n_nationkey = c.c_nationkey
 UNION ALL
-SELECT {_customer_select('c.c_custkey', 'c.c_acctbal * 2')}, TIMESTAMP '{A.CHANGE_TIME}' AS update_timestamp
+SELECT {_customer_select('c.c_custkey', 'c.c_acctbal * 2', True)}, TIMESTAMP '{A.CHANGE_TIME}' AS update_timestamp
 FROM customer c LEFT JOIN {NATION} n ON n.n_nationkey = c.c_nationkey WHERE c.c_custkey % 5 = 0
 UNION ALL
-SELECT {_customer_select(f'(c.c_custkey + {A.NEW_CUSTOMER_OFFSET})', 'c.c_acctbal')},
+SELECT {_customer_select(f'(c.c_custkey + {A.NEW_CUSTOMER_OFFSET})', 'c.c_acctbal', True)},
        TIMESTAMP '{A.CHANGE_TIME}' AS update_timestamp
 FROM customer c LEFT JOIN {NATION} n ON n.n_nationkey = c.c_nationkey WHERE c.c_custkey % 5 = 1""")
 
@@ -188,3 +191,294 @@ ORACLE: dict[str, str] = {}
 
 ORACLE["high_value_alerts"] = with_ctes("SELECT * FROM hv_alerts", "hv_alerts")
 ORACLE["fraud_card_alerts"] = with_ctes("SELECT * FROM fraud_alerts", "fraud_alerts")
+
+_cte("dirty", ["transactions"], """
+SELECT _eid,
+  CASE WHEN _eid % 97 = 0 THEN NULL ELSE transaction_id END AS transaction_id,
+  CASE WHEN _eid % 97 = 0 OR _eid % 50 = 0 THEN NULL ELSE customer_id END AS customer_id,
+  CASE WHEN _eid % 97 = 0 OR _eid % 60 = 0 THEN NULL ELSE card_number END AS card_number,
+  CASE WHEN _eid % 97 = 0 THEN NULL ELSE merchant_id END AS merchant_id,
+  CASE WHEN _eid % 97 = 0 THEN NULL WHEN _eid % 70 = 0 THEN -amount ELSE amount END AS amount
+FROM transactions""")
+
+TX_FIELDS = ("transaction_id, customer_id, card_number, merchant_id, merchant_name, merchant_category, amount, "
+             "currency, transaction_type, payment_channel, device_id, city, country, transaction_timestamp, "
+             "is_international, status")
+
+# ---- ingest / silver
+ORACLE["bronze_transactions"] = with_ctes(f"""
+SELECT transaction_id AS key, '{A.TOPIC}' AS topic, CAST(_eid % 4 AS INTEGER) AS "partition", _eid AS "offset",
+  transaction_timestamp AS "timestamp", 0 AS "timestampType", transaction_id AS value_transaction_id
+FROM transactions""", "transactions")
+
+ORACLE["topic_profile"] = with_ctes(f"""
+SELECT '{A.TOPIC}' AS topic, CAST(_eid % 4 AS INTEGER) AS "partition", count(*) AS message_count,
+  min(_eid) AS first_offset, max(_eid) AS last_offset,
+  min(transaction_timestamp) AS first_timestamp, max(transaction_timestamp) AS last_timestamp
+FROM transactions GROUP BY 1, 2""", "transactions")
+
+ORACLE["silver_transactions"] = with_ctes(f"""
+SELECT {TX_FIELDS}, '{A.TOPIC}' AS kafka_topic, CAST(_eid % 4 AS INTEGER) AS kafka_partition,
+  _eid AS kafka_offset, transaction_timestamp AS kafka_timestamp
+FROM transactions""", "transactions")
+
+ORACLE["silver_watchlist"] = with_ctes("SELECT * EXCLUDE (_key) FROM watchlist", "watchlist")
+ORACLE["silver_customers"] = with_ctes("SELECT * FROM customers", "customers")
+
+_KEYS_PRESENT = ("transaction_id IS NOT NULL AND customer_id IS NOT NULL AND card_number IS NOT NULL "
+                 "AND merchant_id IS NOT NULL")
+ORACLE["expect_drop_transactions"] = with_ctes(f"""
+SELECT transaction_id, customer_id, card_number, merchant_id, amount, _eid AS kafka_offset
+FROM dirty WHERE {_KEYS_PRESENT}""", "dirty")
+
+ORACLE["quarantine_transactions"] = with_ctes(f"""
+SELECT _eid AS kafka_offset, transaction_id,
+  concat_ws(',', CASE WHEN transaction_id IS NULL THEN 'valid_transaction_id' END,
+                 CASE WHEN customer_id IS NULL THEN 'valid_customer_id' END,
+                 CASE WHEN card_number IS NULL THEN 'valid_card_number' END,
+                 CASE WHEN merchant_id IS NULL THEN 'valid_merchant_id' END) AS failed_expectations
+FROM dirty WHERE NOT ({_KEYS_PRESENT})""", "dirty")
+
+ORACLE["expectation_report"] = with_ctes("""
+SELECT 'valid_transaction_id' AS expectation, 'drop' AS action,
+  count(*) FILTER (WHERE transaction_id IS NULL) AS failed_records, count(*) AS total_records FROM dirty
+UNION ALL
+SELECT 'valid_customer_id', 'drop', count(*) FILTER (WHERE customer_id IS NULL), count(*) FROM dirty
+UNION ALL
+SELECT 'valid_card_number', 'drop', count(*) FILTER (WHERE card_number IS NULL), count(*) FROM dirty
+UNION ALL
+SELECT 'valid_merchant_id', 'drop', count(*) FILTER (WHERE merchant_id IS NULL), count(*) FROM dirty
+UNION ALL
+SELECT 'valid_amount', 'warn', count(*) FILTER (WHERE NOT coalesce(amount > 0, false)), count(*) FROM dirty""",
+                                         "dirty")
+
+ORACLE["expect_drop_customers"] = with_ctes(
+    "SELECT customer_id, risk_score, transaction_limit FROM customers WHERE customer_id IS NOT NULL", "customers")
+
+# ---- joins
+ORACLE["fraud_card_alerts_bounded"] = with_ctes(f"""
+SELECT {FRAUD_SELECT}
+FROM transactions t JOIN watchlist w ON t.card_number = w.entity_id
+  AND t.transaction_timestamp >= w.effective_from
+  AND t.transaction_timestamp <= w.effective_from + INTERVAL 7 DAY
+LEFT JOIN customers c ON t.customer_id = c.customer_id""", "transactions", "watchlist", "customers")
+
+ORACLE["fraud_card_alerts_snapshot"] = with_ctes(f"""
+SELECT {FRAUD_SELECT}
+FROM transactions t
+JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY watchlist_id ORDER BY effective_from DESC) AS rn
+                     FROM watchlist) WHERE rn = 1
+        AND lower(status) = 'active' AND coalesce(upper(action), '') <> 'REMOVE') w
+  ON t.card_number = w.entity_id
+LEFT JOIN customers c ON t.customer_id = c.customer_id""", "transactions", "watchlist", "customers")
+
+ORACLE["unknown_customer_transactions"] = with_ctes("""
+SELECT t.transaction_id, t.customer_id, t.amount FROM transactions t
+WHERE NOT EXISTS (SELECT 1 FROM customers c WHERE c.customer_id = t.customer_id
+                  AND c.customer_id IS NOT NULL AND NOT suffix(c.customer_id, '7'))""", "transactions", "customers")
+
+# ---- windows
+ORACLE["tx_count_tumbling"] = with_ctes("""
+SELECT date_trunc('minute', transaction_timestamp) AS window_start,
+  date_trunc('minute', transaction_timestamp) + INTERVAL 1 MINUTE AS window_end,
+  count(*) AS transaction_count
+FROM transactions WHERE transaction_timestamp IS NOT NULL GROUP BY 1, 2""", "transactions")
+
+ORACLE["tx_count_sliding"] = with_ctes("""
+SELECT ws AS window_start, ws + INTERVAL 5 MINUTE AS window_end, count(*) AS transaction_count
+FROM (SELECT date_trunc('minute', transaction_timestamp) - k * INTERVAL 1 MINUTE AS ws
+      FROM (SELECT transaction_timestamp, unnest(range(0, 5)) AS k FROM transactions
+            WHERE transaction_timestamp IS NOT NULL))
+GROUP BY ws""", "transactions")
+
+# ---- customers
+ORACLE["customers_latest"] = with_ctes("""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY update_timestamp DESC) AS rn FROM customer_log)
+WHERE rn = 1""", "customer_log")
+
+ORACLE["customers_apply_changes"] = with_ctes(f"""
+SELECT * EXCLUDE (rn, in_snap, in_chg, src) REPLACE (CAST(account_open_date AS DATE) AS account_open_date),
+  CASE WHEN NOT in_snap THEN 'INSERTED' WHEN in_chg THEN 'UPDATED' ELSE 'UNCHANGED' END AS change_type
+FROM (
+  SELECT *,
+    row_number() OVER (PARTITION BY customer_id ORDER BY update_timestamp DESC, src DESC) AS rn,
+    bool_or(NOT src) OVER (PARTITION BY customer_id) AS in_snap,
+    bool_or(src) OVER (PARTITION BY customer_id) AS in_chg
+  FROM (SELECT *, update_timestamp > TIMESTAMP '{A.SNAPSHOT_TIME}' AS src FROM customer_log))
+WHERE rn = 1""", "customer_log")
+
+# ---- fraud rules (limits of the test configuration, see catalog._test_rules)
+_cte("scored", ["transactions", "customers", "merchants"], """
+SELECT t.*, c.trusted_device_id, m.merchant_risk, m.is_blacklisted,
+  lag(t.transaction_timestamp, 1) OVER w AS prev_ts,
+  lag(t.city, 1) OVER w AS prev_city,
+  lag(t.transaction_timestamp, 5) OVER w AS vel_ts,
+  lag(t.transaction_timestamp, 3) OVER w AS card_ts
+FROM transactions t
+LEFT JOIN customers c ON t.customer_id = c.customer_id
+LEFT JOIN merchants m ON t.merchant_id = m.merchant_id
+WINDOW w AS (PARTITION BY t.customer_id
+             ORDER BY t.transaction_timestamp ASC NULLS FIRST, t.transaction_id ASC NULLS FIRST)""")
+
+_cte("flags", ["scored"], """
+SELECT transaction_id, customer_id, transaction_timestamp, amount,
+  coalesce(amount > 300.0, false) AS rule_high_value,
+  coalesce(prev_city = 'Delhi' AND city = 'London'
+           AND abs(date_diff('microsecond', prev_ts, transaction_timestamp)) / 60000000.0 <= 1440.0, false)
+    AS rule_impossible_travel,
+  NOT (device_id IS NOT DISTINCT FROM trusted_device_id) AS rule_new_device,
+  coalesce(merchant_risk = 'HIGH', false) AS rule_high_risk_merchant,
+  coalesce(is_blacklisted, false) AS rule_blacklisted_merchant,
+  coalesce(is_international, false) AS rule_international,
+  coalesce(vel_ts >= transaction_timestamp - INTERVAL 172800 SECOND, false) AS rule_velocity,
+  coalesce(amount >= 5.0 AND amount <= 20.0 AND card_ts >= transaction_timestamp - INTERVAL 86400 SECOND, false)
+    AS rule_card_testing
+FROM scored""")
+
+_SCORE = "least(100, " + " + ".join(
+    f"(CASE WHEN {RULE_COLUMNS[r]} THEN {w} ELSE 0 END)" for r, w in K.RULE_WEIGHTS) + ")"
+_FIRST = "CASE " + " ".join(f"WHEN {RULE_COLUMNS[r]} THEN '{r}'" for r, _ in K.RULE_WEIGHTS) + " ELSE 'NORMAL' END"
+_BY_WEIGHT = sorted(enumerate(K.RULE_WEIGHTS), key=lambda x: (-x[1][1], x[0]))
+_DOMINANT = "CASE " + " ".join(f"WHEN {RULE_COLUMNS[r]} THEN '{r}'" for _, (r, _) in _BY_WEIGHT) + " ELSE 'NORMAL' END"
+
+for _r, _col in RULE_COLUMNS.items():
+    ORACLE[_col] = with_ctes(f"""
+SELECT transaction_id, customer_id, transaction_timestamp, amount FROM flags WHERE {_col}""", "flags")
+
+ORACLE["fraud_scores"] = with_ctes(f"""
+SELECT transaction_id, customer_id, {_SCORE} AS fraud_score, {_FIRST} AS fraud_reason FROM flags""", "flags")
+ORACLE["fraud_dominant_reason"] = with_ctes(f"""
+SELECT transaction_id, {_SCORE} AS fraud_score, {_DOMINANT} AS dominant_reason FROM flags""", "flags")
+
+# ---- reports (as_of fixed; 'today' written as DATE(ts) = DATE(as_of), as the dashboards do)
+_TODAY = f"CAST({{c}} AS DATE) = CAST({AS_OF} AS DATE)"
+_WEEK = f"{{c}} >= {AS_OF} - INTERVAL 7 DAY"
+_DAY = f"{{c}} >= {AS_OF} - INTERVAL 24 HOUR"
+_MONEY_SUM = "CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE)"
+_R = {
+    "rpt_high_risk_customers": ("SELECT count(*) AS high_risk_count FROM customers WHERE risk_score > 70",
+                                "customers"),
+    "rpt_transactions_today": (f"SELECT count(*) AS transaction_count FROM transactions WHERE "
+                               f"{_TODAY.format(c='transaction_timestamp')}", "transactions"),
+    "rpt_avg_amount_today": (f"SELECT {_MONEY_SUM} / nullif(count(amount), 0) AS avg_amount FROM transactions "
+                             f"WHERE {_TODAY.format(c='transaction_timestamp')}", "transactions"),
+    "rpt_alerts_today": (f"SELECT count(*) AS alert_count FROM alerts WHERE {_TODAY.format(c='alert_timestamp')}",
+                         "alerts"),
+    "rpt_alert_status": (f"SELECT status, count(*) AS alert_count FROM alerts "
+                         f"WHERE {_WEEK.format(c='alert_timestamp')} GROUP BY status", "alerts"),
+    "rpt_top_customers": (f"SELECT customer_name, count(*) AS alert_count FROM alerts "
+                          f"WHERE {_WEEK.format(c='alert_timestamp')} GROUP BY customer_name "
+                          f"ORDER BY alert_count DESC, customer_name ASC NULLS LAST LIMIT 10", "alerts"),
+    "rpt_alert_trends": (f"SELECT date_trunc('hour', alert_timestamp) AS alert_hour, count(*) AS alert_count "
+                         f"FROM alerts WHERE {_DAY.format(c='alert_timestamp')} GROUP BY 1 ORDER BY 1", "alerts"),
+    "rpt_alert_types": (f"SELECT alert_type, count(*) AS alert_count FROM alerts "
+                        f"WHERE {_DAY.format(c='alert_timestamp')} GROUP BY alert_type", "alerts"),
+    "rpt_volume_by_minute": (f"SELECT date_trunc('minute', transaction_timestamp) AS transaction_minute, "
+                             f"count(*) AS transaction_count FROM transactions "
+                             f"WHERE {_DAY.format(c='transaction_timestamp')} GROUP BY 1 ORDER BY 1",
+                             "transactions"),
+    "rpt_intl_vs_domestic": (f"SELECT CASE WHEN is_international = true THEN 'International' ELSE 'Domestic' END "
+                             f"AS transaction_type, count(*) AS transaction_count FROM transactions "
+                             f"WHERE {_WEEK.format(c='transaction_timestamp')} GROUP BY is_international",
+                             "transactions"),
+    "rpt_top_merchants": (f"SELECT merchant_name, count(*) AS transaction_count FROM transactions "
+                          f"WHERE {_WEEK.format(c='transaction_timestamp')} GROUP BY merchant_name "
+                          f"ORDER BY transaction_count DESC, merchant_name ASC NULLS LAST LIMIT 10", "transactions"),
+    "rpt_amount_by_category": (f"SELECT merchant_category, {_MONEY_SUM} AS total_amount FROM transactions "
+                               f"WHERE {_WEEK.format(c='transaction_timestamp')} GROUP BY merchant_category "
+                               f"ORDER BY total_amount DESC", "transactions"),
+    "rpt_payment_channels": (f"SELECT payment_channel, count(*) AS transaction_count FROM transactions "
+                             f"WHERE {_WEEK.format(c='transaction_timestamp')} GROUP BY payment_channel "
+                             f"ORDER BY transaction_count DESC", "transactions"),
+    "rpt_by_country": (f"SELECT country, count(*) AS transaction_count, {_MONEY_SUM} AS total_amount "
+                       f"FROM transactions WHERE {_WEEK.format(c='transaction_timestamp')} GROUP BY country "
+                       f"ORDER BY transaction_count DESC", "transactions"),
+    "rpt_watchlist_risk": ("SELECT risk_level, count(*) AS count FROM watchlist WHERE lower(status) = 'active' "
+                           "GROUP BY risk_level ORDER BY risk_level", "watchlist"),
+    "duplicate_transaction_ids": ("SELECT transaction_id, count(*) AS occurrences FROM transactions "
+                                  "GROUP BY transaction_id HAVING count(*) > 1", "transactions"),
+}
+for _k, (_body, _src) in _R.items():
+    ORACLE[_k] = with_ctes(_body, _src)
+
+
+# ---- notifications: the body layouts of vigil.operators.notify rendered as SQL
+def _sq(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _missing(x: str) -> str:
+    return f"coalesce(nullif({x}, ''), 'N/A')"
+
+
+def _esc(x: str) -> str:
+    for old, new in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#39;")):
+        x = f"replace({x}, {_sq(old)}, {_sq(new)})"
+    return x
+
+
+def _ts_text(x: str) -> str:
+    base = f"strftime({x}, '%Y-%m-%d %H:%M:%S')"
+    frac = f"lpad(CAST(microsecond({x}) % 1000000 AS VARCHAR), 6, '0')"
+    return f"(CASE WHEN {x} IS NULL THEN NULL WHEN microsecond({x}) % 1000000 = 0 THEN {base} " \
+           f"ELSE {base} || '.' || {frac} END)"
+
+
+def _sql_field(kind: str, name: str) -> str:
+    if kind == "text":
+        return _esc(_missing(name))
+    if kind == "money":
+        return _missing(f"(CASE WHEN {name} IS NULL THEN NULL ELSE format('{{:,.2f}}', CAST({name} AS DOUBLE)) END)")
+    if kind == "ts":
+        return _missing(_ts_text(name))
+    if kind == "card":
+        return _esc(_missing(_mask(name)))
+    if kind == "yesno":
+        return f"(CASE WHEN coalesce({name}, false) THEN 'Yes' ELSE 'No' END)"
+    raise ValueError(kind)
+
+
+def _mask(name: str) -> str:
+    return f"(CASE WHEN {name} IS NULL OR {name} = '' THEN '****' ELSE right({name}, 4) END)"
+
+
+def _render(layout) -> str:
+    return " || ".join(_sq(p) if isinstance(p, str) else _sql_field(*p) for p in layout)
+
+
+def _status(recipient: str, amount: str) -> str:
+    return (f"CASE WHEN {recipient} IS NOT NULL AND trim({recipient}) <> '' AND {amount} IS NOT NULL "
+            f"THEN 'PENDING' ELSE 'INVALID' END")
+
+
+def _notify_oracle() -> None:
+    from vigil.operators.notify import FRAUD_CARD_BODY, HIGH_VALUE_BODY
+    ORACLE["outbox_high_value"] = with_ctes(f"""
+SELECT alert_id, alert_type, customer_email AS recipient,
+  {_sq(K.HIGH_VALUE_SUBJECT_PREFIX)} || {_missing('alert_id')} AS subject,
+  {_render(HIGH_VALUE_BODY)} AS body,
+  {_status('customer_email', 'transaction_amount')} AS delivery_status
+FROM hv_alerts""", "hv_alerts")
+    ORACLE["outbox_fraud_card"] = with_ctes(f"""
+SELECT alert_id, alert_type, customer_email AS recipient,
+  'FRAUD ALERT - ' || {_missing('risk_level')} || ' Risk - ' || {_missing('alert_id')} AS subject,
+  {_render(FRAUD_CARD_BODY)} AS body,
+  {_status('customer_email', 'amount')} AS delivery_status
+FROM fraud_alerts""", "fraud_alerts")
+    ORACLE["mask_card"] = with_ctes(f"SELECT alert_id, {_mask('card_number')} AS card_number_masked FROM fraud_alerts",
+                                    "fraud_alerts")
+
+
+_notify_oracle()
+
+# ---- watchlist feed
+ORACLE["watchlist_resume"] = with_ctes(f"""
+SELECT lower(watchlist_id) AS watchlist_id, entity_id, lower(risk_level) AS risk_level FROM watchlist
+WHERE _key > coalesce((SELECT max(_key) FROM watchlist
+                       WHERE _key <= {A.WATCHLIST_PUBLISHED_MAX_KEY} AND _key > 0), -1)""", "watchlist")
+
+ORACLE["watchlist_rescued"] = with_ctes("""
+SELECT lower(watchlist_id) AS watchlist_id, entity_id,
+  CASE WHEN _key % 4 = 0 THEN '{"note":"checked SOC"}' END AS _rescued_data
+FROM watchlist""", "watchlist")

@@ -40,7 +40,7 @@ def build_session(master: str | None = None, app_name: str = "vigil",
         builder = builder.master(master)
     for k, v in CORE_CONF.items():
         builder = builder.config(k, v)
-    builder = builder.config("spark.ui.enabled", "false")
+    builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
