@@ -19,7 +19,8 @@ DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of ``df`` (what ``explain('cost')`` prints)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size if isinstance(size, int) else size.toString())
     except Exception:  # pragma: no cover - estimate unavailable (e.g. Spark Connect)
         return None
 

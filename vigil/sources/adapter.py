@@ -26,8 +26,18 @@ NEW_CUSTOMER_OFFSET = 10 ** 12          # new customer ids lie above every exist
 WATCHLIST_PUBLISHED_MAX_KEY = 1000      # watchlist records already landed (resume test)
 
 
+_RELATIONS: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The supplied (read-only) table; the resolved relation is reused within
+    a session, so its files are listed and its footer read only once."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _RELATIONS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _RELATIONS[key] = spark.read.parquet(path)
+    return df
 
 
 def _nation(spark, sf_dir) -> DataFrame:
