@@ -348,3 +348,7 @@ def q_watchlist_rescued(spark, sf_dir):
     from vigil.sources.files import parse_watchlist_json
     parsed = parse_watchlist_json(A.watchlist_messages(spark, sf_dir))
     return parsed.select("watchlist_id", "entity_id", "_rescued_data")
+
+
+# streaming and I/O queries register themselves on import
+from vigil.plans import streams as _streams  # noqa: E402,F401

@@ -482,3 +482,58 @@ ORACLE["watchlist_rescued"] = with_ctes("""
 SELECT lower(watchlist_id) AS watchlist_id, entity_id,
   CASE WHEN _key % 4 = 0 THEN '{"note":"checked SOC"}' END AS _rescued_data
 FROM watchlist""", "watchlist")
+
+# ---- streaming and I/O keys (inputs written as one micro-batch, see vigil.plans.streams)
+ORACLE["stream_high_value_alerts"] = ORACLE["high_value_alerts"]
+ORACLE["stream_fraud_card_alerts"] = ORACLE["fraud_card_alerts"]
+ORACLE["stream_fraud_scores"] = ORACLE["fraud_scores"]
+ORACLE["stream_outbox"] = ORACLE["outbox_high_value"]
+ORACLE["write_snapshot"] = ORACLE["customers_latest"]
+
+# append mode emits a window once the watermark (max event time in ms - 5 min) reaches its end
+_CLOSED = ("window_end <= (SELECT date_trunc('millisecond', max(transaction_timestamp)) FROM transactions) "
+           "- INTERVAL 5 MINUTE")
+ORACLE["stream_tx_count_tumbling"] = with_ctes(f"""
+SELECT * FROM (
+SELECT date_trunc('minute', transaction_timestamp) AS window_start,
+  date_trunc('minute', transaction_timestamp) + INTERVAL 1 MINUTE AS window_end, count(*) AS transaction_count
+FROM transactions WHERE transaction_timestamp IS NOT NULL GROUP BY 1, 2) WHERE {_CLOSED}""", "transactions")
+ORACLE["stream_tx_count_sliding"] = with_ctes(f"""
+SELECT * FROM (
+SELECT ws AS window_start, ws + INTERVAL 5 MINUTE AS window_end, count(*) AS transaction_count
+FROM (SELECT date_trunc('minute', transaction_timestamp) - k * INTERVAL 1 MINUTE AS ws
+      FROM (SELECT transaction_timestamp, unnest(range(0, 5)) AS k FROM transactions
+            WHERE transaction_timestamp IS NOT NULL))
+GROUP BY ws) WHERE {_CLOSED}""", "transactions")
+
+_cte("watchlist_file", ["watchlist"], """
+SELECT lower(watchlist_id) AS watchlist_id, watch_type, entity_id, lower(risk_level) AS risk_level,
+  lower(action) AS action, reason_code, reason_description, status,
+  strftime(effective_from, '%d-%b-%Y %H:%M:%S') AS effective_from, reported_by, reported_source, country, city, _key
+FROM watchlist""")
+
+ORACLE["bronze_watchlist"] = with_ctes("""
+SELECT * EXCLUDE (_key), CASE WHEN _key % 4 = 0 THEN '{"note":"checked SOC"}' END AS _rescued_data,
+  true AS has_source_file
+FROM watchlist_file""", "watchlist_file")
+
+ORACLE["publish_watchlist_files"] = with_ctes(
+    "SELECT * EXCLUDE (_key), CAST(1 AS BIGINT) AS file_records FROM watchlist_file", "watchlist_file")
+
+ORACLE["load_customers_initial"] = with_ctes(
+    f"SELECT * FROM customer_log WHERE update_timestamp = TIMESTAMP '{A.SNAPSHOT_TIME}'", "customer_log")
+
+ORACLE["run_available_now"] = with_ctes(f"""
+SELECT 'bronze.transactions' AS table_name, count(*) AS row_count FROM dirty
+UNION ALL
+SELECT 'silver.transactions', count(*) FROM dirty WHERE {_KEYS_PRESENT}
+UNION ALL
+SELECT 'silver.transactions_quarantine', count(*) FROM dirty WHERE NOT ({_KEYS_PRESENT})
+UNION ALL
+SELECT 'gold.high_value_transactions_alert', count(*)
+FROM (SELECT * FROM dirty WHERE {_KEYS_PRESENT}) t JOIN customers c ON t.customer_id = c.customer_id
+WHERE t.amount > c.transaction_limit
+UNION ALL
+SELECT 'gold.fraud_card_alert', count(*)
+FROM (SELECT * FROM dirty WHERE {_KEYS_PRESENT}) t JOIN watchlist w ON t.card_number = w.entity_id""",
+                                         "dirty", "customers", "watchlist")
