@@ -98,7 +98,9 @@ def rule_flags(transactions: DataFrame, customers: DataFrame, merchants: DataFra
     t = (transactions
          .join(cust, "customer_id", "left")
          .join(merch, "merchant_id", "left"))
-    t = _with_context_buckets(t, ts, cfg)
+    # explicit shuffle on (customer, bucket): an input already hash-partitioned
+    # by customer alone would otherwise be reused and keep a hot customer in one task
+    t = _with_context_buckets(t, ts, cfg).repartition("customer_id", "_bucket")
     w = Window.partitionBy("customer_id", "_bucket").orderBy(
         F.col(ts).asc_nulls_first(), F.col("transaction_id").asc_nulls_first())
     cur = F.col(ts)
