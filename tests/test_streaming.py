@@ -40,7 +40,8 @@ def test_stateful_scoring_over_micro_batches_equals_batch(spark, workdir):
         write_messages(messages_between(spark, start, end), layout.landing("transactions"))
     d = Domain(spark, SF_SMALL)
     d.customers().write.parquet(layout.table("silver", "customers"))
-    p = pipeline(spark, layout)
+    # unpartitioned tables: one file per micro-batch, read back one file per batch in order
+    p = pipeline(spark, layout, partition_by_date=False)
     p.bronze_transactions(kafka_stream(spark, layout))
     p.silver_transactions()
     q = p.fraud_scores(d.merchants(), RULES)
@@ -114,7 +115,7 @@ def test_watchlist_arriving_later_still_alerts_on_past_transactions(spark, workd
     p.bronze_watchlist(wl_landing)
     p.silver_watchlist()
     p.gold_fraud_card()
-    assert spark.read.parquet(layout.table("gold", "fraud_card_alert")).count() == 0
+    assert p.read_table("gold", "fraud_card_alert").count() == 0
     A.watchlist_messages(spark, SF_SMALL).select("value").write.mode("append").text(wl_landing)
     p2 = Pipeline(spark, layout, alert_time="transaction_timestamp")
     p2.bronze_watchlist(wl_landing)

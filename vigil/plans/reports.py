@@ -28,13 +28,19 @@ def _instant(df: DataFrame, col: str, as_of: str | Column) -> Column:
 
 def _since(df: DataFrame, col: str, as_of, seconds: int) -> DataFrame:
     start = _instant(df, col, as_of) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(seconds))
-    return df.filter(F.col(col) >= start)
+    out = df.filter(F.col(col) >= start)
+    if PARTITION_DATE in df.columns:          # partition pruning on date-partitioned tables
+        out = out.filter(F.col(PARTITION_DATE) >= F.to_date(start))
+    return out
 
 
 def _on_day(df: DataFrame, col: str, as_of) -> DataFrame:
     day = F.to_date(_instant(df, col, as_of))
     start = day.cast("timestamp_ntz" if is_ntz(df, col) else "timestamp")
-    return df.filter((F.col(col) >= start) & (F.col(col) < start + F.expr("INTERVAL 1 DAY")))
+    out = df.filter((F.col(col) >= start) & (F.col(col) < start + F.expr("INTERVAL 1 DAY")))
+    if PARTITION_DATE in df.columns:
+        out = out.filter(F.col(PARTITION_DATE) == day)
+    return out
 
 
 def money_sum(c: str) -> Column:
@@ -46,12 +52,15 @@ def money_avg(c: str) -> Column:
 
 
 DAY, WEEK = 86400, 7 * 86400
+PARTITION_DATE = "event_date"
 
 
 def alerts_union(fraud_alerts: DataFrame, high_value_alerts: DataFrame) -> DataFrame:
     """Both alert tables in one frame: alert_id, alert_type, alert_timestamp,
     customer_name, status (``transaction_status`` of watchlist alerts)."""
     cols = ["alert_id", "alert_type", "alert_timestamp", "customer_name", "status"]
+    if PARTITION_DATE in fraud_alerts.columns and PARTITION_DATE in high_value_alerts.columns:
+        cols.append(PARTITION_DATE)
     f = fraud_alerts.withColumnRenamed("transaction_status", "status").select(*cols)
     return f.unionByName(high_value_alerts.select(*cols))
 

@@ -30,7 +30,9 @@ def _env(spark: SparkSession, sf_dir: str, name: str, dirty: bool = False, watch
     if watchlist:
         A.watchlist_messages(spark, sf_dir).select("value").write.option("maxRecordsPerFile", 1) \
             .text(layout.landing("fraud_watchlist"))
-    p = Pipeline(spark, layout, alert_time="transaction_timestamp")
+    # one backfill micro-batch spanning 30 days: unpartitioned sinks (partitioned
+    # by date, each task would write a file into every day)
+    p = Pipeline(spark, layout, alert_time="transaction_timestamp", partition_by_date=False)
     source = spark.readStream.schema(KAFKA_SCHEMA).json(layout.landing("transactions"))
     p.bronze_transactions(source)
     p.silver_transactions()
@@ -41,7 +43,8 @@ def _env(spark: SparkSession, sf_dir: str, name: str, dirty: bool = False, watch
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """A sink read back as a batch frame, without the event_date partition column."""
+    return spark.read.parquet(path).drop("event_date")
 
 
 @register("stream_high_value_alerts")

@@ -15,7 +15,7 @@ PLAIN_LOGIN_MODULE = "org.apache.kafka.common.security.plain.PlainLoginModule"
 
 
 def kafka_read_options(config: dict, starting_offsets: str = "earliest",
-                       max_offsets_per_trigger: int | None = None) -> dict:
+                       max_offsets_per_trigger: int | None = None, min_partitions: int | None = None) -> dict:
     """Source options for a SASL_SSL / PLAIN cluster from a connection config
     with ``bootstrap_servers``, ``topic``, ``api_key`` and ``api_secret``."""
     jaas = (f'{PLAIN_LOGIN_MODULE} required '
@@ -29,8 +29,11 @@ def kafka_read_options(config: dict, starting_offsets: str = "earliest",
         "startingOffsets": starting_offsets,
     }
     if max_offsets_per_trigger:
-        # bounds each micro-batch; Spark splits large topic partitions across tasks
+        # bounds the size of each micro-batch
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_partitions:
+        # split large topic partitions over more tasks than the topic has partitions
+        options["minPartitions"] = str(min_partitions)
     return options
 
 
