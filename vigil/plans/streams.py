@@ -28,17 +28,21 @@ def _env(spark: SparkSession, sf_dir: str, name: str, dirty: bool = False, watch
         .json(layout.landing("transactions"))
     Domain(spark, sf_dir).customers().write.parquet(layout.table("silver", "customers"))
     if watchlist:
-        A.watchlist_messages(spark, sf_dir).select("value").write.option("maxRecordsPerFile", 1) \
-            .text(layout.landing("fraud_watchlist"))
+        # JSON lines, as many files as the frame has partitions (one record per
+        # file, the feed's own format, is covered by bronze_watchlist)
+        A.watchlist_messages(spark, sf_dir).select("value").write.text(layout.landing("fraud_watchlist"))
     # one backfill micro-batch spanning 30 days: unpartitioned sinks (partitioned
     # by date, each task would write a file into every day)
     p = Pipeline(spark, layout, alert_time="transaction_timestamp", partition_by_date=False)
     source = spark.readStream.schema(KAFKA_SCHEMA).json(layout.landing("transactions"))
-    p.bronze_transactions(source)
-    p.silver_transactions()
-    if watchlist:
-        p.bronze_watchlist(layout.landing("fraud_watchlist"))
-        p.silver_watchlist()
+    with p.concurrently():                      # the two chains do not read each other
+        p.bronze_transactions(source)
+        if watchlist:
+            p.bronze_watchlist(layout.landing("fraud_watchlist"))
+    with p.concurrently():
+        p.silver_transactions()
+        if watchlist:
+            p.silver_watchlist()
     return layout, p
 
 

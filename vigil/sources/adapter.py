@@ -15,7 +15,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.functions.columns import prefixed_id
 from vigil.operators.joins import sized_broadcast
 
 TOPIC = "card_transactions"
@@ -41,20 +40,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _nation(spark, sf_dir) -> DataFrame:
-    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return n.filter((F.col("n_nationkey") >= 0) & (F.col("n_nationkey") < 25))
+    return table(spark, sf_dir, "nation").select("n_nationkey", "n_name") \
+        .filter("n_nationkey >= 0 AND n_nationkey < 25")
 
 
-def _card(n: Column | str) -> Column:
-    return prefixed_id("4", n, 15)
+def pad(expr: str, width: int) -> str:
+    """SQL text: zero-padded number that is never cut (``lpad`` alone truncates)."""
+    s = f"CAST({expr} AS STRING)"
+    return f"lpad({s}, greatest({width}, length({s})), '0')"
 
 
-def _customer_id(n: Column | str) -> Column:
-    return prefixed_id("CUST", n, 6)
-
-
-def _device(n: Column | str) -> Column:
-    return prefixed_id("DEV", n, 4)
+def _sql_id(prefix: str, expr: str, width: int) -> str:
+    return f"concat('{prefix}', {pad(expr, width)})"
 
 
 def transactions(spark: SparkSession, sf_dir: str, ltz: bool = False, with_event_id: bool = False) -> DataFrame:
@@ -63,35 +60,35 @@ def transactions(spark: SparkSession, sf_dir: str, ltz: bool = False, with_event
     ``ltz=True`` casts the event time to ``timestamp`` (needed by streaming
     watermarks); batch keys keep ``timestamp_ntz`` as stored.
     ``with_event_id`` keeps the source key as ``_eid`` (message offsets).
+    The projection is one list of SQL expressions (a single call into the JVM).
     """
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    s = (table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-         .filter((F.col("s_suppkey") >= 0) & (F.col("s_suppkey") < 10)))
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name").filter("s_suppkey >= 0 AND s_suppkey < 10")
     n = _nation(spark, sf_dir)
-    eid = F.col("event_id")
-    joined = (e.join(sized_broadcast(s), F.col("s_suppkey") == eid % 10, "inner")
-              .join(sized_broadcast(n), F.col("n_nationkey") == eid % 25, "inner"))
-    ts = F.col("ts").cast("timestamp") if ltz else F.col("ts")
-    return joined.select(
-        prefixed_id("TXN", eid, 7).alias("transaction_id"),
-        _customer_id("user_id").alias("customer_id"),
-        _card("user_id").alias("card_number"),
-        prefixed_id("MER", eid % 10, 4).alias("merchant_id"),
-        F.col("s_name").alias("merchant_name"),
-        F.col("event_type").alias("merchant_category"),
-        F.col("value").alias("amount"),
-        F.lit("INR").alias("currency"),
-        F.when(eid % 4 == 0, "ATM").otherwise("PURCHASE").alias("transaction_type"),
-        F.when(eid % 4 == 0, "ATM").when(eid % 4 == 1, "POS").when(eid % 4 == 2, "MOBILE_APP")
-         .otherwise("INTERNET_BANKING").alias("payment_channel"),
-        F.when(eid % 7 == 0, "DEV9999").otherwise(_device("user_id")).alias("device_id"),
-        F.when(eid % 3 == 0, "Delhi").when(eid % 3 == 1, "London").otherwise("Mumbai").alias("city"),
-        F.col("n_name").alias("country"),
-        ts.alias("transaction_timestamp"),
-        (eid % 15 == 0).alias("is_international"),
-        F.when(eid % 10 == 0, "DECLINED").otherwise("APPROVED").alias("status"),
-        *([eid.alias("_eid")] if with_event_id else []),
-    )
+    joined = (e.join(sized_broadcast(s), F.col("s_suppkey") == F.col("event_id") % 10, "inner")
+              .join(sized_broadcast(n), F.col("n_nationkey") == F.col("event_id") % 25, "inner"))
+    exprs = [
+        f"{_sql_id('TXN', 'event_id', 7)} AS transaction_id",
+        f"{_sql_id('CUST', 'user_id', 6)} AS customer_id",
+        f"{_sql_id('4', 'user_id', 15)} AS card_number",
+        f"{_sql_id('MER', 'event_id % 10', 4)} AS merchant_id",
+        "s_name AS merchant_name",
+        "event_type AS merchant_category",
+        "value AS amount",
+        "'INR' AS currency",
+        "CASE WHEN event_id % 4 = 0 THEN 'ATM' ELSE 'PURCHASE' END AS transaction_type",
+        "CASE WHEN event_id % 4 = 0 THEN 'ATM' WHEN event_id % 4 = 1 THEN 'POS' "
+        "WHEN event_id % 4 = 2 THEN 'MOBILE_APP' ELSE 'INTERNET_BANKING' END AS payment_channel",
+        f"CASE WHEN event_id % 7 = 0 THEN 'DEV9999' ELSE {_sql_id('DEV', 'user_id', 4)} END AS device_id",
+        "CASE WHEN event_id % 3 = 0 THEN 'Delhi' WHEN event_id % 3 = 1 THEN 'London' ELSE 'Mumbai' END AS city",
+        "n_name AS country",
+        ("CAST(ts AS TIMESTAMP)" if ltz else "ts") + " AS transaction_timestamp",
+        "(event_id % 15 = 0) AS is_international",
+        "CASE WHEN event_id % 10 = 0 THEN 'DECLINED' ELSE 'APPROVED' END AS status",
+    ]
+    if with_event_id:
+        exprs.append("event_id AS _eid")
+    return joined.selectExpr(*exprs)
 
 
 def _json_value(tx: DataFrame) -> Column:
@@ -128,80 +125,76 @@ def kafka_messages(spark: SparkSession, sf_dir: str, dirty: bool = False) -> Dat
     )
 
 
-def _customer_fields(c_key: Column, c_name: Column, seg: Column, bal: Column, country: Column) -> list[Column]:
-    null_s, null_i, null_d = F.lit(None).cast("string"), F.lit(None).cast("int"), F.lit(None).cast("decimal(18,2)")
+def _customer_exprs(key: str, limit: str) -> list[str]:
+    """SQL expressions of the 21 customer columns from a ``customer`` row."""
     return [
-        _customer_id(c_key).alias("customer_id"),
-        F.lit("Customer").alias("first_name"),
-        F.substring(c_name, 10, 1 << 20).alias("last_name"),
-        null_s.alias("gender"),
-        null_i.alias("age"),
-        null_s.alias("city"),
-        null_s.alias("state"),
-        country.alias("country"),
-        null_d.alias("annual_income"),
-        seg.alias("customer_segment"),
-        F.date_format(F.date_add(F.lit("2020-01-01").cast("date"), (c_key % 1000).cast("int")),
-                      "yyyy-MM-dd").alias("account_open_date"),
-        ((c_key * 37) % 101).cast("int").alias("risk_score"),
-        null_d.alias("preferred_spending_min"),
-        null_d.alias("preferred_spending_max"),
-        null_s.alias("preferred_city"),
-        null_s.alias("preferred_country"),
-        _device(c_key).alias("trusted_device_id"),
-        _card(c_key).alias("card_number"),
-        null_s.alias("card_type"),
-        F.concat(F.lit("c"), c_key.cast("string"), F.lit("@example.com")).alias("email"),
-        (bal / 100).alias("transaction_limit"),
+        f"{_sql_id('CUST', key, 6)} AS customer_id",
+        "'Customer' AS first_name",
+        "substring(c_name, 10) AS last_name",
+        "CAST(NULL AS STRING) AS gender",
+        "CAST(NULL AS INT) AS age",
+        "CAST(NULL AS STRING) AS city",
+        "CAST(NULL AS STRING) AS state",
+        "n_name AS country",
+        "CAST(NULL AS DECIMAL(18,2)) AS annual_income",
+        "c_mktsegment AS customer_segment",
+        f"date_format(date_add(DATE'2020-01-01', CAST({key} % 1000 AS INT)), 'yyyy-MM-dd') AS account_open_date",
+        f"CAST(({key} * 37) % 101 AS INT) AS risk_score",
+        "CAST(NULL AS DECIMAL(18,2)) AS preferred_spending_min",
+        "CAST(NULL AS DECIMAL(18,2)) AS preferred_spending_max",
+        "CAST(NULL AS STRING) AS preferred_city",
+        "CAST(NULL AS STRING) AS preferred_country",
+        f"{_sql_id('DEV', key, 4)} AS trusted_device_id",
+        f"{_sql_id('4', key, 15)} AS card_number",
+        "CAST(NULL AS STRING) AS card_type",
+        f"concat('c', CAST({key} AS STRING), '@example.com') AS email",
+        f"{limit} / 100 AS transaction_limit",
     ]
 
 
+def _customers_with_nation(spark, sf_dir, columns=("c_custkey", "c_name", "c_nationkey", "c_acctbal",
+                                                      "c_mktsegment")) -> DataFrame:
+    c = table(spark, sf_dir, "customer").select(*columns)
+    return c.join(sized_broadcast(_nation(spark, sf_dir)), F.col("n_nationkey") == F.col("c_nationkey"), "left")
+
+
 def customers_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze customers: source columns plus ``update_timestamp`` (initial snapshot)."""
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
-    j = c.join(sized_broadcast(_nation(spark, sf_dir)), F.col("n_nationkey") == F.col("c_nationkey"), "left")
-    fields = _customer_fields(F.col("c_custkey"), F.col("c_name"), F.col("c_mktsegment"),
-                              F.col("c_acctbal"), F.col("n_name"))
-    return j.select(*fields, F.lit(SNAPSHOT_TIME).cast("timestamp_ntz").alias("update_timestamp"))
+    return _customers_with_nation(spark, sf_dir).selectExpr(
+        *_customer_exprs("c_custkey", "c_acctbal"),
+        f"TIMESTAMP_NTZ'{SNAPSHOT_TIME}' AS update_timestamp")
 
 
 def customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change rows after the snapshot: every key % 5 = 0 again with the limit
     doubled, and new customers (key % 5 = 1) with ids above every existing key."""
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
-    j = c.join(sized_broadcast(_nation(spark, sf_dir)), F.col("n_nationkey") == F.col("c_nationkey"), "left")
-    k = F.col("c_custkey")
-    updated = j.filter(k % 5 == 0).select(
-        *_customer_fields(k, F.col("c_name"), F.col("c_mktsegment"), F.col("c_acctbal") * 2, F.col("n_name")),
-        F.lit(CHANGE_TIME).cast("timestamp_ntz").alias("update_timestamp"))
-    new = j.filter(k % 5 == 1).select(
-        *_customer_fields(k + NEW_CUSTOMER_OFFSET, F.col("c_name"), F.col("c_mktsegment"),
-                          F.col("c_acctbal"), F.col("n_name")),
-        F.lit(CHANGE_TIME).cast("timestamp_ntz").alias("update_timestamp"))
+    j = _customers_with_nation(spark, sf_dir)
+    changed_at = f"TIMESTAMP_NTZ'{CHANGE_TIME}' AS update_timestamp"
+    updated = j.filter("c_custkey % 5 = 0").selectExpr(*_customer_exprs("c_custkey", "c_acctbal * 2"), changed_at)
+    new = j.filter("c_custkey % 5 = 1").selectExpr(
+        *_customer_exprs(f"(c_custkey + {NEW_CUSTOMER_OFFSET})", "c_acctbal"), changed_at)
     return updated.unionByName(new)
 
 
 def watchlist_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Watchlist file records (all text, as landed): one per listed card."""
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    k = F.col("c_custkey")
-    listed = c.filter(k % 10 == 0)
-    j = listed.join(sized_broadcast(_nation(spark, sf_dir)), F.col("n_nationkey") == F.col("c_nationkey"), "left")
-    eff = F.date_add(F.lit("2024-01-01").cast("date"), (k % 30).cast("int")).cast("timestamp_ntz")
-    return j.select(
-        prefixed_id("wl", k, 6).alias("watchlist_id"),
-        F.lit("CARD").alias("watch_type"),
-        _card(k).alias("entity_id"),
-        F.when(k % 3 == 0, "high").when(k % 3 == 1, "medium").otherwise("low").alias("risk_level"),
-        F.lit("add").alias("action"),
-        F.concat(F.lit("REPORTED_"), F.col("c_mktsegment")).alias("reason_code"),
-        F.concat(F.lit("Card reported, segment "), F.col("c_mktsegment")).alias("reason_description"),
-        F.when(k % 20 == 0, "active").otherwise("inactive").alias("status"),
-        F.date_format(eff, "dd-MMM-yyyy HH:mm:ss").alias("effective_from"),
-        F.lit("SOC").alias("reported_by"),
-        F.lit("Manual").alias("reported_source"),
-        F.col("n_name").alias("country"),
-        F.when(k % 20 == 0, F.lit(None).cast("string")).otherwise(F.lit("Hyderabad")).alias("city"),
+    j = _customers_with_nation(spark, sf_dir, ("c_custkey", "c_nationkey", "c_mktsegment")) \
+        .filter("c_custkey % 10 = 0")
+    return j.selectExpr(
+        f"{_sql_id('wl', 'c_custkey', 6)} AS watchlist_id",
+        "'CARD' AS watch_type",
+        f"{_sql_id('4', 'c_custkey', 15)} AS entity_id",
+        "CASE WHEN c_custkey % 3 = 0 THEN 'high' WHEN c_custkey % 3 = 1 THEN 'medium' ELSE 'low' END AS risk_level",
+        "'add' AS action",
+        "concat('REPORTED_', c_mktsegment) AS reason_code",
+        "concat('Card reported, segment ', c_mktsegment) AS reason_description",
+        "CASE WHEN c_custkey % 20 = 0 THEN 'active' ELSE 'inactive' END AS status",
+        "date_format(CAST(date_add(DATE'2024-01-01', CAST(c_custkey % 30 AS INT)) AS TIMESTAMP_NTZ), "
+        "'dd-MMM-yyyy HH:mm:ss') AS effective_from",
+        "'SOC' AS reported_by",
+        "'Manual' AS reported_source",
+        "n_name AS country",
+        "CASE WHEN c_custkey % 20 = 0 THEN CAST(NULL AS STRING) ELSE 'Hyderabad' END AS city",
     )
 
 
@@ -218,13 +211,12 @@ def watchlist_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     j = s.join(sized_broadcast(_nation(spark, sf_dir)), F.col("n_nationkey") == F.col("s_nationkey"), "left")
-    k = F.col("s_suppkey")
-    return j.select(
-        prefixed_id("MER", k, 4).alias("merchant_id"),
-        F.col("s_name").alias("merchant_name"),
-        F.lit(None).cast("string").alias("merchant_category"),
-        F.lit(None).cast("string").alias("city"),
-        F.col("n_name").alias("country"),
-        F.when(k % 10 == 0, "HIGH").when(k % 4 == 0, "MEDIUM").otherwise("LOW").alias("merchant_risk"),
-        (k % 10 == 3).alias("is_blacklisted"),
+    return j.selectExpr(
+        f"{_sql_id('MER', 's_suppkey', 4)} AS merchant_id",
+        "s_name AS merchant_name",
+        "CAST(NULL AS STRING) AS merchant_category",
+        "CAST(NULL AS STRING) AS city",
+        "n_name AS country",
+        "CASE WHEN s_suppkey % 10 = 0 THEN 'HIGH' WHEN s_suppkey % 4 = 0 THEN 'MEDIUM' ELSE 'LOW' END AS merchant_risk",
+        "(s_suppkey % 10 = 3) AS is_blacklisted",
     )

@@ -17,6 +17,7 @@ picked up by the next run (``availableNow``) or restart.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -83,6 +84,7 @@ class Pipeline:
     max_files_per_trigger: int | None = None
     partition_by_date: bool = True          # silver/gold tables partitioned by event_date
     queries: list[StreamingQuery] = field(default_factory=list)
+    _pending: list[StreamingQuery] | None = None
 
     # -- helpers
     def _trigger(self) -> dict:
@@ -106,9 +108,24 @@ class Pipeline:
 
     def _finish(self, q: StreamingQuery) -> StreamingQuery:
         if self.mode == "available_now":
-            q.awaitTermination()
+            if self._pending is not None:
+                self._pending.append(q)
+            else:
+                q.awaitTermination()
         return q
 
+    @contextmanager
+    def concurrently(self):
+        """Start the flows of the block together and wait for all at the end
+        (for flows that do not read each other's output)."""
+        self._pending = []
+        try:
+            yield self
+        finally:
+            pending, self._pending = self._pending, None
+            for q in pending:
+                q.awaitTermination()
+
     # -- schemas of the layers
     def bronze_schema(self) -> StructType:
         return schema_after(self.spark, KAFKA_SCHEMA, SV.kafka_to_bronze)
@@ -139,8 +156,9 @@ class Pipeline:
         parsed = SV.parse_transactions(self._read("bronze", "transactions", self.bronze_schema()))
         kept, _ = Q.expect(parsed, "silver_transactions")
         q = self._start(kept, "silver", "transactions", date_from="transaction_timestamp")
+        quarantine = self._start(Q.quarantine(parsed), "silver", "transactions_quarantine")
         self._finish(q)
-        self._finish(self._start(Q.quarantine(parsed), "silver", "transactions_quarantine"))
+        self._finish(quarantine)
         return q
 
     def bronze_watchlist(self, landing_dir: str) -> StreamingQuery:

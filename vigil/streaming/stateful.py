@@ -68,52 +68,56 @@ def _lag(values: np.ndarray, k: int, n_hist: int, fill) -> np.ndarray:
 
 
 def history_processor(cfg: RuleConfig):
-    horizon_us = cfg.horizon_seconds * 1_000_000
+    horizon_ms = cfg.horizon_seconds * 1000
+    keep = min(max(cfg.velocity_count, cfg.card_test_count, 1), K.HISTORY_LENGTH)
+    vel_us, card_us = cfg.velocity_seconds * 1_000_000, cfg.card_test_seconds * 1_000_000
+    travel_us = cfg.travel_max_minutes * 60_000_000.0
 
     def process(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        new = pd.concat(list(pdfs), ignore_index=True)
+        frames = list(pdfs)
+        new = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
         if new.empty:
             return
-        new = new.sort_values(["_ts_us", "transaction_id"], kind="stable", na_position="first")
+        new_ts = new["_ts_us"].to_numpy(dtype="float64", na_value=np.nan)
+        # event order within the batch: (time, id); missing times first
+        order = np.lexsort((new["transaction_id"].to_numpy(dtype=object).astype(str),
+                            np.nan_to_num(new_ts, nan=-np.inf)))
+        new = new.iloc[order]
+        new_ts = new_ts[order]
+        new_city = new["city"].to_numpy(dtype=object)
         if state.exists:
             hist_ts, hist_city = state.get
             hist_ts, hist_city = list(hist_ts or []), list(hist_city or [])
         else:
             hist_ts, hist_city = [], []
         n_hist = len(hist_ts)
-        # missing event times sort first and never satisfy a time condition
-        ts = np.concatenate([np.asarray(hist_ts, dtype="float64"),
-                             new["_ts_us"].to_numpy(dtype="float64", na_value=np.nan)])
-        city = np.concatenate([np.asarray(hist_city, dtype=object), new["city"].to_numpy(dtype=object)])
-        cur = ts[n_hist:]
+        ts = np.concatenate([np.asarray(hist_ts, dtype="float64"), new_ts])
+        city = np.concatenate([np.asarray(hist_city, dtype=object), new_city])
         prev_ts = _lag(ts, 1, n_hist, np.nan)
         prev_city = _lag(city, 1, n_hist, None)
         vel_ts = _lag(ts, cfg.velocity_count, n_hist, np.nan)
         card_ts = _lag(ts, cfg.card_test_count, n_hist, np.nan)
         amount = new["amount"].to_numpy(dtype="float64", na_value=np.nan)
         with np.errstate(invalid="ignore"):
-            travel = ((prev_city == cfg.travel_from) & (new["city"].to_numpy(dtype=object) == cfg.travel_to)
-                      & (np.abs(cur - prev_ts) / 60_000_000.0 <= cfg.travel_max_minutes))
-            velocity = vel_ts >= cur - cfg.velocity_seconds * 1_000_000
-            card = ((amount >= cfg.card_test_min) & (amount <= cfg.card_test_max)
-                    & (card_ts >= cur - cfg.card_test_seconds * 1_000_000))
-        out = new[_PASS].copy()
+            travel = ((prev_city == cfg.travel_from) & (new_city == cfg.travel_to)
+                      & (np.abs(new_ts - prev_ts) <= travel_us))
+            velocity = vel_ts >= new_ts - vel_us
+            card = (amount >= cfg.card_test_min) & (amount <= cfg.card_test_max) & (card_ts >= new_ts - card_us)
+        out = {c: new[c].to_numpy() for c in _PASS}
         out["rule_impossible_travel"] = travel.astype(bool)
         out["rule_velocity"] = velocity.astype(bool)
         out["rule_card_testing"] = card.astype(bool)
-        # keep the last entries that can still matter
-        keep = max(cfg.velocity_count, cfg.card_test_count, 1)
-        keep = min(max(keep, 1), K.HISTORY_LENGTH)
+        # keep only the last entries that a later transaction can still look at
         valid = ~np.isnan(ts)
         kept_ts, kept_city = ts[valid][-keep:], city[valid][-keep:]
         if len(kept_ts):
-            state.update(([int(x) for x in kept_ts], [None if c is None else str(c) for c in kept_city]))
-            expire_ms = int(kept_ts.max() // 1000) + horizon_us // 1000
+            state.update((kept_ts.astype("int64").tolist(), [None if c is None else str(c) for c in kept_city]))
+            expire_ms = int(kept_ts.max() // 1000) + horizon_ms
             state.setTimeoutTimestamp(max(expire_ms, state.getCurrentWatermarkMs() + 1))
-        yield out
+        yield pd.DataFrame(out)
 
     return process
 
