@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 
 from vigil import constants as K
 from vigil.functions.columns import interval_seconds, is_ntz, minutes_between
-from vigil.operators.joins import sized_broadcast
 
 RULE_COLUMNS = {
     "HIGH_VALUE_TRANSACTION": "rule_high_value",
@@ -90,11 +89,11 @@ def _with_context_buckets(df: DataFrame, ts: str, cfg: RuleConfig) -> DataFrame:
 
 
 def rule_flags(transactions: DataFrame, customers: DataFrame, merchants: DataFrame,
-               cfg: RuleConfig = DEFAULT_RULES, broadcast_bytes: int | None = None) -> DataFrame:
+               cfg: RuleConfig = DEFAULT_RULES) -> DataFrame:
     """Transactions with one boolean column per rule (never null)."""
     ts = "transaction_timestamp"
-    cust = sized_broadcast(customers.select("customer_id", "trusted_device_id"), broadcast_bytes)
-    merch = sized_broadcast(merchants.select("merchant_id", "merchant_risk", "is_blacklisted"), broadcast_bytes)
+    cust = customers.select("customer_id", "trusted_device_id")
+    merch = merchants.select("merchant_id", "merchant_risk", "is_blacklisted")
     t = (transactions
          .join(cust, "customer_id", "left")
          .join(merch, "merchant_id", "left"))
@@ -152,9 +151,9 @@ def score(flagged: DataFrame) -> DataFrame:
 
 
 def score_transactions(transactions: DataFrame, customers: DataFrame, merchants: DataFrame,
-                       cfg: RuleConfig = DEFAULT_RULES, broadcast_bytes: int | None = None) -> DataFrame:
+                       cfg: RuleConfig = DEFAULT_RULES) -> DataFrame:
     """Transactions with rule flags, fraud_score, fraud_reason, dominant_reason."""
-    return score(rule_flags(transactions, customers, merchants, cfg, broadcast_bytes))
+    return score(rule_flags(transactions, customers, merchants, cfg))
 
 
 def rule_hits(scored: DataFrame, reason: str) -> DataFrame:

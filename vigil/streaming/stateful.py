@@ -33,7 +33,6 @@ from pyspark.sql.types import (
 )
 
 from vigil import constants as K
-from vigil.operators.joins import sized_broadcast
 from vigil.operators.rules import DEFAULT_RULES, RuleConfig, score
 
 STATE_SCHEMA = StructType([
@@ -123,16 +122,15 @@ def history_processor(cfg: RuleConfig):
 
 
 def stream_scores(transactions: DataFrame, customers: DataFrame, merchants: DataFrame,
-                  cfg: RuleConfig = DEFAULT_RULES, watermark: str = K.WATERMARK_DELAY,
-                  broadcast_bytes: int | None = None) -> DataFrame:
+                  cfg: RuleConfig = DEFAULT_RULES, watermark: str = K.WATERMARK_DELAY) -> DataFrame:
     """Streaming form of ``score_transactions``: same flags, score and reasons.
 
     ``transactions`` is a stream with a ``timestamp`` event time; customers and
     merchants are static lookups. Rows of one customer are evaluated in arrival
     order across micro-batches (event order within a batch).
     """
-    cust = sized_broadcast(customers.select("customer_id", "trusted_device_id"), broadcast_bytes)
-    merch = sized_broadcast(merchants.select("merchant_id", "merchant_risk", "is_blacklisted"), broadcast_bytes)
+    cust = customers.select("customer_id", "trusted_device_id")
+    merch = merchants.select("merchant_id", "merchant_risk", "is_blacklisted")
     t = (transactions.withWatermark("transaction_timestamp", watermark)
          .join(cust, "customer_id", "left").join(merch, "merchant_id", "left"))
     t = t.select(
