@@ -135,3 +135,16 @@ def test_outbox_batch_is_idempotent(spark, workdir):
     assert out.filter("batch_id = 0").count() == alerts.count()
     assert out.filter("batch_id = 1").count() == 3
     assert set(out.columns) >= {"alert_id", "recipient", "subject", "body", "delivery_status"}
+
+
+def test_redelivered_messages_are_dropped_within_the_watermark(spark, workdir):
+    layout = Layout(workdir)
+    msgs = messages_between(spark, "2024-01-01", "2024-01-05")
+    write_messages(msgs, layout.landing("transactions"))
+    write_messages(msgs.withColumn("offset", F.col("offset") + 10**9), layout.landing("transactions"))
+    p = Pipeline(spark, layout, alert_time="transaction_timestamp", dedupe=True)
+    p.bronze_transactions(kafka_stream(spark, layout))
+    p.silver_transactions()
+    silver = spark.read.parquet(layout.table("silver", "transactions"))
+    assert spark.read.parquet(layout.table("bronze", "transactions")).count() == 2 * msgs.count()
+    assert silver.count() == msgs.count() == silver.select("transaction_id").distinct().count()

@@ -352,3 +352,29 @@ def q_watchlist_rescued(spark, sf_dir):
 
 # streaming and I/O queries register themselves on import
 from vigil.plans import streams as _streams  # noqa: E402,F401
+
+
+# ---------------------------------------------------------------- replayed messages
+
+def _replayed_silver(spark, sf_dir) -> DataFrame:
+    """The topic read twice for its last day (a consumer restart re-delivers
+    the messages of 2024-01-30 with new offsets)."""
+    from vigil.operators.silver import kafka_to_bronze
+    msgs = A.kafka_messages(spark, sf_dir)
+    again = (msgs.filter(F.col("timestamp") >= F.lit(A.REPLAY_FROM).cast("timestamp"))
+             .withColumn("offset", F.col("offset") + F.lit(A.REPLAY_OFFSET)))
+    return SV.parse_transactions(kafka_to_bronze(msgs.unionByName(again)))
+
+
+@register("replayed_duplicate_ids")
+def q_replayed_duplicate_ids(spark, sf_dir):
+    """Transaction ids delivered more than once."""
+    from vigil.plans.reports import duplicate_transaction_ids
+    return duplicate_transaction_ids(_replayed_silver(spark, sf_dir))
+
+
+@register("dedup_transactions")
+def q_dedup_transactions(spark, sf_dir):
+    """One row per transaction id after a replay."""
+    from vigil.schemas import TRANSACTION_COLUMNS
+    return SV.drop_duplicate_transactions(_replayed_silver(spark, sf_dir)).select(*TRANSACTION_COLUMNS)

@@ -537,3 +537,9 @@ UNION ALL
 SELECT 'gold.fraud_card_alert', count(*)
 FROM (SELECT * FROM dirty WHERE {_KEYS_PRESENT}) t JOIN watchlist w ON t.card_number = w.entity_id""",
                                          "dirty", "customers", "watchlist")
+
+# ---- replayed messages (T12): the last day's messages delivered twice
+ORACLE["replayed_duplicate_ids"] = with_ctes(f"""
+SELECT transaction_id, CAST(2 AS BIGINT) AS occurrences FROM transactions
+WHERE transaction_timestamp >= TIMESTAMP '{A.REPLAY_FROM}'""", "transactions")
+ORACLE["dedup_transactions"] = with_ctes(f"SELECT {TX_FIELDS} FROM transactions", "transactions")

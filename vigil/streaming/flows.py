@@ -83,6 +83,7 @@ class Pipeline:
     alert_time: str | None = None          # None: processing time; or a transaction column
     max_files_per_trigger: int | None = None
     partition_by_date: bool = True          # silver/gold tables partitioned by event_date
+    dedupe: bool = False                    # drop re-delivered transaction ids (within the watermark)
     queries: list[StreamingQuery] = field(default_factory=list)
     _pending: list[StreamingQuery] | None = None
 
@@ -155,6 +156,8 @@ class Pipeline:
         silver.transactions_quarantine."""
         parsed = SV.parse_transactions(self._read("bronze", "transactions", self.bronze_schema()))
         kept, _ = Q.expect(parsed, "silver_transactions")
+        if self.dedupe:
+            kept = SV.drop_duplicate_transactions(kept)
         q = self._start(kept, "silver", "transactions", date_from="transaction_timestamp")
         quarantine = self._start(Q.quarantine(parsed), "silver", "transactions_quarantine")
         self._finish(q)
