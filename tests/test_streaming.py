@@ -148,3 +148,22 @@ def test_redelivered_messages_are_dropped_within_the_watermark(spark, workdir):
     silver = spark.read.parquet(layout.table("silver", "transactions"))
     assert spark.read.parquet(layout.table("bronze", "transactions")).count() == 2 * msgs.count()
     assert silver.count() == msgs.count() == silver.select("transaction_id").distinct().count()
+
+
+def test_continuous_mode_picks_up_new_files(spark, workdir):
+    layout = Layout(workdir)
+    first = messages_between(spark, "2024-01-01", "2024-01-03")
+    write_messages(first, layout.landing("transactions"))
+    p = Pipeline(spark, layout, mode="continuous")
+    q = p.bronze_transactions(kafka_stream(spark, layout))
+    try:
+        assert q.isActive
+        q.processAllAvailable()
+        assert spark.read.parquet(layout.table("bronze", "transactions")).count() == first.count()
+        second = messages_between(spark, "2024-01-03", "2024-01-05")
+        write_messages(second, layout.landing("transactions"))
+        q.processAllAvailable()
+        assert spark.read.parquet(layout.table("bronze", "transactions")).count() == first.count() + second.count()
+    finally:
+        p.stop()
+    assert not q.isActive
