@@ -92,6 +92,7 @@ def test_snapshot_versions_switch_atomically(spark, workdir):
                           path, "v2")
     assert tables.read_snapshot(spark, path).count() == 2
     assert tables.current_snapshot_path(spark, path).endswith("/v2")
+    assert tables.current_snapshot_path(spark, f"{workdir}/nothing") is None
     with pytest.raises(Exception):
         tables.write_snapshot(spark.createDataFrame([("C3", 3.0)], "customer_id string, x double"), path, "v2")
 

@@ -167,3 +167,23 @@ def test_continuous_mode_picks_up_new_files(spark, workdir):
     finally:
         p.stop()
     assert not q.isActive
+
+
+def test_customer_changes_stream_into_versioned_snapshots(spark, workdir):
+    from datetime import datetime
+
+    from vigil.sources.tables import current_snapshot_path, read_snapshot, write_snapshot
+    layout = Layout(workdir)
+    snap = f"{workdir}/customers"
+    schema = "customer_id string, transaction_limit double, update_timestamp timestamp"
+    write_snapshot(spark.createDataFrame([("C1", 1.0, datetime(2024, 1, 1)), ("C2", 2.0, datetime(2024, 1, 1))],
+                                         schema), snap, "initial")
+    landing = layout.landing("customer_changes")
+    spark.createDataFrame([("C1", 10.0, datetime(2024, 2, 1))], schema).coalesce(1).write.mode("append").parquet(landing)
+    spark.createDataFrame([("C3", 3.0, datetime(2024, 2, 2)), ("C1", 11.0, datetime(2024, 2, 3))],
+                          schema).coalesce(1).write.mode("append").parquet(landing)
+    changes = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    Pipeline(spark, layout).customers_upsert(changes, snap)
+    got = {r.customer_id: r.transaction_limit for r in read_snapshot(spark, snap).collect()}
+    assert got == {"C1": 11.0, "C2": 2.0, "C3": 3.0}
+    assert current_snapshot_path(spark, snap).endswith("batch_000000000001")

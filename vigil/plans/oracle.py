@@ -543,3 +543,4 @@ ORACLE["replayed_duplicate_ids"] = with_ctes(f"""
 SELECT transaction_id, CAST(2 AS BIGINT) AS occurrences FROM transactions
 WHERE transaction_timestamp >= TIMESTAMP '{A.REPLAY_FROM}'""", "transactions")
 ORACLE["dedup_transactions"] = with_ctes(f"SELECT {TX_FIELDS} FROM transactions", "transactions")
+ORACLE["stream_customers_upsert"] = ORACLE["customers_latest"]

@@ -162,3 +162,17 @@ def q_run_available_now(spark, sf_dir):
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
+
+
+@register("stream_customers_upsert")
+def q_stream_customers_upsert(spark, sf_dir):
+    """A8/S24 on a stream: change rows merged per micro-batch into versioned snapshots."""
+    from vigil.sources.tables import read_snapshot, write_snapshot
+    layout = Layout(fresh_dir(spark, "customers_upsert"))
+    snapshot = layout.table("bronze", "customers")
+    write_snapshot(A.customers_source(spark, sf_dir), snapshot, "initial")
+    A.customer_changes(spark, sf_dir).write.parquet(layout.landing("customer_changes"))
+    schema = A.customer_changes(spark, sf_dir).schema
+    changes = spark.readStream.schema(schema).parquet(layout.landing("customer_changes"))
+    Pipeline(spark, layout).customers_upsert(changes, snapshot)
+    return read_snapshot(spark, snapshot)

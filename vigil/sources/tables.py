@@ -34,26 +34,32 @@ def _pointer(path: str) -> str:
     return f"{path.rstrip('/')}/_current"
 
 
-def write_snapshot(df: DataFrame, path: str, version: str | None = None) -> str:
+def write_snapshot(df: DataFrame, path: str, version: str | None = None, replace_version: bool = False) -> str:
     """Write ``df`` as a new version of the snapshot at ``path`` and point
-    readers to it. Returns the version folder."""
+    readers to it. Returns the version folder. ``replace_version`` lets a
+    retried writer (same version name, not yet published) write it again."""
     spark = df.sparkSession
     version = version or time.strftime("v%Y%m%d%H%M%S") + f"{int(time.time() * 1e6) % 1_000_000:06d}"
     folder = f"{path.rstrip('/')}/{version}"
-    df.write.mode("errorifexists").parquet(folder)
+    df.write.mode("overwrite" if replace_version else "errorifexists").parquet(folder)
     spark.createDataFrame([(folder,)], "value string").coalesce(1).write.mode("overwrite").text(_pointer(path))
     return folder
 
 
-def current_snapshot_path(spark: SparkSession, path: str) -> str:
-    rows = spark.read.text(_pointer(path)).take(1)
-    if not rows:
-        raise FileNotFoundError(f"no snapshot at {path}")
-    return rows[0].value
+def current_snapshot_path(spark: SparkSession, path: str) -> str | None:
+    """Folder of the published version, or None when nothing is published."""
+    try:
+        rows = spark.read.text(_pointer(path)).take(1)
+    except Exception:  # noqa: BLE001 - no pointer yet
+        return None
+    return rows[0].value if rows else None
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(current_snapshot_path(spark, path))
+    current = current_snapshot_path(spark, path)
+    if current is None:
+        raise FileNotFoundError(f"no snapshot at {path}")
+    return spark.read.parquet(current)
 
 
 def append_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

@@ -209,6 +209,33 @@ class Pipeline:
         out = stream_scores(tx, self.customers(), merchants, cfg or DEFAULT_RULES)
         return self._finish(self._start(out, "gold", "fraud_scores"))
 
+    def customers_upsert(self, changes: DataFrame, snapshot_path: str | None = None) -> StreamingQuery:
+        """Customer change rows (a stream) merged into the customer snapshot:
+        per micro-batch the latest row per customer wins (``apply_changes``),
+        the result is written as a new snapshot version named after the batch
+        and published by switching the pointer. A retried batch rewrites its
+        own, not yet published version; a published one is left as it is."""
+        from vigil.sources.tables import current_snapshot_path, write_snapshot
+        path = snapshot_path or self.layout.table("bronze", "customers")
+        spark = self.spark
+
+        def merge(batch_df: DataFrame, batch_id: int) -> None:
+            version = f"batch_{batch_id:012d}"
+            current = current_snapshot_path(spark, path)
+            if current is None:
+                merged = SV.latest_per_key(batch_df, "customer_id", "update_timestamp")
+            elif current.endswith("/" + version):
+                return                       # this batch was published before a restart
+            else:
+                merged = SV.apply_changes(spark.read.parquet(current), batch_df).drop("change_type")
+            write_snapshot(merged, path, version, replace_version=True)
+
+        q = (changes.writeStream.foreachBatch(merge)
+             .option("checkpointLocation", self.layout.checkpoint("customers_upsert"))
+             .queryName("customers_upsert").trigger(**self._trigger()).start())
+        self.queries.append(q)
+        return self._finish(q)
+
     def read_table(self, layer: str, name: str) -> DataFrame:
         """A flow's output as a batch frame (through the sink's commit log, so
         only committed files); empty with no columns if nothing was written."""
