@@ -64,3 +64,10 @@ def test_body_is_never_null(spark):
     row = fraud_card_notifications(df).select("body", "delivery_status", F.col("subject")).collect()[0]
     assert row.body is not None and "****" in row.body and row.delivery_status == "INVALID"
     assert row.subject == "FRAUD ALERT - N/A Risk - A1"
+
+
+def test_prefixed_id_pads_without_cutting(spark):
+    from vigil.functions.columns import prefixed_id
+    df = spark.createDataFrame([(1,), (1234567,), (123456789012,)], "n long")
+    assert [r[0] for r in df.select(prefixed_id("TXN", "n", 7)).collect()] == [
+        "TXN0000001", "TXN1234567", "TXN123456789012"]

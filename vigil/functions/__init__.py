@@ -10,6 +10,5 @@ from vigil.functions.columns import (  # noqa: F401
     or_missing,
     pad_number,
     prefixed_id,
-    seconds_between,
     timestamp_text,
 )

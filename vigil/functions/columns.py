@@ -65,11 +65,6 @@ def html_text(c: Column | str) -> Column:
     return html_escape(or_missing(c))
 
 
-def seconds_between(a: Column | str, b: Column | str) -> Column:
-    """Signed seconds from a to b; valid for timestamp and timestamp_ntz."""
-    return F.timestamp_diff("SECOND", col_or_name(a), col_or_name(b))
-
-
 def minutes_between(a: Column | str, b: Column | str) -> Column:
     """Absolute minutes between two instants (fractional, microsecond precision)."""
     micros = F.timestamp_diff("MICROSECOND", col_or_name(a), col_or_name(b))
@@ -92,9 +87,3 @@ def floor_to(ts: Column | str, unit: str, ntz: bool = False) -> Column:
 def is_ntz(df, column: str) -> bool:
     from pyspark.sql.types import TimestampNTZType
     return isinstance(df.schema[column].dataType, TimestampNTZType)
-
-
-def day_range(day_col: Column | str, start: Column, days: int = 1) -> Column:
-    """``day_col`` in [start, start + days): a range form that reaches the Parquet scan."""
-    c = col_or_name(day_col)
-    return (c >= start) & (c < start + F.expr(f"INTERVAL {days} DAYS"))
