@@ -187,3 +187,31 @@ def test_customer_changes_stream_into_versioned_snapshots(spark, workdir):
     got = {r.customer_id: r.transaction_limit for r in read_snapshot(spark, snap).collect()}
     assert got == {"C1": 11.0, "C2": 2.0, "C3": 3.0}
     assert current_snapshot_path(spark, snap).endswith("batch_000000000001")
+
+
+def test_bounded_watchlist_join_evicts_state(spark, workdir):
+    from vigil.streaming.flows import state_rows
+    layout = Layout(workdir)
+    for start, end in [("2024-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "2024-02-01")]:
+        write_messages(messages_between(spark, start, end), layout.landing("transactions"))
+    Domain(spark, SF_SMALL).customers().write.parquet(layout.table("silver", "customers"))
+    A.watchlist_messages(spark, SF_SMALL).select("value").coalesce(1).write.text(layout.landing("fraud_watchlist"))
+    p = Pipeline(spark, layout, alert_time="transaction_timestamp", max_files_per_trigger=1, partition_by_date=False)
+    p.bronze_transactions(kafka_stream(spark, layout))
+    p.silver_transactions()
+    p.bronze_watchlist(layout.landing("fraud_watchlist"))
+    p.silver_watchlist()
+    unbounded = p.gold_fraud_card()
+    layout2 = Layout(workdir + "/bounded")
+    p2 = Pipeline(spark, layout2, alert_time="transaction_timestamp", max_files_per_trigger=1,
+                  partition_by_date=False)
+    # the bounded flow reads the same silver tables
+    p2._read = p._read
+    p2.customers = p.customers
+    bounded = p2.gold_fraud_card(lookback="7 days")
+    n_unbounded, n_bounded = state_rows(unbounded), state_rows(bounded)
+    assert 0 <= n_bounded < n_unbounded
+    got = p2.read_table("gold", "fraud_card_alert").count()
+    assert got == Domain(spark, SF_SMALL).fraud_alerts().filter(
+        "transaction_timestamp >= watchlist_effective_from AND "
+        "transaction_timestamp <= watchlist_effective_from + INTERVAL 7 DAYS").count()

@@ -180,10 +180,18 @@ class Pipeline:
         out = AL.high_value_alerts(tx, self.customers(), alert_time=self.alert_time)
         return self._finish(self._start(out, "gold", "high_value_transactions_alert", "transaction_timestamp"))
 
-    def gold_fraud_card(self) -> StreamingQuery:
+    def gold_fraud_card(self, lookback: str | None = None) -> StreamingQuery:
+        """Watchlist alerts. Without ``lookback`` the join has no time condition
+        (state is kept for ever); with it, transactions match entries from
+        ``effective_from`` to ``effective_from + lookback`` and the join state
+        older than the watermarks is evicted."""
         tx = self._read("silver", "transactions", self.silver_schema())
         wl = self._read("silver", "fraud_watchlist", self.silver_watchlist_schema())
-        out = AL.fraud_card_alerts(tx, wl, self.customers(), alert_time=self.alert_time)
+        if lookback:
+            out = AL.fraud_card_alerts_bounded(tx, wl, self.customers(), lookback=lookback,
+                                               alert_time=self.alert_time)
+        else:
+            out = AL.fraud_card_alerts(tx, wl, self.customers(), alert_time=self.alert_time)
         return self._finish(self._start(out, "gold", "fraud_card_alert", "transaction_timestamp"))
 
     def gold_counts(self, window: str = K.TUMBLING_WINDOW, slide: str | None = None,
@@ -252,6 +260,12 @@ class Pipeline:
                 q.stop()
 
 
+def state_rows(query: StreamingQuery) -> int:
+    """Rows held in the query's state stores after its last micro-batch."""
+    p = query.lastProgress or {}
+    return sum(int(op.get("numRowsTotal", 0) or 0) for op in p.get("stateOperators", []))
+
+
 def late_rows_dropped(query: StreamingQuery) -> int:
     """Input rows dropped by the watermark over the query's recent progress."""
     total = 0
