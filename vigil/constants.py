@@ -51,7 +51,9 @@ HISTORY_LENGTH = 50
 
 # ---- fixed values: notifications -------------------------------------------
 HIGH_VALUE_SUBJECT_PREFIX = "High Value Transaction Alert - "
-FRAUD_SUBJECT_FORMAT = "FRAUD ALERT - {risk} Risk - {alert_id}"
+# fraud subject: prefix + risk level + separator + alert id
+FRAUD_SUBJECT_PREFIX = "FRAUD ALERT - "
+FRAUD_SUBJECT_SEPARATOR = " Risk - "
 MASK_NULL = "****"
 MISSING_TEXT = "N/A"
 

@@ -105,7 +105,8 @@ def high_value_notifications(alerts: DataFrame) -> DataFrame:
 
 def fraud_card_notifications(alerts: DataFrame) -> DataFrame:
     """Outbox rows for watchlist-match alerts (card masked to its last four)."""
-    subject = F.concat(F.lit("FRAUD ALERT - "), or_missing("risk_level"), F.lit(" Risk - "), or_missing("alert_id"))
+    subject = F.concat(F.lit(K.FRAUD_SUBJECT_PREFIX), or_missing("risk_level"), F.lit(K.FRAUD_SUBJECT_SEPARATOR),
+                       or_missing("alert_id"))
     return alerts.select(
         "alert_id", "alert_type",
         F.col("customer_email").alias("recipient"),

@@ -462,7 +462,8 @@ SELECT alert_id, alert_type, customer_email AS recipient,
 FROM hv_alerts""", "hv_alerts")
     ORACLE["outbox_fraud_card"] = with_ctes(f"""
 SELECT alert_id, alert_type, customer_email AS recipient,
-  'FRAUD ALERT - ' || {_missing('risk_level')} || ' Risk - ' || {_missing('alert_id')} AS subject,
+  {_sq(K.FRAUD_SUBJECT_PREFIX)} || {_missing('risk_level')} || {_sq(K.FRAUD_SUBJECT_SEPARATOR)} || {_missing('alert_id')}
+    AS subject,
   {_render(FRAUD_CARD_BODY)} AS body,
   {_status('customer_email', 'amount')} AS delivery_status
 FROM fraud_alerts""", "fraud_alerts")
