@@ -50,10 +50,9 @@ HIGH_RISK_MERCHANT_LEVEL = "HIGH"
 HISTORY_LENGTH = 50
 
 # ---- fixed values: notifications -------------------------------------------
-HIGH_VALUE_SUBJECT_PREFIX = "High Value Transaction Alert - "
-# fraud subject: prefix + risk level + separator + alert id
-FRAUD_SUBJECT_PREFIX = "FRAUD ALERT - "
-FRAUD_SUBJECT_SEPARATOR = " Risk - "
+# subjects (printf style): alert id; risk level and alert id
+HIGH_VALUE_SUBJECT_FORMAT = "High Value Transaction Alert - %s"
+FRAUD_SUBJECT_FORMAT = "FRAUD ALERT - %s Risk - %s"
 MASK_NULL = "****"
 MISSING_TEXT = "N/A"
 

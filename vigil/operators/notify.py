@@ -97,7 +97,7 @@ def high_value_notifications(alerts: DataFrame) -> DataFrame:
     return alerts.select(
         "alert_id", "alert_type",
         F.col("customer_email").alias("recipient"),
-        F.concat(F.lit(K.HIGH_VALUE_SUBJECT_PREFIX), or_missing("alert_id")).alias("subject"),
+        F.format_string(K.HIGH_VALUE_SUBJECT_FORMAT, or_missing("alert_id")).alias("subject"),
         render(HIGH_VALUE_BODY).alias("body"),
         _delivery_status("customer_email", "transaction_amount").alias("delivery_status"),
     )
@@ -105,8 +105,7 @@ def high_value_notifications(alerts: DataFrame) -> DataFrame:
 
 def fraud_card_notifications(alerts: DataFrame) -> DataFrame:
     """Outbox rows for watchlist-match alerts (card masked to its last four)."""
-    subject = F.concat(F.lit(K.FRAUD_SUBJECT_PREFIX), or_missing("risk_level"), F.lit(K.FRAUD_SUBJECT_SEPARATOR),
-                       or_missing("alert_id"))
+    subject = F.format_string(K.FRAUD_SUBJECT_FORMAT, or_missing("risk_level"), or_missing("alert_id"))
     return alerts.select(
         "alert_id", "alert_type",
         F.col("customer_email").alias("recipient"),

@@ -456,14 +456,13 @@ def _notify_oracle() -> None:
     from vigil.operators.notify import FRAUD_CARD_BODY, HIGH_VALUE_BODY
     ORACLE["outbox_high_value"] = with_ctes(f"""
 SELECT alert_id, alert_type, customer_email AS recipient,
-  {_sq(K.HIGH_VALUE_SUBJECT_PREFIX)} || {_missing('alert_id')} AS subject,
+  printf({_sq(K.HIGH_VALUE_SUBJECT_FORMAT)}, {_missing('alert_id')}) AS subject,
   {_render(HIGH_VALUE_BODY)} AS body,
   {_status('customer_email', 'transaction_amount')} AS delivery_status
 FROM hv_alerts""", "hv_alerts")
     ORACLE["outbox_fraud_card"] = with_ctes(f"""
 SELECT alert_id, alert_type, customer_email AS recipient,
-  {_sq(K.FRAUD_SUBJECT_PREFIX)} || {_missing('risk_level')} || {_sq(K.FRAUD_SUBJECT_SEPARATOR)} || {_missing('alert_id')}
-    AS subject,
+  printf({_sq(K.FRAUD_SUBJECT_FORMAT)}, {_missing('risk_level')}, {_missing('alert_id')}) AS subject,
   {_render(FRAUD_CARD_BODY)} AS body,
   {_status('customer_email', 'amount')} AS delivery_status
 FROM fraud_alerts""", "fraud_alerts")
