@@ -119,9 +119,12 @@ _cte("merchants", [], f"""
 SELECT
   'MER' || {pad('s.s_suppkey', 4)} AS merchant_id,
   s.s_name AS merchant_name,
+  CAST(NULL AS VARCHAR) AS merchant_category,
+  CAST(NULL AS VARCHAR) AS city,
+  n.n_name AS country,
   CASE WHEN s.s_suppkey % 10 = 0 THEN 'HIGH' WHEN s.s_suppkey % 4 = 0 THEN 'MEDIUM' ELSE 'LOW' END AS merchant_risk,
   (s.s_suppkey % 10 = 3) AS is_blacklisted
-FROM supplier s""")
+FROM supplier s LEFT JOIN {NATION} n ON n.n_nationkey = s.s_nationkey""")
 
 HV_SELECT = """
   concat_ws('-', 'ALERT', t.transaction_id) AS alert_id,
@@ -544,3 +547,10 @@ SELECT transaction_id, CAST(2 AS BIGINT) AS occurrences FROM transactions
 WHERE transaction_timestamp >= TIMESTAMP '{A.REPLAY_FROM}'""", "transactions")
 ORACLE["dedup_transactions"] = with_ctes(f"SELECT {TX_FIELDS} FROM transactions", "transactions")
 ORACLE["stream_customers_upsert"] = ORACLE["customers_latest"]
+
+# ---- CSV and inferred-schema reads
+ORACLE["watchlist_csv"] = with_ctes("SELECT * EXCLUDE (_key) FROM watchlist_file", "watchlist_file")
+ORACLE["merchants_csv"] = with_ctes("SELECT * FROM merchants", "merchants")
+ORACLE["watchlist_inferred_schema"] = with_ctes("""
+SELECT * EXCLUDE (_key), CASE WHEN _key % 4 = 0 THEN 'checked SOC' END AS note FROM watchlist_file""",
+                                                "watchlist_file")

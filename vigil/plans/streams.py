@@ -176,3 +176,32 @@ def q_stream_customers_upsert(spark, sf_dir):
     changes = spark.readStream.schema(schema).parquet(layout.landing("customer_changes"))
     Pipeline(spark, layout).customers_upsert(changes, snapshot)
     return read_snapshot(spark, snapshot)
+
+
+@register("watchlist_csv")
+def q_watchlist_csv(spark, sf_dir):
+    """Watchlist as CSV, read back with every column as text (card numbers exact)."""
+    from vigil.sources.files import read_watchlist_csv, write_csv
+    path = fresh_dir(spark, "watchlist_csv") + "/watchlist"
+    write_csv(A.watchlist_records(spark, sf_dir), path)
+    return read_watchlist_csv(spark, path)
+
+
+@register("merchants_csv")
+def q_merchants_csv(spark, sf_dir):
+    """Merchant dimension written as CSV and read back with its schema."""
+    from vigil.sources.files import read_merchants_csv, write_csv
+    path = fresh_dir(spark, "merchants_csv") + "/merchants"
+    write_csv(A.merchants(spark, sf_dir), path)
+    return read_merchants_csv(spark, path)
+
+
+@register("watchlist_inferred_schema")
+def q_watchlist_inferred_schema(spark, sf_dir):
+    """Schema inferred once from the landing zone, stored, then used to read it."""
+    from vigil.sources.files import infer_and_store_schema
+    base = fresh_dir(spark, "inferred_schema")
+    landing = base + "/landing"
+    A.watchlist_messages(spark, sf_dir).select("value").write.text(landing)
+    schema = infer_and_store_schema(spark, landing, base + "/_schema")
+    return spark.read.schema(schema).json(landing)
