@@ -1,9 +1,9 @@
 """Table sinks: namespaces, versioned snapshots, append tables.
 
 No table format with transactions (Delta, Iceberg) is assumed. A full
-snapshot is written to a new version folder and a small pointer file is
-switched afterwards, so readers never see a half-written snapshot and a folder
-is never overwritten while it is read.
+snapshot is written to a new version folder and then published by adding a
+small marker; readers take the newest marker, so they never see a
+half-written snapshot and no folder is overwritten while it is read.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 NAMESPACES = {
     "bronze": "Raw ingested data",
@@ -30,29 +31,37 @@ def setup_namespaces(spark: SparkSession, base: str, comments: dict[str, str] =
     return created
 
 
-def _pointer(path: str) -> str:
-    return f"{path.rstrip('/')}/_current"
+def _markers(path: str) -> str:
+    return f"{path.rstrip('/')}/_published"
 
 
 def write_snapshot(df: DataFrame, path: str, version: str | None = None, replace_version: bool = False) -> str:
-    """Write ``df`` as a new version of the snapshot at ``path`` and point
-    readers to it. Returns the version folder. ``replace_version`` lets a
-    retried writer (same version name, not yet published) write it again."""
+    """Write ``df`` as a new version of the snapshot at ``path`` and publish it.
+
+    Nothing is ever overwritten that a reader may be reading: the data goes to
+    a new version folder, then a small publish marker is added (a separate
+    write job, visible only once committed). Readers take the newest marker.
+    ``replace_version`` lets a retried writer rewrite its own version folder
+    (same name) before it is published.
+    """
     spark = df.sparkSession
-    version = version or time.strftime("v%Y%m%d%H%M%S") + f"{int(time.time() * 1e6) % 1_000_000:06d}"
+    stamp = f"{time.time_ns():020d}"
+    version = version or f"v{stamp}"
     folder = f"{path.rstrip('/')}/{version}"
     df.write.mode("overwrite" if replace_version else "errorifexists").parquet(folder)
-    spark.createDataFrame([(folder,)], "value string").coalesce(1).write.mode("overwrite").text(_pointer(path))
+    (spark.createDataFrame([(stamp, folder)], "published string, folder string")
+     .coalesce(1).write.mode("append").json(_markers(path)))
     return folder
 
 
 def current_snapshot_path(spark: SparkSession, path: str) -> str | None:
-    """Folder of the published version, or None when nothing is published."""
+    """Folder of the newest published version, or None when nothing is published."""
     try:
-        rows = spark.read.text(_pointer(path)).take(1)
-    except Exception:  # noqa: BLE001 - no pointer yet
+        markers = spark.read.schema("published string, folder string").json(_markers(path))
+        row = markers.orderBy(F.col("published").desc()).select("folder").take(1)
+    except Exception:  # noqa: BLE001 - nothing published yet
         return None
-    return rows[0].value if rows else None
+    return row[0].folder if row else None
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:

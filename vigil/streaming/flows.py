@@ -221,7 +221,7 @@ class Pipeline:
         """Customer change rows (a stream) merged into the customer snapshot:
         per micro-batch the latest row per customer wins (``apply_changes``),
         the result is written as a new snapshot version named after the batch
-        and published by switching the pointer. A retried batch rewrites its
+        and published with a new marker. A retried batch rewrites its
         own, not yet published version; a published one is left as it is."""
         from vigil.sources.tables import current_snapshot_path, write_snapshot
         path = snapshot_path or self.layout.table("bronze", "customers")
