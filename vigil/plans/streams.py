@@ -19,13 +19,13 @@ from vigil.session import fresh_dir
 from vigil.sources import adapter as A
 from vigil.streaming.flows import Layout, Pipeline
 
-JSON_TS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
 def _env(spark: SparkSession, sf_dir: str, name: str, dirty: bool = False, watchlist: bool = False):
     layout = Layout(fresh_dir(spark, name))
-    A.kafka_messages(spark, sf_dir, dirty=dirty).write.option("timestampFormat", JSON_TS) \
-        .json(layout.landing("transactions"))
+    # messages landed as Parquet files with the Kafka source schema (the JSON
+    # file form of the same frames is exercised by tests/test_streaming.py)
+    A.kafka_messages(spark, sf_dir, dirty=dirty).write.parquet(layout.landing("transactions"))
     Domain(spark, sf_dir).customers().write.parquet(layout.table("silver", "customers"))
     if watchlist:
         # JSON lines, as many files as the frame has partitions (one record per
@@ -34,7 +34,7 @@ def _env(spark: SparkSession, sf_dir: str, name: str, dirty: bool = False, watch
     # one backfill micro-batch spanning 30 days: unpartitioned sinks (partitioned
     # by date, each task would write a file into every day)
     p = Pipeline(spark, layout, alert_time="transaction_timestamp", partition_by_date=False)
-    source = spark.readStream.schema(KAFKA_SCHEMA).json(layout.landing("transactions"))
+    source = spark.readStream.schema(KAFKA_SCHEMA).parquet(layout.landing("transactions"))
     with p.concurrently():                      # the two chains do not read each other
         p.bronze_transactions(source)
         if watchlist:
