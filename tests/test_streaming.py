@@ -215,3 +215,22 @@ def test_bounded_watchlist_join_evicts_state(spark, workdir):
     assert got == Domain(spark, SF_SMALL).fraud_alerts().filter(
         "transaction_timestamp >= watchlist_effective_from AND "
         "transaction_timestamp <= watchlist_effective_from + INTERVAL 7 DAYS").count()
+
+
+def test_notify_on_partitioned_gold_and_before_any_alert(spark, workdir):
+    layout = Layout(workdir)
+    write_messages(messages_between(spark, "2024-01-01", "2024-01-04"), layout.landing("transactions"))
+    no_alerts = Layout(workdir + "/quiet")
+    d = Domain(spark, SF_SMALL)
+    d.customers().write.parquet(layout.table("silver", "customers"))
+    d.customers().withColumn("transaction_limit", F.lit(1e12)).write.parquet(no_alerts.table("silver", "customers"))
+    for lay in (layout, no_alerts):
+        p = Pipeline(spark, lay, alert_time="transaction_timestamp")
+        p.bronze_transactions(spark.readStream.schema(KAFKA_SCHEMA).json(layout.landing("transactions")))
+        p.silver_transactions()
+        p.gold_high_value()
+        p.notify("high_value")
+    gold = spark.read.parquet(layout.table("gold", "high_value_transactions_alert"))
+    outbox = spark.read.parquet(layout.table("outbox", "high_value"))
+    assert "event_date" in gold.columns and gold.count() == outbox.count() > 0
+    assert Pipeline(spark, no_alerts).read_table("outbox", "high_value").count() == 0

@@ -145,6 +145,19 @@ class Pipeline:
     def silver_watchlist_schema(self) -> StructType:
         return schema_after(self.spark, self.bronze_watchlist_schema(), SV.clean_watchlist)
 
+    def gold_schema(self, kind: str) -> StructType:
+        """Schema of a gold alert table, derived from the alert function (so a
+        reader can start before the first alert is written)."""
+        empty_tx = self.spark.createDataFrame([], self.silver_schema())
+        customers = self.customers()
+        if kind == "high_value":
+            out = AL.high_value_alerts(empty_tx, customers, alert_time=self.alert_time)
+        else:
+            empty_wl = self.spark.createDataFrame([], self.silver_watchlist_schema())
+            out = AL.fraud_card_alerts(empty_tx, empty_wl, customers, alert_time=self.alert_time)
+        schema = out.schema
+        return schema.add(EVENT_DATE, "date") if self.partition_by_date else schema
+
     # -- flows
     def bronze_transactions(self, source: DataFrame) -> StreamingQuery:
         """Kafka-shaped stream -> bronze.transactions."""
@@ -202,8 +215,7 @@ class Pipeline:
     def notify(self, kind: str) -> StreamingQuery:
         """gold alerts -> outbox/<kind> through foreachBatch."""
         source = {"high_value": "high_value_transactions_alert", "fraud_card": "fraud_card_alert"}[kind]
-        schema = self.spark.read.parquet(self.layout.table("gold", source)).schema
-        alerts = self._read("gold", source, schema)
+        alerts = self._read("gold", source, self.gold_schema(kind))
         q = (alerts.writeStream.foreachBatch(outbox_writer(self.layout.table("outbox", kind), kind))
              .option("checkpointLocation", self.layout.checkpoint(f"outbox_{kind}"))
              .queryName(f"outbox_{kind}").trigger(**self._trigger()).start())
@@ -246,11 +258,11 @@ class Pipeline:
 
     def read_table(self, layer: str, name: str) -> DataFrame:
         """A flow's output as a batch frame (through the sink's commit log, so
-        only committed files); empty with no columns if nothing was written."""
+        only committed files); empty with no columns if nothing was written yet."""
         try:
             return self.spark.read.parquet(self.layout.table(layer, name))
         except Exception as e:  # noqa: BLE001 - an empty sink has no file to infer from
-            if "UNABLE_TO_INFER_SCHEMA" in str(e) or "Unable to infer schema" in str(e):
+            if any(m in str(e) for m in ("UNABLE_TO_INFER_SCHEMA", "Unable to infer schema", "PATH_NOT_FOUND")):
                 return self.spark.createDataFrame([], "value string").limit(0).drop("value")
             raise
 
