@@ -45,3 +45,17 @@ def test_reports_prune_date_partitions(spark, workdir):
     assert report.first().transaction_count == 70      # days 23..29 at 12:00, 10 rows each
     day = R.rpt_transactions_today(silver, "2024-01-29 08:00:00")
     assert day.first().transaction_count == 10
+
+
+def test_report_scan_reads_only_used_columns_and_pushes_the_time_filter(spark, workdir):
+    rows = [(f"T{i}", datetime(2024, 1, 1 + i % 29, 12), False, float(i), "A") for i in range(100)]
+    path = f"{workdir}/silver_plain"
+    tx(spark, rows).withColumn("merchant_category", F.lit("grocery")).withColumn("notes", F.lit("x" * 50)) \
+        .write.parquet(path)
+    report = R.rpt_amount_by_category(spark.read.parquet(path), AS_OF)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    scan = [line for line in plan.splitlines() if "FileScan parquet" in line][0]
+    assert "GreaterThanOrEqual(transaction_timestamp" in scan
+    read_schema = scan.split("ReadSchema: ")[1]
+    assert "notes" not in read_schema and "merchant_name" not in read_schema
+    assert "amount" in read_schema and "merchant_category" in read_schema
