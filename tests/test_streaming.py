@@ -154,7 +154,7 @@ def test_continuous_mode_picks_up_new_files(spark, workdir):
     layout = Layout(workdir)
     first = messages_between(spark, "2024-01-01", "2024-01-03")
     write_messages(first, layout.landing("transactions"))
-    p = Pipeline(spark, layout, mode="continuous")
+    p = Pipeline(spark, layout, mode="continuous", interval="1 second")
     q = p.bronze_transactions(kafka_stream(spark, layout))
     try:
         assert q.isActive
@@ -234,3 +234,38 @@ def test_notify_on_partitioned_gold_and_before_any_alert(spark, workdir):
     outbox = spark.read.parquet(layout.table("outbox", "high_value"))
     assert "event_date" in gold.columns and gold.count() == outbox.count() > 0
     assert Pipeline(spark, no_alerts).read_table("outbox", "high_value").count() == 0
+
+
+def test_fresh_enrichment_sees_customer_changes_without_restart(spark, workdir):
+    from vigil.sources.tables import read_snapshot, write_snapshot
+    layout = Layout(workdir)
+    d = Domain(spark, SF_SMALL)
+    snap = f"{workdir}/customers"
+    write_snapshot(d.customers().withColumn("transaction_limit", F.lit(1e12)), snap, "v1")   # nobody alerts
+    write_messages(messages_between(spark, "2024-01-01", "2024-01-10"), layout.landing("transactions"))
+    p = Pipeline(spark, layout, mode="continuous", interval="1 second", alert_time="transaction_timestamp",
+                 partition_by_date=False)
+    bronze = p.bronze_transactions(kafka_stream(spark, layout))
+    p.silver_transactions()
+    gold = p.gold_high_value_fresh(snap)
+    try:
+        for q in p.queries:
+            q.processAllAvailable()
+        assert p.read_table("gold", "high_value_transactions_alert_fresh").count() == 0
+        write_snapshot(d.customers(), snap, "v2")                       # real limits from now on
+        second = messages_between(spark, "2024-01-10", "2024-01-20")
+        write_messages(second, layout.landing("transactions"))
+        for q in [bronze] + p.queries[1:]:
+            q.processAllAvailable()
+        got = p.read_table("gold", "high_value_transactions_alert_fresh")
+        want = alerts_for(spark, second, read_snapshot(spark, snap))
+        assert got.count() == want > 0
+    finally:
+        p.stop()
+    assert not gold.isActive
+
+
+def alerts_for(spark, messages, customers):
+    from vigil.operators.alerts import high_value_alerts
+    from vigil.operators.silver import kafka_to_bronze, parse_transactions
+    return high_value_alerts(parse_transactions(kafka_to_bronze(messages)), customers).count()

@@ -12,7 +12,8 @@ need (partition pruning) instead of the whole history.
 
 Static lookups (customers, merchants) are read when a query starts; a file
 listing is not refreshed inside a running query, so a new customer snapshot is
-picked up by the next run (``availableNow``) or restart.
+picked up by the next run (``availableNow``) or restart, or per micro-batch
+with ``gold_high_value_fresh`` (enrichment inside ``foreachBatch``).
 """
 
 from __future__ import annotations
@@ -80,6 +81,7 @@ class Pipeline:
     spark: SparkSession
     layout: Layout
     mode: str = "available_now"
+    interval: str = "10 seconds"            # trigger interval in continuous mode
     alert_time: str | None = None          # None: processing time; or a transaction column
     max_files_per_trigger: int | None = None
     partition_by_date: bool = True          # silver/gold tables partitioned by event_date
@@ -89,7 +91,7 @@ class Pipeline:
 
     # -- helpers
     def _trigger(self) -> dict:
-        return trigger_args(self.mode)
+        return trigger_args(self.mode, self.interval)
 
     def _read(self, layer: str, name: str, schema: StructType) -> DataFrame:
         r = self.spark.readStream.schema(schema)
@@ -193,6 +195,27 @@ class Pipeline:
         out = AL.high_value_alerts(tx, self.customers(), alert_time=self.alert_time)
         return self._finish(self._start(out, "gold", "high_value_transactions_alert", "transaction_timestamp"))
 
+    def gold_high_value_fresh(self, customers_snapshot: str) -> StreamingQuery:
+        """High-value alerts enriched per micro-batch with the newest published
+        customer snapshot (``sources.tables``): changes to limits or new
+        customers apply from the next batch on, without restarting the query.
+        Each batch writes ``gold/high_value_transactions_alert_fresh/batch_id=n``
+        (overwrite: a retried batch replaces its own output)."""
+        from vigil.sources.tables import read_snapshot
+        out_path = self.layout.table("gold", "high_value_transactions_alert_fresh")
+        spark, alert_time = self.spark, self.alert_time
+
+        def enrich(batch_df: DataFrame, batch_id: int) -> None:
+            alerts = AL.high_value_alerts(batch_df, read_snapshot(spark, customers_snapshot), alert_time=alert_time)
+            alerts.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+
+        tx = self._read("silver", "transactions", self.silver_schema())
+        q = (tx.writeStream.foreachBatch(enrich)
+             .option("checkpointLocation", self.layout.checkpoint("gold_high_value_fresh"))
+             .queryName("gold_high_value_fresh").trigger(**self._trigger()).start())
+        self.queries.append(q)
+        return self._finish(q)
+
     def gold_fraud_card(self, lookback: str | None = None) -> StreamingQuery:
         """Watchlist alerts. Without ``lookback`` the join has no time condition
         (state is kept for ever); with it, transactions match entries from
