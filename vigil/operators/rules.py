@@ -89,13 +89,20 @@ def _with_context_buckets(df: DataFrame, ts: str, cfg: RuleConfig) -> DataFrame:
 
 
 def rule_flags(transactions: DataFrame, customers: DataFrame, merchants: DataFrame,
-               cfg: RuleConfig = DEFAULT_RULES) -> DataFrame:
-    """Transactions with one boolean column per rule (never null)."""
+               cfg: RuleConfig = DEFAULT_RULES, history: DataFrame | None = None) -> DataFrame:
+    """Transactions with one boolean column per rule (never null).
+
+    ``history`` (same columns) holds earlier transactions that the history
+    rules look back at but that are not scored again (a streaming micro-batch
+    passes the tail of the previous batches here).
+    """
     ts = "transaction_timestamp"
     cust = customers.select("customer_id", "trusted_device_id")
     merch = merchants.select("merchant_id", "merchant_risk", "is_blacklisted")
-    t = (transactions
-         .join(cust, "customer_id", "left")
+    t = transactions.withColumn("_history", F.lit(False))
+    if history is not None:
+        t = t.unionByName(history.select(*transactions.columns).withColumn("_history", F.lit(True)))
+    t = (t.join(cust, "customer_id", "left")
          .join(merch, "merchant_id", "left"))
     # explicit shuffle on (customer, bucket): an input already hash-partitioned
     # by customer alone would otherwise be reused and keep a hot customer in one task
@@ -124,8 +131,8 @@ def rule_flags(transactions: DataFrame, customers: DataFrame, merchants: DataFra
         "rule_card_testing": flag((amount >= F.lit(cfg.card_test_min)) & (amount <= F.lit(cfg.card_test_max)) &
                                   (card_ts >= cur - interval_seconds(cfg.card_test_seconds))),
     }
-    out = t.select(*transactions.columns, "_context", *[c.alias(n) for n, c in flags.items()])
-    return out.filter(~F.col("_context")).drop("_context")
+    out = t.select(*transactions.columns, "_context", "_history", *[c.alias(n) for n, c in flags.items()])
+    return out.filter(~F.col("_context") & ~F.col("_history")).drop("_context", "_history")
 
 
 def score(flagged: DataFrame) -> DataFrame:
@@ -151,9 +158,9 @@ def score(flagged: DataFrame) -> DataFrame:
 
 
 def score_transactions(transactions: DataFrame, customers: DataFrame, merchants: DataFrame,
-                       cfg: RuleConfig = DEFAULT_RULES) -> DataFrame:
+                       cfg: RuleConfig = DEFAULT_RULES, history: DataFrame | None = None) -> DataFrame:
     """Transactions with rule flags, fraud_score, fraud_reason, dominant_reason."""
-    return score(rule_flags(transactions, customers, merchants, cfg))
+    return score(rule_flags(transactions, customers, merchants, cfg, history))
 
 
 def rule_hits(scored: DataFrame, reason: str) -> DataFrame:

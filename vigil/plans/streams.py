@@ -205,3 +205,12 @@ def q_watchlist_inferred_schema(spark, sf_dir):
     A.watchlist_messages(spark, sf_dir).select("value").write.text(landing)
     schema = infer_and_store_schema(spark, landing, base + "/_schema")
     return spark.read.schema(schema).json(landing)
+
+
+@register("stream_fraud_scores_tail")
+def q_stream_fraud_scores_tail(spark, sf_dir):
+    """R12 without Python: each micro-batch scored with the batch plan against the tail of earlier events."""
+    layout, p = _env(spark, sf_dir, "stream_scores_tail")
+    p.fraud_scores(A.merchants(spark, sf_dir), _test_rules(), method="tail")
+    return _read(spark, layout.table("gold", "fraud_scores")).select(
+        "transaction_id", "customer_id", "fraud_score", "fraud_reason")

@@ -245,12 +245,29 @@ class Pipeline:
         self.queries.append(q)
         return self._finish(q)
 
-    def fraud_scores(self, merchants: DataFrame, cfg=None) -> StreamingQuery:
+    def fraud_scores(self, merchants: DataFrame, cfg=None, method: str = "state") -> StreamingQuery:
+        """Fraud scores of the silver stream into gold.fraud_scores.
+
+        ``method="state"``: per-customer state (``applyInPandasWithState``),
+        rows evaluated in arrival order. ``method="tail"``: each micro-batch
+        scored with the batch plan against the tail of earlier events
+        (``foreachBatch``, JVM only, hot customers split over tasks); output
+        folders per batch id."""
         from vigil.operators.rules import DEFAULT_RULES
-        from vigil.streaming.stateful import stream_scores
+        from vigil.streaming.stateful import stream_scores, tail_scoring_writer
+        cfg = cfg or DEFAULT_RULES
         tx = self._read("silver", "transactions", self.silver_schema())
-        out = stream_scores(tx, self.customers(), merchants, cfg or DEFAULT_RULES)
-        return self._finish(self._start(out, "gold", "fraud_scores"))
+        if method == "state":
+            out = stream_scores(tx, self.customers(), merchants, cfg)
+            return self._finish(self._start(out, "gold", "fraud_scores"))
+        writer = tail_scoring_writer(self.layout.table("gold", "fraud_scores"),
+                                     self.layout.table("_state", "fraud_scores_tail"),
+                                     self.customers(), merchants, cfg)
+        q = (tx.writeStream.foreachBatch(writer)
+             .option("checkpointLocation", self.layout.checkpoint("gold_fraud_scores_tail"))
+             .queryName("gold_fraud_scores_tail").trigger(**self._trigger()).start())
+        self.queries.append(q)
+        return self._finish(q)
 
     def customers_upsert(self, changes: DataFrame, snapshot_path: str | None = None) -> StreamingQuery:
         """Customer change rows (a stream) merged into the customer snapshot:

@@ -145,3 +145,58 @@ def stream_scores(transactions: DataFrame, customers: DataFrame, merchants: Data
     flagged = t.groupBy("customer_id").applyInPandasWithState(
         history_processor(cfg), OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
     return score(flagged.withColumn("transaction_timestamp", F.timestamp_micros("_ts_us")).drop("_ts_us"))
+
+
+# --------------------------------------------------------------------------
+# Tail-based scoring: the same plan as batch scoring, per micro-batch.
+#
+# Each micro-batch is scored together with a "tail": the transactions of the
+# last ``horizon`` seconds before the newest event seen so far (rows older
+# than that can no longer change any history rule). The batch scorer's
+# time-bucketed windows run on batch + tail, so a hot customer is spread over
+# tasks within a micro-batch too, and no Python runs per group. The tail is a
+# Parquet folder per batch id, published by a marker; a retried batch reads
+# the tail published before it and overwrites its own outputs (idempotent).
+# --------------------------------------------------------------------------
+
+_TAIL_MARKER_SCHEMA = "batch_id long, folder string"
+
+
+def _tail_before(spark, tail_path: str, batch_id: int) -> DataFrame | None:
+    try:
+        markers = spark.read.schema(_TAIL_MARKER_SCHEMA).json(f"{tail_path}/_published")
+        row = (markers.filter(F.col("batch_id") < batch_id).orderBy(F.col("batch_id").desc())
+               .select("folder").take(1))
+    except Exception:  # noqa: BLE001 - nothing published yet
+        return None
+    return spark.read.parquet(row[0].folder) if row else None
+
+
+def tail_scoring_writer(out_path: str, tail_path: str, customers: DataFrame, merchants: DataFrame,
+                        cfg: RuleConfig = DEFAULT_RULES, columns: list[str] | None = None):
+    """A ``foreachBatch`` function: score the batch with the previous tail as
+    history, write ``out_path/batch_id=n``, publish the new tail."""
+    from vigil.functions.columns import interval_seconds
+    from vigil.operators.rules import score_transactions
+
+    def run(batch_df: DataFrame, batch_id: int) -> None:
+        spark = batch_df.sparkSession
+        cols = columns or [c for c in batch_df.columns if c not in ("event_date",)]
+        batch = batch_df.select(*cols).persist()
+        try:
+            history = _tail_before(spark, tail_path, batch_id)
+            scored = score_transactions(batch, customers, merchants, cfg, history=history)
+            scored.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+            rows = batch if history is None else batch.unionByName(history.select(*cols))
+            newest = F.broadcast(rows.agg(F.max("transaction_timestamp").alias("_newest")))
+            tail = (rows.join(newest, F.col("transaction_timestamp") >=
+                              F.col("_newest") - interval_seconds(cfg.horizon_seconds), "inner")
+                    .drop("_newest"))
+            folder = f"{tail_path}/batch_{batch_id:012d}"
+            tail.write.mode("overwrite").parquet(folder)
+            (spark.createDataFrame([(batch_id, folder)], _TAIL_MARKER_SCHEMA).coalesce(1)
+             .write.mode("append").json(f"{tail_path}/_published"))
+        finally:
+            batch.unpersist()
+
+    return run
