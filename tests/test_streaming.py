@@ -299,3 +299,17 @@ def test_tail_scoring_over_micro_batches_equals_batch_and_retries_are_idempotent
     assert again.count() == len(want)
     assert {r.transaction_id: (r.fraud_score, r.fraud_reason, r.dominant_reason)
             for r in again.collect()} == want
+
+
+def test_one_record_files_are_packed_into_few_bronze_files(spark, workdir):
+    import glob
+    from vigil.sources.files import publish_watchlist_files
+    layout = Layout(workdir)
+    landing = layout.landing("fraud_watchlist")
+    publish_watchlist_files(A.watchlist_records(spark, SF_SMALL), landing)
+    n_in = len(glob.glob(landing.replace("file:", "") + "/*.json"))
+    p = Pipeline(spark, layout)
+    p.bronze_watchlist(landing)
+    n_out = len(glob.glob(layout.table("bronze", "fraud_watchlist").replace("file:", "") + "/*.parquet"))
+    assert n_in >= 10 and 0 < n_out < n_in and n_out <= 8
+    assert spark.read.parquet(layout.table("bronze", "fraud_watchlist")).count() == n_in
