@@ -313,3 +313,21 @@ def test_one_record_files_are_packed_into_few_bronze_files(spark, workdir):
     n_out = len(glob.glob(layout.table("bronze", "fraud_watchlist").replace("file:", "") + "/*.parquet"))
     assert n_in >= 10 and 0 < n_out < n_in and n_out <= 8
     assert spark.read.parquet(layout.table("bronze", "fraud_watchlist")).count() == n_in
+
+
+def test_state_scorer_keeps_rows_without_event_time(spark, workdir):
+    layout = Layout(workdir)
+    msgs = messages_between(spark, "2024-01-01", "2024-01-03")
+    broken = msgs.limit(3).withColumn("value", F.regexp_replace("value", r'"transaction_timestamp":"[^"]*",', ""))
+    write_messages(msgs.unionByName(broken.withColumn("offset", F.col("offset") + 10**9)), layout.landing("transactions"))
+    d = Domain(spark, SF_SMALL)
+    d.customers().write.parquet(layout.table("silver", "customers"))
+    p = Pipeline(spark, layout, partition_by_date=False)
+    p.bronze_transactions(kafka_stream(spark, layout))
+    p.silver_transactions()
+    p.fraud_scores(d.merchants(), RULES)
+    out = spark.read.parquet(layout.table("gold", "fraud_scores"))
+    missing = out.filter(F.col("transaction_timestamp").isNull()).collect()
+    assert len(missing) == 3
+    assert not any(r.rule_velocity or r.rule_card_testing or r.rule_impossible_travel for r in missing)
+    assert out.count() == msgs.count() + 3

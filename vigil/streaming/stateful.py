@@ -106,6 +106,7 @@ def history_processor(cfg: RuleConfig):
             velocity = vel_ts >= new_ts - vel_us
             card = (amount >= cfg.card_test_min) & (amount <= cfg.card_test_max) & (card_ts >= new_ts - card_us)
         out = {c: new[c].to_numpy() for c in _PASS}
+        out["_ts_us"] = pd.array(new_ts, dtype="Int64")          # a missing event time stays null
         out["rule_impossible_travel"] = travel.astype(bool)
         out["rule_velocity"] = velocity.astype(bool)
         out["rule_card_testing"] = card.astype(bool)
