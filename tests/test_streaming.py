@@ -180,7 +180,8 @@ def test_customer_changes_stream_into_versioned_snapshots(spark, workdir):
                                          schema), snap, "initial")
     landing = layout.landing("customer_changes")
     spark.createDataFrame([("C1", 10.0, datetime(2024, 2, 1))], schema).coalesce(1).write.mode("append").parquet(landing)
-    spark.createDataFrame([("C3", 3.0, datetime(2024, 2, 2)), ("C1", 11.0, datetime(2024, 2, 3))],
+    spark.createDataFrame([("C3", 3.0, datetime(2024, 2, 2)), ("C1", 11.0, datetime(2024, 2, 3)),
+                           (None, 9.0, datetime(2024, 2, 3))],
                           schema).coalesce(1).write.mode("append").parquet(landing)
     changes = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landing)
     Pipeline(spark, layout).customers_upsert(changes, snap)

@@ -281,6 +281,7 @@ class Pipeline:
 
         def merge(batch_df: DataFrame, batch_id: int) -> None:
             version = f"batch_{batch_id:012d}"
+            batch_df = Q.keep_valid(batch_df, Q.CUSTOMER_EXPECTATIONS)
             current = current_snapshot_path(spark, path)
             if current is None:
                 merged = SV.latest_per_key(batch_df, "customer_id", "update_timestamp")
