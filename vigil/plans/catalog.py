@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
-from vigil import constants as K
 from vigil.operators import alerts as AL
 from vigil.operators import silver as SV
 from vigil.session import apply_runtime_conf
