@@ -332,3 +332,29 @@ def test_state_scorer_keeps_rows_without_event_time(spark, workdir):
     assert len(missing) == 3
     assert not any(r.rule_velocity or r.rule_card_testing or r.rule_impossible_travel for r in missing)
     assert out.count() == msgs.count() + 3
+
+
+def test_dashboard_over_pipeline_tables_matches_registry_reports(spark, workdir):
+    from __spark_entry__ import queries
+    from vigil.plans.reports import dashboard
+    layout = Layout(workdir)
+    write_messages(A.kafka_messages(spark, SF_SMALL), layout.landing("transactions"))
+    Domain(spark, SF_SMALL).customers().write.parquet(layout.table("silver", "customers"))
+    A.watchlist_messages(spark, SF_SMALL).select("value").write.text(layout.landing("fraud_watchlist"))
+    p = Pipeline(spark, layout, alert_time="transaction_timestamp")
+    p.bronze_transactions(spark.readStream.schema(KAFKA_SCHEMA).json(layout.landing("transactions")))
+    p.silver_transactions()
+    p.bronze_watchlist(layout.landing("fraud_watchlist"))
+    p.silver_watchlist()
+    p.gold_high_value()
+    p.gold_fraud_card()
+    reports = dashboard(spark, layout, A.AS_OF)
+    assert len(reports) == 15
+    qs = queries()
+    for name, key in [("top_customers_by_alerts", "rpt_top_customers"), ("alert_trends", "rpt_alert_trends"),
+                      ("transactions_by_country", "rpt_by_country"), ("risk_level_distribution", "rpt_watchlist_risk"),
+                      ("avg_transaction_amount", "rpt_avg_amount_today")]:
+        got = sorted(tuple(r) for r in reports[name].select(*sorted(reports[name].columns)).collect())
+        want_df = qs[key](spark, SF_SMALL)
+        want = sorted(tuple(r) for r in want_df.select(*sorted(want_df.columns)).collect())
+        assert got == want, name

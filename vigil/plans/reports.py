@@ -173,3 +173,32 @@ def duplicate_transaction_ids(tx: DataFrame) -> DataFrame:
     """Transaction ids seen more than once (alert ids are then not unique)."""
     return (tx.groupBy("transaction_id").agg(F.count(F.lit(1)).alias("occurrences"))
             .filter(F.col("occurrences") > 1))
+
+
+def dashboard(spark, layout, as_of: str) -> dict[str, DataFrame]:
+    """All fifteen reports over a pipeline's tables (``streaming.flows.Layout``):
+    silver transactions / customers / watchlist and the two gold alert tables.
+    Date-partitioned tables are pruned by the reports' time filters."""
+    def table(layer: str, name: str) -> DataFrame:
+        return spark.read.parquet(layout.table(layer, name))
+
+    tx = table("silver", "transactions")
+    alerts = alerts_union(table("gold", "fraud_card_alert"), table("gold", "high_value_transactions_alert"))
+    customers, watchlist = table("silver", "customers"), table("silver", "fraud_watchlist")
+    return {
+        "high_risk_customers": rpt_high_risk_customers(customers),
+        "total_transactions_today": rpt_transactions_today(tx, as_of),
+        "avg_transaction_amount": rpt_avg_amount_today(tx, as_of),
+        "total_alerts_today": rpt_alerts_today(alerts, as_of),
+        "alert_status_distribution": rpt_alert_status(alerts, as_of),
+        "top_customers_by_alerts": rpt_top_customers(alerts, as_of),
+        "alert_trends": rpt_alert_trends(alerts, as_of),
+        "alert_type_breakdown": rpt_alert_types(alerts, as_of),
+        "transaction_volume_by_minute": rpt_volume_by_minute(tx, as_of),
+        "intl_vs_domestic": rpt_intl_vs_domestic(tx, as_of),
+        "top_merchants": rpt_top_merchants(tx, as_of),
+        "transaction_by_merchant_category": rpt_amount_by_category(tx, as_of),
+        "payment_channel_distribution": rpt_payment_channels(tx, as_of),
+        "transactions_by_country": rpt_by_country(tx, as_of),
+        "risk_level_distribution": rpt_watchlist_risk(watchlist),
+    }
