@@ -135,6 +135,10 @@ def test_outbox_batch_is_idempotent(spark, workdir):
     assert out.filter("batch_id = 0").count() == alerts.count()
     assert out.filter("batch_id = 1").count() == 3
     assert set(out.columns) >= {"alert_id", "recipient", "subject", "body", "delivery_status"}
+    from vigil.streaming.outbox import outbox_counts
+    counts = {(r.batch_id, r.delivery_status): r.notifications for r in outbox_counts(out).collect()}
+    assert sum(v for (b, _), v in counts.items() if b == 0) == alerts.count()
+    assert counts.get((1, "PENDING"), 0) + counts.get((1, "INVALID"), 0) == 3
 
 
 def test_redelivered_messages_are_dropped_within_the_watermark(spark, workdir):
