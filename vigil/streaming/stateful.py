@@ -153,7 +153,9 @@ def stream_scores(transactions: DataFrame, customers: DataFrame, merchants: Data
 #
 # Each micro-batch is scored together with a "tail": the transactions of the
 # last ``horizon`` seconds before the newest event seen so far (rows older
-# than that can no longer change any history rule). The batch scorer's
+# than that can no longer change any history rule for rows arriving in event
+# order; a row arriving more than the horizon out of order is scored against
+# the history kept so far, as with the state-based scorer). The batch scorer's
 # time-bucketed windows run on batch + tail, so a hot customer is spread over
 # tasks within a micro-batch too, and no Python runs per group. The tail is a
 # Parquet folder per batch id, published by a marker; a retried batch reads
