@@ -362,3 +362,23 @@ def test_dashboard_over_pipeline_tables_matches_registry_reports(spark, workdir)
         want_df = qs[key](spark, SF_SMALL)
         want = sorted(tuple(r) for r in want_df.select(*sorted(want_df.columns)).collect())
         assert got == want, name
+
+
+def test_sliding_counts_over_micro_batches_equal_closed_batch_windows(spark, workdir):
+    from vigil.operators.windows import transaction_counts
+    layout = Layout(workdir)
+    for start, end in [("2024-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "2024-02-01")]:
+        write_messages(messages_between(spark, start, end), layout.landing("transactions"))
+    p = pipeline(spark, layout, partition_by_date=False)
+    p.bronze_transactions(kafka_stream(spark, layout))
+    p.silver_transactions()
+    q = p.gold_counts("5 minutes", "1 minute", "sliding")
+    assert len([x for x in q.recentProgress if x["numInputRows"] > 0]) == 3
+    got = sorted(tuple(r) for r in spark.read.parquet(layout.table("gold", "sliding"))
+                 .select("window_start", "window_end", "transaction_count").collect())
+    tx = Domain(spark, SF_SMALL).transactions()
+    last = tx.agg(F.max("transaction_timestamp")).first()[0]
+    closed = (transaction_counts(tx, "5 minutes", "1 minute")
+              .filter(F.col("window_end") <= F.lit(last) - F.expr("INTERVAL 5 MINUTES")))
+    want = sorted(tuple(r) for r in closed.select("window_start", "window_end", "transaction_count").collect())
+    assert got == want and len(got) > 1000

@@ -1,7 +1,8 @@
 """Transaction counts per event-time window (tumbling or sliding).
 
-Streaming frames use ``window()`` directly under a watermark (append mode:
-a window is emitted once the watermark passes its end).
+Streaming frames run under a watermark in append mode (a window is emitted
+once the watermark passes its end); sliding windows are chained over
+slide-sized bucket counts there too.
 
 Batch frames with a sliding window whose length is a multiple of the slide
 are counted in two levels: first per slide-sized bucket (one hash probe per
@@ -51,13 +52,31 @@ def _bucketed(df: DataFrame, ts: str, window_duration: str, slide_duration: str)
                     "transaction_count"))
 
 
+def _bucketed_stream(df: DataFrame, ts: str, window_duration: str, slide_duration: str) -> DataFrame:
+    """Streaming two-level form: a stateful count per slide bucket, then the
+    sliding windows over the bucket counts (chained time-window aggregations;
+    ``window_time`` of a bucket is its last instant, which lies in exactly the
+    windows that contain the bucket)."""
+    buckets = (df.groupBy(F.window(ts, slide_duration).alias("bucket"))
+               .agg(F.count(F.lit(1)).alias("n")))
+    return (buckets.groupBy(F.window(F.window_time("bucket"), window_duration, slide_duration).alias("window"))
+            .agg(F.sum("n").alias("transaction_count"))
+            .select(F.col("window.start").alias("window_start"),
+                    F.col("window.end").alias("window_end"),
+                    "transaction_count"))
+
+
 def transaction_counts(transactions: DataFrame, window_duration: str, slide_duration: str | None = None,
                        ts: str = "transaction_timestamp", watermark: str = K.WATERMARK_DELAY) -> DataFrame:
     """window_start, window_end, transaction_count per event-time window."""
+    two_level = (slide_duration is not None and _seconds(window_duration) % _seconds(slide_duration) == 0
+                 and _seconds(window_duration) != _seconds(slide_duration))
     if transactions.isStreaming:
-        return _direct(transactions.withWatermark(ts, watermark), ts, window_duration, slide_duration)
-    if slide_duration and _seconds(window_duration) % _seconds(slide_duration) == 0 \
-            and _seconds(window_duration) != _seconds(slide_duration):
+        wm = transactions.withWatermark(ts, watermark)
+        if two_level:
+            return _bucketed_stream(wm, ts, window_duration, slide_duration)
+        return _direct(wm, ts, window_duration, slide_duration)
+    if two_level:
         return _bucketed(transactions, ts, window_duration, slide_duration)
     return _direct(transactions, ts, window_duration, slide_duration)
 
