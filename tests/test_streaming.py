@@ -382,3 +382,22 @@ def test_sliding_counts_over_micro_batches_equal_closed_batch_windows(spark, wor
               .filter(F.col("window_end") <= F.lit(last) - F.expr("INTERVAL 5 MINUTES")))
     want = sorted(tuple(r) for r in closed.select("window_start", "window_end", "transaction_count").collect())
     assert got == want and len(got) > 1000
+
+
+def test_snapshot_watchlist_flow_is_stateless_and_matches_batch(spark, workdir):
+    layout = Layout(workdir)
+    write_messages(A.kafka_messages(spark, SF_SMALL), layout.landing("transactions"))
+    d = Domain(spark, SF_SMALL)
+    d.customers().write.parquet(layout.table("silver", "customers"))
+    A.watchlist_messages(spark, SF_SMALL).select("value").write.text(layout.landing("fraud_watchlist"))
+    p = Pipeline(spark, layout, alert_time="transaction_timestamp", partition_by_date=False)
+    p.bronze_transactions(spark.readStream.schema(KAFKA_SCHEMA).json(layout.landing("transactions")))
+    p.silver_transactions()
+    p.bronze_watchlist(layout.landing("fraud_watchlist"))
+    p.silver_watchlist()
+    q = p.gold_fraud_card(snapshot=True)
+    assert all(not x.get("stateOperators") for x in q.recentProgress)
+    from vigil.operators.alerts import fraud_card_alerts_snapshot
+    got = p.read_table("gold", "fraud_card_alert_snapshot").count()
+    want = fraud_card_alerts_snapshot(d.transactions(), d.watchlist(), d.customers()).count()
+    assert got == want > 0

@@ -216,12 +216,18 @@ class Pipeline:
         self.queries.append(q)
         return self._finish(q)
 
-    def gold_fraud_card(self, lookback: str | None = None) -> StreamingQuery:
+    def gold_fraud_card(self, lookback: str | None = None, snapshot: bool = False) -> StreamingQuery:
         """Watchlist alerts. Without ``lookback`` the join has no time condition
         (state is kept for ever); with it, transactions match entries from
         ``effective_from`` to ``effective_from + lookback`` and the join state
-        older than the watermarks is evicted."""
+        older than the watermarks is evicted. ``snapshot=True`` joins the
+        transaction stream with the latest active watchlist entries read when
+        the run starts (stateless)."""
         tx = self._read("silver", "transactions", self.silver_schema())
+        if snapshot:
+            wl_static = self.spark.read.parquet(self.layout.table("silver", "fraud_watchlist"))
+            out = AL.fraud_card_alerts_snapshot(tx, wl_static, self.customers(), alert_time=self.alert_time)
+            return self._finish(self._start(out, "gold", "fraud_card_alert_snapshot", "transaction_timestamp"))
         wl = self._read("silver", "fraud_watchlist", self.silver_watchlist_schema())
         if lookback:
             out = AL.fraud_card_alerts_bounded(tx, wl, self.customers(), lookback=lookback,
