@@ -28,3 +28,20 @@ def test_observed_metrics_on_batch(spark):
     assert kept.count() == 2
     m = obs.get
     assert m["valid_transaction_id"] == 1 and m["valid_amount"] == 2 and m["total_records"] == 4
+
+
+def test_quarantine_messages_keep_raw_text_and_parse_only_rule_fields(spark):
+    import json
+    good = {"transaction_id": "T1", "customer_id": "C1", "card_number": "K", "merchant_id": "M", "amount": 5.0}
+    rows = [("k1", json.dumps(good), "t", 0, 1, None), ("k2", "not json", "t", 0, 2, None),
+            ("k3", json.dumps(dict(good, customer_id=None)), "t", 1, 3, None)]
+    bronze = spark.createDataFrame(rows, "key string, value string, topic string, partition int, offset long, "
+                                         "timestamp timestamp")
+    q = {r.offset: r for r in Q.quarantine_messages(bronze).collect()}
+    assert set(q) == {2, 3}
+    assert q[2].value == "not json" and len(q[2].failed_expectations) == 4
+    assert q[3].failed_expectations == ["valid_customer_id"]
+    plan = Q.quarantine_messages(bronze)._jdf.queryExecution().optimizedPlan().toString()
+    parse = [line for line in plan.splitlines() if "from_json" in line][0]
+    assert "transaction_id" in parse and "merchant_id" in parse
+    assert "StructField(amount" not in parse and "StructField(city" not in parse

@@ -92,3 +92,22 @@ def expectation_report(df: DataFrame, expectations=TRANSACTION_EXPECTATIONS) ->
                  F.col(f"_f{i}").alias("failed_records"))
         for i, e in enumerate(expectations)]))
     return counts.select(rows.alias("r"), "total_records").select("r.*", "total_records")
+
+
+def quarantine_messages(bronze: DataFrame, expectations=TRANSACTION_EXPECTATIONS,
+                        schema=None) -> DataFrame:
+    """Raw messages that fail a ``drop`` expectation, kept for replay: key,
+    value (the text as received), topic, partition, offset, timestamp and the
+    failed rule names. Only the fields the drop rules read are parsed."""
+    import re
+
+    from pyspark.sql.types import StructType
+
+    if schema is None:
+        from vigil.schemas import TRANSACTION_SCHEMA as schema
+    rules = _drop_rules(expectations)
+    needed = StructType([f for f in schema.fields
+                         if any(re.search(rf"\b{re.escape(f.name)}\b", e.condition) for e in rules)])
+    raw = ["key", "value", "topic", "partition", "offset", "timestamp"]
+    parsed = bronze.select(*raw, F.from_json(F.col("value"), needed).alias("_data")).select(*raw, "_data.*")
+    return quarantine(parsed, rules).select(*raw, "failed_expectations")

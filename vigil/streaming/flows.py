@@ -167,14 +167,15 @@ class Pipeline:
 
     def silver_transactions(self) -> StreamingQuery:
         """bronze -> parsed, drop expectations applied (counts in the progress
-        under observedMetrics['silver_transactions']); failing rows go to
-        silver.transactions_quarantine."""
-        parsed = SV.parse_transactions(self._read("bronze", "transactions", self.bronze_schema()))
-        kept, _ = Q.expect(parsed, "silver_transactions")
+        under observedMetrics['silver_transactions']); failing messages go to
+        silver.transactions_quarantine as received (raw text, offsets, failed
+        rule names) so they can be replayed."""
+        bronze = self._read("bronze", "transactions", self.bronze_schema())
+        kept, _ = Q.expect(SV.parse_transactions(bronze), "silver_transactions")
         if self.dedupe:
             kept = SV.drop_duplicate_transactions(kept)
         q = self._start(kept, "silver", "transactions", date_from="transaction_timestamp")
-        quarantine = self._start(Q.quarantine(parsed), "silver", "transactions_quarantine")
+        quarantine = self._start(Q.quarantine_messages(bronze), "silver", "transactions_quarantine")
         self._finish(q)
         self._finish(quarantine)
         return q
