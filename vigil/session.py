@@ -83,3 +83,40 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
     return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``vigil`` importable in the Python workers (needed by the pandas
+    functions of the stateful scorer): zip the package into the shared folder
+    and add it with ``addPyFile``, once per application.
+
+    On a cluster the package is usually shipped with ``spark-submit
+    --py-files`` or installed on the executors; when the shared folder is not
+    a local path, nothing is done here.
+    """
+    import zipfile
+
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect): ship with the client's artifacts
+        return
+    if app in _SHIPPED:
+        return
+    base = shared_dir(spark)
+    if "://" in base and not base.startswith("file:"):
+        return
+    folder = fresh_dir(spark, "pyfiles").replace("file:", "")
+    target = f"{folder}/vigil.zip"
+    root = os.path.dirname(os.path.abspath(__file__))
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.join("vigil", os.path.relpath(full, root)))
+    sc.addPyFile(target)
+    _SHIPPED.add(app)

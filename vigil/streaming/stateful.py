@@ -130,6 +130,8 @@ def stream_scores(transactions: DataFrame, customers: DataFrame, merchants: Data
     merchants are static lookups. Rows of one customer are evaluated in arrival
     order across micro-batches (event order within a batch).
     """
+    from vigil.session import ship_package
+    ship_package(transactions.sparkSession)      # the group function runs in Python workers
     cust = customers.select("customer_id", "trusted_device_id")
     merch = merchants.select("merchant_id", "merchant_risk", "is_blacklisted")
     t = (transactions.withWatermark("transaction_timestamp", watermark)
