@@ -115,3 +115,21 @@ def test_topic_profile(spark):
                                  "topic string, partition int, offset long, timestamp timestamp")
     prof = {r.partition: (r.message_count, r.first_offset, r.last_offset) for r in topic_profile(msgs).collect()}
     assert prof == {0: (2, 5, 9), 1: (1, 3, 3)}
+
+
+def test_incremental_publish_resumes_from_the_landing_zone(spark, workdir):
+    from conftest import SF_SMALL
+    from vigil.sources import adapter as A
+    landing = f"{workdir}/landing"
+    source = A.watchlist_records(spark, SF_SMALL)
+    total = source.count()
+    assert FS.resume_from_landing(spark, source, landing).count() == total          # nothing landed yet
+    first = source.orderBy("watchlist_id").limit(5)
+    FS.publish_watchlist_files(first, landing)
+    with open(landing.replace("file:", "") + "/junk.json", "w") as f:
+        f.write("not json\n")
+    rest = FS.resume_from_landing(spark, source, landing)
+    assert rest.count() == total - 5
+    FS.publish_watchlist_files(rest, landing)
+    assert FS.resume_from_landing(spark, source, landing).count() == 0
+    assert FS.read_watchlist_files(spark, landing).filter("watchlist_id IS NOT NULL").count() == total

@@ -111,3 +111,17 @@ def read_merchants_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).csv(path)
+
+
+def resume_from_landing(spark: SparkSession, source: DataFrame, landing_dir: str) -> DataFrame:
+    """Records of ``source`` not yet published to ``landing_dir``: the
+    high-water mark comes from the files already landed (lines that are not
+    JSON or have no valid id are skipped); an empty or missing landing zone
+    means everything is published."""
+    try:
+        landed = read_watchlist_files(spark, landing_dir)
+    except Exception as e:  # noqa: BLE001 - nothing landed yet
+        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
+            raise
+        landed = source.limit(0)
+    return watchlist_resume(source, landed)
