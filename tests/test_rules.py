@@ -10,6 +10,8 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from vigil import constants as K
 from vigil.operators.rules import RULE_COLUMNS, RuleConfig, score_transactions
@@ -112,3 +114,31 @@ def test_score_is_capped(spark):
     r = score_transactions(tx, customers, merchants).collect()[0]
     assert r.fraud_score == 100 and r.fraud_reason == "HIGH_VALUE_TRANSACTION"
     assert r.dominant_reason == "BLACKLISTED_MERCHANT"
+
+
+@settings(max_examples=8, deadline=None)
+@given(seed=st.integers(0, 10_000), n=st.integers(5, 150),
+       velocity_count=st.integers(1, 6), velocity_seconds=st.sampled_from([10, 60, 600, 3600]),
+       card_test_count=st.integers(1, 4), card_test_seconds=st.sampled_from([30, 300, 7200]),
+       travel_max_minutes=st.sampled_from([1.0, 20.0, 120.0]), min_bucket=st.sampled_from([0, 60, 3600]))
+def test_rules_property_against_sequential_scorer(spark, seed, n, velocity_count, velocity_seconds,
+                                                  card_test_count, card_test_seconds, travel_max_minutes,
+                                                  min_bucket):
+    rows = make_fixture(seed=seed, n=n)
+    cfg = RuleConfig(velocity_count=velocity_count, velocity_seconds=velocity_seconds,
+                     card_test_count=card_test_count, card_test_seconds=card_test_seconds,
+                     travel_max_minutes=travel_max_minutes, min_bucket_seconds=min_bucket)
+    tx = spark.createDataFrame(rows, "transaction_id string, customer_id string, card_number string, "
+                                     "merchant_id string, amount double, device_id string, city string, "
+                                     "transaction_timestamp timestamp, is_international boolean")
+    cust_dev = {"C0": "DEV1", "C3": "DEV2"}
+    customers = spark.createDataFrame(list(cust_dev.items()), "customer_id string, trusted_device_id string")
+    merch = {"M0": ("HIGH", False), "M1": ("LOW", True)}
+    merchants = spark.createDataFrame([(k, v[0], v[1]) for k, v in merch.items()],
+                                      "merchant_id string, merchant_risk string, is_blacklisted boolean")
+    got = {r.transaction_id: (r.fraud_score, r.fraud_reason, r.dominant_reason, r.rule_velocity,
+                              r.rule_card_testing, r.rule_impossible_travel)
+           for r in score_transactions(tx, customers, merchants, cfg).collect()}
+    want = {tid: (sc, reason, dom, f["rule_velocity"], f["rule_card_testing"], f["rule_impossible_travel"])
+            for tid, (f, sc, reason, dom) in brute_force(rows, cust_dev, merch, cfg).items()}
+    assert got == want
