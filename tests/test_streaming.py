@@ -70,6 +70,10 @@ def test_late_rows_are_dropped_by_closed_windows(spark, workdir):
     after = spark.read.parquet(layout.table("gold", "transaction_count_by_minute")).count()
     assert after == before
     assert late_rows_dropped(q) > 0
+    from vigil.streaming.flows import progress_report
+    report = {r.query_name: r for r in progress_report(spark, p2.queries).collect()}
+    assert report["gold_transaction_count_by_minute"].rows_dropped_by_watermark == late_rows_dropped(q)
+    assert report["bronze_transactions"].input_rows > 0
 
 
 def test_restart_processes_only_new_files(spark, workdir):

@@ -334,3 +334,19 @@ def late_rows_dropped(query: StreamingQuery) -> int:
             d = op if isinstance(op, dict) else op.__dict__
             total += int(d.get("numRowsDroppedByWatermark", 0) or 0)
     return total
+
+
+def progress_report(spark: SparkSession, queries: list[StreamingQuery]) -> DataFrame:
+    """One row per streaming query from its recent progress: micro-batches,
+    input rows, rows dropped as late by the watermark, rows held in state
+    after the last batch. (Progress is query metadata kept by the driver,
+    a few rows; no data passes through it.)"""
+    rows = []
+    for q in queries:
+        progress = [p for p in q.recentProgress]
+        dropped = sum(int(op.get("numRowsDroppedByWatermark", 0) or 0)
+                      for p in progress for op in p.get("stateOperators", []))
+        rows.append((q.name, len(progress), sum(int(p.get("numInputRows", 0)) for p in progress), dropped,
+                     state_rows(q)))
+    return spark.createDataFrame(rows, "query_name string, batches long, input_rows long, "
+                                       "rows_dropped_by_watermark long, state_rows long")
