@@ -405,3 +405,19 @@ def test_snapshot_watchlist_flow_is_stateless_and_matches_batch(spark, workdir):
     got = p.read_table("gold", "fraud_card_alert_snapshot").count()
     want = fraud_card_alerts_snapshot(d.transactions(), d.watchlist(), d.customers()).count()
     assert got == want > 0
+
+
+def test_gold_flows_use_the_customer_snapshot_kept_by_the_upsert_flow(spark, workdir):
+    layout = Layout(workdir)
+    write_messages(messages_between(spark, "2024-01-01", "2024-01-05"), layout.landing("transactions"))
+    landing = layout.landing("customer_changes")
+    A.customers_source(spark, SF_SMALL).write.parquet(landing)
+    p = Pipeline(spark, layout, alert_time="transaction_timestamp", partition_by_date=False)
+    schema = A.customers_source(spark, SF_SMALL).schema
+    p.customers_upsert(spark.readStream.schema(schema).parquet(landing))      # -> bronze/customers snapshot
+    p.bronze_transactions(kafka_stream(spark, layout))
+    p.silver_transactions()
+    p.gold_high_value()
+    got = p.read_table("gold", "high_value_transactions_alert").count()
+    tx = messages_between(spark, "2024-01-01", "2024-01-05")
+    assert got == alerts_for(spark, tx, Domain(spark, SF_SMALL).customers()) > 0

@@ -189,7 +189,18 @@ class Pipeline:
         return self._finish(self._start(SV.clean_watchlist(bronze), "silver", "fraud_watchlist"))
 
     def customers(self) -> DataFrame:
-        return self.spark.read.parquet(self.layout.table("silver", "customers"))
+        """Customer lookup for the gold flows: the published silver snapshot,
+        else the published bronze snapshot (as kept by ``customers_upsert``)
+        cleaned on read, else the plain ``silver/customers`` folder."""
+        from vigil.sources.tables import current_snapshot_path
+        silver = self.layout.table("silver", "customers")
+        current = current_snapshot_path(self.spark, silver)
+        if current:
+            return self.spark.read.parquet(current)
+        current = current_snapshot_path(self.spark, self.layout.table("bronze", "customers"))
+        if current:
+            return SV.clean_customers(self.spark.read.parquet(current))
+        return self.spark.read.parquet(silver)
 
     def gold_high_value(self) -> StreamingQuery:
         tx = self._read("silver", "transactions", self.silver_schema())
