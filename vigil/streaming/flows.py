@@ -207,18 +207,22 @@ class Pipeline:
         out = AL.high_value_alerts(tx, self.customers(), alert_time=self.alert_time)
         return self._finish(self._start(out, "gold", "high_value_transactions_alert", "transaction_timestamp"))
 
-    def gold_high_value_fresh(self, customers_snapshot: str) -> StreamingQuery:
+    def gold_high_value_fresh(self, customers_snapshot: str | None = None) -> StreamingQuery:
         """High-value alerts enriched per micro-batch with the newest published
-        customer snapshot (``sources.tables``): changes to limits or new
-        customers apply from the next batch on, without restarting the query.
-        Each batch writes ``gold/high_value_transactions_alert_fresh/batch_id=n``
-        (overwrite: a retried batch replaces its own output)."""
+        customer snapshot (``sources.tables``; by default the lookup of
+        ``customers()``): changes to limits or new customers apply from the
+        next batch on, without restarting the query. Each batch writes
+        ``gold/high_value_transactions_alert_fresh/batch_id=n`` (overwrite: a
+        retried batch replaces its own output)."""
         from vigil.sources.tables import read_snapshot
         out_path = self.layout.table("gold", "high_value_transactions_alert_fresh")
         spark, alert_time = self.spark, self.alert_time
 
+        def current_customers() -> DataFrame:
+            return read_snapshot(spark, customers_snapshot) if customers_snapshot else self.customers()
+
         def enrich(batch_df: DataFrame, batch_id: int) -> None:
-            alerts = AL.high_value_alerts(batch_df, read_snapshot(spark, customers_snapshot), alert_time=alert_time)
+            alerts = AL.high_value_alerts(batch_df, current_customers(), alert_time=alert_time)
             alerts.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
 
         tx = self._read("silver", "transactions", self.silver_schema())
