@@ -4,7 +4,8 @@ Operators are plain functions DataFrame -> DataFrame. The same ingest, cleaning,
 alert and window functions serve batch tables and Structured Streaming frames.
 
 Layout
-  session        SparkSession builder and shared-folder helpers
+  api            one import point for the pipeline functions
+  session        SparkSession builder, shared-folder helpers, package shipping
   schemas        StructTypes and column lists of the bronze/silver/gold tables
   constants      fixed values (rule weights, window sizes, names)
   functions/     column expressions (ids, masks, formatting, time buckets)
