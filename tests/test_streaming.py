@@ -421,3 +421,24 @@ def test_gold_flows_use_the_customer_snapshot_kept_by_the_upsert_flow(spark, wor
     got = p.read_table("gold", "high_value_transactions_alert").count()
     tx = messages_between(spark, "2024-01-01", "2024-01-05")
     assert got == alerts_for(spark, tx, Domain(spark, SF_SMALL).customers()) > 0
+
+
+def test_salted_watchlist_stream_join_gives_the_same_alerts(spark, workdir):
+    from vigil.streaming.flows import state_rows
+    layout = Layout(workdir)
+    write_messages(A.kafka_messages(spark, SF_SMALL), layout.landing("transactions"))
+    d = Domain(spark, SF_SMALL)
+    d.customers().write.parquet(layout.table("silver", "customers"))
+    A.watchlist_messages(spark, SF_SMALL).select("value").write.text(layout.landing("fraud_watchlist"))
+    p = Pipeline(spark, layout, alert_time="transaction_timestamp", partition_by_date=False)
+    p.bronze_transactions(spark.readStream.schema(KAFKA_SCHEMA).json(layout.landing("transactions")))
+    p.silver_transactions()
+    p.bronze_watchlist(layout.landing("fraud_watchlist"))
+    p.silver_watchlist()
+    q = p.gold_fraud_card(salt=4)
+    got = sorted(r.alert_id for r in p.read_table("gold", "fraud_card_alert").collect())
+    want = sorted(r.alert_id for r in d.fraud_alerts().collect())
+    assert got == want and len(got) > 0
+    n_tx = spark.read.parquet(layout.table("silver", "transactions")).count()
+    n_wl = spark.read.parquet(layout.table("silver", "fraud_watchlist")).count()
+    assert state_rows(q) == n_tx + 4 * n_wl          # watchlist entries copied to each of the 4 sub-keys

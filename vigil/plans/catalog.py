@@ -377,3 +377,11 @@ def q_dedup_transactions(spark, sf_dir):
     """One row per transaction id after a replay."""
     from vigil.schemas import TRANSACTION_COLUMNS
     return SV.drop_duplicate_transactions(_replayed_silver(spark, sf_dir)).select(*TRANSACTION_COLUMNS)
+
+
+@register("fraud_card_alerts_salted")
+def q_fraud_card_alerts_salted(spark, sf_dir):
+    """J2 with each card split into 8 salted sub-keys (hot cards over many partitions)."""
+    d = Domain(spark, sf_dir)
+    return AL.fraud_card_alerts(d.transactions(), d.watchlist(), d.customers(), alert_time="transaction_timestamp",
+                                salt=8)

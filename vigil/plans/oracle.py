@@ -555,3 +555,4 @@ ORACLE["watchlist_inferred_schema"] = with_ctes("""
 SELECT * EXCLUDE (_key), CASE WHEN _key % 4 = 0 THEN 'checked SOC' END AS note FROM watchlist_file""",
                                                 "watchlist_file")
 ORACLE["stream_fraud_scores_tail"] = ORACLE["fraud_scores"]
+ORACLE["fraud_card_alerts_salted"] = ORACLE["fraud_card_alerts"]

@@ -232,13 +232,14 @@ class Pipeline:
         self.queries.append(q)
         return self._finish(q)
 
-    def gold_fraud_card(self, lookback: str | None = None, snapshot: bool = False) -> StreamingQuery:
+    def gold_fraud_card(self, lookback: str | None = None, snapshot: bool = False, salt: int = 1) -> StreamingQuery:
         """Watchlist alerts. Without ``lookback`` the join has no time condition
         (state is kept for ever); with it, transactions match entries from
         ``effective_from`` to ``effective_from + lookback`` and the join state
         older than the watermarks is evicted. ``snapshot=True`` joins the
         transaction stream with the latest active watchlist entries read when
-        the run starts (stateless)."""
+        the run starts (stateless). ``salt`` > 1 spreads each card over that
+        many join (state) partitions, for cards with very many transactions."""
         tx = self._read("silver", "transactions", self.silver_schema())
         if snapshot:
             wl_static = self.spark.read.parquet(self.layout.table("silver", "fraud_watchlist"))
@@ -247,9 +248,9 @@ class Pipeline:
         wl = self._read("silver", "fraud_watchlist", self.silver_watchlist_schema())
         if lookback:
             out = AL.fraud_card_alerts_bounded(tx, wl, self.customers(), lookback=lookback,
-                                               alert_time=self.alert_time)
+                                               alert_time=self.alert_time, salt=salt)
         else:
-            out = AL.fraud_card_alerts(tx, wl, self.customers(), alert_time=self.alert_time)
+            out = AL.fraud_card_alerts(tx, wl, self.customers(), alert_time=self.alert_time, salt=salt)
         return self._finish(self._start(out, "gold", "fraud_card_alert", "transaction_timestamp"))
 
     def gold_counts(self, window: str = K.TUMBLING_WINDOW, slide: str | None = None,
