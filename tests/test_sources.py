@@ -133,3 +133,19 @@ def test_incremental_publish_resumes_from_the_landing_zone(spark, workdir):
     FS.publish_watchlist_files(rest, landing)
     assert FS.resume_from_landing(spark, source, landing).count() == 0
     assert FS.read_watchlist_files(spark, landing).filter("watchlist_id IS NOT NULL").count() == total
+
+
+def test_ship_package_once_per_application(spark):
+    import glob
+    import zipfile
+
+    from vigil import session
+    session._SHIPPED.discard(spark.sparkContext.applicationId)
+    base = session.shared_dir(spark).replace("file:", "")
+    before = set(glob.glob(f"{base}/vigil/pyfiles-*/vigil.zip"))
+    session.ship_package(spark)
+    session.ship_package(spark)                       # second call: nothing new
+    new = set(glob.glob(f"{base}/vigil/pyfiles-*/vigil.zip")) - before
+    assert len(new) == 1
+    names = zipfile.ZipFile(new.pop()).namelist()
+    assert "vigil/streaming/stateful.py" in names and "vigil/__init__.py" in names
