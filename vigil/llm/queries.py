@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import langid
+from vigil.llm import langid, neardup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,8 +19,13 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
 QUERIES = {
     "op5_language_id": op5_language_id,
+    "op6_minhash_near_dedup": op6_minhash_near_dedup,
 }
 
 ORACLE: dict[str, str] = {}

@@ -8,6 +8,7 @@ import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -46,3 +47,12 @@ def ship_by_value() -> None:
     archive.
     """
     cloudpickle.register_pickle_by_value(sys.modules["vigil.llm"])
+
+
+def broadcast_if_small(df: DataFrame, most_rows: int = 1_000_000) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``most_rows`` rows of a few numbers; else as it is.
+
+    ``df`` should be a stored table: it is counted. Beyond the bound Spark
+    shuffles both sides of the join.
+    """
+    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
