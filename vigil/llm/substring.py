@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.llm.scratch import broadcast_if_small, ship_by_value, stored
-from vigil.llm.textops import WHITE_SPACE, _spans_hash, _BYTE, blocks, column_bytes, ngram_hashes, sliding_min, word_hashes, word_spans
+from vigil.llm.textops import WHITE_SPACE, blocks, byte_values, column_bytes, ngram_hashes, sliding_min, span_hasher, word_hashes, word_spans
 
 FILTER_BITS = 1 << 28
 BITS_PER_HASH = 16
@@ -108,7 +108,7 @@ def keep_words(data: np.ndarray, offsets: np.ndarray, window: int, flagged: list
     kept = np.ones(len(starts), bool)
     todo = [i for i, x in enumerate(flagged) if x is not None and first[i + 1] - first[i] >= window]
     if todo:
-        words = _spans_hash(_BYTE[data], starts, ends, "byte")
+        words = span_hasher(byte_values(data), "byte")(starts, ends)
         for i in todo:
             bad = np.flatnonzero(np.isin(ngram_hashes(words[first[i]: first[i + 1]], window), flagged[i]))
             cover = np.zeros(first[i + 1] - first[i] + 1, np.int64)

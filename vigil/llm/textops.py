@@ -7,7 +7,7 @@ are taken for equal with probability about 5e-20 a pair.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -51,20 +51,27 @@ def _power(kind: str, n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[kind]
 
 
-def _spans_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, kind: str) -> np.ndarray:
-    """Hash of values[start:end] for each span, equal wherever the span stands."""
+def span_hasher(values: np.ndarray, kind: str) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """A function (starts, ends) -> hash of values[start:end], equal wherever a span stands."""
     up, down = _power(kind, len(values))
     total = np.zeros(len(values) + 1, dtype=np.uint64)
     np.cumsum(values * up[: len(values)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts])
+    return lambda starts, ends: mix((total[ends] - total[starts]) * down[starts])
+
+
+def byte_values(data: np.ndarray, lower: bool = False) -> np.ndarray:
+    """A random 64-bit number for each byte; with ``lower``, A-Z have those of a-z."""
+    return (_BYTE_LOWER if lower else _BYTE)[data]
 
 
 def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes, offsets) of a string column; a null counts as empty text."""
-    if not pa.types.is_large_string(column.type):
+    """(bytes, offsets) of a string or binary column; a null counts as empty."""
+    if pa.types.is_binary(column.type):
+        column = column.cast(pa.large_binary())
+    elif not pa.types.is_large_string(column.type):
         column = column.cast(pa.large_string())
     if column.null_count:
-        column = column.fill_null("")
+        column = column.fill_null(b"" if pa.types.is_large_binary(column.type) else "")
     if len(column) == 0:
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     _, offsets, data = column.buffers()
@@ -97,7 +104,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray =
                 lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each word, and for each row the index of its first word (one more at the end)."""
     starts, ends, first = word_spans(data, offsets, separators)
-    return _spans_hash((_BYTE_LOWER if lower else _BYTE)[data], starts, ends, "byte"), first
+    return span_hasher(byte_values(data, lower), "byte")(starts, ends), first
 
 
 def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:
@@ -105,13 +112,13 @@ def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     if len(words) < n:
         return np.zeros(0, np.uint64)
     starts = np.arange(len(words) - n + 1)
-    return _spans_hash(words, starts, starts + n, "word") ^ np.uint64(n * 0x2545F4914F6CDD1D % (1 << 64))
+    return span_hasher(words, "word")(starts, starts + n) ^ np.uint64(n * 0x2545F4914F6CDD1D % (1 << 64))
 
 
 def sequence_hash(words: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Hash of the whole word sequence of each row."""
     counts = np.diff(first).astype(np.uint64)
-    return mix(_spans_hash(words, first[:-1], first[1:], "word") + counts * np.uint64(0x9E3779B97F4A7C15))
+    return mix(span_hasher(words, "word")(first[:-1], first[1:]) + counts * np.uint64(0x9E3779B97F4A7C15))
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
