@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import langid, neardup, pseudo_lm, substring, toxicity
+from vigil.llm import langid, neardup, pseudo_lm, substring, toxicity, wavelet
+from vigil.llm.scratch import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +32,18 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudo_lm.score(table(spark, sf_dir, "documents"))
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    wavelet.write_shards(table(spark, sf_dir, "documents"), path, tokenizer=tokenizer_path(), end_id=2)
+    return wavelet.read_documents(spark, path)
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(table(spark, sf_dir, "documents"), window=50)
 
@@ -40,6 +53,7 @@ QUERIES = {
     "op5_language_id": op5_language_id,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op8_lm_scoring": op8_lm_scoring,
+    "op9_token_output": op9_token_output,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
