@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import langid, neardup, pseudo_lm, substring, toxicity, wavelet
+from vigil.llm import balltree, langid, neardup, pseudo_lm, substring, toxicity, wavelet
 from vigil.llm.scratch import scratch_path
 
 
@@ -28,6 +28,10 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balltree.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64.0)
+
+
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudo_lm.score(table(spark, sf_dir, "documents"))
 
@@ -52,9 +56,22 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_language_id": op5_language_id,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op7_topk_search": op7_topk_search,
     "op8_lm_scoring": op8_lm_scoring,
     "op9_token_output": op9_token_output,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op7_topk_search": """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+), ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
+}
