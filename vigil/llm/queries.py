@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import balltree, langid, neardup, pseudo_lm, substring, toxicity, wavelet
+from vigil.llm import balltree, decontaminate, langid, mixing, neardup, pseudo_lm, substring, toxicity, wavelet
 from vigil.llm.scratch import scratch_path
 
 
@@ -13,6 +13,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10)
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.severity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -53,6 +61,8 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_mixing": op1_mixing,
+    "op3_decontamination": op3_decontamination,
     "op4_toxicity": op4_toxicity,
     "op5_language_id": op5_language_id,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
@@ -63,6 +73,36 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_mixing": """
+WITH n AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+t AS (SELECT sum(sqrt(n::DOUBLE)) AS w, sum(n) AS n FROM n),
+r AS (SELECT n.source, sqrt(n.n::DOUBLE) / t.w * t.n::DOUBLE / n.n AS mean FROM n, t),
+q AS (SELECT source, greatest(ceil(mean / 32.0), 1)::INTEGER AS parts, mean / greatest(ceil(mean / 32.0), 1) AS m FROM r),
+p AS (SELECT source, parts, k, exp(k * ln(m) - m - lgamma(k + 1)) AS p FROM q, range(0, 121) AS s(k)),
+c AS (SELECT source, parts, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS c FROM p),
+f AS (SELECT source, parts, list(c ORDER BY k) AS cdf FROM c GROUP BY source, parts),
+d AS (SELECT d.*, i.i, f.cdf,
+        ('0x' || substr(md5('17:' || coalesce(d.doc_id::VARCHAR, '') || ':' || i.i::VARCHAR), 1, 13))::BIGINT / 4503599627370496.0 AS u
+      FROM documents d JOIN f ON d.source IS NOT DISTINCT FROM f.source, LATERAL (SELECT unnest(range(1, f.parts + 1)) AS i) i),
+e AS (SELECT doc_id, text, lang, source, n_chars, sum(len(list_filter(cdf, lambda x: x <= u)))::BIGINT AS n
+      FROM d GROUP BY doc_id, text, lang, source, n_chars)
+SELECT doc_id, text, lang, source, n_chars, unnest(range(1, n + 1))::INTEGER AS copy FROM e""",
+    "op3_decontamination": r"""
+WITH dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+bw AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS s
+        FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM bw WHERE len(w) > 0)),
+ns AS (SELECT DISTINCT n FROM win),
+run AS (SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS s
+        FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM dw, ns WHERE len(w) >= n)),
+hit AS (SELECT run.doc_id, run.n, run.i, win.item_id FROM run JOIN win USING (n, s)),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT doc_id, n, i FROM hit)) GROUP BY doc_id),
+it AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id)
+SELECT dw.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN pos USING (doc_id) LEFT JOIN it USING (doc_id)""",
     "op7_topk_search": """
 WITH whole AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
