@@ -1,7 +1,8 @@
 """A training corpus from ``documents``, stage by stage.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; the caller
-writes it as Parquet and hands the table to the next one.
+writes it as Parquet and hands the table to the next one. All but the last
+return the columns of documents.
 """
 
 from __future__ import annotations
@@ -11,23 +12,61 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import langid
-from vigil.llm.scratch import stored
+from vigil.llm import decontaminate, langid, mixing, neardup, wavelet
+from vigil.llm.queries import tokenizer_path
+from vigil.llm.scratch import broadcast_if_small, scratch_path, stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language ID; texts without a language (``und``) go. ``lang`` becomes the predicted one."""
+    """Language ID: texts without a language (``und``) go; ``lang`` becomes the predicted one."""
     out = langid.identify(docs, docs.filter(~langid.held_out(F.col("doc_id"))))
     return out.filter(F.col("lang_pred") != langid.UNDETERMINED).withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays: the one with the smallest doc_id.
+
+    Five-word shingles, similarity of 0.8 or more.
+    """
+    groups = neardup.near_duplicates(docs, width=5, percent=80)
+    return _without(docs, groups.filter("not kept").select("doc_id"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that share a window of ten words with a benchmark item go."""
+    report = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), width=10)
+    return _without(docs, report.filter("contaminated").select("doc_id"))
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources mixed by the square root of their size: documents are repeated, or go, by their Poisson counts."""
+    return mixing.mix(docs, temperature=0.5).select(*COLUMNS)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids in wavelet shards; a row for each document read back from them."""
+    path = scratch_path(spark, "tokens")
+    wavelet.write_shards(docs, path, tokenizer=tokenizer_path(), end_id=2)
+    return wavelet.read_documents(spark, path)
+
+
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` without the doc_ids of ``gone``; the texts are shuffled only if those are too many to broadcast."""
+    gone = stored(gone.filter("doc_id is not null").distinct(), "gone")
+    return docs.join(broadcast_if_small(gone), "doc_id", "left_anti").select(*COLUMNS)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language_id", language),
+    ("near_dedup", near_duplicates),
+    ("decontamination", decontamination),
+    ("mixing", mixture),
+    ("token_output", tokens),
 ]
 
-#: Trained statistics, signatures and token ids aren't SQL; tests/llm holds run() against a brute-force version.
+#: Trained statistics and tokenizer ids aren't SQL; tests/llm holds run() against a brute-force version.
 ORACLE_SQL: str | None = None
 
 

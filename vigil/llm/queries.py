@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import balltree, decontaminate, langid, mixing, neardup, pseudo_lm, substring, toxicity, wavelet
+from vigil.llm import balltree, decontaminate, html_text, langid, mixing, neardup, pseudo_lm, substring, toxicity, wavelet
 from vigil.llm.scratch import scratch_path
 
 
@@ -17,6 +17,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10)
 
@@ -62,6 +66,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_html_extraction": op2_html_extraction,
     "op3_decontamination": op3_decontamination,
     "op4_toxicity": op4_toxicity,
     "op5_language_id": op5_language_id,
