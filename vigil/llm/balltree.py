@@ -118,8 +118,9 @@ def whole_scores(ids: np.ndarray, queries: np.ndarray, their_ids: np.ndarray, ve
     out = []
     for i in range(len(ids)):
         s = (b * a[i]).sum(1) if b.shape[1] else np.zeros(len(b), object)
-        rows = sorted((-int(x), int(v)) for x, v in zip(s, their_ids, strict=True) if v != ids[i])[:k]
-        out += [(int(ids[i]), v, min(max(-x, -(1 << 63)), (1 << 63) - 1)) for x, v in rows]
+        s = [min(max(int(x), -(1 << 63)), (1 << 63) - 1) for x in s]
+        rows = sorted((-x, int(v)) for x, v in zip(s, their_ids, strict=True) if v != ids[i])[:k]
+        out += [(int(ids[i]), v, -x) for x, v in rows]
     return tuple(np.array(x, np.int64) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 3
 
 

@@ -6,7 +6,7 @@ role names a notice, advert, comment or the like is no candidate. The first pass
 blocks by length, link density and stop-word density: good, bad, or ambiguous if too
 short or in between. In the second pass an ambiguous block takes the label of its
 nearest decided neighbours of the same part of the page (both equal, or the nearer
-one). Where a page marks its article (article or main elements), only blocks inside
+one, or the good one of two as near). Where a page marks its article (article or main elements), only blocks inside
 are candidates, and the stop-word rule, which would drop odd but marked
 prose, only decides between good and ambiguous there.
 
@@ -193,7 +193,7 @@ def second_pass(labels: list[bool | None], parts: list[int], marked: bool) -> li
             elif len({x for _, x in near}) == 1:
                 label = near[0][1]
             else:
-                label = marked or min(near)[1]
+                label = marked or min(near, key=lambda x: (x[0], not x[1]))[1]  # the nearer one, a good one if as near
         out.append(label)
     return out
 
