@@ -10,10 +10,12 @@ import pytest
 
 from conftest import SF_SMALL
 from tools.oracle_check import TABLES, rows_of
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from vigil.plans.catalog import QUERIES
+from vigil.plans.oracle import ORACLE
 
 SLOW = {"stream_fraud_card_alerts", "run_available_now", "stream_outbox", "stream_tx_count_sliding"}
-KEYS = sorted(k for k in queries() if k not in SLOW)
+KEYS = sorted(k for k in QUERIES if k not in SLOW)
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +30,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry_runs(spark):
@@ -38,9 +40,9 @@ def test_entry_runs(spark):
 
 @pytest.mark.parametrize("name", KEYS)
 def test_query_matches_oracle(spark, con, name):
-    df = queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     got = rows_of(df.columns, [tuple(r) for r in df.collect()])
-    res = con.execute(oracle_sql()[name])
+    res = con.execute(ORACLE[name])
     cols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(cols)
     assert got == rows_of(cols, res.fetchall())
