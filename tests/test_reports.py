@@ -43,7 +43,8 @@ def test_reports_prune_date_partitions(spark, workdir):
     plan = report._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan and "event_date#" in plan
     assert report.first().transaction_count == 70      # days 23..29 at 12:00, 10 rows each
-    day = R.rpt_transactions_today(silver, "2024-01-29 08:00:00")
+    assert R.rpt_transactions_today(silver, "2024-01-29 08:00:00").first().transaction_count == 0   # nothing before 08:00
+    day = R.rpt_transactions_today(silver, "2024-01-29 20:00:00")
     assert day.first().transaction_count == 10
 
 
@@ -59,3 +60,19 @@ def test_report_scan_reads_only_used_columns_and_pushes_the_time_filter(spark, w
     read_schema = scan.split("ReadSchema: ")[1]
     assert "notes" not in read_schema and "merchant_name" not in read_schema
     assert "amount" in read_schema and "merchant_category" in read_schema
+
+
+def test_alert_reports_go_by_alert_time(spark):
+    """Alerts raised today on older transactions count today, whatever date their table partition has."""
+    rows = [(f"A{i}", "X", datetime(2024, 1, 30, 9 + i), "n", "APPROVED", datetime(2024, 1, d)) for i, d in enumerate((30, 12, 29))]
+    alerts = spark.createDataFrame(rows, "alert_id string, alert_type string, alert_timestamp timestamp, customer_name string, status string, event_date timestamp") \
+        .withColumn("event_date", F.to_date("event_date"))
+    assert R.rpt_alerts_today(alerts, "2024-01-30 12:00:00").first().alert_count == 3
+    assert R.rpt_alerts_today(alerts, "2024-01-30 10:30:00").first().alert_count == 2
+    assert R.rpt_alert_status(alerts, "2024-01-30 12:00:00").first().alert_count == 3
+
+
+def test_a_huge_amount_does_not_stop_the_report(spark):
+    rows = [("T1", datetime(2024, 1, 29, 12), False, 1e40, "A"), ("T2", datetime(2024, 1, 29, 12), False, 2.125, "A")]
+    out = R.rpt_by_country(tx(spark, rows).withColumn("country", F.lit("X")), "2024-01-30 00:00:00").first()
+    assert (out.transaction_count, out.total_amount) == (2, 2.125)

@@ -47,7 +47,6 @@ CARD_TEST_SECONDS = 60
 CARD_TEST_MIN_AMOUNT = 5.0
 CARD_TEST_MAX_AMOUNT = 20.0
 HIGH_RISK_MERCHANT_LEVEL = "HIGH"
-HISTORY_LENGTH = 50
 
 # ---- fixed values: notifications -------------------------------------------
 # subjects (printf style): alert id; risk level and alert id

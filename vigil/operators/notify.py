@@ -47,7 +47,7 @@ FRAUD_CARD_BODY = [
     *_item("Action Required", ("text", "action")),
     "</ul>\n<h3>Transaction Details</h3>\n<ul>\n",
     *_item("Transaction ID", ("text", "transaction_id")),
-    *_item("Card Number", "****", ("card", "card_number")),
+    *_item("Card Number", ("card", "card_number")),
     *_item("Amount", ("text", "currency"), " ", ("money", "amount")),
     *_item("Merchant", ("text", "merchant_name"), " (", ("text", "merchant_category"), ")"),
     *_item("Transaction Type", ("text", "transaction_type")),
@@ -67,6 +67,12 @@ FRAUD_CARD_BODY = [
 ]
 
 
+def card_text(name: str) -> Column:
+    """``****`` and the last four characters; ``****`` alone for a missing card."""
+    known = F.nullif(F.col(name), F.lit("")).isNotNull()
+    return F.when(known, F.concat(F.lit("****"), mask_card(name))).otherwise(F.lit("****"))
+
+
 def _field(kind: str, name: str) -> Column:
     if kind == "text":
         return html_text(name)
@@ -75,7 +81,7 @@ def _field(kind: str, name: str) -> Column:
     if kind == "ts":
         return or_missing(timestamp_text(name))
     if kind == "card":
-        return html_text(mask_card(name))
+        return html_text(card_text(name))
     if kind == "yesno":
         return F.when(F.coalesce(F.col(name), F.lit(False)), F.lit("Yes")).otherwise(F.lit("No"))
     raise ValueError(kind)

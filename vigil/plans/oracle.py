@@ -27,12 +27,14 @@ def _cte(name: str, deps: list[str], body: str) -> None:
     CTE[name] = (deps, body)
 
 
+MERCHANT = "e.event_id % (SELECT coalesce(max(s_suppkey), 0) + 1 FROM supplier)"
+
 _cte("transactions", [], f"""
 SELECT
   'TXN' || {pad('e.event_id', 7)} AS transaction_id,
   'CUST' || {pad('e.user_id', 6)} AS customer_id,
   '4' || {pad('e.user_id', 15)} AS card_number,
-  'MER' || {pad('e.event_id % 10', 4)} AS merchant_id,
+  'MER' || {pad(MERCHANT, 4)} AS merchant_id,
   s.s_name AS merchant_name,
   e.event_type AS merchant_category,
   e.value AS amount,
@@ -48,9 +50,8 @@ SELECT
   CASE WHEN e.event_id % 10 = 0 THEN 'DECLINED' ELSE 'APPROVED' END AS status,
   e.event_id AS _eid
 FROM events e
-JOIN (SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey >= 0 AND s_suppkey < 10) s
-  ON s.s_suppkey = e.event_id % 10
-JOIN {NATION} n ON n.n_nationkey = e.event_id % 25""")
+LEFT JOIN supplier s ON s.s_suppkey = {MERCHANT}
+LEFT JOIN {NATION} n ON n.n_nationkey = e.event_id % 25""")
 
 
 def _customer_select(key: str, limit: str, date_text: bool = False) -> str:
@@ -90,11 +91,11 @@ SELECT {_customer_select('c.c_custkey', 'c.c_acctbal', True)}, TIMESTAMP '{A.SNA
 FROM customer c LEFT JOIN {NATION} n ON n.n_nationkey = c.c_nationkey
 UNION ALL
 SELECT {_customer_select('c.c_custkey', 'c.c_acctbal * 2', True)}, TIMESTAMP '{A.CHANGE_TIME}' AS update_timestamp
-FROM customer c LEFT JOIN {NATION} n ON n.n_nationkey = c.c_nationkey WHERE c.c_custkey % 5 = 0
+FROM customer c LEFT JOIN {NATION} n ON n.n_nationkey = c.c_nationkey WHERE c.c_mktsegment = 'BUILDING'
 UNION ALL
 SELECT {_customer_select(f'(c.c_custkey + {A.NEW_CUSTOMER_OFFSET})', 'c.c_acctbal', True)},
        TIMESTAMP '{A.CHANGE_TIME}' AS update_timestamp
-FROM customer c LEFT JOIN {NATION} n ON n.n_nationkey = c.c_nationkey WHERE c.c_custkey % 5 = 1""")
+FROM customer c LEFT JOIN {NATION} n ON n.n_nationkey = c.c_nationkey WHERE c.c_mktsegment = 'MACHINERY'""")
 
 _cte("watchlist", [], f"""
 SELECT
@@ -105,15 +106,15 @@ SELECT
   'ADD' AS action,
   'REPORTED_' || c.c_mktsegment AS reason_code,
   'Card reported, segment ' || c.c_mktsegment AS reason_description,
-  CASE WHEN c.c_custkey % 20 = 0 THEN 'active' ELSE 'inactive' END AS status,
+  CASE WHEN c.c_custkey % 2 = 0 THEN 'active' ELSE 'inactive' END AS status,
   CAST(DATE '2024-01-01' + CAST(c.c_custkey % 30 AS INTEGER) AS TIMESTAMP) AS effective_from,
   'SOC' AS reported_by,
   'Manual' AS reported_source,
   n.n_name AS country,
-  CASE WHEN c.c_custkey % 20 = 0 THEN NULL ELSE 'Hyderabad' END AS city,
+  CASE WHEN c.c_custkey % 2 = 0 THEN NULL ELSE 'Hyderabad' END AS city,
   c.c_custkey AS _key
 FROM customer c LEFT JOIN {NATION} n ON n.n_nationkey = c.c_nationkey
-WHERE c.c_custkey % 10 = 0""")
+WHERE c.c_acctbal < 0""")
 
 _cte("merchants", [], f"""
 SELECT
@@ -339,10 +340,21 @@ SELECT transaction_id, customer_id, transaction_timestamp, amount,
     AS rule_card_testing
 FROM scored""")
 
+# The rules' weights, written out here so that a wrong weight in the library shows
+_WEIGHTS = (
+    ("HIGH_VALUE_TRANSACTION", 40),
+    ("IMPOSSIBLE_TRAVEL", 50),
+    ("NEW_DEVICE", 20),
+    ("HIGH_RISK_MERCHANT", 25),
+    ("BLACKLISTED_MERCHANT", 60),
+    ("INTERNATIONAL_TRANSACTION", 25),
+    ("VELOCITY_FRAUD", 45),
+    ("CARD_TESTING", 30),
+)
 _SCORE = "least(100, " + " + ".join(
-    f"(CASE WHEN {RULE_COLUMNS[r]} THEN {w} ELSE 0 END)" for r, w in K.RULE_WEIGHTS) + ")"
-_FIRST = "CASE " + " ".join(f"WHEN {RULE_COLUMNS[r]} THEN '{r}'" for r, _ in K.RULE_WEIGHTS) + " ELSE 'NORMAL' END"
-_BY_WEIGHT = sorted(enumerate(K.RULE_WEIGHTS), key=lambda x: (-x[1][1], x[0]))
+    f"(CASE WHEN {RULE_COLUMNS[r]} THEN {w} ELSE 0 END)" for r, w in _WEIGHTS) + ")"
+_FIRST = "CASE " + " ".join(f"WHEN {RULE_COLUMNS[r]} THEN '{r}'" for r, _ in _WEIGHTS) + " ELSE 'NORMAL' END"
+_BY_WEIGHT = sorted(enumerate(_WEIGHTS), key=lambda x: (-x[1][1], x[0]))
 _DOMINANT = "CASE " + " ".join(f"WHEN {RULE_COLUMNS[r]} THEN '{r}'" for _, (r, _) in _BY_WEIGHT) + " ELSE 'NORMAL' END"
 
 for _r, _col in RULE_COLUMNS.items():
@@ -355,10 +367,10 @@ ORACLE["fraud_dominant_reason"] = with_ctes(f"""
 SELECT transaction_id, {_SCORE} AS fraud_score, {_DOMINANT} AS dominant_reason FROM flags""", "flags")
 
 # ---- reports (as_of fixed; 'today' written as DATE(ts) = DATE(as_of), as the dashboards do)
-_TODAY = f"CAST({{c}} AS DATE) = CAST({AS_OF} AS DATE)"
-_WEEK = f"{{c}} >= {AS_OF} - INTERVAL 7 DAY"
-_DAY = f"{{c}} >= {AS_OF} - INTERVAL 24 HOUR"
-_MONEY_SUM = "CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE)"
+_TODAY = f"CAST({{c}} AS DATE) = CAST({AS_OF} AS DATE) AND {{c}} < {AS_OF}"
+_WEEK = f"{{c}} >= {AS_OF} - INTERVAL 7 DAY AND {{c}} < {AS_OF}"
+_DAY = f"{{c}} >= {AS_OF} - INTERVAL 24 HOUR AND {{c}} < {AS_OF}"
+_MONEY_SUM = "CAST(sum(TRY_CAST(amount AS DECIMAL(28,8))) AS DOUBLE)"
 _R = {
     "rpt_high_risk_customers": ("SELECT count(*) AS high_risk_count FROM customers WHERE risk_score > 70",
                                 "customers"),
@@ -436,7 +448,7 @@ def _sql_field(kind: str, name: str) -> str:
     if kind == "ts":
         return _missing(_ts_text(name))
     if kind == "card":
-        return _esc(_missing(_mask(name)))
+        return _esc(_missing(f"(CASE WHEN {name} IS NULL OR {name} = '' THEN '****' ELSE '****' || right({name}, 4) END)"))
     if kind == "yesno":
         return f"(CASE WHEN coalesce({name}, false) THEN 'Yes' ELSE 'No' END)"
     raise ValueError(kind)

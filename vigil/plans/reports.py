@@ -5,8 +5,11 @@ or a column) instead of the processing clock, so a report can be replayed.
 Time filters are written as ranges on the raw event-time column, which the
 Parquet scan can use for row-group skipping (``DATE(ts) = d`` cannot).
 
-Sums and averages of amounts are computed in decimal(18,2): money adds up
+A report covers what happened before ``as_of``; rows dated later are left out.
+
+Sums and averages of amounts are computed in decimal(28,8): money adds up
 exactly and the result does not depend on how rows are split over tasks.
+Amounts that don't fit (20 digits before the point) are left out of both.
 Top-k reports order by count, then by name (a tie-breaker that makes the ten
 rows deterministic).
 """
@@ -27,32 +30,39 @@ def _instant(df: DataFrame, col: str, as_of: str | Column) -> Column:
 
 
 def _since(df: DataFrame, col: str, as_of, seconds: int) -> DataFrame:
-    start = _instant(df, col, as_of) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(seconds))
-    out = df.filter(F.col(col) >= start)
-    if PARTITION_DATE in df.columns:          # partition pruning on date-partitioned tables
-        out = out.filter(F.col(PARTITION_DATE) >= F.to_date(start))
+    end = _instant(df, col, as_of)
+    start = end - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(seconds))
+    out = df.filter((F.col(col) >= start) & (F.col(col) < end))
+    if PARTITION_DATE in df.columns and col == PARTITION_SOURCE:   # pruning on date-partitioned tables
+        out = out.filter((F.col(PARTITION_DATE) >= F.to_date(start)) & (F.col(PARTITION_DATE) <= F.to_date(end)))
     return out
 
 
 def _on_day(df: DataFrame, col: str, as_of) -> DataFrame:
-    day = F.to_date(_instant(df, col, as_of))
-    start = day.cast("timestamp_ntz" if is_ntz(df, col) else "timestamp")
-    out = df.filter((F.col(col) >= start) & (F.col(col) < start + F.expr("INTERVAL 1 DAY")))
-    if PARTITION_DATE in df.columns:
+    end = _instant(df, col, as_of)
+    day = F.to_date(end)
+    out = df.filter((F.col(col) >= day.cast("timestamp_ntz" if is_ntz(df, col) else "timestamp")) & (F.col(col) < end))
+    if PARTITION_DATE in df.columns and col == PARTITION_SOURCE:
         out = out.filter(F.col(PARTITION_DATE) == day)
     return out
 
 
+def money(c: str) -> Column:
+    """An amount as decimal(28,8); what doesn't fit is null instead of an error that stops the report."""
+    return F.col(c).try_cast("decimal(28,8)")
+
+
 def money_sum(c: str) -> Column:
-    return F.sum(F.col(c).cast("decimal(18,2)")).cast("double")
+    return F.sum(money(c)).cast("double")
 
 
 def money_avg(c: str) -> Column:
-    return F.sum(F.col(c).cast("decimal(18,2)")).cast("double") / F.nullif(F.count(c), F.lit(0))
+    return F.sum(money(c)).cast("double") / F.nullif(F.count(money(c)), F.lit(0))
 
 
 DAY, WEEK = 86400, 7 * 86400
 PARTITION_DATE = "event_date"
+PARTITION_SOURCE = "transaction_timestamp"   # the column whose date event_date is
 
 
 def alerts_union(fraud_alerts: DataFrame, high_value_alerts: DataFrame) -> DataFrame:

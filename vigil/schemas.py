@@ -46,10 +46,6 @@ KAFKA_SCHEMA = StructType([
     StructField("timestampType", IntegerType()),
 ])
 
-BRONZE_TRANSACTION_COLUMNS = ["key", "value", "topic", "partition", "offset", "timestamp",
-                              "timestampType", "ingestion_timestamp"]
-KAFKA_LINEAGE_COLUMNS = ["kafka_topic", "kafka_partition", "kafka_offset", "kafka_timestamp",
-                         "bronze_ingestion_timestamp"]
 
 # Watchlist file records: all text as landed.
 WATCHLIST_COLUMNS = [
@@ -98,12 +94,6 @@ MERCHANT_SCHEMA = StructType([
 ])
 MERCHANT_COLUMNS = [f.name for f in MERCHANT_SCHEMA.fields]
 
-HIGH_VALUE_ALERT_COLUMNS = [
-    "alert_id", "alert_type", "alert_timestamp", "transaction_id", "customer_id", "customer_email",
-    "customer_name", "transaction_amount", "transaction_limit", "currency", "merchant_name",
-    "merchant_category", "transaction_type", "payment_channel", "city", "country",
-    "is_international", "transaction_timestamp", "status",
-]
 
 FRAUD_CARD_ALERT_COLUMNS = [
     "alert_id", "alert_type", "alert_timestamp", "transaction_id", "customer_id", "customer_email",
@@ -114,7 +104,3 @@ FRAUD_CARD_ALERT_COLUMNS = [
     "watchlist_effective_from", "reported_by", "reported_source", "watchlist_city",
     "watchlist_country",
 ]
-
-WINDOW_COUNT_COLUMNS = ["window_start", "window_end", "transaction_count"]
-
-OUTBOX_COLUMNS = ["alert_id", "alert_type", "recipient", "subject", "body", "delivery_status"]

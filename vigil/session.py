@@ -71,6 +71,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not path:
         path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="vigil-ckpt-")
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")

@@ -5,9 +5,10 @@ mapped onto the card-payment domain; every frame is a plain Spark plan over the
 Parquet files, so its work grows with the tables. The DuckDB oracle builds the
 same frames in SQL (``vigil.plans.oracle``).
 
-Small lookups (``supplier`` keys 0..9 used by ``event_id % 10``, ``nation``
-keys 0..24) are filtered to their key domain before the join, so they stay a
-few rows (and are broadcast by Catalyst's size check) whatever the scale.
+Every event is a transaction; its merchant is spread over the whole key range of
+``supplier`` and its country over ``nation``, by left joins. Lookups are
+broadcast only by Catalyst's size check. The watchlist lists the customers with
+a negative balance; change rows are those of two market segments.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 
 TOPIC = "card_transactions"
-AS_OF = "2024-01-30 00:00:00"
+AS_OF = "2024-01-30 12:00:00"
 SNAPSHOT_TIME = "2024-01-01 00:00:00"
 CHANGE_TIME = "2024-01-15 00:00:00"
 NEW_CUSTOMER_OFFSET = 10 ** 12          # new customer ids lie above every existing key
@@ -45,6 +46,17 @@ def _nation(spark, sf_dir) -> DataFrame:
         .filter("n_nationkey >= 0 AND n_nationkey < 25")
 
 
+_MERCHANT_KEYS: dict[tuple[int, str], int] = {}
+
+
+def _merchant_keys(spark, sf_dir) -> int:
+    """Size of the merchants' key range: one number, read once for each folder."""
+    key = (id(spark), sf_dir)
+    if key not in _MERCHANT_KEYS:
+        _MERCHANT_KEYS[key] = (table(spark, sf_dir, "supplier").agg(F.max("s_suppkey")).first()[0] or 0) + 1
+    return _MERCHANT_KEYS[key]
+
+
 def pad(expr: str, width: int) -> str:
     """SQL text: zero-padded number that is never cut (``lpad`` alone truncates)."""
     s = f"CAST({expr} AS STRING)"
@@ -64,15 +76,16 @@ def transactions(spark: SparkSession, sf_dir: str, ltz: bool = False, with_event
     The projection is one list of SQL expressions (a single call into the JVM).
     """
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name").filter("s_suppkey >= 0 AND s_suppkey < 10")
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     n = _nation(spark, sf_dir)
-    joined = (e.join(s, F.col("s_suppkey") == F.col("event_id") % 10, "inner")
-              .join(n, F.col("n_nationkey") == F.col("event_id") % 25, "inner"))
+    merchant = f"event_id % {_merchant_keys(spark, sf_dir)}"
+    joined = (e.join(s, F.col("s_suppkey") == F.expr(merchant), "left")
+              .join(n, F.col("n_nationkey") == F.col("event_id") % 25, "left"))
     exprs = [
         f"{_sql_id('TXN', 'event_id', 7)} AS transaction_id",
         f"{_sql_id('CUST', 'user_id', 6)} AS customer_id",
         f"{_sql_id('4', 'user_id', 15)} AS card_number",
-        f"{_sql_id('MER', 'event_id % 10', 4)} AS merchant_id",
+        f"{_sql_id('MER', merchant, 4)} AS merchant_id",
         "s_name AS merchant_name",
         "event_type AS merchant_category",
         "value AS amount",
@@ -167,20 +180,20 @@ def customers_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Change rows after the snapshot: every key % 5 = 0 again with the limit
-    doubled, and new customers (key % 5 = 1) with ids above every existing key."""
+    """Change rows after the snapshot: customers of segment BUILDING again with the limit
+    doubled, and new customers (from segment MACHINERY) with ids above every existing key."""
     j = _customers_with_nation(spark, sf_dir)
     changed_at = f"TIMESTAMP_NTZ'{CHANGE_TIME}' AS update_timestamp"
-    updated = j.filter("c_custkey % 5 = 0").selectExpr(*_customer_exprs("c_custkey", "c_acctbal * 2"), changed_at)
-    new = j.filter("c_custkey % 5 = 1").selectExpr(
+    updated = j.filter("c_mktsegment = 'BUILDING'").selectExpr(*_customer_exprs("c_custkey", "c_acctbal * 2"), changed_at)
+    new = j.filter("c_mktsegment = 'MACHINERY'").selectExpr(
         *_customer_exprs(f"(c_custkey + {NEW_CUSTOMER_OFFSET})", "c_acctbal"), changed_at)
     return updated.unionByName(new)
 
 
 def watchlist_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Watchlist file records (all text, as landed): one per listed card."""
-    j = _customers_with_nation(spark, sf_dir, ("c_custkey", "c_nationkey", "c_mktsegment")) \
-        .filter("c_custkey % 10 = 0")
+    j = _customers_with_nation(spark, sf_dir, ("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")) \
+        .filter("c_acctbal < 0")
     return j.selectExpr(
         f"{_sql_id('wl', 'c_custkey', 6)} AS watchlist_id",
         "'CARD' AS watch_type",
@@ -189,13 +202,13 @@ def watchlist_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "'add' AS action",
         "concat('REPORTED_', c_mktsegment) AS reason_code",
         "concat('Card reported, segment ', c_mktsegment) AS reason_description",
-        "CASE WHEN c_custkey % 20 = 0 THEN 'active' ELSE 'inactive' END AS status",
+        "CASE WHEN c_custkey % 2 = 0 THEN 'active' ELSE 'inactive' END AS status",
         "date_format(CAST(date_add(DATE'2024-01-01', CAST(c_custkey % 30 AS INT)) AS TIMESTAMP_NTZ), "
         "'dd-MMM-yyyy HH:mm:ss') AS effective_from",
         "'SOC' AS reported_by",
         "'Manual' AS reported_source",
         "n_name AS country",
-        "CASE WHEN c_custkey % 20 = 0 THEN CAST(NULL AS STRING) ELSE 'Hyderabad' END AS city",
+        "CASE WHEN c_custkey % 2 = 0 THEN CAST(NULL AS STRING) ELSE 'Hyderabad' END AS city",
     )
 
 

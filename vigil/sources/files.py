@@ -11,20 +11,23 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from vigil.schemas import MERCHANT_SCHEMA, WATCHLIST_COLUMNS, WATCHLIST_FILE_SCHEMA
+from vigil.sources.tables import is_missing_path
 
 
 def rescued_data(value: Column, known: list[str]) -> Column:
     """JSON text of the non-null fields the schema does not know (the schema
-    is all text, so a known field always fits). Null when nothing is left."""
+    is all text, so a known field always fits). Null when nothing is left. A
+    line that is no JSON object is kept whole."""
     raw = F.from_json(value, "map<string,string>")
     known_arr = F.array(*[F.lit(k) for k in known])
     extra = F.map_filter(raw, lambda k, v: ~F.array_contains(known_arr, k) & v.isNotNull())
-    return F.when(F.size(extra) > 0, F.to_json(extra))
+    return F.when(raw.isNull() & (F.trim(value) != ""), value).when(F.size(extra) > 0, F.to_json(extra))
 
 
 def parse_watchlist_json(text_df: DataFrame, value_col: str = "value") -> DataFrame:
@@ -60,11 +63,14 @@ def infer_and_store_schema(spark: SparkSession, landing_dir: str, schema_path: s
     ids and card numbers), store it next to the checkpoint and reuse it on
     restart, so a restarted stream keeps its schema."""
     try:
-        stored = spark.read.text(schema_path).collect()
-        if stored:
-            return StructType.fromJson(json.loads("".join(r.value for r in stored)))
-    except Exception:  # noqa: BLE001 - nothing stored yet
-        pass
+        stored = spark.read.text(schema_path)
+    except AnalysisException as e:
+        if not is_missing_path(e):
+            raise
+    else:
+        lines = stored.collect()        # the schema's text
+        if lines:
+            return StructType.fromJson(json.loads("".join(r.value for r in lines)))
     schema = (spark.read.option("samplingRatio", str(sampling_ratio))
               .option("primitivesAsString", "true").json(landing_dir).schema)
     spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(schema_path)
@@ -120,8 +126,8 @@ def resume_from_landing(spark: SparkSession, source: DataFrame, landing_dir: str
     means everything is published."""
     try:
         landed = read_watchlist_files(spark, landing_dir)
-    except Exception as e:  # noqa: BLE001 - nothing landed yet
-        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
+    except AnalysisException as e:
+        if not is_missing_path(e):
             raise
         landed = source.limit(0)
     return watchlist_resume(source, landed)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import time
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +32,11 @@ def setup_namespaces(spark: SparkSession, base: str, comments: dict[str, str] =
     return created
 
 
+def is_missing_path(e: AnalysisException) -> bool:
+    """Whether a read failed because nothing is at the path yet."""
+    return e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def _markers(path: str) -> str:
     return f"{path.rstrip('/')}/_published"
 
@@ -58,10 +64,13 @@ def current_snapshot_path(spark: SparkSession, path: str) -> str | None:
     """Folder of the newest published version, or None when nothing is published."""
     try:
         markers = spark.read.schema("published string, folder string").json(_markers(path))
-        row = markers.orderBy(F.col("published").desc()).select("folder").take(1)
-    except Exception:  # noqa: BLE001 - nothing published yet
+    except AnalysisException as e:
+        if not is_missing_path(e):
+            raise                       # a storage error must not look like an empty table
         return None
-    return row[0].folder if row else None
+    # markers are one line each; the newest is found by an aggregate, not by reading them all to the driver
+    row = markers.filter(F.col("folder").isNotNull()).agg(F.max(F.struct("published", "folder")).alias("m")).first()
+    return row.m.folder if row.m else None
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
@@ -69,10 +78,3 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     if current is None:
         raise FileNotFoundError(f"no snapshot at {path}")
     return spark.read.parquet(current)
-
-
-def append_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    w = df.write.mode("append")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)

@@ -3,14 +3,17 @@
 Stateless rules are plain column expressions evaluated before the state
 operator. The history rules (previous transaction, k earlier ones within s
 seconds) need the customer's earlier transactions; they are kept in state as
-two short arrays (event time in microseconds and city), at most
-``HISTORY_LENGTH`` entries and only as long as they can still matter: an
+arrays (event time in microseconds, transaction id, city), all of them that can
+still matter: none is older than the watermark less the rules' horizon, and an
 event-time timeout removes a customer's state once the watermark is more than
-the rules' horizon past its last transaction.
-
-Inside one micro-batch the new rows of a customer are ordered by (event time,
-transaction id), appended to the history, and the lags are array shifts
-(numpy, one pass per group; no per-row Python loop).
+the horizon past its last transaction.
+
+The new rows of a customer are merged with the history in the order of (event
+time, transaction id), so a row that arrives late but within the watermark looks
+only at earlier rows; the lags are array shifts (numpy, one pass per group; no
+per-row Python loop). A row beyond the watermark gets no score: Spark drops it and counts
+it (``flows.late_rows_dropped``). A row scored earlier isn't scored again when an earlier
+one arrives after it.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -34,9 +38,11 @@ from pyspark.sql.types import (
 
 from vigil import constants as K
 from vigil.operators.rules import DEFAULT_RULES, RuleConfig, score
+from vigil.sources.tables import is_missing_path
 
 STATE_SCHEMA = StructType([
     StructField("ts_us", ArrayType(LongType())),
+    StructField("id", ArrayType(StringType())),
     StructField("city", ArrayType(StringType())),
 ])
 
@@ -57,18 +63,18 @@ OUTPUT_SCHEMA = StructType([
 ])
 
 
-def _lag(values: np.ndarray, k: int, n_hist: int, fill) -> np.ndarray:
-    """values[i - k] for the new rows (positions n_hist..), ``fill`` before the start."""
-    idx = np.arange(n_hist, len(values)) - k
+def _lag(values: np.ndarray, k: int, at: np.ndarray, fill) -> np.ndarray:
+    """values[i - k] for the positions ``at``, ``fill`` before the start."""
+    idx = at - k
     out = np.full(len(idx), fill, dtype=values.dtype if fill is not None else object)
     ok = idx >= 0
     out[ok] = values[idx[ok]]
     return out
 
 
-def history_processor(cfg: RuleConfig):
+def history_processor(cfg: RuleConfig, watermark_seconds: int):
     horizon_ms = cfg.horizon_seconds * 1000
-    keep = min(max(cfg.velocity_count, cfg.card_test_count, 1), K.HISTORY_LENGTH)
+    delay_us = watermark_seconds * 1_000_000
     vel_us, card_us = cfg.velocity_seconds * 1_000_000, cfg.card_test_seconds * 1_000_000
     travel_us = cfg.travel_max_minutes * 60_000_000.0
 
@@ -81,24 +87,21 @@ def history_processor(cfg: RuleConfig):
         if new.empty:
             return
         new_ts = new["_ts_us"].to_numpy(dtype="float64", na_value=np.nan)
-        # event order within the batch: (time, id); missing times first
-        order = np.lexsort((new["transaction_id"].to_numpy(dtype=object).astype(str),
-                            np.nan_to_num(new_ts, nan=-np.inf)))
-        new = new.iloc[order]
-        new_ts = new_ts[order]
-        new_city = new["city"].to_numpy(dtype=object)
-        if state.exists:
-            hist_ts, hist_city = state.get
-            hist_ts, hist_city = list(hist_ts or []), list(hist_city or [])
-        else:
-            hist_ts, hist_city = [], []
+        hist_ts, hist_id, hist_city = (list(x or []) for x in state.get) if state.exists else ([], [], [])
         n_hist = len(hist_ts)
         ts = np.concatenate([np.asarray(hist_ts, dtype="float64"), new_ts])
-        city = np.concatenate([np.asarray(hist_city, dtype=object), new_city])
-        prev_ts = _lag(ts, 1, n_hist, np.nan)
-        prev_city = _lag(city, 1, n_hist, None)
-        vel_ts = _lag(ts, cfg.velocity_count, n_hist, np.nan)
-        card_ts = _lag(ts, cfg.card_test_count, n_hist, np.nan)
+        ids = np.concatenate([np.asarray(hist_id, dtype=object), new["transaction_id"].to_numpy(dtype=object)])
+        city = np.concatenate([np.asarray(hist_city, dtype=object), new["city"].to_numpy(dtype=object)])
+        # event order of history and batch: (time, id); missing times first
+        order = np.lexsort((ids.astype(str), np.nan_to_num(ts, nan=-np.inf)))
+        ts, ids, city = ts[order], ids[order], city[order]
+        at = np.flatnonzero(order >= n_hist)             # where the new rows stand
+        new = new.iloc[order[at] - n_hist]
+        new_ts, new_city = ts[at], city[at]
+        prev_ts = _lag(ts, 1, at, np.nan)
+        prev_city = _lag(city, 1, at, None)
+        vel_ts = _lag(ts, cfg.velocity_count, at, np.nan)
+        card_ts = _lag(ts, cfg.card_test_count, at, np.nan)
         amount = new["amount"].to_numpy(dtype="float64", na_value=np.nan)
         with np.errstate(invalid="ignore"):
             travel = ((prev_city == cfg.travel_from) & (new_city == cfg.travel_to)
@@ -110,25 +113,32 @@ def history_processor(cfg: RuleConfig):
         out["rule_impossible_travel"] = travel.astype(bool)
         out["rule_velocity"] = velocity.astype(bool)
         out["rule_card_testing"] = card.astype(bool)
-        # keep only the last entries that a later transaction can still look at
-        valid = ~np.isnan(ts)
-        kept_ts, kept_city = ts[valid][-keep:], city[valid][-keep:]
-        if len(kept_ts):
-            state.update((kept_ts.astype("int64").tolist(), [None if c is None else str(c) for c in kept_city]))
-            expire_ms = int(kept_ts.max() // 1000) + horizon_ms
+        # keep the entries that a transaction still to come can look at: it won't be older than the watermark
+        timed = ts[~np.isnan(ts)]
+        if len(timed):
+            watermark_us = max(state.getCurrentWatermarkMs() * 1000, int(timed.max()) - delay_us)
+            valid = ts >= watermark_us - horizon_ms * 1000
+            state.update((ts[valid].astype("int64").tolist(), [None if x is None else str(x) for x in ids[valid]],
+                          [None if c is None else str(c) for c in city[valid]]))
+            expire_ms = int(timed.max() // 1000) + horizon_ms
             state.setTimeoutTimestamp(max(expire_ms, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame(out)
 
     return process
 
 
+def _seconds(delay: str) -> int:
+    """Seconds of a delay such as ``5 minutes``."""
+    n, unit = delay.split()
+    return int(n) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
+
+
 def stream_scores(transactions: DataFrame, customers: DataFrame, merchants: DataFrame,
                   cfg: RuleConfig = DEFAULT_RULES, watermark: str = K.WATERMARK_DELAY) -> DataFrame:
     """Streaming form of ``score_transactions``: same flags, score and reasons.
 
     ``transactions`` is a stream with a ``timestamp`` event time; customers and
-    merchants are static lookups. Rows of one customer are evaluated in arrival
-    order across micro-batches (event order within a batch).
+    merchants are static lookups. Rows of one customer are evaluated in event order.
     """
     from vigil.session import ship_package
     ship_package(transactions.sparkSession)      # the group function runs in Python workers
@@ -146,7 +156,7 @@ def stream_scores(transactions: DataFrame, customers: DataFrame, merchants: Data
         F.coalesce(F.col("is_international"), F.lit(False)).alias("rule_international"),
     )
     flagged = t.groupBy("customer_id").applyInPandasWithState(
-        history_processor(cfg), OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+        history_processor(cfg, _seconds(watermark)), OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
     return score(flagged.withColumn("transaction_timestamp", F.timestamp_micros("_ts_us")).drop("_ts_us"))
 
 
@@ -170,11 +180,12 @@ _TAIL_MARKER_SCHEMA = "batch_id long, folder string"
 def _tail_before(spark, tail_path: str, batch_id: int) -> DataFrame | None:
     try:
         markers = spark.read.schema(_TAIL_MARKER_SCHEMA).json(f"{tail_path}/_published")
-        row = (markers.filter(F.col("batch_id") < batch_id).orderBy(F.col("batch_id").desc())
-               .select("folder").take(1))
-    except Exception:  # noqa: BLE001 - nothing published yet
+    except AnalysisException as e:
+        if not is_missing_path(e):
+            raise
         return None
-    return spark.read.parquet(row[0].folder) if row else None
+    row = markers.filter(F.col("batch_id") < batch_id).agg(F.max(F.struct("batch_id", "folder")).alias("m")).first()
+    return spark.read.parquet(row.m.folder) if row.m else None
 
 
 def tail_scoring_writer(out_path: str, tail_path: str, customers: DataFrame, merchants: DataFrame,
