@@ -374,7 +374,7 @@ def q_replayed_duplicate_ids(spark, sf_dir):
 
 @register("dedup_transactions")
 def q_dedup_transactions(spark, sf_dir):
-    """One row per transaction id after a replay."""
+    """One row per message after a replay (equal payloads collapse)."""
     from vigil.schemas import TRANSACTION_COLUMNS
     return SV.drop_duplicate_transactions(_replayed_silver(spark, sf_dir)).select(*TRANSACTION_COLUMNS)
 

@@ -18,6 +18,7 @@ with ``gold_high_value_fresh`` (enrichment inside ``foreachBatch``).
 
 from __future__ import annotations
 
+import threading
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
@@ -54,6 +55,26 @@ class Layout:
         return f"{self.base.rstrip('/')}/source/{name}"
 
 
+class QueryId:
+    """Id of a query for its own foreachBatch function, which may run before ``start()`` returns.
+
+    It stays the same over restarts and is new once the checkpoint is: batch ids
+    then begin again at 0, and what the query wrote before must stay.
+    """
+
+    def __init__(self) -> None:
+        self._known, self._id = threading.Event(), ""
+
+    def started(self, query: StreamingQuery) -> StreamingQuery:
+        self._id = str(query.id)
+        self._known.set()
+        return query
+
+    def __call__(self) -> str:
+        self._known.wait()
+        return self._id
+
+
 def trigger_args(mode: str = "available_now", interval: str = "10 seconds") -> dict:
     if mode == "available_now":
         return {"availableNow": True}
@@ -212,21 +233,21 @@ class Pipeline:
         customer snapshot (``sources.tables``; by default the lookup of
         ``customers()``): changes to limits or new customers apply from the
         next batch on, without restarting the query. Each batch writes
-        ``gold/high_value_transactions_alert_fresh/batch_id=n`` (overwrite: a
+        ``gold/high_value_transactions_alert_fresh/query=id/batch_id=n`` (overwrite: a
         retried batch replaces its own output)."""
         from vigil.sources.tables import read_snapshot
         out_path = self.layout.table("gold", "high_value_transactions_alert_fresh")
-        spark, alert_time = self.spark, self.alert_time
+        spark, alert_time, query_id = self.spark, self.alert_time, QueryId()
 
         def current_customers() -> DataFrame:
             return read_snapshot(spark, customers_snapshot) if customers_snapshot else self.customers()
 
         def enrich(batch_df: DataFrame, batch_id: int) -> None:
             alerts = AL.high_value_alerts(batch_df, current_customers(), alert_time=alert_time)
-            alerts.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+            alerts.write.mode("overwrite").parquet(f"{out_path}/query={query_id()}/batch_id={batch_id}")
 
         tx = self._read("silver", "transactions", self.silver_schema())
-        q = (tx.writeStream.foreachBatch(enrich)
+        q = query_id.started(tx.writeStream.foreachBatch(enrich)
              .option("checkpointLocation", self.layout.checkpoint("gold_high_value_fresh"))
              .queryName("gold_high_value_fresh").trigger(**self._trigger()).start())
         self.queries.append(q)
@@ -262,7 +283,8 @@ class Pipeline:
         """gold alerts -> outbox/<kind> through foreachBatch."""
         source = {"high_value": "high_value_transactions_alert", "fraud_card": "fraud_card_alert"}[kind]
         alerts = self._read("gold", source, self.gold_schema(kind))
-        q = (alerts.writeStream.foreachBatch(outbox_writer(self.layout.table("outbox", kind), kind))
+        query_id = QueryId()
+        q = query_id.started(alerts.writeStream.foreachBatch(outbox_writer(self.layout.table("outbox", kind), kind, query_id=query_id))
              .option("checkpointLocation", self.layout.checkpoint(f"outbox_{kind}"))
              .queryName(f"outbox_{kind}").trigger(**self._trigger()).start())
         self.queries.append(q)
@@ -283,10 +305,11 @@ class Pipeline:
         if method == "state":
             out = stream_scores(tx, self.customers(), merchants, cfg)
             return self._finish(self._start(out, "gold", "fraud_scores"))
+        query_id = QueryId()
         writer = tail_scoring_writer(self.layout.table("gold", "fraud_scores"),
                                      self.layout.table("_state", "fraud_scores_tail"),
-                                     self.customers(), merchants, cfg)
-        q = (tx.writeStream.foreachBatch(writer)
+                                     self.customers(), merchants, cfg, query_id=query_id)
+        q = query_id.started(tx.writeStream.foreachBatch(writer)
              .option("checkpointLocation", self.layout.checkpoint("gold_fraud_scores_tail"))
              .queryName("gold_fraud_scores_tail").trigger(**self._trigger()).start())
         self.queries.append(q)
@@ -300,10 +323,10 @@ class Pipeline:
         own, not yet published version; a published one is left as it is."""
         from vigil.sources.tables import current_snapshot_path, write_snapshot
         path = snapshot_path or self.layout.table("bronze", "customers")
-        spark = self.spark
+        spark, query_id = self.spark, QueryId()
 
         def merge(batch_df: DataFrame, batch_id: int) -> None:
-            version = f"batch_{batch_id:012d}"
+            version = f"query_{query_id()}_batch_{batch_id:012d}"
             batch_df = Q.keep_valid(batch_df, Q.CUSTOMER_EXPECTATIONS)
             current = current_snapshot_path(spark, path)
             if current is None:
@@ -314,7 +337,7 @@ class Pipeline:
                 merged = SV.apply_changes(spark.read.parquet(current), batch_df).drop("change_type")
             write_snapshot(merged, path, version, replace_version=True)
 
-        q = (changes.writeStream.foreachBatch(merge)
+        q = query_id.started(changes.writeStream.foreachBatch(merge)
              .option("checkpointLocation", self.layout.checkpoint("customers_upsert"))
              .queryName("customers_upsert").trigger(**self._trigger()).start())
         self.queries.append(q)
@@ -343,7 +366,8 @@ def state_rows(query: StreamingQuery) -> int:
 
 
 def late_rows_dropped(query: StreamingQuery) -> int:
-    """Input rows dropped by the watermark over the query's recent progress."""
+    """Input rows dropped by the watermark over the query's recent progress: as many batches
+    as ``spark.sql.streaming.numRecentProgressUpdates`` keeps; a ``StreamingQueryListener`` sees all."""
     total = 0
     for p in query.recentProgress:
         for op in p.get("stateOperators", []) if isinstance(p, dict) else p.stateOperators:
@@ -353,7 +377,8 @@ def late_rows_dropped(query: StreamingQuery) -> int:
 
 
 def progress_report(spark: SparkSession, queries: list[StreamingQuery]) -> DataFrame:
-    """One row per streaming query from its recent progress: micro-batches,
+    """One row per streaming query from its recent progress (as many batches as
+    ``spark.sql.streaming.numRecentProgressUpdates`` keeps, 100 by default): micro-batches,
     input rows, rows dropped as late by the watermark, rows held in state
     after the last batch. (Progress is query metadata kept by the driver,
     a few rows; no data passes through it.)"""

@@ -22,13 +22,14 @@ BUILDERS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
-def outbox_writer(outbox_path: str, kind: str, query_name: str | None = None):
-    """A ``foreachBatch`` function writing the batch's notifications."""
+def outbox_writer(outbox_path: str, kind: str, query_name: str | None = None, query_id: Callable[[], str] | None = None):
+    """A ``foreachBatch`` function writing the batch's notifications, below
+    ``query=<id>`` where the query's id is given."""
     build = BUILDERS[kind]
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         rows = build(batch_df).withColumn("query_name", F.lit(query_name or kind))
-        rows.write.mode("overwrite").parquet(f"{outbox_path.rstrip('/')}/batch_id={batch_id}")
+        rows.write.mode("overwrite").parquet(f"{outbox_path.rstrip('/')}/{f'query={query_id()}/' if query_id else ''}batch_id={batch_id}")
 
     return write
 

@@ -18,7 +18,7 @@ one arrives after it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -189,9 +189,11 @@ def _tail_before(spark, tail_path: str, batch_id: int) -> DataFrame | None:
 
 
 def tail_scoring_writer(out_path: str, tail_path: str, customers: DataFrame, merchants: DataFrame,
-                        cfg: RuleConfig = DEFAULT_RULES, columns: list[str] | None = None):
+                        cfg: RuleConfig = DEFAULT_RULES, columns: list[str] | None = None,
+                        query_id: Callable[[], str] | None = None):
     """A ``foreachBatch`` function: score the batch with the previous tail as
-    history, write ``out_path/batch_id=n``, publish the new tail."""
+    history, write ``out_path/batch_id=n`` (below ``query=<id>`` where the
+    query's id is given), publish the new tail."""
     from vigil.functions.columns import interval_seconds
     from vigil.operators.rules import score_transactions
 
@@ -200,18 +202,19 @@ def tail_scoring_writer(out_path: str, tail_path: str, customers: DataFrame, mer
         cols = columns or [c for c in batch_df.columns if c not in ("event_date",)]
         batch = batch_df.select(*cols).persist()
         try:
-            history = _tail_before(spark, tail_path, batch_id)
+            own = f"/query={query_id()}" if query_id else ""
+            history = _tail_before(spark, tail_path + own, batch_id)
             scored = score_transactions(batch, customers, merchants, cfg, history=history)
-            scored.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+            scored.write.mode("overwrite").parquet(f"{out_path}{own}/batch_id={batch_id}")
             rows = batch if history is None else batch.unionByName(history.select(*cols))
             newest = F.broadcast(rows.agg(F.max("transaction_timestamp").alias("_newest")))
             tail = (rows.join(newest, F.col("transaction_timestamp") >=
                               F.col("_newest") - interval_seconds(cfg.horizon_seconds), "inner")
                     .drop("_newest"))
-            folder = f"{tail_path}/batch_{batch_id:012d}"
+            folder = f"{tail_path}{own}/batch_{batch_id:012d}"
             tail.write.mode("overwrite").parquet(folder)
             (spark.createDataFrame([(batch_id, folder)], _TAIL_MARKER_SCHEMA).coalesce(1)
-             .write.mode("append").json(f"{tail_path}/_published"))
+             .write.mode("append").json(f"{tail_path}{own}/_published"))
         finally:
             batch.unpersist()
 
