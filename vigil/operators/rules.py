@@ -88,6 +88,21 @@ def _with_context_buckets(df: DataFrame, ts: str, cfg: RuleConfig) -> DataFrame:
               .drop("_base", "_copy"))
 
 
+def _flag(c: Column) -> Column:
+    return F.coalesce(c, F.lit(False))
+
+
+def _row_flags(cfg: RuleConfig) -> dict[str, Column]:
+    """The rules that look at one row and its lookups only."""
+    return {
+        "rule_high_value": _flag(F.col("amount") > F.lit(cfg.high_value_amount)),
+        "rule_new_device": ~F.col("device_id").eqNullSafe(F.col("trusted_device_id")),
+        "rule_high_risk_merchant": F.col("merchant_risk").eqNullSafe(F.lit(cfg.high_risk_level)),
+        "rule_blacklisted_merchant": _flag(F.col("is_blacklisted")),
+        "rule_international": _flag(F.col("is_international")),
+    }
+
+
 def rule_flags(transactions: DataFrame, customers: DataFrame, merchants: DataFrame,
                cfg: RuleConfig = DEFAULT_RULES, history: DataFrame | None = None) -> DataFrame:
     """Transactions with one boolean column per rule (never null).
@@ -104,6 +119,8 @@ def rule_flags(transactions: DataFrame, customers: DataFrame, merchants: DataFra
         t = t.unionByName(history.select(*transactions.columns).withColumn("_history", F.lit(True)))
     t = (t.join(cust, "customer_id", "left")
          .join(merch, "merchant_id", "left"))
+    row_flags = _row_flags(cfg)
+    t = t.select(*transactions.columns, "_history", *[c.alias(n) for n, c in row_flags.items()])
     # explicit shuffle on (customer, bucket): an input already hash-partitioned
     # by customer alone would otherwise be reused and keep a hot customer in one task
     t = _with_context_buckets(t, ts, cfg).repartition("customer_id", "_bucket")
@@ -115,23 +132,16 @@ def rule_flags(transactions: DataFrame, customers: DataFrame, merchants: DataFra
     card_ts = F.lag(ts, cfg.card_test_count).over(w)
     amount = F.col("amount")
 
-    def flag(c: Column) -> Column:
-        return F.coalesce(c, F.lit(False))
-
     flags = {
-        "rule_high_value": flag(amount > F.lit(cfg.high_value_amount)),
-        "rule_impossible_travel": flag((prev_city == F.lit(cfg.travel_from)) &
+        "rule_impossible_travel": _flag((prev_city == F.lit(cfg.travel_from)) &
                                        (F.col("city") == F.lit(cfg.travel_to)) &
                                        (minutes_between(prev_ts, cur) <= F.lit(cfg.travel_max_minutes))),
-        "rule_new_device": ~F.col("device_id").eqNullSafe(F.col("trusted_device_id")),
-        "rule_high_risk_merchant": F.col("merchant_risk").eqNullSafe(F.lit(cfg.high_risk_level)),
-        "rule_blacklisted_merchant": flag(F.col("is_blacklisted")),
-        "rule_international": flag(F.col("is_international")),
-        "rule_velocity": flag(vel_ts >= cur - interval_seconds(cfg.velocity_seconds)),
-        "rule_card_testing": flag((amount >= F.lit(cfg.card_test_min)) & (amount <= F.lit(cfg.card_test_max)) &
+        "rule_velocity": _flag(vel_ts >= cur - interval_seconds(cfg.velocity_seconds)),
+        "rule_card_testing": _flag((amount >= F.lit(cfg.card_test_min)) & (amount <= F.lit(cfg.card_test_max)) &
                                   (card_ts >= cur - interval_seconds(cfg.card_test_seconds))),
     }
-    out = t.select(*transactions.columns, "_context", "_history", *[c.alias(n) for n, c in flags.items()])
+    out = t.select(*transactions.columns, "_context", "_history",
+                   *[flags[c].alias(c) if c in flags else F.col(c) for c in RULE_COLUMNS.values()])
     return out.filter(~F.col("_context") & ~F.col("_history")).drop("_context", "_history")
 
 
@@ -163,7 +173,18 @@ def score_transactions(transactions: DataFrame, customers: DataFrame, merchants:
     return score(rule_flags(transactions, customers, merchants, cfg, history))
 
 
-def rule_hits(scored: DataFrame, reason: str) -> DataFrame:
-    """Transactions for which one rule holds."""
-    return (scored.filter(F.col(RULE_COLUMNS[reason]))
-            .select("transaction_id", "customer_id", "transaction_timestamp", "amount"))
+def rule_hits(transactions: DataFrame, customers: DataFrame, merchants: DataFrame, reason: str,
+              cfg: RuleConfig = DEFAULT_RULES) -> DataFrame:
+    """Transactions for which one rule holds. A rule on one row needs no window and no
+    shuffle of the transactions, only the lookup that it names."""
+    column = RULE_COLUMNS[reason]
+    if column in _row_flags(cfg):
+        t = transactions
+        if column == "rule_new_device":
+            t = t.join(customers.select("customer_id", "trusted_device_id"), "customer_id", "left")
+        if column in ("rule_high_risk_merchant", "rule_blacklisted_merchant"):
+            t = t.join(merchants.select("merchant_id", "merchant_risk", "is_blacklisted"), "merchant_id", "left")
+        hits = t.filter(_row_flags(cfg)[column])
+    else:
+        hits = rule_flags(transactions, customers, merchants, cfg).filter(F.col(column))
+    return hits.select("transaction_id", "customer_id", "transaction_timestamp", "amount")

@@ -241,7 +241,8 @@ def _scored(spark, sf_dir) -> DataFrame:
 def _rule_query(reason: str):
     def q(spark, sf_dir):
         from vigil.operators.rules import rule_hits
-        return rule_hits(_scored(spark, sf_dir), reason)
+        d = Domain(spark, sf_dir)
+        return rule_hits(d.transactions(), d.customers(), d.merchants(), reason, _test_rules())
     q.__doc__ = f"R: transactions for which {reason} holds."
     return q
 
