@@ -476,3 +476,21 @@ def test_salted_watchlist_stream_join_gives_the_same_alerts(spark, workdir):
     n_tx = spark.read.parquet(layout.table("silver", "transactions")).count()
     n_wl = spark.read.parquet(layout.table("silver", "fraud_watchlist")).count()
     assert state_rows(q) == n_tx + 4 * n_wl          # watchlist entries copied to each of the 4 sub-keys
+
+
+def test_tables_by_name_and_silver_customers(spark, workdir):
+    from vigil.plans.reports import rpt_high_risk_customers
+    from vigil.sources.tables import write_snapshot
+    from vigil.streaming.flows import customers_table, register_tables
+    layout = Layout(workdir)
+    write_snapshot(A.customers_source(spark, SF_SMALL), layout.table("bronze", "customers"))
+    before = customers_table(spark, layout)                      # bronze, cleaned on read
+    p = Pipeline(spark, layout)
+    p.silver_customers()
+    after = customers_table(spark, layout)
+    assert after.columns == before.columns and after.count() == before.count() > 0
+    messages_between(spark, "2024-01-01", "2024-01-03").write.parquet(layout.table("bronze", "transactions"))
+    made = register_tables(spark, layout, prefix="vigil_t_")
+    assert set(made) == {"vigil_t_bronze.transactions", "vigil_t_bronze.customers", "vigil_t_silver.customers"}
+    assert spark.table("vigil_t_silver.customers").count() == after.count()
+    assert rpt_high_risk_customers(spark.table("vigil_t_silver.customers")).first() == rpt_high_risk_customers(after).first()

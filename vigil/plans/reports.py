@@ -194,7 +194,8 @@ def dashboard(spark, layout, as_of: str) -> dict[str, DataFrame]:
 
     tx = table("silver", "transactions")
     alerts = alerts_union(table("gold", "fraud_card_alert"), table("gold", "high_value_transactions_alert"))
-    customers, watchlist = table("silver", "customers"), table("silver", "fraud_watchlist")
+    from vigil.streaming.flows import customers_table
+    customers, watchlist = customers_table(spark, layout), table("silver", "fraud_watchlist")
     return {
         "high_risk_customers": rpt_high_risk_customers(customers),
         "total_transactions_today": rpt_transactions_today(tx, as_of),

@@ -22,6 +22,7 @@ import threading
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -34,6 +35,14 @@ from vigil.operators import silver as SV
 from vigil.operators.windows import transaction_counts
 from vigil.schemas import KAFKA_SCHEMA
 from vigil.sources.files import read_watchlist_stream
+from vigil.sources.tables import (
+    NAMESPACES,
+    current_snapshot_path,
+    is_missing_path,
+    read_snapshot,
+    setup_namespaces,
+    write_snapshot,
+)
 from vigil.streaming.outbox import outbox_writer
 
 
@@ -55,6 +64,52 @@ class Layout:
         return f"{self.base.rstrip('/')}/source/{name}"
 
 
+def customers_table(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The published silver customers, else the published bronze snapshot cleaned on
+    read, else the plain ``silver/customers`` folder."""
+    silver = layout.table("silver", "customers")
+    current = current_snapshot_path(spark, silver)
+    if current:
+        return spark.read.parquet(current)
+    current = current_snapshot_path(spark, layout.table("bronze", "customers"))
+    if current:
+        return SV.clean_customers(spark.read.parquet(current))
+    return spark.read.parquet(silver)
+
+
+TABLES = {
+    "bronze": ("transactions", "fraud_watchlist"),
+    "silver": ("transactions", "transactions_quarantine", "fraud_watchlist"),
+    "gold": ("high_value_transactions_alert", "fraud_card_alert", "transaction_count_by_minute",
+             "transaction_count_by_minute_sliding_window", "fraud_scores"),
+}
+
+
+def register_tables(spark: SparkSession, layout: Layout, prefix: str = "") -> list[str]:
+    """Views by name, ``<prefix><layer>.<table>``, over the tables that exist, for SQL users.
+
+    Each view reads its folder when queried, so it sees what the flows have
+    committed by then; customers are the snapshot published now.
+    """
+    setup_namespaces(spark, layout.base, {f"{prefix}{k}": v for k, v in NAMESPACES.items()})
+    paths = {(layer, name): layout.table(layer, name) for layer, names in TABLES.items() for name in names}
+    for layer in ("bronze", "silver"):
+        current = current_snapshot_path(spark, layout.table(layer, "customers"))
+        if current:
+            paths[layer, "customers"] = current
+    made = []
+    for (layer, name), path in paths.items():
+        view = f"{prefix}{layer}.{name}"
+        try:
+            spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.`{path}`")
+        except AnalysisException as e:
+            if not is_missing_path(e):
+                raise
+        else:
+            made.append(view)
+    return made
+
+
 class QueryId:
     """Id of a query for its own foreachBatch function, which may run before ``start()`` returns.
 
@@ -213,15 +268,14 @@ class Pipeline:
         """Customer lookup for the gold flows: the published silver snapshot,
         else the published bronze snapshot (as kept by ``customers_upsert``)
         cleaned on read, else the plain ``silver/customers`` folder."""
-        from vigil.sources.tables import current_snapshot_path
-        silver = self.layout.table("silver", "customers")
-        current = current_snapshot_path(self.spark, silver)
-        if current:
-            return self.spark.read.parquet(current)
-        current = current_snapshot_path(self.spark, self.layout.table("bronze", "customers"))
-        if current:
-            return SV.clean_customers(self.spark.read.parquet(current))
-        return self.spark.read.parquet(silver)
+        return customers_table(self.spark, self.layout)
+
+    def silver_customers(self) -> str:
+        """The newest bronze customer snapshot, with the drop expectations applied and
+        cleaned, published as the silver snapshot; returns its folder."""
+        rows = read_snapshot(self.spark, self.layout.table("bronze", "customers"))
+        clean = SV.clean_customers(Q.keep_valid(rows, Q.CUSTOMER_EXPECTATIONS))
+        return write_snapshot(clean, self.layout.table("silver", "customers"))
 
     def gold_high_value(self) -> StreamingQuery:
         tx = self._read("silver", "transactions", self.silver_schema())
@@ -235,7 +289,6 @@ class Pipeline:
         next batch on, without restarting the query. Each batch writes
         ``gold/high_value_transactions_alert_fresh/query=id/batch_id=n`` (overwrite: a
         retried batch replaces its own output)."""
-        from vigil.sources.tables import read_snapshot
         out_path = self.layout.table("gold", "high_value_transactions_alert_fresh")
         spark, alert_time, query_id = self.spark, self.alert_time, QueryId()
 
@@ -321,7 +374,6 @@ class Pipeline:
         the result is written as a new snapshot version named after the batch
         and published with a new marker. A retried batch rewrites its
         own, not yet published version; a published one is left as it is."""
-        from vigil.sources.tables import current_snapshot_path, write_snapshot
         path = snapshot_path or self.layout.table("bronze", "customers")
         spark, query_id = self.spark, QueryId()
 
