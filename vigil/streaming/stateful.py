@@ -164,10 +164,10 @@ def stream_scores(transactions: DataFrame, customers: DataFrame, merchants: Data
 # Tail-based scoring: the same plan as batch scoring, per micro-batch.
 #
 # Each micro-batch is scored together with a "tail": the transactions of the
-# last ``horizon`` seconds before the newest event seen so far (rows older
-# than that can no longer change any history rule for rows arriving in event
-# order; a row arriving more than the horizon out of order is scored against
-# the history kept so far, as with the state-based scorer). The batch scorer's
+# last ``horizon`` seconds, and the watermark's delay, before each customer's
+# newest event so far (older rows can no longer change a history rule for rows
+# that arrive within the delay; a row that comes later is scored against the
+# history kept so far). The batch scorer's
 # time-bucketed windows run on batch + tail, so a hot customer is spread over
 # tasks within a micro-batch too, and no Python runs per group. The tail is a
 # Parquet folder per batch id, published by a marker; a retried batch reads
@@ -190,7 +190,7 @@ def _tail_before(spark, tail_path: str, batch_id: int) -> DataFrame | None:
 
 def tail_scoring_writer(out_path: str, tail_path: str, customers: DataFrame, merchants: DataFrame,
                         cfg: RuleConfig = DEFAULT_RULES, columns: list[str] | None = None,
-                        query_id: Callable[[], str] | None = None):
+                        query_id: Callable[[], str] | None = None, watermark: str = K.WATERMARK_DELAY):
     """A ``foreachBatch`` function: score the batch with the previous tail as
     history, write ``out_path/batch_id=n`` (below ``query=<id>`` where the
     query's id is given), publish the new tail."""
@@ -207,10 +207,11 @@ def tail_scoring_writer(out_path: str, tail_path: str, customers: DataFrame, mer
             scored = score_transactions(batch, customers, merchants, cfg, history=history)
             scored.write.mode("overwrite").parquet(f"{out_path}{own}/batch_id={batch_id}")
             rows = batch if history is None else batch.unionByName(history.select(*cols))
-            newest = F.broadcast(rows.agg(F.max("transaction_timestamp").alias("_newest")))
-            tail = (rows.join(newest, F.col("transaction_timestamp") >=
-                              F.col("_newest") - interval_seconds(cfg.horizon_seconds), "inner")
-                    .drop("_newest"))
+            # by customer, so one event dated in the future doesn't empty the others' tails
+            newest = rows.groupBy(F.col("customer_id").alias("_customer")).agg(F.max("transaction_timestamp").alias("_newest"))
+            keep_from = F.col("_newest") - interval_seconds(cfg.horizon_seconds + _seconds(watermark))
+            tail = (rows.join(newest, F.col("customer_id").eqNullSafe(F.col("_customer")))
+                    .filter(F.col("transaction_timestamp") >= keep_from).select(*cols))
             folder = f"{tail_path}{own}/batch_{batch_id:012d}"
             tail.write.mode("overwrite").parquet(folder)
             (spark.createDataFrame([(batch_id, folder)], _TAIL_MARKER_SCHEMA).coalesce(1)
