@@ -25,13 +25,8 @@ def components(links: DataFrame) -> DataFrame:
     a, b = (F.col(f"`{c}`") for c in links.columns)
     now = links.filter(a.isNotNull() & b.isNotNull() & (a != b)).select(
         F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
-    now, before = stored(now, "links"), None
-    while True:
-        state = now.agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(u, v))").alias("x")).first()
-        if state == before:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
-                now.select("v", "v").distinct())
-        before = state
+    now = stored(now, "links")
+    while not _all_stars(now):
         # large star: neighbours above u go to the least node around u
         both = now.union(now.select("v", "u"))
         least = _least_neighbour(both).select("u", F.least("u", "m").alias("m"))
@@ -42,3 +37,11 @@ def components(links: DataFrame) -> DataFrame:
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
             F.struct(F.col("u"), F.col("m").alias("v")))).alias("e")).select("e.*").filter("u != v").distinct()
         now = stored(small, "links")
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select("v", "v").distinct())
+
+
+def _all_stars(links: DataFrame) -> bool:
+    """Whether each u has one link, to a node that links to no other."""
+    ends = links.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+                                          F.struct(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))).alias("e")).select("e.*")
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up > 1 or up = 1 and down = 1").isEmpty()
