@@ -35,7 +35,11 @@ MAGIC = b"VWM1"
 RANK_BITS = 512
 SHARD_TOKENS = 1 << 20
 SLICE_BYTES = 16 << 20
-#: a space before one of these bytes may stand before white space
+#: ASCII letters; ASCII other than white space; of those, not letters; bytes that may begin white space
+_LETTER = np.array([chr(i).isalpha() and i < 128 for i in range(256)])
+_SOLID = np.arange(256) < 128
+_SOLID[[*range(0x09, 0x0E), *range(0x1C, 0x21)]] = False
+_SIGN = _SOLID & ~_LETTER
 _MAYBE_WHITE = np.isin(np.arange(256), [*range(0x09, 0x0E), *range(0x1C, 0x21), 0xC2, 0xE1, 0xE2, 0xE3])
 
 
@@ -173,9 +177,10 @@ def read_shard(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, Wavelet
 
 
 class Encoder:
-    """Whole texts to ids. Texts are cut before each space that stands before
-    something other than white space (where byte-level pre-tokenization always cuts), and
-    each distinct piece is encoded once."""
+    """Whole texts to ids. Texts are cut where byte-level pre-tokenization always
+    cuts: before a space that stands before something other than white space, between an ASCII
+    letter and an ASCII sign or digit, and behind a single line end. Each distinct
+    piece of a slice is encoded once."""
 
     def __init__(self, path: str, end_id: int) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -231,6 +236,8 @@ class Encoder:
             edge = np.zeros(len(raw) + 1, bool)
             if len(raw):
                 edge[: len(raw) - 1] = (raw[:-1] == 0x20) & ~_MAYBE_WHITE[raw[1:]]
+                edge[1:-1] |= _LETTER[raw[:-1]] & _SIGN[raw[1:]]
+                edge[2:-1] |= (raw[1:-1] == 0x0A) & _SOLID[raw[:-2]] & _SOLID[raw[2:]]
             edge[at] = True  # an empty text adds no piece
             cuts = np.flatnonzero(edge)
             pieces = pa.LargeStringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(raw)))
