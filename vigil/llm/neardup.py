@@ -42,7 +42,7 @@ CHUNKS, CHUNK = 12, 4
 SYMBOLS = CHUNKS * CHUNK
 MOST_DIFFERENT = 2 * CHUNKS - 1
 BLOCK = 1024
-SETS_BYTES = 32 << 20
+SETS_BYTES = 8 << 20
 FINE = 1024
 _rng = np.random.default_rng(99)
 _A = _rng.integers(0, 1 << 63, SYMBOLS + FINE, dtype=np.uint64) | np.uint64(1)
@@ -237,11 +237,11 @@ def in_blocks(members: DataFrame, signed: DataFrame) -> DataFrame:
 def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The stored ``pairs`` (a, b) with 100 * intersection >= percent * union on the full sets.
 
-    The sets are broadcast if they have at most
-    SETS_BYTES together; else pairs and sets are shuffled.
+    The sets are broadcast if they have at most SETS_BYTES together; else pairs
+    and sets are shuffled, in joins that nothing but a write follows, so that
+    Spark may split a centre of very many pairs.
     """
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    needed = stored(needed, "needed")
+    needed = stored(pairs.select(F.col("a").alias("doc_id")).distinct().union(pairs.select("b").distinct()).distinct(), "needed")
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(broadcast_if_small(needed), "doc_id", "left_semi")
     sets = stored(shingle_sets(texts, width), "sets")
     size = sets.agg(F.sum(F.size("shingles") * 8 + 32)).first()[0] or 0
@@ -251,7 +251,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
             .join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a"))
     common = F.size(F.array_intersect("sa", "sb"))
     return both.select("a", "b", (F.size("sa") + F.size("sb")).alias("n"), common.alias("common")).filter(
-        F.col("common") * 100 >= (F.col("n") - F.col("common")) * percent).select("a", "b").distinct()
+        F.col("common") * 100 >= (F.col("n") - F.col("common")) * percent).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFrame:
