@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import balltree, decontaminate, html_text, langid, mixing, neardup, pseudo_lm, substring, toxicity, wavelet
+from vigil.llm import balltree, decontaminate, html_text, langid, mixing, neardup, substring, toxicity, wavelet, word_lm
 from vigil.llm.scratch import scratch_path
 
 
@@ -45,7 +45,7 @@ def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pseudo_lm.score(table(spark, sf_dir, "documents"))
+    return word_lm.score(table(spark, sf_dir, "documents"))
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
