@@ -48,7 +48,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids in wavelet shards; a row for each document read back from them."""
     path = scratch_path(spark, "tokens")
-    wavelet.write_shards(docs, path, tokenizer=tokenizer_path(), end_id=2)
+    wavelet.write_shards(docs, path, tokenizer=tokenizer_path(), end_id=2, added_tokens=True)
     return wavelet.read_documents(spark, path)
 
 

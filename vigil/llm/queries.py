@@ -56,7 +56,7 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 
 def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
-    wavelet.write_shards(table(spark, sf_dir, "documents"), path, tokenizer=tokenizer_path(), end_id=2)
+    wavelet.write_shards(table(spark, sf_dir, "documents"), path, tokenizer=tokenizer_path(), end_id=2, added_tokens=True)
     return wavelet.read_documents(spark, path)
 
 

@@ -18,6 +18,7 @@ empty table gives no shards; other columns play no part.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -180,14 +181,20 @@ class Encoder:
     """Whole texts to ids. Texts are cut where byte-level pre-tokenization always
     cuts: before a space that stands before something other than white space, between an ASCII
     letter and an ASCII sign or digit, and behind a single line end. Each distinct
-    piece of a slice is encoded once."""
+    piece of a slice is encoded once. With ``added_tokens``, as by the library's default, the strings
+    of the tokenizer's added tokens get those tokens' ids; without, they are ordinary text."""
 
-    def __init__(self, path: str, end_id: int) -> None:
+    def __init__(self, path: str, end_id: int, added_tokens: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not added_tokens
+        known = self.tokenizer.get_added_tokens_decoder().values()
+        if added_tokens and any(x.lstrip or x.rstrip or x.single_word for x in known):
+            raise ValueError("added tokens that take in or ask for neighbouring characters")
+        contents = sorted((x.content.encode() for x in known), key=len, reverse=True) if added_tokens else []
+        self.added = re.compile(b"|".join(map(re.escape, contents))) if contents else None
         self.end_id = end_id
         size = self.tokenizer.get_vocab_size()
         self.bits = max(1, (max(size, end_id + 1) - 1).bit_length())
@@ -204,7 +211,8 @@ class Encoder:
         space = np.concatenate([[0], np.cumsum(data == 0x20)])
         filled = np.diff(offsets) > 0
         plain = filled & (np.diff(space[offsets]) == 1)
-        plain[plain] = data[offsets[:-1][plain]] == 0x20  # a space in front and nowhere else
+        plain &= np.diff(offsets) > 1
+        plain[plain] = (data[offsets[:-1][plain]] == 0x20) & ~_MAYBE_WHITE[data[offsets[:-1][plain] + 1]]  # a space in front and nowhere else
         found: list[tuple[np.ndarray, np.ndarray]] = []
         at = np.flatnonzero(plain)
         if len(at):
@@ -229,6 +237,23 @@ class Encoder:
             out[np.repeat(first[which] - (np.cumsum(n) - n), n) + np.arange(len(ids))] = ids
         return out, first
 
+    def _around_added(self, raw: np.ndarray, at: np.ndarray, edge: np.ndarray) -> None:
+        """Cut before and behind added tokens, but neither inside nor before a space in front of one, which ends its run of text."""
+        if self.added is None:
+            return
+        text, pos = memoryview(raw), 0
+        while (found := self.added.search(text, pos)) is not None:
+            a, b = found.span()
+            row_end = int(at[np.searchsorted(at, a, side="right")])
+            if b > row_end:  # over the end of a text
+                pos = a + 1
+                continue
+            edge[a + 1: b] = False
+            if a and raw[a - 1] == 0x20 and a - 1 != pos:
+                edge[a - 1] = False
+            edge[a] = edge[b] = True
+            pos = b
+
     def encode(self, column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(ids of a run of texts, their lengths), end ids included, in the column's order."""
         data, offsets = column_bytes(column)
@@ -238,6 +263,7 @@ class Encoder:
                 edge[: len(raw) - 1] = (raw[:-1] == 0x20) & ~_MAYBE_WHITE[raw[1:]]
                 edge[1:-1] |= _LETTER[raw[:-1]] & _SIGN[raw[1:]]
                 edge[2:-1] |= (raw[1:-1] == 0x0A) & _SOLID[raw[:-2]] & _SOLID[raw[2:]]
+            self._around_added(raw, at, edge)
             edge[at] = True  # an empty text adds no piece
             cuts = np.flatnonzero(edge)
             pieces = pa.LargeStringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(raw)))
@@ -258,15 +284,15 @@ class Encoder:
                 begin = stop
 
 
-def write_shards(docs: DataFrame, path: str, *, tokenizer: str, end_id: int, shard_tokens: int = SHARD_TOKENS) -> None:
-    """Encode ``docs`` (doc_id, text) and write the shard table to ``path``."""
+def write_shards(docs: DataFrame, path: str, *, tokenizer: str, end_id: int, shard_tokens: int = SHARD_TOKENS, added_tokens: bool = False) -> None:
+    """Encode ``docs`` (doc_id, text) and write the shard table to ``path``; ``added_tokens`` as in ``Encoder``."""
     ship_by_value()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part, seq, offset = TaskContext.get().partitionId(), 0, 0
-        encoder = Encoder(tokenizer, end_id)
+        encoder = Encoder(tokenizer, end_id, added_tokens)
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
         size = 0
 
