@@ -4,11 +4,11 @@ A page is cut into blocks at block-level tags. What stands in scripts, styles,
 menus, page headers, footers, sidebars, forms, or in elements whose class, id or
 role names a notice, advert, comment or the like is no candidate. The first pass decides
 blocks by length, link density and stop-word density: good, bad, or ambiguous if too
-short or in between. In the second pass an ambiguous block takes the label of its
+short or in between; few stop words alone make none bad, as they may be of another language. Undecided neighbours that
+hold more than ``LONG`` characters together are text, and so good. In the second pass an ambiguous block takes the label of its
 nearest decided neighbours of the same part of the page (both equal, or the nearer
-one, or the good one of two as near). Where a page marks its article (article or main elements), only blocks inside
-are candidates, and the stop-word rule, which would drop odd but marked
-prose, only decides between good and ambiguous there.
+one, or the good one of two as near). Where a page marks its article (article or main elements), all blocks inside
+are good, and no others.
 
 Each page is one row's work; a page's size is the only thing held at a time besides the Arrow batch.
 
@@ -55,7 +55,10 @@ HIDDEN = re.compile(r"""(?:^|[\s"'])hidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?tr
 NAME_WORDS = re.compile(r"[a-z]+")
 WORD = re.compile(r"[^\W\d_]+")
 
-SHORT, LONG, MOST_LINKS, STOP_LOW, STOP_HIGH = 70, 200, 0.2, 0.30, 0.32
+NOTICE = re.compile(r"(?:copyright\s*)?(?:©|\(c\)\s*\d{4})", re.IGNORECASE)
+WIDE = re.compile(r"[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af]")  # a character of these says as much as three letters
+
+SHORT, LONG, MOST_LINKS, STOP_HIGH = 70, 200, 0.2, 0.32
 
 
 class Block:
@@ -157,23 +160,41 @@ def blocks_of(html: str) -> tuple[list[Block], bool]:
     return out, any_article
 
 
+def weight(text: str) -> int:
+    return len(text) if text.isascii() else len(text) + 2 * len(WIDE.findall(text))
+
+
 def first_pass(block: Block, marked: bool) -> bool | None:
     """Good, bad, or None for ambiguous."""
-    text, size = block.text, len(block.text)
-    density = block.linked / size
-    if density > MOST_LINKS and not (marked and density <= 0.5):
-        return None if marked and size < SHORT and density < 1 else False
-    if not marked and "©" in text:
+    if marked:
+        return True
+    text, size = block.text, weight(block.text)
+    density = block.linked / len(text)
+    if density > MOST_LINKS or NOTICE.match(text):
         return False
     if size < SHORT:
-        return False if density > 0 and not marked else None
+        return False if density > 0 else None
     found = [w.lower() for w in WORD.findall(text)]
     stop = sum(w in STOP_WORDS for w in found) / max(1, len(found))
-    if stop >= STOP_HIGH and size > LONG or marked and size > LONG:
-        return True
-    if stop >= STOP_LOW or marked:
-        return None
-    return False
+    return True if stop >= STOP_HIGH and size > LONG else None
+
+
+def text_runs(found: list[Block], labels: list[bool | None]) -> list[bool | None]:
+    """``labels`` with the undecided blocks good that aren't short, where a run of undecided ones holds more than LONG; or all of them if nothing is good."""
+    out, i = list(labels), 0
+    sizes = [weight(b.text) if x is None else 0 for b, x in zip(found, labels, strict=True)]
+    while i < len(out):
+        j = i
+        while j < len(out) and labels[j] is None and found[j].part == found[i].part:
+            j += 1
+        long = [k for k in range(i, j) if sizes[k] >= SHORT]
+        if sum(sizes[k] for k in long) > LONG:
+            for k in long:
+                out[k] = True
+        i = max(j, i + 1)
+    if True not in out:
+        out = [True if x is None and n >= SHORT else x for x, n in zip(out, sizes, strict=True)]
+    return out
 
 
 def second_pass(labels: list[bool | None], parts: list[int], marked: bool) -> list[bool]:
@@ -203,7 +224,7 @@ def main_text(html: str | None) -> str:
     found, marked = blocks_of(html or "")
     if marked:
         found = [b for b in found if b.part]
-    labels = second_pass([first_pass(b, marked) for b in found], [b.part for b in found], marked)
+    labels = second_pass(text_runs(found, [first_pass(b, marked) for b in found]), [b.part for b in found], marked)
     return "\n\n".join(b.text for b, good in zip(found, labels, strict=True) if good)
 
 
