@@ -26,3 +26,19 @@ def test_copyright_sign_within_prose():
 def test_linked_blocks_of_a_marked_article():
     page = "<nav><a href=n>menu</a></nav><article><h1><a href=x>Headline</a></h1><p>Text.</p><ol><li><a href=a>First reference</a></li></ol></article>"
     assert main_text(page) == "Headline\n\nText.\n\nFirst reference"
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<article><p class=ad>Buy<p>Article text<p>More</article>", "Article text\n\nMore"),
+    ("<article><ul><li class=social>Share<li>First<li>Second</ul><p>End</article>", "First\n\nSecond\n\nEnd"),
+    ("<article><div><p class=ad>Buy<b>now</div><p>Text</article><p>out", "Text"),
+    ("<article><table><tr><td class=ad>Buy<td>Cell<tr><td>Next</table>After</article>", "Cell\n\nNext\n\nAfter"),
+    ("<article><dl><dt class=ad>Buy<dd>Meaning</dl></article>", "Meaning"),
+    ("<article><div class=ad><ul><li>One<li>Two</ul><p>Buy</div>Text</article>", "Text"),
+    ("<article><div class=ad>Buy</article><article>Second</article>", "Second"),
+    ("<div><article><p>In</div><p>still in</article>", "In\n\nstill in"),
+    ("<article><nav><ul><li>x</nav><p>Text", "Text"),
+    ("<form><article><p>in</form>more</article><p>out", "in\n\nmore"),
+])
+def test_dropped_elements_end_where_browsers_end_them(page, want):
+    assert main_text(page) == want

@@ -44,6 +44,16 @@ DROPPED = frozenset("head nav footer aside form button dialog menu fieldset".spl
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6
 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+# Start tags that end open elements (whose end tags may be omitted), and where the search for those stops.
+_ENDS_P = frozenset("""address article aside blockquote center details dialog dir div dl dd dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li
+main menu nav ol p pre section summary table ul""".split())
+_ROWS = frozenset("tbody thead tfoot".split())
+IMPLIED = {"li": (frozenset(["li"]), frozenset("ul ol menu".split())), "dd": (frozenset(["dd", "dt"]), frozenset(["dl"])), "dt": (frozenset(["dd", "dt"]), frozenset(["dl"])),
+           "td": (frozenset(["td", "th"]), frozenset(["tr", "table"])), "th": (frozenset(["td", "th"]), frozenset(["tr", "table"])),
+           "tr": (frozenset(["tr", "caption"]), frozenset(["table"])), **{x: (_ROWS | {"caption"}, frozenset(["table"])) for x in _ROWS},
+           "option": (frozenset(["option"]), frozenset("select datalist optgroup".split())), "optgroup": (frozenset(["optgroup", "option"]), frozenset(["select"]))}
+IMPLIED |= {x: (frozenset([x]), frozenset("table td th button".split())) for x in ("a", "button")}
+P_ONLY = (frozenset(["p"]), frozenset("table td th caption button".split()))
 # Words in a class, id or role that mark what isn't the article.
 MARKS = frozenset("""ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments complementary contentinfo consent cookie cookies copyright
 dialog disqus disclaimer footer header login masthead menu modal nav navbar navigation newsletter notice notices notification overlay pagination paywall popup promo promoted related
@@ -85,9 +95,40 @@ def blocks_of(html: str) -> tuple[list[Block], bool]:
     """Candidate blocks in page order; whether the page marks its article."""
     out: list[Block] = []
     parts: list[tuple[str, int]] = []  # pieces of the block, and whether each is in a link
-    outside: list[str] = []  # open elements from the outermost dropped one on, if any
+    stack: list[tuple[str, bool]] = []  # open elements, and whether what they hold is dropped
+    count: dict[str, int] = {}  # open elements of each name
+    outside = False  # what stands here is dropped
     article, links, any_article, at, n = 0, 0, False, 0, len(html)
 
+    def push(name: str, dropped: bool) -> None:
+        nonlocal outside
+        stack.append((name, dropped))
+        count[name] = count.get(name, 0) + 1
+        outside = dropped
+
+    def shorten(size: int) -> None:
+        """End the elements from number ``size`` on."""
+        nonlocal outside
+        after = size > 0 and stack[size - 1][1]
+        if after != outside or any(x in BLOCKS for x, _ in stack[size:]):
+            flush()
+        for x, _ in stack[size:]:
+            count[x] -= 1
+        del stack[size:]
+        outside = after
+
+    def close(names: frozenset[str], scope: frozenset[str], inline: bool = False) -> None:
+        """End the innermost open element of ``names``, with all it holds, unless ``scope`` comes first; an article ends by its own tag only."""
+        if not any(count.get(x) for x in names):
+            return
+        for k in range(len(stack) - 1, -1, -1):
+            x, dropped = stack[k]
+            if x in names:
+                shorten(k)
+                return
+            if x in scope or x in ("article", "main") and not dropped or inline and x in BLOCKS:
+                return
+
     def flush() -> None:
         text = " ".join("".join(p for p, _ in parts).split())
         if text:
@@ -132,19 +173,29 @@ def blocks_of(html: str) -> tuple[list[Block], bool]:
         if name in ("article", "main"):
             flush()
             if closing:
-                article = max(0, article - 1)
-            elif not _marked(name, attributes, True):
+                k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None) if count.get(name) else None
+                if k is not None:
+                    article -= sum(x in ("article", "main") and not dropped for x, dropped in stack[k:])
+                    shorten(k)
+                continue
+            close(*P_ONLY)
+            if not _marked(name, attributes, True):
                 article += 1
                 any_article = True
-                outside = []  # a form or the like around the article isn't dropped
+                push(name, False)  # a form or the like around the article isn't dropped
                 continue
+        elif closing:
+            if name in BLOCKS:
+                flush()
+            close(frozenset([name]), frozenset(["table"]) if name not in ("table", "body", "html") and name in BLOCKS else frozenset(), name not in BLOCKS)
+        else:
+            if name in _ENDS_P:
+                close(*P_ONLY)
+            if name in IMPLIED:
+                close(*IMPLIED[name])
         if outside:
-            if closing:
-                if name in outside:
-                    while outside and outside.pop() != name:
-                        pass
-            elif name not in VOID and not attributes.endswith("/"):
-                outside.append(name)
+            if not closing and name not in VOID and not attributes.endswith("/"):
+                push(name, True)
             continue
         if name == "a":
             links = 0 if closing else 1
@@ -153,9 +204,11 @@ def blocks_of(html: str) -> tuple[list[Block], bool]:
         if name in BLOCKS:
             flush()
             links = 0
-        if not closing and name not in VOID and not attributes.endswith("/") and _marked(name, attributes, article > 0):
-            flush()
-            outside = [name]
+        if not closing and name not in VOID and not attributes.endswith("/"):
+            dropped = _marked(name, attributes, article > 0)
+            if dropped:
+                flush()
+            push(name, dropped)
     flush()
     return out, any_article
 
