@@ -42,3 +42,21 @@ def test_linked_blocks_of_a_marked_article():
 ])
 def test_dropped_elements_end_where_browsers_end_them(page, want):
     assert main_text(page) == want
+
+
+PROSE = "The results of the second study were the same as those of the first one, and they hold for all of the groups."
+
+
+@pytest.mark.parametrize("inner, want", [
+    (f"<section id='related-work'><p>{PROSE}</section>", PROSE),
+    (f"<section id=search-algorithms><h2 id=share-prices>Share prices</h2><p>{PROSE}</section>", f"Share prices\n\n{PROSE}"),
+    ("<p class=notice>Short but of the article", "Short but of the article"),
+    ("<div class='article-header'><h1>Title</h1></div>", "Title"),
+    ("<div class='tags-and-text'>Text</div>", "Text"),
+    (f"<div class=related><p>{PROSE}</div>", PROSE),
+    ("<div class='related-posts'><a href=x>Another one</a></div><div class='share-buttons'>Share</div><p>End", "End"),
+    (f"<section id=comments><p>{PROSE}</section><div class='ad-slot'>{PROSE}</div><p>End", "End"),
+    (f"<div class=notice>Short<p>{PROSE}</div><div class=social>Follow</div>End", f"Short\n\n{PROSE}\n\nEnd"),
+])
+def test_names_with_a_marking_word_keep_article_text(inner, want):
+    assert main_text(f"<article>{inner}</article>") == want

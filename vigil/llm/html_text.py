@@ -62,6 +62,12 @@ replies respond search share sharing shoutbox sidebar sidebars signup skip socia
 TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""")
 ATTRIBUTE = re.compile(r"""(?:^|[\s"'])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 HIDDEN = re.compile(r"""(?:^|[\s"'])hidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.IGNORECASE)
+# Words that may stand beside those in a compound name, and names that an article's own text may bear as well.
+BESIDE = frozenset("""area bar block bottom box btn button buttons container content fixed footer form global group inner item items left link links list main mobile
+module outer page panel posts primary right row secondary section site slot stories articles sticky text top unit wrap wrapper""".split())
+DOUBTFUL = frozenset("""banner copyright dialog disclaimer header login menu navigation notice notices notification overlay pagination related replies respond search
+share sharing social sponsor sponsored subscription tags toolbar widget widgets""".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 NAME_WORDS = re.compile(r"[a-z]+")
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -72,23 +78,42 @@ SHORT, LONG, MOST_LINKS, STOP_HIGH = 70, 200, 0.2, 0.32
 
 
 class Block:
-    """Text of a block, its characters within links, and where it stands."""
+    """Text of a block, its characters within links, where it stands, and the number of the doubtful element that holds it, if any."""
 
-    __slots__ = ("text", "linked", "part")
+    __slots__ = ("text", "linked", "part", "doubt")
 
-    def __init__(self, text: str, linked: int, part: int) -> None:
-        self.text, self.linked, self.part = text, linked, part
+    def __init__(self, text: str, linked: int, part: int, doubt: int = 0) -> None:
+        self.text, self.linked, self.part, self.doubt = text, linked, part, doubt
 
 
-def _marked(name: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element holds something else than the article."""
+def _names(value: str) -> Iterator[str]:
+    """The marks among the names of a class, id or role: whole ones, and compounds of marks and words that go with them."""
+    for name in value.lower().split():
+        found = NAME_WORDS.findall(name)
+        marks = MARKS.intersection(found)
+        if marks and all(w in MARKS or w in BESIDE for w in found):
+            yield from marks
+
+
+def _marked(name: str, attributes: str, in_article: bool) -> bool | None:
+    """Whether an element holds something else than the article; None if its blocks must tell."""
     if name in DROPPED or name == "header" and not in_article:
         return True
     if not attributes or name in ("html", "body", "article", "main") and not HIDDEN.search(attributes) and "comment" not in attributes.lower():
         return False
     if HIDDEN.search(attributes):
         return True
-    return any(MARKS.intersection(NAME_WORDS.findall((a or b or c).lower())) for _, a, b, c in ATTRIBUTE.findall(attributes))
+    found = set()
+    for kind, a, b, c in ATTRIBUTE.findall(attributes):
+        value, kind = a or b or c, kind.lower()
+        if kind == "id" and (name in HEADINGS or name == "section" and not value.isalpha()):
+            continue  # made from the heading's words
+        found.update(_names(value))
+    if not found:
+        return False
+    if not in_article or found - DOUBTFUL:
+        return True
+    return False if name == "p" or name in HEADINGS else None
 
 
 def blocks_of(html: str) -> tuple[list[Block], bool]:
@@ -98,6 +123,8 @@ def blocks_of(html: str) -> tuple[list[Block], bool]:
     stack: list[tuple[str, bool]] = []  # open elements, and whether what they hold is dropped
     count: dict[str, int] = {}  # open elements of each name
     outside = False  # what stands here is dropped
+    doubt: tuple[int, int] | None = None  # number of the outermost doubtful element, and elements open around it
+    n_doubts = 0
     article, links, any_article, at, n = 0, 0, False, 0, len(html)
 
     def push(name: str, dropped: bool) -> None:
@@ -108,13 +135,15 @@ def blocks_of(html: str) -> tuple[list[Block], bool]:
 
     def shorten(size: int) -> None:
         """End the elements from number ``size`` on."""
-        nonlocal outside
+        nonlocal outside, doubt
         after = size > 0 and stack[size - 1][1]
-        if after != outside or any(x in BLOCKS for x, _ in stack[size:]):
+        if after != outside or doubt and doubt[1] >= size or any(x in BLOCKS for x, _ in stack[size:]):
             flush()
         for x, _ in stack[size:]:
             count[x] -= 1
         del stack[size:]
+        if doubt and doubt[1] >= size:
+            doubt = None
         outside = after
 
     def close(names: frozenset[str], scope: frozenset[str], inline: bool = False) -> None:
@@ -133,7 +162,7 @@ def blocks_of(html: str) -> tuple[list[Block], bool]:
         text = " ".join("".join(p for p, _ in parts).split())
         if text:
             linked = len(" ".join("".join(p for p, in_link in parts if in_link).split()))
-            out.append(Block(text, linked, 1 if article else 0))
+            out.append(Block(text, linked, 1 if article else 0, doubt[0] if doubt else 0))
         parts.clear()
 
     while at < n:
@@ -206,11 +235,16 @@ def blocks_of(html: str) -> tuple[list[Block], bool]:
             links = 0
         if not closing and name not in VOID and not attributes.endswith("/"):
             dropped = _marked(name, attributes, article > 0)
-            if dropped:
+            if dropped is not False:
                 flush()
-            push(name, dropped)
+            if dropped is None and not doubt:
+                n_doubts += 1
+                doubt = (n_doubts, len(stack))
+            push(name, bool(dropped))
     flush()
-    return out, any_article
+    # a doubtful element stays if one of its blocks is prose: not short, and not mostly links
+    prose = {b.doubt for b in out if weight(b.text) >= SHORT and b.linked <= MOST_LINKS * len(b.text)}
+    return [b for b in out if not b.doubt or b.doubt in prose], any_article
 
 
 def weight(text: str) -> int:
