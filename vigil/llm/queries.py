@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import balltree, decontaminate, html_text, langid, mixing, neardup, substring, toxicity, wavelet, word_lm
+from vigil.llm import (balltree, decontaminate, divergence, exact_dedup, hard_negatives, html_text, langid, mixing, neardup, substring, toxicity,
+                       wavelet, word_lm)
 from vigil.llm.scratch import scratch_path
 
 
@@ -64,6 +65,19 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(table(spark, sf_dir, "documents"), window=50)
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label, scale=256.0)
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"), min_docs=30)
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_html_extraction": op2_html_extraction,
@@ -75,6 +89,9 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_token_output": op9_token_output,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLE: dict[str, str] = {
@@ -119,4 +136,55 @@ WITH whole AS (
   SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM scored
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
+    "op11_exact_dedup": """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+g AS (SELECT text, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY text)
+SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d.text) AS text_sha256 FROM d JOIN g USING (text)""",
+    "op12_hard_negatives": """
+WITH whole AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS alike, list_inner_product(a.v, c.v)::BIGINT AS score
+  FROM whole a JOIN whole c ON a.vec_id % 50 = 0 AND c.vec_id <> a.vec_id AND len(a.v) = len(c.v)
+), positive AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+         row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS nth
+  FROM scored WHERE alike
+), negative AS (
+  SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+  FROM positive p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.alike AND p.nth <= 5
+   AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negative WHERE rank <= 3""",
+    "op13_source_divergence": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), w AS (SELECT row, lang, source, unnest(words) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS total FROM w GROUP BY lang, term HAVING count(DISTINCT row) >= 30),
+lang AS (SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY lang),
+grp AS (SELECT DISTINCT lang, source FROM d),
+cnt AS (SELECT w.lang, w.source, w.term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY w.lang, w.source, w.term),
+tot AS (SELECT grp.lang, grp.source, coalesce(sum(cnt.n), 0) AS n FROM grp LEFT JOIN cnt USING (lang, source) GROUP BY grp.lang, grp.source),
+full_p AS (
+  SELECT tot.lang, tot.source, kept.term, coalesce(cnt.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(cnt.n, 0) + 5)) // (tot.n + 5 * lang.v) AS p,
+         1 + (1000000000::HUGEINT * (kept.total + 5)) // (lang.n + 5 * lang.v) AS q
+  FROM tot JOIN lang USING (lang) JOIN kept USING (lang) LEFT JOIN cnt ON cnt.lang = tot.lang AND cnt.source = tot.source AND cnt.term = kept.term
+), pair AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM full_p a JOIN full_p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source
+), every_pair AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pair.value, 0)::BIGINT AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source
+), term AS (SELECT lang, source, 'term' AS part, term AS item, (p - q)::BIGINT AS value FROM full_p WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+  FROM (SELECT * FROM every_pair UNION ALL SELECT * FROM term)
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50""",
 }
