@@ -568,3 +568,10 @@ SELECT * EXCLUDE (_key), CASE WHEN _key % 4 = 0 THEN 'checked SOC' END AS note F
                                                 "watchlist_file")
 ORACLE["stream_fraud_scores_tail"] = ORACLE["fraud_scores"]
 ORACLE["fraud_card_alerts_salted"] = ORACLE["fraud_card_alerts"]
+
+# ---- incremental customers (S24): new customers are committed half an hour late
+ORACLE["stream_customers_incremental"] = with_ctes(f"""
+SELECT * REPLACE (CASE WHEN customer_segment = 'MACHINERY' AND update_timestamp = TIMESTAMP '{A.CHANGE_TIME}'
+                       THEN update_timestamp - INTERVAL 30 MINUTE ELSE update_timestamp END AS update_timestamp)
+FROM customer_log""", "customer_log")
+ORACLE["stream_fraud_scores_corrected"] = ORACLE["fraud_scores"]

@@ -178,6 +178,21 @@ def q_stream_customers_upsert(spark, sf_dir):
     return read_snapshot(spark, snapshot)
 
 
+@register("stream_customers_incremental")
+def q_stream_customers_incremental(spark, sf_dir):
+    """The customer table read incrementally by (update time, id) in three runs: the first
+    load, changed customers, and new customers committed late, half an hour below the mark."""
+    layout = Layout(fresh_dir(spark, "customers_incremental"))
+    table = layout.table("source", "customers")
+    changes = A.customer_changes(spark, sf_dir)
+    late = changes.filter("customer_segment = 'MACHINERY'").withColumn("update_timestamp", F.expr("update_timestamp - INTERVAL 30 MINUTES"))
+    p = Pipeline(spark, layout)
+    for committed in (A.customers_source(spark, sf_dir), changes.filter("customer_segment != 'MACHINERY'"), late):
+        committed.write.mode("append").parquet(table)
+        p.customers_incremental(table, changes.schema)
+    return _read(spark, layout.table("bronze", "customer_changes"))
+
+
 @register("watchlist_csv")
 def q_watchlist_csv(spark, sf_dir):
     """Watchlist as CSV, read back with every column as text (card numbers exact)."""
@@ -214,3 +229,23 @@ def q_stream_fraud_scores_tail(spark, sf_dir):
     p.fraud_scores(A.merchants(spark, sf_dir), _test_rules(), method="tail")
     return _read(spark, layout.table("gold", "fraud_scores")).select(
         "transaction_id", "customer_id", "fraud_score", "fraud_reason")
+
+
+@register("stream_fraud_scores_corrected")
+def q_stream_fraud_scores_corrected(spark, sf_dir):
+    """R12 with corrections, over five micro-batches: every eleventh message is delivered one batch
+    late, after later ones of its customer; the last revision of each row equals batch scoring."""
+    from vigil.streaming.corrected import latest_scores
+    layout = Layout(fresh_dir(spark, "stream_scores_corrected"))
+    Domain(spark, sf_dir).customers().write.parquet(layout.table("silver", "customers"))
+    p = Pipeline(spark, layout, partition_by_date=False)
+    tx = A.transactions(spark, sf_dir, ltz=True, with_event_id=True)
+    first, last = tx.agg(F.unix_micros(F.min("transaction_timestamp")), F.unix_micros(F.max("transaction_timestamp"))).first()
+    fifth = ((last or 0) - (first or 0)) // 5 + 1
+    turn = F.least(F.lit(4), F.floor((F.unix_micros("transaction_timestamp") - F.lit(first or 0)) / fifth) + F.when(F.col("_eid") % 11 == 0, 1).otherwise(0))
+    tx = tx.withColumn("_turn", F.coalesce(turn, F.lit(0)))
+    for i in range(5):
+        tx.filter(F.col("_turn") == i).drop("_eid", "_turn").write.mode("append").parquet(layout.table("silver", "transactions"))
+        p.fraud_scores(A.merchants(spark, sf_dir), _test_rules(), method="corrected", watermark=f"{2 * fifth // 1_000_000 + 1} seconds")
+    return latest_scores(_read(spark, layout.table("gold", "fraud_scores_corrected"))).select(
+        "transaction_id", "customer_id", "fraud_score", "fraud_reason")

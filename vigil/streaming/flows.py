@@ -34,6 +34,7 @@ from vigil.operators import quality as Q
 from vigil.operators import silver as SV
 from vigil.operators.windows import transaction_counts
 from vigil.schemas import KAFKA_SCHEMA
+from vigil.sources.changes import read_changes
 from vigil.sources.files import read_watchlist_stream
 from vigil.sources.tables import (
     NAMESPACES,
@@ -343,18 +344,24 @@ class Pipeline:
         self.queries.append(q)
         return self._finish(q)
 
-    def fraud_scores(self, merchants: DataFrame, cfg=None, method: str = "state") -> StreamingQuery:
+    def fraud_scores(self, merchants: DataFrame, cfg=None, method: str = "state", watermark: str = K.WATERMARK_DELAY) -> StreamingQuery:
         """Fraud scores of the silver stream into gold.fraud_scores.
 
         ``method="state"``: per-customer state (``applyInPandasWithState``),
         rows evaluated in arrival order. ``method="tail"``: each micro-batch
         scored with the batch plan against the tail of earlier events
         (``foreachBatch``, JVM only, hot customers split over tasks); output
-        folders per batch id."""
+        folders per batch id. ``method="corrected"``: state per customer and time
+        bucket; rows whose history changes by a late one are emitted again into
+        gold.fraud_scores_corrected (``corrected.latest_scores`` reads the last ones)."""
         from vigil.operators.rules import DEFAULT_RULES
         from vigil.streaming.stateful import stream_scores, tail_scoring_writer
         cfg = cfg or DEFAULT_RULES
         tx = self._read("silver", "transactions", self.silver_schema())
+        if method == "corrected":
+            from vigil.streaming.corrected import corrected_scores
+            out = corrected_scores(tx, self.customers(), merchants, cfg, watermark)
+            return self._finish(self._start(out, "gold", "fraud_scores_corrected"))
         if method == "state":
             out = stream_scores(tx, self.customers(), merchants, cfg)
             return self._finish(self._start(out, "gold", "fraud_scores"))
@@ -395,6 +402,12 @@ class Pipeline:
         self.queries.append(q)
         return self._finish(q)
 
+    def customers_incremental(self, table_path: str, schema: StructType, overlap_seconds: int = 3600) -> StreamingQuery:
+        """Changed rows of the customer table (``sources.changes``) -> bronze.customer_changes,
+        each (customer, update time) once; ``customers_upsert`` reads on from there."""
+        changes = read_changes(self.spark, table_path, schema, overlap_seconds=overlap_seconds)
+        return self._finish(self._start(changes, "bronze", "customer_changes"))
+
     def read_table(self, layer: str, name: str) -> DataFrame:
         """A flow's output as a batch frame (through the sink's commit log, so
         only committed files); empty with no columns if nothing was written yet."""
