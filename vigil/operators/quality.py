@@ -40,6 +40,15 @@ CUSTOMER_EXPECTATIONS = (
 )
 
 
+# Silver watchlist: nothing is dropped; what can't be matched or dated is counted.
+WATCHLIST_EXPECTATIONS = (
+    Expectation("valid_watchlist_id", "watchlist_id IS NOT NULL", "warn"),
+    Expectation("valid_entity_id", "entity_id IS NOT NULL", "warn"),
+    Expectation("valid_effective_from", "effective_from IS NOT NULL", "warn"),
+    Expectation("known_risk_level", "risk_level IN ('HIGH', 'MEDIUM', 'LOW')", "warn"),
+)
+
+
 def _drop_rules(expectations) -> list[Expectation]:
     return [e for e in expectations if e.action == "drop"]
 

@@ -575,3 +575,17 @@ SELECT * REPLACE (CASE WHEN customer_segment = 'MACHINERY' AND update_timestamp
                        THEN update_timestamp - INTERVAL 30 MINUTE ELSE update_timestamp END AS update_timestamp)
 FROM customer_log""", "customer_log")
 ORACLE["stream_fraud_scores_corrected"] = ORACLE["fraud_scores"]
+ORACLE["stream_customers_upsert_buckets"] = ORACLE["customers_latest"]
+
+# ---- stored progress (T-late, P5): the watermark after the first turn is its last event less five minutes;
+# bronze keeps what silver drops
+ORACLE["late_rows_report"] = with_ctes(f"""
+, turns AS (
+  SELECT transaction_timestamp AS ts, CAST(substr(transaction_id, 4) AS BIGINT) % 11 = 0 AS late FROM transactions
+), mark AS (
+  SELECT date_trunc('millisecond', max(ts)) - INTERVAL 5 MINUTE AS ts FROM turns WHERE NOT late AND ts < TIMESTAMP '{A.HALF_TIME}'
+)
+SELECT query_name, (SELECT count(*) FROM turns) AS input_rows,
+  CASE WHEN query_name = 'silver_transactions' THEN (SELECT count(*) FROM turns, mark WHERE late AND turns.ts <= mark.ts) ELSE 0 END AS rows_dropped_by_watermark
+FROM (VALUES ('bronze_transactions'), ('silver_transactions'), ('silver_transactions_quarantine')) q(query_name)""", "transactions")
+ORACLE["stream_expectation_report"] = ORACLE["expectation_report"]

@@ -249,3 +249,47 @@ def q_stream_fraud_scores_corrected(spark, sf_dir):
         p.fraud_scores(A.merchants(spark, sf_dir), _test_rules(), method="corrected", watermark=f"{2 * fifth // 1_000_000 + 1} seconds")
     return latest_scores(_read(spark, layout.table("gold", "fraud_scores_corrected"))).select(
         "transaction_id", "customer_id", "fraud_score", "fraud_reason")
+
+
+def _land_in_turns(spark, sf_dir, name: str, turn, dirty: bool = False, **kw):
+    """Messages landed by ``turn`` (0, 1, ..), each turn run through bronze and silver with its progress recorded."""
+    layout = Layout(fresh_dir(spark, name))
+    p = Pipeline(spark, layout, partition_by_date=False, **kw)
+    messages = A.kafka_messages(spark, sf_dir, dirty=dirty).withColumn("_turn", turn)
+    with p.recorded():
+        for i in range(2):
+            messages.filter(F.col("_turn") == i).drop("_turn").write.mode("append").parquet(layout.landing("transactions"))
+            p.bronze_transactions(spark.readStream.schema(KAFKA_SCHEMA).parquet(layout.landing("transactions")))
+            p.silver_transactions()
+    return p
+
+
+@register("late_rows_report")
+def q_late_rows_report(spark, sf_dir):
+    """T-late: input rows, and rows that came behind the watermark, of every query of a run in two
+    turns, from the stored progress: every eleventh message of the first half comes in the second."""
+    late = (F.col("offset") % 11 == 0) | (F.col("timestamp") >= F.lit(A.HALF_TIME).cast("timestamp"))
+    p = _land_in_turns(spark, sf_dir, "late_rows", F.when(late, 1).otherwise(0), dedupe=True)
+    return p.late_rows().select("query_name", "input_rows", "rows_dropped_by_watermark")
+
+
+@register("stream_expectation_report")
+def q_stream_expectation_report(spark, sf_dir):
+    """P5 on a stream: rule counts over all batches of a run on dirty input, from the stored progress."""
+    p = _land_in_turns(spark, sf_dir, "stream_expectations", (F.col("offset") % 2).cast("int"), dirty=True)
+    return p.expectation_counts()
+
+
+@register("stream_customers_upsert_buckets")
+def q_stream_customers_upsert_buckets(spark, sf_dir):
+    """Change rows merged into a snapshot of 16 buckets, of which only touched ones are rewritten."""
+    from vigil.sources.buckets import BucketedSnapshot
+    layout = Layout(fresh_dir(spark, "customers_buckets"))
+    snapshot = BucketedSnapshot(spark, layout.table("bronze", "customers"), "customer_id", "update_timestamp")
+    snapshot.create(A.customers_source(spark, sf_dir), buckets=16)
+    changes = A.customer_changes(spark, sf_dir)
+    p = Pipeline(spark, layout)
+    for segment in ("BUILDING", "MACHINERY"):
+        changes.filter(F.col("customer_segment") == segment).write.mode("append").parquet(layout.landing("customer_changes"))
+        p.customers_upsert_buckets(spark.readStream.schema(changes.schema).parquet(layout.landing("customer_changes")), snapshot)
+    return snapshot.read()

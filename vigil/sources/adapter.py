@@ -24,6 +24,7 @@ CHANGE_TIME = "2024-01-15 00:00:00"
 NEW_CUSTOMER_OFFSET = 10 ** 12          # new customer ids lie above every existing key
 WATCHLIST_PUBLISHED_MAX_KEY = 1000      # watchlist records already landed (resume test)
 REPLAY_FROM = "2024-01-30 00:00:00"     # messages from here on are delivered twice (replay test)
+HALF_TIME = "2024-01-16 00:00:00"        # the second turn of a run in two turns (late-row test) begins here
 REPLAY_OFFSET = 10 ** 12                # offsets of the re-delivered copies
 
 

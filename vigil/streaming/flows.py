@@ -34,6 +34,7 @@ from vigil.operators import quality as Q
 from vigil.operators import silver as SV
 from vigil.operators.windows import transaction_counts
 from vigil.schemas import KAFKA_SCHEMA
+from vigil.sources.buckets import BucketedSnapshot
 from vigil.sources.changes import read_changes
 from vigil.sources.files import read_watchlist_stream
 from vigil.sources.tables import (
@@ -45,6 +46,7 @@ from vigil.sources.tables import (
     write_snapshot,
 )
 from vigil.streaming.outbox import outbox_writer
+from vigil.streaming.progress import late_rows_report, recorded, stream_expectation_report
 
 
 EVENT_DATE = "event_date"
@@ -262,8 +264,20 @@ class Pipeline:
         return self._finish(self._start(SV.watchlist_to_bronze(files), "bronze", "fraud_watchlist"))
 
     def silver_watchlist(self) -> StreamingQuery:
+        """bronze -> cleaned; its rules only warn (counts under observedMetrics['silver_fraud_watchlist'])."""
         bronze = self._read("bronze", "fraud_watchlist", self.bronze_watchlist_schema())
-        return self._finish(self._start(SV.clean_watchlist(bronze), "silver", "fraud_watchlist"))
+        cleaned, _ = Q.expect(SV.clean_watchlist(bronze), "silver_fraud_watchlist", Q.WATCHLIST_EXPECTATIONS)
+        return self._finish(self._start(cleaned, "silver", "fraud_watchlist"))
+
+    def recorded(self):
+        """Within the block, the progress of all queries is appended to the table ``_progress`` (``streaming.progress``)."""
+        return recorded(self.spark, self.layout.table("_progress", "batches"), self.queries)
+
+    def late_rows(self) -> DataFrame:
+        return late_rows_report(self.spark, self.layout.table("_progress", "batches"))
+
+    def expectation_counts(self, name: str = "silver_transactions", expectations=Q.TRANSACTION_EXPECTATIONS) -> DataFrame:
+        return stream_expectation_report(self.spark, self.layout.table("_progress", "batches"), name, expectations)
 
     def customers(self) -> DataFrame:
         """Customer lookup for the gold flows: the published silver snapshot,
@@ -402,6 +416,20 @@ class Pipeline:
         self.queries.append(q)
         return self._finish(q)
 
+    def customers_upsert_buckets(self, changes: DataFrame, snapshot: BucketedSnapshot) -> StreamingQuery:
+        """Customer change rows (a stream) merged into a bucketed snapshot: each micro-batch
+        rewrites only the buckets that it touches. A retried batch is told by its label."""
+        query_id = QueryId()
+
+        def merge(batch_df: DataFrame, batch_id: int) -> None:
+            snapshot.merge(Q.keep_valid(batch_df, Q.CUSTOMER_EXPECTATIONS), label=f"{query_id()}/{batch_id}")
+
+        q = query_id.started(changes.writeStream.foreachBatch(merge)
+             .option("checkpointLocation", self.layout.checkpoint("customers_upsert_buckets"))
+             .queryName("customers_upsert_buckets").trigger(**self._trigger()).start())
+        self.queries.append(q)
+        return self._finish(q)
+
     def customers_incremental(self, table_path: str, schema: StructType, overlap_seconds: int = 3600) -> StreamingQuery:
         """Changed rows of the customer table (``sources.changes``) -> bronze.customer_changes,
         each (customer, update time) once; ``customers_upsert`` reads on from there."""
@@ -432,7 +460,7 @@ def state_rows(query: StreamingQuery) -> int:
 
 def late_rows_dropped(query: StreamingQuery) -> int:
     """Input rows dropped by the watermark over the query's recent progress: as many batches
-    as ``spark.sql.streaming.numRecentProgressUpdates`` keeps; a ``StreamingQueryListener`` sees all."""
+    as ``spark.sql.streaming.numRecentProgressUpdates`` keeps; ``Pipeline.recorded`` keeps all."""
     total = 0
     for p in query.recentProgress:
         for op in p.get("stateOperators", []) if isinstance(p, dict) else p.stateOperators:
