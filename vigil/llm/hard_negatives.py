@@ -2,7 +2,7 @@
 
 Vectors become integers, floor(scale * x), and are dealt into shards whose dimensions are stored as columns, each
 with its least and greatest value. An anchor reads a shard's columns in the order of its own components' magnitude, the largest
-first, ``STEP`` at a time. What the columns still unread can add lies between sums of their least and greatest contributions, so each
+first, half of them and then ``STEP`` at a time. What the columns still unread can add lies between sums of their least and greatest contributions, so each
 candidate's score lies in an interval, and the candidates' bitmap shrinks to those whose interval can still count:
 
 * positives (same label): those that can reach the kth largest lower bound;
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from vigil.llm.scratch import broadcast_if_small, ship_by_value, stored
 
 STEP, BLOCKS_A_TASK = 8, 4
-_EXACT, _MOST = float(1 << 53), (1 << 63) - 1
+_SHORT, _EXACT, _MOST = float(1 << 24), float(1 << 53), (1 << 63) - 1
 
 
 class Columns:
@@ -41,31 +41,49 @@ class Columns:
         self.ids, self.labels = ids, labels
         self.columns = np.ascontiguousarray(vectors.T)
         self.least, self.most = self.columns.min(1, initial=np.inf), self.columns.max(1, initial=-np.inf)
+        self.greatest = max(np.abs(self.least).max(initial=0), np.abs(self.most).max(initial=0))
+        if self.greatest < _SHORT:
+            self.columns = self.columns.astype(np.float32)
+
+
+def _reads(dims: int) -> Iterator[tuple[int, int]]:
+    """Which columns are read together: half of them, as no interval is narrow before, then a few at a time."""
+    at = 0
+    while at < dims:
+        end = min(dims, max(at + STEP, dims // 2))
+        yield at, end
+        at = end
 
 
 def scan(shard: Columns, anchor: np.ndarray, alive: np.ndarray, keeps: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(rows, exact scores) of the rows in ``alive`` that ``keeps``(lower bounds, upper bounds) never let go."""
+    """(rows, exact scores) of the rows in ``alive`` that ``keeps``(lower bounds, upper bounds) never let go.
+
+    Whole numbers are exact in floats of 32 or 64 bits where no sum can pass 2**24 or 2**53, else they are Python's.
+    """
     dims = len(anchor)
     columns, least, most = shard.columns, shard.least, shard.most
-    safe = 2 * float(np.abs(anchor).max(initial=0)) * max(1, dims) * max(np.abs(least).max(initial=0), np.abs(most).max(initial=0)) < _EXACT
-    if not safe:  # whole numbers of any size
+    reach = 2 * float(np.abs(anchor).max(initial=0)) * max(1, dims) * shard.greatest
+    if reach >= _EXACT:
         anchor, least, most = (np.array([int(x) for x in a], object) for a in (anchor, least, most))
     order = np.argsort(-np.abs(anchor).astype(np.float64), kind="stable")
     ends = np.stack([anchor * least, anchor * most])[:, order]
     low, high = ends.min(0)[::-1].cumsum()[::-1], ends.max(0)[::-1].cumsum()[::-1]
-    score = np.zeros(len(alive), np.float64 if safe else object)
-    for a in range(0, dims, STEP):
+    kind = object if reach >= _EXACT else np.float32 if reach < _SHORT else np.float64
+    weights = anchor.astype(kind)
+    score = np.zeros(len(alive), kind)
+    for a, b in _reads(dims):
         if not len(alive):
             break
-        some = order[a: a + STEP]
-        block = columns[some] if len(alive) == columns.shape[1] else columns[np.ix_(some, alive)]
-        score = score + anchor[some] @ (block if safe else np.array([[int(x) for x in row] for row in block], object).reshape(block.shape))
-        rest = a + STEP < dims
-        lower, upper = (score + low[a + STEP], score + high[a + STEP]) if rest else (score, score)
-        keep = keeps(lower, upper) if safe else keeps(_clipped(lower), _clipped(upper))
+        some = order[a:b]
+        whole = 2 * len(alive) > columns.shape[1]  # few are gone: whole columns are read, and cut afterwards
+        block = columns[some] if whole else columns[some][:, alive]
+        part = weights[some] @ (block.astype(kind, copy=False) if kind is not object else np.array([[int(x) for x in row] for row in block], object).reshape(block.shape))
+        score = score + (part[alive] if whole else part)
+        lower, upper = (score + low[b], score + high[b]) if b < dims else (score, score)
+        keep = keeps(lower, upper) if kind is not object else keeps(_clipped(lower), _clipped(upper))
         if not keep.all():
             alive, score = alive[keep], score[keep]
-    return alive, score if safe else _clipped(score)
+    return alive, score.astype(np.float64) if kind is not object else _clipped(score)
 
 
 def _clipped(x: np.ndarray) -> np.ndarray:
@@ -92,11 +110,18 @@ def best_alike(shard: Columns, anchor_id: int, label: int, anchor: np.ndarray, k
 
 def best_inside(shard: Columns, anchor_id: int, label: int, anchor: np.ndarray, windows: list[tuple[int, int]], k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(window's number, ids, scores) of the k best rows of other labels with a score in each window."""
+    least, most, widest = min(w[0] for w in windows), max(w[1] for w in windows), max(w[1] - w[0] for w in windows)
+
     def keeps(lower, upper):
-        keep = np.zeros(len(lower), bool)
+        keep = (upper >= least) & (lower <= most)
+        if len(lower) == 0 or upper[0] - lower[0] > widest:  # all intervals are equally wide: none is inside a window yet
+            return keep
+        some = np.flatnonzero(keep)
+        low, high, use = lower[some], upper[some], np.zeros(len(some), bool)
         for lo, hi in windows:
-            inside = lower[(lower >= lo) & (upper <= hi)]
-            keep |= (upper >= (max(lo, _kth(inside, k)) if len(inside) >= k else lo)) & (lower <= hi)
+            inside = low[(low >= lo) & (high <= hi)]
+            use |= (high >= (max(lo, _kth(inside, k)) if len(inside) >= k else lo)) & (low <= hi)
+        keep[some] = use
         return keep
 
     rows, scores = scan(shard, anchor, np.flatnonzero((shard.labels != label) & (shard.ids != anchor_id)), keeps)
@@ -144,7 +169,7 @@ def mine(vectors: DataFrame, is_anchor: Column, label: Column, *, scale: float,
     rows = rows.drop("asks").join(once, "row", "left").withColumn("asks", F.coalesce("asks", F.lit(False)))
     # rows of a shard and anchors of a block grow with the table, between bounds that fit a task
     sizes = rows.groupBy("dims").agg(F.count("*").alias("n"), F.count_if("asks").alias("m")).select("dims", F.expr(
-        "int(ceil(n / greatest(2048, least(65536, n div 64))))").alias("shards"), F.expr("int(ceil(greatest(m, 1) / greatest(128, least(4096, m div 8))))").alias("blocks"))
+        "int(ceil(n / greatest(8192, least(65536, n div 64))))").alias("shards"), F.expr("int(ceil(greatest(m, 1) / greatest(128, least(4096, m div 8))))").alias("blocks"))
     sizes = broadcast_if_small(stored(sizes, "sizes"))  # a row for each length of vector
     dealt = stored(rows.join(sizes, "dims").select("dims", "vec_id", "label", "asks", "v", F.expr("int(pmod(xxhash64(row, 1), shards))").alias("shard"),
                                                    F.expr("int(pmod(xxhash64(row, 2), blocks))").alias("block")), "dealt")
