@@ -295,7 +295,8 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80) -> Da
     links = links.union(confirmed(rest.distinct(), docs, width, percent))
     # rows of one doc_id with several texts join their classes
     of = solid.join(classes.drop("sig"), ["h1", "h2"]).select("doc_id", "rep")
-    several = of.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a < b").select("a", "b")
+    least = stored(of.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a < b").select("doc_id", "a"), "several_texts")
+    several = of.join(broadcast_if_small(least), "doc_id").filter("rep != a").select("a", F.col("rep").alias("b")).distinct()
     final = components(links.union(several))
 
     return (rows.join(classes.drop("sig"), ["h1", "h2"], "left").join(final, F.col("rep") == F.col("node"), "left")
