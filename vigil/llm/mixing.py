@@ -16,7 +16,8 @@ Defined results: a source without a weight has weight 0 and goes; a null source
 is a source of its own (weights may name it None); weights are normalised over the
 sources present; a null doc_id hashes as empty text; rows with equal doc_id get equal
 counts; null and empty texts are kept like others; all columns are passed on, with ``copy`` (1 ..)
-behind them in place of a column of that name.
+behind them in place of a column of that name (in any case); other columns may have any name. Very long texts are
+carried as they are. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -67,15 +68,16 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, *, tota
 
     ``total``: expected number of output rows (as many as documents, if None).
     """
-    kept = [c for c in docs.columns if c != "copy"]
-    docs = docs.select(*(F.col(f"`{c}`") for c in kept))
-    rate = broadcast_if_small(stored(rates(docs, weights, total, temperature), "rates"), 10_000).withColumnsRenamed({"source": "_source", "parts": "_parts", "cdf": "_cdf"})
+    kept = [c for c in docs.columns if c.lower() != "copy"]  # as Spark compares names
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("row"))  # so that no name can clash with the operator's own
+    rate = broadcast_if_small(stored(rates(docs.select("source"), weights, total, temperature), "rates"), 10_000)
     # each draw is the number of steps of the distribution function at or below its uniform number
-    ident = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    uniforms = F.transform(F.sequence(F.lit(1), F.col("_parts")), lambda i: uniform(F.lit(str(seed)), ident, i.cast("string")))
-    draws = F.transform("_u", lambda u: F.size(F.filter("_cdf", lambda c: c <= u)))
-    rows = docs.join(rate, F.col("source").eqNullSafe(F.col("_source"))).withColumn("_u", uniforms)
-    rows = rows.withColumn("_count", F.aggregate(draws, F.lit(0), lambda a, x: a + x)).filter("_count > 0")
-    rows = rows.select(*(F.col(f"`{c}`") for c in kept), F.explode(F.sequence(F.lit(1), F.col("_count"))).alias("copy"))
-    order = F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), "copy")
-    return rows.withColumn("_order", order).repartition("_order").sortWithinPartitions("_order").drop("_order")
+    doc_id = F.col("row")["doc_id"].cast("string")
+    uniforms = F.transform(F.sequence(F.lit(1), F.col("parts")), lambda i: uniform(F.lit(str(seed)), F.coalesce(doc_id, F.lit("")), i.cast("string")))
+    draws = F.transform("u", lambda u: F.size(F.filter("cdf", lambda c: c <= u)))
+    rows = packed.join(rate, F.col("row")["source"].eqNullSafe(F.col("source"))).withColumn("u", uniforms)
+    rows = rows.withColumn("times", F.aggregate(draws, F.lit(0), lambda a, x: a + x)).filter("times > 0")
+    rows = rows.select("row", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy"))
+    place = F.xxhash64(F.lit(seed), doc_id, "copy")
+    rows = rows.withColumn("place", place).repartition("place").sortWithinPartitions("place")
+    return rows.select(*(F.col("row")[c].alias(c) for c in kept), "copy")
