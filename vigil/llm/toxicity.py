@@ -57,7 +57,11 @@ def features(data: np.ndarray, offsets: np.ndarray, wanted: np.ndarray | None =
 
 
 def sampled_features(docs: DataFrame, labels: DataFrame, sample_rows: int) -> DataFrame:
-    """(toxic, features) of about ``sample_rows`` labelled documents."""
+    """(toxic, features) of about ``sample_rows`` labelled documents, each text of a doc_id once.
+
+    Labelled ids are chosen by a hash. Where these have more texts than ids, a hash of (doc_id, text) keeps about
+    ``sample_rows`` of the texts, so the sample is bounded however often an id stands in ``docs``.
+    """
     known = labels.filter("doc_id is not null and toxic is not null").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     n = known.count()
     u = F.xxhash64(F.lit(11), "doc_id").bitwiseAND((1 << 52) - 1) / F.lit(float(1 << 52))
@@ -72,7 +76,14 @@ def sampled_features(docs: DataFrame, labels: DataFrame, sample_rows: int) -> Da
                 lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(r, np.arange(m + 1)).astype(np.int32)), pa.array(f.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(start, m), batch.column("toxic").slice(start, m), lists], names=["doc_id", "toxic", "features"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(chosen), "doc_id")  # bounded by sample_rows
+    texts = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("h"))
+    pairs = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "h").distinct()  # broadcast: bounded by sample_rows
+    n = pairs.count()
+    if n > 2 * sample_rows:
+        v = F.xxhash64(F.lit(12), "doc_id", "h").bitwiseAND((1 << 52) - 1) / F.lit(float(1 << 52))
+        pairs = pairs.filter(v < sample_rows / n)
+    wanted = stored(pairs, "labelled_texts")
+    rows = texts.join(F.broadcast(wanted), ["doc_id", "h"]).groupBy("doc_id", "toxic", "h").agg(F.first("text").alias("text"))
     return rows.select("doc_id", "text", "toxic").mapInArrow(run, "doc_id long, toxic int, features array<int>")
 
 
