@@ -3,13 +3,20 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; the caller
 writes it as Parquet and hands the table to the next one. All but the last
 return the columns of documents.
+
+Stages judge rows, not doc_ids: a row with a null doc_id, or one that shares its
+doc_id with other rows, stays or goes by its own text. Rows repeated with the same
+doc_id and text are near duplicates of each other, so one of them stays. Null and
+empty texts have no language and go with the first stage; texts of any length
+are judged whole. Empty tables give empty tables.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vigil.llm import decontaminate, langid, mixing, neardup, wavelet
@@ -26,18 +33,26 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the one with the smallest doc_id.
+    """One row of each group of near duplicates stays: the one with the smallest doc_id (a null one is the last
+    to be chosen), of equal doc_ids the first row of the first file.
 
     Five-word shingles, similarity of 0.8 or more.
     """
-    groups = neardup.near_duplicates(docs, width=5, percent=80)
-    return _without(docs, groups.filter("not kept").select("doc_id"))
+    rows = numbered(docs)
+    groups = neardup.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), width=5, percent=80)
+    groups = stored(groups.select(F.col("doc_id").alias("_row"), "component_id"), "groups")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row")
+    first = rows.select("_row", "doc_id").join(groups, "_row").groupBy("component_id").agg(F.min(order)["_row"].alias("_row"), F.count("*").alias("n"))
+    first = stored(first.filter("n > 1").select("component_id", F.col("_row").alias("stays")), "first")
+    return _without(rows, groups.join(broadcast_if_small(first), "component_id").filter("_row != stays").select("_row"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that share a window of ten words with a benchmark item go."""
-    report = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), width=10)
-    return _without(docs, report.filter("contaminated").select("doc_id"))
+    """Rows whose text shares a window of ten words with a benchmark item go."""
+    rows = numbered(docs)
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    report = decontaminate.contamination(rows.select(F.col("_row").alias("doc_id"), "text"), items, width=10)
+    return _without(rows, report.filter("contaminated").select(F.col("doc_id").alias("_row")))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,10 +67,25 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return wavelet.read_documents(spark, path)
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` without the doc_ids of ``gone``; the texts are shuffled only if those are too many to broadcast."""
-    gone = stored(gone.filter("doc_id is not null").distinct(), "gone")
-    return docs.join(broadcast_if_small(gone), "doc_id", "left_anti").select(*COLUMNS)
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_row``, a number that no other row has and that stays when the table is read again:
+    the place of the row's file among the table's files, and of the row in its file."""
+    try:
+        address = docs.metadataColumn("_metadata")
+        docs.select(address["file_path"], address["row_index"])
+    except AnalysisException:  # not read straight from Parquet files
+        docs = stored(docs.select(*COLUMNS), "rows")
+        address = docs.metadataColumn("_metadata")
+    rows = docs.select(*COLUMNS, address["file_path"].alias("_file"), address["row_index"].alias("_at"))
+    files = rows.select("_file").distinct().withColumn("_number", F.row_number().over(Window.orderBy("_file")).cast("long"))
+    files = broadcast_if_small(stored(files, "files"), 100_000)  # a row for each file
+    return rows.join(files, "_file").select(*COLUMNS, (F.shiftleft("_number", 40) + F.col("_at")).alias("_row"))
+
+
+def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """The documents of ``rows`` whose number isn't in ``gone``; the texts are shuffled only if those are too many to broadcast."""
+    gone = stored(gone, "gone")
+    return rows.join(broadcast_if_small(gone), "_row", "left_anti").select(*COLUMNS)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
