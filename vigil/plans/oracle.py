@@ -589,3 +589,12 @@ SELECT query_name, (SELECT count(*) FROM turns) AS input_rows,
   CASE WHEN query_name = 'silver_transactions' THEN (SELECT count(*) FROM turns, mark WHERE late AND turns.ts <= mark.ts) ELSE 0 END AS rows_dropped_by_watermark
 FROM (VALUES ('bronze_transactions'), ('silver_transactions'), ('silver_transactions_quarantine')) q(query_name)""", "transactions")
 ORACLE["stream_expectation_report"] = ORACLE["expectation_report"]
+
+# ---- growing schema of the watchlist feed (S6, S7): active records come first
+ORACLE["watchlist_schema_evolution"] = with_ctes("""
+SELECT * EXCLUDE (_key) REPLACE (strptime(effective_from, '%d-%b-%Y %H:%M:%S') AS effective_from),
+  CAST(_key AS DOUBLE) + CASE WHEN status = 'active' THEN 0 ELSE 0.25 END AS exposure,
+  CASE WHEN status = 'active' THEN CAST(_key AS VARCHAR) ELSE 'T-' || _key END AS ticket,
+  CASE WHEN status = 'active' THEN NULL ELSE 'checked SOC' END AS note,
+  CASE WHEN status = 'active' THEN 1 ELSE 2 END AS _schema
+FROM watchlist_file""", "watchlist_file")

@@ -293,3 +293,20 @@ def q_stream_customers_upsert_buckets(spark, sf_dir):
         changes.filter(F.col("customer_segment") == segment).write.mode("append").parquet(layout.landing("customer_changes"))
         p.customers_upsert_buckets(spark.readStream.schema(changes.schema).parquet(layout.landing("customer_changes")), snapshot)
     return snapshot.read()
+
+
+@register("watchlist_schema_evolution")
+def q_watchlist_schema_evolution(spark, sf_dir):
+    """Watchlist records in two batches under an inferred, growing schema: in the second one ``note`` appears,
+    ``exposure`` changes from whole numbers to decimals and ``ticket`` from numbers to text."""
+    layout = Layout(fresh_dir(spark, "watchlist_evolution"))
+    w = A.watchlist_records(spark, sf_dir)
+    k = F.regexp_extract("watchlist_id", r"(\d+)$", 1).cast("long")
+    first = w.filter("status = 'active'").withColumns({"exposure": k, "ticket": k})
+    second = w.filter("status != 'active'").withColumns({
+        "exposure": k.cast("double") + F.lit(0.25), "ticket": F.concat(F.lit("T-"), k), "note": F.concat(F.lit("checked "), F.col("reported_by"))})
+    p = Pipeline(spark, layout)
+    for records in (first, second):
+        records.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).write.mode("append").text(layout.landing("fraud_watchlist"))
+        p.bronze_watchlist_evolving(layout.landing("fraud_watchlist"))
+    return p.watchlist_typed().drop("_record", "_source_file")

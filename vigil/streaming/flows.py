@@ -36,6 +36,7 @@ from vigil.operators.windows import transaction_counts
 from vigil.schemas import KAFKA_SCHEMA
 from vigil.sources.buckets import BucketedSnapshot
 from vigil.sources.changes import read_changes
+from vigil.sources.evolution import SchemaStore, evolving_writer, read_evolved
 from vigil.sources.files import read_watchlist_stream
 from vigil.sources.tables import (
     NAMESPACES,
@@ -263,6 +264,27 @@ class Pipeline:
         files = read_watchlist_stream(self.spark, landing_dir, self.max_files_per_trigger)
         return self._finish(self._start(SV.watchlist_to_bronze(files), "bronze", "fraud_watchlist"))
 
+    def bronze_watchlist_evolving(self, landing_dir: str) -> StreamingQuery:
+        """Watchlist records with inferred types into ``bronze/fraud_watchlist_typed``: new and wider
+        columns are taken up while the flow runs (``sources.evolution``)."""
+        lines = self.spark.readStream.format("text")
+        if self.max_files_per_trigger:
+            lines = lines.option("maxFilesPerTrigger", str(self.max_files_per_trigger))
+        lines = lines.load(landing_dir).select("value", F.col("_metadata.file_path").alias("_source_file"))
+        query_id = QueryId()
+        writer = evolving_writer(self.layout.table("bronze", "fraud_watchlist_typed"), self.schema_store(), query_id)
+        q = query_id.started(lines.writeStream.foreachBatch(writer)
+             .option("checkpointLocation", self.layout.checkpoint("bronze_fraud_watchlist_typed"))
+             .queryName("bronze_fraud_watchlist_typed").trigger(**self._trigger()).start())
+        self.queries.append(q)
+        return self._finish(q)
+
+    def schema_store(self) -> SchemaStore:
+        return SchemaStore(self.spark, self.layout.table("_schemas", "fraud_watchlist"))
+
+    def watchlist_typed(self) -> DataFrame:
+        return read_evolved(self.spark, self.layout.table("bronze", "fraud_watchlist_typed"), self.schema_store())
+
     def silver_watchlist(self) -> StreamingQuery:
         """bronze -> cleaned; its rules only warn (counts under observedMetrics['silver_fraud_watchlist'])."""
         bronze = self._read("bronze", "fraud_watchlist", self.bronze_watchlist_schema())
