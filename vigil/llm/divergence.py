@@ -22,59 +22,75 @@ whole (one text's words are held at once). An empty table gives no rows. Other c
 from __future__ import annotations
 
 import heapq
-import zlib
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from itertools import groupby
-from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vigil.llm import textops
 from vigil.llm.scratch import broadcast_if_small, ship_by_value, stored
 
-BLOCK_POSTINGS, FAN_IN, SHARD_BYTES, CHUNK = 400_000, 64, 1 << 24, 4096
+BLOCK_POSTINGS, FAN_IN, SHARD_BYTES, CHUNK = 400_000, 64, 1 << 24, 16_384
 TILE, SLICE_ROWS, TERM_RANKS = 256, 200_000, 50
 ONE = 1_000_000_000
 
 #: Bytes of words stay (A-Z as a-z), all others become spaces; every byte of a character outside ASCII is one of a word.
 _WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
-_RUN = pa.schema([("shard", pa.int32()), ("run", pa.int64()), ("keys", pa.list_(pa.binary())), ("ends", pa.list_(pa.int32())), ("sources", pa.list_(pa.binary())),
-                  ("source", pa.list_(pa.int32())), ("tf", pa.list_(pa.int64())), ("df", pa.list_(pa.int64()))])
-_RUN_SQL = "shard int, run long, keys array<binary>, ends array<int>, sources array<binary>, source array<int>, tf array<long>, df array<long>"
+#: A run's row for one shard: sorted keys (lang, term, source) and, for each, word frequency and documents, as a compressed Arrow stream.
+_RUN = pa.schema([("shard", pa.int32()), ("run", pa.int64()), ("postings", pa.binary())])
+_RUN_SQL = "shard int, run long, postings binary"
 
 
 def words_of(text: bytes) -> list[bytes]:
     return text.translate(_WORD_BYTES).split()
 
 
-def key_of(lang: bytes, word: bytes) -> bytes:
-    """Sorted as (lang, word); a word holds no zero byte."""
-    return lang + b"\x00" + word
+def _escaped(name: bytes) -> bytes:
+    """Without zero bytes, so that they can stand between the parts of a key."""
+    return name.replace(b"\x01", b"\x01\x02").replace(b"\x00", b"\x01\x01")
 
 
-def _run_rows(postings: list[tuple[bytes, bytes, int, int]], shards: int, run: int) -> pa.RecordBatch:
-    """A run's row for each shard, from (key, source, tf, df) sorted by key."""
-    by_shard: dict[int, list] = defaultdict(list)
-    for p in postings:
-        by_shard[zlib.crc32(p[0]) % shards].append(p)
-    columns: dict[str, list] = {f.name: [] for f in _RUN}
-    for shard, some in by_shard.items():
-        names: dict[bytes, int] = {}
-        keys, ends, source = [], [], []
-        for key, name, _, _ in some:
-            if not keys or keys[-1] != key:
-                keys.append(key)
-                ends.append(len(source))
-            source.append(names.setdefault(name, len(names)))
-        row = (shard, run, keys, [*ends[1:], len(source)], list(names), source, [p[2] for p in some], [p[3] for p in some])
-        for c, v in zip(columns, row, strict=True):
-            columns[c].append(v)
-    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in _RUN], schema=_RUN)
+def _plain(names: pa.Array) -> pa.Array:
+    return pc.replace_substring(pc.replace_substring(names, "\x01\x01", "\x00"), "\x01\x02", "\x01")
+
+
+def _packed(postings: pa.Table) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, postings.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_table(postings)
+    return out.getvalue().to_pybytes()
+
+
+def _run_rows(postings: pa.Table, run: int) -> pa.RecordBatch:
+    """A run's row for each shard, from columns shard, keys, tf, df."""
+    postings = postings.sort_by([("shard", "ascending"), ("keys", "ascending")]).combine_chunks()
+    shard = postings.column("shard").to_numpy()
+    heads = np.flatnonzero(np.diff(shard, prepend=-1))
+    rows = [_packed(postings.slice(a, b - a).select(["keys", "tf", "df"])) for a, b in zip(heads, [*heads[1:], len(shard)], strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array(shard[heads], pa.int32()), pa.array([run] * len(heads), pa.int64()), pa.array(rows, pa.binary())], schema=_RUN)
+
+
+def _block(tf: dict, df: dict, shards: int) -> pa.Table:
+    """The postings that a block holds; a shard is given by the hash of (lang, term)."""
+    parts = []
+    for (lang, source), words in tf.items():
+        if words:
+            terms = pc.binary_join_element_wise(pa.scalar(_escaped(lang)), pa.array(words, pa.binary()), pa.scalar(b"\x00"))
+            data, at = textops.column_bytes(terms)
+            hashed = [textops.span_hasher(textops.byte_values(d), "byte")(o[:-1], o[1:]) for _, d, o in textops.blocks(data, at)]
+            parts.append(pa.table({
+                "shard": pa.array((np.concatenate(hashed) % np.uint64(shards)).astype(np.int32)),
+                "keys": pc.binary_join_element_wise(terms, pa.scalar(_escaped(source)), pa.scalar(b"\x00")).cast(pa.string()),
+                "tf": np.fromiter(words.values(), np.int64, len(words)),
+                "df": np.fromiter(map(df[lang, source].__getitem__, words), np.int64, len(words))}))
+    return pa.concat_tables(parts)
 
 
 def _indexer(shards: int):
@@ -82,14 +98,6 @@ def _indexer(shards: int):
         run = TaskContext.get().partitionId() << 24
         tf: dict = defaultdict(Counter)
         df: dict = defaultdict(Counter)
-
-        def spill() -> pa.RecordBatch:
-            postings = [(key_of(lang, w), source, n, df[lang, source][w]) for (lang, source), words in tf.items() for w, n in words.items()]
-            postings.sort(key=itemgetter(0))
-            tf.clear()
-            df.clear()
-            return _run_rows(postings, shards, run)
-
         held = 0
         for batch in batches:
             for group, text in zip(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True), batch.column(2), strict=True):
@@ -100,38 +108,71 @@ def _indexer(shards: int):
                 df[group].update(set(words))
                 held += len(count)
                 if held >= BLOCK_POSTINGS:
-                    yield spill()
+                    yield _run_rows(_block(tf, df, shards), run)
+                    tf.clear()
+                    df.clear()
                     held, run = 0, run + 1
         if held:
-            yield spill()
+            yield _run_rows(_block(tf, df, shards), run)
 
     return index
 
 
-def _entries(run: int, row: dict) -> Iterator[tuple[bytes, int, list[tuple[bytes, int, int]]]]:
-    """(key, run, postings) of a run's row, turned into Python objects ``CHUNK`` keys at a time."""
-    keys, ends, source, tf, df = (row[c].values for c in ("keys", "ends", "source", "tf", "df"))
-    sources, begin = row["sources"].as_py(), 0
-    for a in range(0, len(keys), CHUNK):
-        stops = ends.slice(a, CHUNK).to_pylist()
-        start, size = begin, stops[-1] - begin
-        found = list(zip([sources[i] for i in source.slice(start, size).to_pylist()], tf.slice(start, size).to_pylist(), df.slice(start, size).to_pylist(), strict=True))
-        for key, stop in zip(keys.slice(a, CHUNK).to_pylist(), stops, strict=True):
-            yield key, run, found[begin - start: stop - start]
-            begin = stop
-
-
-def merge(runs: pa.Table) -> Iterator[tuple[bytes, int, list[tuple[bytes, int, int]]]]:
-    """(key, documents, postings (source, tf, df)) in the order of keys, by a heap over the runs (a row each)."""
-    rows = [{c: runs.column(c)[i] for c in runs.column_names} for i in range(runs.num_rows)]
-    stream = heapq.merge(*(_entries(i, r) for i, r in enumerate(rows)), key=itemgetter(0))
-    for key, places in groupby(stream, key=itemgetter(0)):
-        found: dict[bytes, tuple[int, int]] = {}
-        for _, _, postings in places:
-            for source, tf, df in postings:
-                more = found.get(source, (0, 0))
-                found[source] = more[0] + tf, more[1] + df
-        yield key, sum(d for _, d in found.values()), [(s, t, d) for s, (t, d) in found.items()]
+class _Stream:
+    """What is left of a run: its postings from ``at``."""
+
+    def __init__(self, postings: pa.Buffer) -> None:
+        rows = pa.ipc.open_stream(postings).read_all()
+        self.keys, self.tf, self.df = (rows.column(c).combine_chunks() for c in ("keys", "tf", "df"))
+        self.at = 0
+
+    def bound(self) -> str | None:
+        """The first key of the word that stands about ``CHUNK`` postings further, and not here; None at the end."""
+        step = CHUNK
+        while self.at + step < len(self.keys):
+            word = self.keys[self.at + step].as_py().rpartition("\x00")[0] + "\x00"
+            if not self.keys[self.at].as_py().startswith(word):
+                return word
+            step *= 2
+        return None
+
+    def below(self, bound: str | None) -> pa.Table:
+        """The postings of words before ``bound``; they are left behind."""
+        a = self.at
+        self.at = len(self.keys) if bound is None else bisect_left(range(len(self.keys)), bound.encode(), a, key=lambda i: self.keys[i].as_py().encode())
+        return pa.table({"keys": self.keys.slice(a, self.at - a), "tf": self.tf.slice(a, self.at - a), "df": self.df.slice(a, self.at - a)})
+
+
+def merge(runs: pa.Table) -> Iterator[pa.Table]:
+    """(keys, tf, df), equal keys of the runs (a row each) summed up, by a heap over the runs.
+
+    The heap has each run's next bound; the least one is taken, with all runs' postings below it. So
+    tables follow each other in the order of keys, hold whole words, and about ``CHUNK`` postings of a run.
+    """
+    streams = [_Stream(x.as_buffer()) for x in runs.column("postings")]
+    heap = [(b.encode(), i) for i, s in enumerate(streams) if (b := s.bound()) is not None]
+    heapq.heapify(heap)
+    while True:
+        bound = heap[0][0].decode() if heap else None
+        some = pa.concat_tables([s.below(bound) for s in streams])
+        if some.num_rows:
+            yield some.group_by("keys").aggregate([("tf", "sum"), ("df", "sum")]).rename_columns(["keys", "tf", "df"])
+        if bound is None:
+            return
+        _, i = heapq.heappop(heap)
+        if (more := streams[i].bound()) is not None:
+            heapq.heappush(heap, (more.encode(), i))
+
+
+def _kept(postings: pa.Table, min_docs: int) -> pa.Table:
+    """(lang, source, term, n, total) of the words in ``min_docs`` documents of their language or more."""
+    parts = pc.split_pattern(postings.column("keys").combine_chunks(), "\x00").flatten()
+    at = np.arange(0, len(parts), 3)
+    rows = pa.table({"lang": parts.take(pa.array(at)), "term": parts.take(pa.array(at + 1)), "source": parts.take(pa.array(at + 2)), "n": postings.column("tf"), "df": postings.column("df")})
+    whole = rows.group_by(["lang", "term"]).aggregate([("n", "sum"), ("df", "sum")])
+    whole = whole.filter(pc.greater_equal(whole.column("df_sum"), min_docs)).select(["lang", "term", "n_sum"])
+    rows = rows.join(whole, ["lang", "term"], join_type="inner").combine_chunks()
+    return pa.table({"lang": _plain(rows.column("lang")), "source": _plain(rows.column("source")), "term": rows.column("term"), "n": rows.column("n"), "total": rows.column("n_sum")})
 
 
 def frequencies(docs: DataFrame, min_docs: int) -> DataFrame:
@@ -142,8 +183,9 @@ def frequencies(docs: DataFrame, min_docs: int) -> DataFrame:
     ship_by_value()
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(4, size // SHARD_BYTES)
+    row_groups = {"parquet.block.size": 1 << 23, "parquet.block.size.row.check.min": 8}  # few of these long rows are read at once
     binary = docs.select(*(F.col(c).cast("binary") for c in ("lang", "source", "text")))
-    runs = stored(binary.mapInArrow(_indexer(shards), _RUN_SQL), "runs")
+    runs = stored(binary.mapInArrow(_indexer(shards), _RUN_SQL), "runs", **row_groups)
     while True:
         many = runs.select(F.countDistinct("run")).first()[0]
         if many <= FAN_IN:
@@ -151,22 +193,14 @@ def frequencies(docs: DataFrame, min_docs: int) -> DataFrame:
         parts = -(-many // FAN_IN)
 
         def longer(key, table):
-            postings = [(k, *p) for k, _, found in merge(table) for p in found]
-            batch = _run_rows(postings, 1, key[1].as_py())  # all keys are of this shard: one row
-            return pa.Table.from_batches([batch.set_column(0, "shard", pa.array([key[0].as_py()] * batch.num_rows, pa.int32()))])
+            merged = pa.concat_tables(merge(table))
+            return pa.Table.from_batches([_run_rows(merged.add_column(0, "shard", pa.array([key[0].as_py()] * merged.num_rows, pa.int32())), key[1].as_py())])
 
-        runs = stored(runs.withColumn("part", F.expr(f"pmod(xxhash64(run), {parts})")).groupBy("shard", "part").applyInArrow(longer, _RUN_SQL), "runs")
+        runs = stored(runs.withColumn("part", F.expr(f"pmod(xxhash64(run), {parts})")).groupBy("shard", "part").applyInArrow(longer, _RUN_SQL), "runs", **row_groups)
 
     def last(table):
-        out = []
-        for key, documents, found in merge(table):
-            if documents >= min_docs:
-                lang, _, word = key.rpartition(b"\x00")
-                total = sum(p[1] for p in found)
-                out += [(lang.decode(), source.decode(), word.decode(), n, total) for source, n, _ in found]
-        columns = list(zip(*out, strict=True)) or [[]] * 5
-        types = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64())
-        return pa.table({c: pa.array(v, t) for c, v, t in zip(("lang", "source", "term", "n", "total"), columns, types, strict=True)})
+        empty = pa.schema([(c, pa.string()) for c in ("lang", "source", "term")] + [("n", pa.int64()), ("total", pa.int64())]).empty_table()
+        return pa.concat_tables([empty, *(_kept(some, min_docs).cast(empty.schema) for some in merge(table))])
 
     return stored(runs.groupBy("shard").applyInArrow(last, "lang string, source string, term string, n long, total long"), "frequencies")
 

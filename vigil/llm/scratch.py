@@ -29,14 +29,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/vigil-llm/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back.
+def stored(df: DataFrame, name: str, **options) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and read it back; ``options`` go to the writer.
 
     Cuts the lineage: a lost executor costs at most the tasks since this table.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
