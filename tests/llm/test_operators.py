@@ -74,6 +74,32 @@ def test_mixing(spark, weights, total):
     assert rows(out.select("doc_id", "source", "text", "copy")) == sorted(want, key=repr)
 
 
+def test_mixing_keeps_columns_of_any_name(spark):
+    data = mixing_rows()
+    names = ["_source", "_cdf", "_u", "_count", "_order", "row", "u", "times", "place", "parts", "cdf", "a.b", "COPY"]
+    df = spark.createDataFrame(data, "doc_id long, source string, text string").select("*", *(F.lit(f"own {c}").alias(c) for c in names))
+    out = mixing.mix(df)
+    assert out.columns == ["doc_id", "source", "text", *names[:-1], "copy"]
+    want = sum(brute.poisson_copies(data))
+    got = out.collect()
+    assert len(got) == want and all([r[c] for c in names[:-1]] == [f"own {c}" for c in names[:-1]] for r in got)
+
+
+def test_near_duplicates_link_every_text_of_a_doc_id(spark):
+    a, b, c = prose(40, WIDE), prose(40, WIDE), prose(40, WIDE)
+    data = [(2, a), (3, b), (4, c), (5, a), (5, b), (5, c), (6, c), (8, prose(40, WIDE)), (8, prose(40, WIDE))]
+    out = rows(neardup.near_duplicates(frame(spark, data), width=4, percent=80).select("doc_id", "component_id", "kept"))
+    assert out == [(2, 2, True), (3, 2, False), (4, 2, False), (5, 2, False), (5, 2, False), (5, 2, False), (6, 2, False), (8, 8, True), (8, 8, True)]
+
+
+def test_toxicity_sample_is_bounded_on_repeated_ids(spark):
+    docs = spark.range(2000).selectExpr("id % 2 AS doc_id", "concat('text ', id) AS text")
+    labels = spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, toxic int")
+    n = toxicity.sampled_features(docs, labels, 10).count()
+    assert 1 <= n <= 40
+    assert toxicity.sampled_features(docs.selectExpr("doc_id", "'same' AS text"), labels, 10).count() == 2
+
+
 def test_mixing_rate_and_empty(spark):
     out = mixing.mix(spark.range(20_000).selectExpr("id AS doc_id", "if(id % 10 = 0, 'x', 'y') AS source"), {"x": 0.5, "y": 0.5})
     n = dict(out.groupBy("source").count().collect())
