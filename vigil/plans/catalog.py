@@ -180,10 +180,9 @@ def q_fraud_card_alerts_snapshot(spark, sf_dir):
 
 @register("unknown_customer_transactions")
 def q_unknown_customer_transactions(spark, sf_dir):
-    """Transactions with no customer (customers whose id ends in 7 removed)."""
+    """Transactions with no customer, against all customers."""
     d = Domain(spark, sf_dir)
-    known = d.customers().filter(~F.col("customer_id").endswith("7"))
-    return AL.unknown_customer_transactions(d.transactions(), known).select(
+    return AL.unknown_customer_transactions(d.transactions(), d.customers()).select(
         "transaction_id", "customer_id", "amount")
 
 
@@ -386,3 +385,20 @@ def q_fraud_card_alerts_salted(spark, sf_dir):
     d = Domain(spark, sf_dir)
     return AL.fraud_card_alerts(d.transactions(), d.watchlist(), d.customers(), alert_time="transaction_timestamp",
                                 salt=8)
+
+
+@register("fraud_card_alerts_heavy")
+def q_fraud_card_alerts_heavy(spark, sf_dir):
+    """J2 with as many sub-keys for a card as it has ten-thousandths of the transactions, by merged daily sketches."""
+    from vigil.operators.skew import card_salts, card_sketches
+    d = Domain(spark, sf_dir)
+    daily = card_sketches(d.transactions().withColumn("day", F.to_date("transaction_timestamp")), "day")
+    return AL.fraud_card_alerts(d.transactions(), d.watchlist(), d.customers(), alert_time="transaction_timestamp",
+                                salt=card_salts(daily, spread=10_000))
+
+
+@register("high_value_alerts_asof")
+def q_high_value_alerts_asof(spark, sf_dir):
+    """High-value alerts by the limit at the time of the transaction (limits change within the month)."""
+    d = Domain(spark, sf_dir)
+    return AL.high_value_alerts_asof(d.transactions(), _customer_log(spark, sf_dir), alert_time="transaction_timestamp")

@@ -278,8 +278,7 @@ LEFT JOIN customers c ON t.customer_id = c.customer_id""", "transactions", "watc
 
 ORACLE["unknown_customer_transactions"] = with_ctes("""
 SELECT t.transaction_id, t.customer_id, t.amount FROM transactions t
-WHERE NOT EXISTS (SELECT 1 FROM customers c WHERE c.customer_id = t.customer_id
-                  AND c.customer_id IS NOT NULL AND NOT suffix(c.customer_id, '7'))""", "transactions", "customers")
+WHERE NOT EXISTS (SELECT 1 FROM customers c WHERE c.customer_id = t.customer_id)""", "transactions", "customers")
 
 # ---- windows
 ORACLE["tx_count_tumbling"] = with_ctes("""
@@ -598,3 +597,16 @@ SELECT * EXCLUDE (_key) REPLACE (strptime(effective_from, '%d-%b-%Y %H:%M:%S') A
   CASE WHEN status = 'active' THEN NULL ELSE 'checked SOC' END AS note,
   CASE WHEN status = 'active' THEN 1 ELSE 2 END AS _schema
 FROM watchlist_file""", "watchlist_file")
+ORACLE["fraud_card_alerts_heavy"] = ORACLE["fraud_card_alerts"]
+
+# ---- limits as of the transaction: the newest row of the customer's changes that isn't later
+ORACLE["high_value_alerts_asof"] = with_ctes(f"""
+, dated AS (
+  SELECT t.*, (SELECT max(l.update_timestamp) FROM customer_log l
+               WHERE l.customer_id = t.customer_id AND l.update_timestamp <= t.transaction_timestamp) AS _from
+  FROM transactions t
+)
+SELECT {HV_SELECT} FROM dated t JOIN customer_log c ON c.customer_id = t.customer_id AND c.update_timestamp = t._from
+WHERE t.amount > c.transaction_limit""", "transactions", "customer_log")
+ORACLE["stream_fraud_card_alerts_bounded"] = ORACLE["fraud_card_alerts_bounded"]
+ORACLE["stream_fraud_card_alerts_fresh"] = ORACLE["fraud_card_alerts_snapshot"]

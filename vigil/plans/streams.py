@@ -310,3 +310,20 @@ def q_watchlist_schema_evolution(spark, sf_dir):
         records.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).write.mode("append").text(layout.landing("fraud_watchlist"))
         p.bronze_watchlist_evolving(layout.landing("fraud_watchlist"))
     return p.watchlist_typed().drop("_record", "_source_file")
+
+
+@register("stream_fraud_card_alerts_bounded")
+def q_stream_fraud_card_alerts_bounded(spark, sf_dir):
+    """J4 as a stream-stream join with a time range (state is evicted), heavy cards salted."""
+    layout, p = _env(spark, sf_dir, "stream_fraud_bounded", watchlist=True)
+    p.gold_fraud_card(lookback="7 days", salt=p.card_salts())
+    return _read(spark, layout.table("gold", "fraud_card_alert"))
+
+
+@register("stream_fraud_card_alerts_fresh")
+def q_stream_fraud_card_alerts_fresh(spark, sf_dir):
+    """Each micro-batch against the newest published watchlist and customers, no join state."""
+    layout, p = _env(spark, sf_dir, "stream_fraud_fresh", watchlist=True)
+    p.publish_watchlist()
+    p.gold_fraud_card_fresh()
+    return _read(spark, layout.table("gold", "fraud_card_alert_fresh")).drop("query", "batch_id")

@@ -47,7 +47,7 @@ KAFKA_SCHEMA = StructType([
 ])
 
 
-# Watchlist file records: all text as landed.
+# Watchlist file records: all text as landed (fixed field list of the feed).
 WATCHLIST_COLUMNS = [
     "watchlist_id", "watch_type", "entity_id", "risk_level", "action", "reason_code",
     "reason_description", "status", "effective_from", "reported_by", "reported_source",
@@ -56,7 +56,7 @@ WATCHLIST_COLUMNS = [
 WATCHLIST_FILE_SCHEMA = StructType([StructField(c, StringType()) for c in WATCHLIST_COLUMNS])
 WATCHLIST_EFFECTIVE_FROM_FORMAT = "dd-MMM-yyyy HH:mm:ss"
 
-# Customer master data (source table has update_timestamp in addition).
+# Customer master data (fixed column list of the source table, which has update_timestamp in addition).
 CUSTOMER_SCHEMA = StructType([
     StructField("customer_id", StringType()),
     StructField("first_name", StringType()),
@@ -95,12 +95,26 @@ MERCHANT_SCHEMA = StructType([
 MERCHANT_COLUMNS = [f.name for f in MERCHANT_SCHEMA.fields]
 
 
-FRAUD_CARD_ALERT_COLUMNS = [
-    "alert_id", "alert_type", "alert_timestamp", "transaction_id", "customer_id", "customer_email",
-    "customer_name", "card_number", "amount", "currency", "merchant_id", "merchant_name",
-    "merchant_category", "transaction_type", "payment_channel", "device_id", "transaction_city",
-    "transaction_country", "transaction_timestamp", "is_international", "transaction_status",
-    "watchlist_id", "watch_type", "risk_level", "action", "reason_code", "reason_description",
-    "watchlist_effective_from", "reported_by", "reported_source", "watchlist_city",
-    "watchlist_country",
-]
+# The alert tables' columns and their order, with the column of the transaction (t), customer (c) or
+# watchlist entry (w) that each one holds. @ marks those that are made: @id of the parts named, @type, @time, @name.
+HIGH_VALUE_ALERT = (
+    ("alert_id", "@id t.transaction_id"), ("alert_type", "@type"), ("alert_timestamp", "@time"),
+    ("transaction_id", "t.transaction_id"), ("customer_id", "t.customer_id"), ("customer_email", "c.email"), ("customer_name", "@name"),
+    ("transaction_amount", "t.amount"), ("transaction_limit", "c.transaction_limit"), ("currency", "t.currency"),
+    ("merchant_name", "t.merchant_name"), ("merchant_category", "t.merchant_category"), ("transaction_type", "t.transaction_type"),
+    ("payment_channel", "t.payment_channel"), ("city", "t.city"), ("country", "t.country"), ("is_international", "t.is_international"),
+    ("transaction_timestamp", "t.transaction_timestamp"), ("status", "t.status"),
+)
+FRAUD_CARD_ALERT = (
+    ("alert_id", "@id t.transaction_id w.watchlist_id"), ("alert_type", "@type"), ("alert_timestamp", "@time"),
+    ("transaction_id", "t.transaction_id"), ("customer_id", "t.customer_id"), ("customer_email", "c.email"), ("customer_name", "@name"),
+    ("card_number", "t.card_number"), ("amount", "t.amount"), ("currency", "t.currency"),
+    ("merchant_id", "t.merchant_id"), ("merchant_name", "t.merchant_name"), ("merchant_category", "t.merchant_category"),
+    ("transaction_type", "t.transaction_type"), ("payment_channel", "t.payment_channel"), ("device_id", "t.device_id"),
+    ("transaction_city", "t.city"), ("transaction_country", "t.country"), ("transaction_timestamp", "t.transaction_timestamp"),
+    ("is_international", "t.is_international"), ("transaction_status", "t.status"),
+    ("watchlist_id", "w.watchlist_id"), ("watch_type", "w.watch_type"), ("risk_level", "w.risk_level"), ("action", "w.action"),
+    ("reason_code", "w.reason_code"), ("reason_description", "w.reason_description"), ("watchlist_effective_from", "w.effective_from"),
+    ("reported_by", "w.reported_by"), ("reported_source", "w.reported_source"), ("watchlist_city", "w.city"), ("watchlist_country", "w.country"),
+)
+FRAUD_CARD_ALERT_COLUMNS = [name for name, _ in FRAUD_CARD_ALERT]

@@ -32,6 +32,7 @@ from vigil import constants as K
 from vigil.operators import alerts as AL
 from vigil.operators import quality as Q
 from vigil.operators import silver as SV
+from vigil.operators.skew import card_salts, card_sketches
 from vigil.operators.windows import transaction_counts
 from vigil.schemas import KAFKA_SCHEMA
 from vigil.sources.buckets import BucketedSnapshot
@@ -319,38 +320,66 @@ class Pipeline:
         out = AL.high_value_alerts(tx, self.customers(), alert_time=self.alert_time)
         return self._finish(self._start(out, "gold", "high_value_transactions_alert", "transaction_timestamp"))
 
-    def gold_high_value_fresh(self, customers_snapshot: str | None = None) -> StreamingQuery:
-        """High-value alerts enriched per micro-batch with the newest published
-        customer snapshot (``sources.tables``; by default the lookup of
-        ``customers()``): changes to limits or new customers apply from the
-        next batch on, without restarting the query. Each batch writes
-        ``gold/high_value_transactions_alert_fresh/query=id/batch_id=n`` (overwrite: a
-        retried batch replaces its own output)."""
-        out_path = self.layout.table("gold", "high_value_transactions_alert_fresh")
-        spark, alert_time, query_id = self.spark, self.alert_time, QueryId()
-
-        def current_customers() -> DataFrame:
-            return read_snapshot(spark, customers_snapshot) if customers_snapshot else self.customers()
+    def _per_batch(self, name: str, alerts_of) -> StreamingQuery:
+        """``alerts_of`` each micro-batch of silver transactions into ``gold/<name>/query=id/batch_id=n``
+        (overwrite: a retried batch replaces its own output). What it looks up is read anew for each batch."""
+        out_path, query_id = self.layout.table("gold", name), QueryId()
 
-        def enrich(batch_df: DataFrame, batch_id: int) -> None:
-            alerts = AL.high_value_alerts(batch_df, current_customers(), alert_time=alert_time)
-            alerts.write.mode("overwrite").parquet(f"{out_path}/query={query_id()}/batch_id={batch_id}")
+        def write(batch_df: DataFrame, batch_id: int) -> None:
+            alerts_of(batch_df).write.mode("overwrite").parquet(f"{out_path}/query={query_id()}/batch_id={batch_id}")
 
         tx = self._read("silver", "transactions", self.silver_schema())
-        q = query_id.started(tx.writeStream.foreachBatch(enrich)
-             .option("checkpointLocation", self.layout.checkpoint("gold_high_value_fresh"))
-             .queryName("gold_high_value_fresh").trigger(**self._trigger()).start())
+        q = query_id.started(tx.writeStream.foreachBatch(write)
+             .option("checkpointLocation", self.layout.checkpoint(f"gold_{name}"))
+             .queryName(f"gold_{name}").trigger(**self._trigger()).start())
         self.queries.append(q)
         return self._finish(q)
 
-    def gold_fraud_card(self, lookback: str | None = None, snapshot: bool = False, salt: int = 1) -> StreamingQuery:
+    def gold_high_value_fresh(self, customers_snapshot: str | None = None) -> StreamingQuery:
+        """High-value alerts enriched per micro-batch with the newest published
+        customer snapshot (``sources.tables``; by default the lookup of
+        ``customers()``): changes to limits or new customers apply from the
+        next batch on, without restarting the query."""
+        def alerts_of(batch: DataFrame) -> DataFrame:
+            customers = read_snapshot(self.spark, customers_snapshot) if customers_snapshot else self.customers()
+            return AL.high_value_alerts(batch, customers, alert_time=self.alert_time)
+
+        return self._per_batch("high_value_transactions_alert_fresh", alerts_of)
+
+    def publish_watchlist(self) -> str:
+        """The latest record of each watchlist entry, published as a snapshot for ``gold_fraud_card_fresh``."""
+        listing = AL.watchlist_snapshot(self.read_table("silver", "fraud_watchlist"))
+        return write_snapshot(listing, self.layout.table("silver", "fraud_watchlist_current"))
+
+    def gold_fraud_card_fresh(self) -> StreamingQuery:
+        """Watchlist alerts of each micro-batch against the newest published listing and customers:
+        no join state, nothing aggregated per batch, and a new listing applies from the next batch on."""
+        def alerts_of(batch: DataFrame) -> DataFrame:
+            listing = read_snapshot(self.spark, self.layout.table("silver", "fraud_watchlist_current"))
+            return AL.fraud_card_alerts_snapshot(batch, listing, self.customers(), alert_time=self.alert_time, listed_once=True)
+
+        return self._per_batch("fraud_card_alert_fresh", alerts_of)
+
+    def card_salts(self, spread: int = 1000) -> DataFrame:
+        """Salts of heavy cards for the watchlist stream join, from sketches of the transactions there are when the
+        flow first starts. They are kept beside its checkpoint, as join state is laid out by them: other salts need a
+        new checkpoint."""
+        path = self.layout.table("_salts", "gold_fraud_card")
+        if current_snapshot_path(self.spark, path) is None:
+            sketches = card_sketches(self.spark.read.schema(self.silver_schema()).parquet(self.layout.table("silver", "transactions"))
+                                     .withColumn("_day", F.to_date("transaction_timestamp")), "_day")
+            write_snapshot(card_salts(sketches, spread), path)
+        return read_snapshot(self.spark, path)
+
+    def gold_fraud_card(self, lookback: str | None = None, snapshot: bool = False, salt: int | DataFrame = 1) -> StreamingQuery:
         """Watchlist alerts. Without ``lookback`` the join has no time condition
         (state is kept for ever); with it, transactions match entries from
         ``effective_from`` to ``effective_from + lookback`` and the join state
         older than the watermarks is evicted. ``snapshot=True`` joins the
         transaction stream with the latest active watchlist entries read when
         the run starts (stateless). ``salt`` > 1 spreads each card over that
-        many join (state) partitions, for cards with very many transactions."""
+        many join (state) partitions; ``salt=self.card_salts()`` only the cards with
+        very many transactions."""
         tx = self._read("silver", "transactions", self.silver_schema())
         if snapshot:
             wl_static = self.spark.read.parquet(self.layout.table("silver", "fraud_watchlist"))
@@ -404,7 +433,7 @@ class Pipeline:
         query_id = QueryId()
         writer = tail_scoring_writer(self.layout.table("gold", "fraud_scores"),
                                      self.layout.table("_state", "fraud_scores_tail"),
-                                     self.customers(), merchants, cfg, query_id=query_id)
+                                     self.customers, merchants, cfg, query_id=query_id)     # customers as of each batch
         q = query_id.started(tx.writeStream.foreachBatch(writer)
              .option("checkpointLocation", self.layout.checkpoint("gold_fraud_scores_tail"))
              .queryName("gold_fraud_scores_tail").trigger(**self._trigger()).start())

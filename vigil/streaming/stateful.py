@@ -188,12 +188,12 @@ def _tail_before(spark, tail_path: str, batch_id: int) -> DataFrame | None:
     return spark.read.parquet(row.m.folder) if row.m else None
 
 
-def tail_scoring_writer(out_path: str, tail_path: str, customers: DataFrame, merchants: DataFrame,
+def tail_scoring_writer(out_path: str, tail_path: str, customers: DataFrame | Callable[[], DataFrame], merchants: DataFrame,
                         cfg: RuleConfig = DEFAULT_RULES, columns: list[str] | None = None,
                         query_id: Callable[[], str] | None = None, watermark: str = K.WATERMARK_DELAY):
     """A ``foreachBatch`` function: score the batch with the previous tail as
     history, write ``out_path/batch_id=n`` (below ``query=<id>`` where the
-    query's id is given), publish the new tail."""
+    query's id is given), publish the new tail. ``customers`` may be a function, called for each batch."""
     from vigil.functions.columns import interval_seconds
     from vigil.operators.rules import score_transactions
 
@@ -204,7 +204,8 @@ def tail_scoring_writer(out_path: str, tail_path: str, customers: DataFrame, mer
         try:
             own = f"/query={query_id()}" if query_id else ""
             history = _tail_before(spark, tail_path + own, batch_id)
-            scored = score_transactions(batch, customers, merchants, cfg, history=history)
+            lookup = customers() if callable(customers) else customers
+            scored = score_transactions(batch, lookup, merchants, cfg, history=history)
             scored.write.mode("overwrite").parquet(f"{out_path}{own}/batch_id={batch_id}")
             rows = batch if history is None else batch.unionByName(history.select(*cols))
             # by customer, so one event dated in the future doesn't empty the others' tails
