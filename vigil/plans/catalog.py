@@ -402,3 +402,16 @@ def q_high_value_alerts_asof(spark, sf_dir):
     """High-value alerts by the limit at the time of the transaction (limits change within the month)."""
     d = Domain(spark, sf_dir)
     return AL.high_value_alerts_asof(d.transactions(), _customer_log(spark, sf_dir), alert_time="transaction_timestamp")
+
+
+@register("transactions_rescued")
+def q_transactions_rescued(spark, sf_dir):
+    """Messages with what the typed parse can't hold kept per field: every 13th amount is sent as text, and every
+    17th message has a nested field that the schema doesn't know."""
+    from vigil.operators.rescue import rescued_transactions
+    raw, eid = F.col("value"), F.col("offset")
+    raw = F.when(eid % 13 == 0, F.regexp_replace(raw, '"amount":([^,]+)', '"amount":"$1"')).otherwise(raw)
+    risk = F.concat(F.lit(',"device_risk":{"level":'), eid % 5, F.lit(',"by":"app"}}'))
+    raw = F.when(eid % 17 == 0, F.concat(F.regexp_replace(raw, "}$", ""), risk)).otherwise(raw)
+    return rescued_transactions(_bronze(spark, sf_dir).withColumn("value", raw)).select(
+        "transaction_id", "amount", "transaction_timestamp", "_rescued_data")

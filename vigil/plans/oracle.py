@@ -8,7 +8,8 @@ Spark plans are compared with.
 
 from __future__ import annotations
 
-from vigil import constants as K
+import re
+
 from vigil.operators.rules import RULE_COLUMNS
 from vigil.sources import adapter as A
 
@@ -417,7 +418,7 @@ for _k, (_body, _src) in _R.items():
     ORACLE[_k] = with_ctes(_body, _src)
 
 
-# ---- notifications: the body layouts of vigil.operators.notify rendered as SQL
+# ---- notifications: the mails, written out here once more, as SQL
 def _sq(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -457,8 +458,68 @@ def _mask(name: str) -> str:
     return f"(CASE WHEN {name} IS NULL OR {name} = '' THEN '****' ELSE right({name}, 4) END)"
 
 
-def _render(layout) -> str:
-    return " || ".join(_sq(p) if isinstance(p, str) else _sql_field(*p) for p in layout)
+def _render(template: str) -> str:
+    """A mail written with {kind name} for its fields, as SQL."""
+    out = []
+    for i, part in enumerate(re.split(r"\{(\w+ \w+)\}", template)):
+        out.append(_sql_field(*part.split()) if i % 2 else _sq(part))
+    return " || ".join(out)
+
+
+# The two mails as a reader gets them.
+_HIGH_VALUE_MAIL = """<html><body>
+<h2>High Value Transaction Alert</h2>
+<p>Dear {text customer_name},</p>
+<p>A transaction exceeded your configured limit.</p>
+<ul>
+<li><b>Transaction ID:</b> {text transaction_id}</li>
+<li><b>Amount:</b> {text currency} {money transaction_amount}</li>
+<li><b>Your Limit:</b> {text currency} {money transaction_limit}</li>
+<li><b>Merchant:</b> {text merchant_name} ({text merchant_category})</li>
+<li><b>Location:</b> {text city}, {text country}</li>
+<li><b>Date/Time:</b> {ts transaction_timestamp}</li>
+</ul>
+<p>If you did not authorize this transaction, contact the fraud department.</p>
+<p>Alert ID: {text alert_id}</p>
+</body></html>"""
+
+_FRAUD_CARD_MAIL = """<html><body>
+<h2>FRAUD ALERT - Suspicious Activity Detected</h2>
+<p>Dear {text customer_name},</p>
+<p>A transaction on your card matches our fraud watchlist.</p>
+<h3>Fraud Details</h3>
+<ul>
+<li><b>Alert Type:</b> {text alert_type}</li>
+<li><b>Risk Level:</b> {text risk_level}</li>
+<li><b>Watchlist Type:</b> {text watch_type}</li>
+<li><b>Reason:</b> {text reason_description}</li>
+<li><b>Action Required:</b> {text action}</li>
+</ul>
+<h3>Transaction Details</h3>
+<ul>
+<li><b>Transaction ID:</b> {text transaction_id}</li>
+<li><b>Card Number:</b> {card card_number}</li>
+<li><b>Amount:</b> {text currency} {money amount}</li>
+<li><b>Merchant:</b> {text merchant_name} ({text merchant_category})</li>
+<li><b>Transaction Type:</b> {text transaction_type}</li>
+<li><b>Payment Channel:</b> {text payment_channel}</li>
+<li><b>Location:</b> {text transaction_city}, {text transaction_country}</li>
+<li><b>International:</b> {yesno is_international}</li>
+<li><b>Date/Time:</b> {ts transaction_timestamp}</li>
+<li><b>Status:</b> {text transaction_status}</li>
+</ul>
+<h3>Watchlist Information</h3>
+<ul>
+<li><b>Watchlist ID:</b> {text watchlist_id}</li>
+<li><b>Reported By:</b> {text reported_by}</li>
+<li><b>Reported Source:</b> {text reported_source}</li>
+<li><b>Watchlist Location:</b> {text watchlist_city}, {text watchlist_country}</li>
+<li><b>Effective From:</b> {ts watchlist_effective_from}</li>
+</ul>
+<p>Alert ID: {text alert_id}<br>
+Alert Timestamp: {ts alert_timestamp}</p>
+<p>Never share this message or your card details with anyone.</p>
+</body></html>"""
 
 
 def _status(recipient: str, amount: str) -> str:
@@ -467,17 +528,16 @@ def _status(recipient: str, amount: str) -> str:
 
 
 def _notify_oracle() -> None:
-    from vigil.operators.notify import FRAUD_CARD_BODY, HIGH_VALUE_BODY
     ORACLE["outbox_high_value"] = with_ctes(f"""
 SELECT alert_id, alert_type, customer_email AS recipient,
-  printf({_sq(K.HIGH_VALUE_SUBJECT_FORMAT)}, {_missing('alert_id')}) AS subject,
-  {_render(HIGH_VALUE_BODY)} AS body,
+  printf('High Value Transaction Alert - %s', {_missing('alert_id')}) AS subject,
+  {_render(_HIGH_VALUE_MAIL)} AS body,
   {_status('customer_email', 'transaction_amount')} AS delivery_status
 FROM hv_alerts""", "hv_alerts")
     ORACLE["outbox_fraud_card"] = with_ctes(f"""
 SELECT alert_id, alert_type, customer_email AS recipient,
-  printf({_sq(K.FRAUD_SUBJECT_FORMAT)}, {_missing('risk_level')}, {_missing('alert_id')}) AS subject,
-  {_render(FRAUD_CARD_BODY)} AS body,
+  printf('FRAUD ALERT - %s Risk - %s', {_missing('risk_level')}, {_missing('alert_id')}) AS subject,
+  {_render(_FRAUD_CARD_MAIL)} AS body,
   {_status('customer_email', 'amount')} AS delivery_status
 FROM fraud_alerts""", "fraud_alerts")
     ORACLE["mask_card"] = with_ctes(f"SELECT alert_id, {_mask('card_number')} AS card_number_masked FROM fraud_alerts",
@@ -610,3 +670,12 @@ SELECT {HV_SELECT} FROM dated t JOIN customer_log c ON c.customer_id = t.custome
 WHERE t.amount > c.transaction_limit""", "transactions", "customer_log")
 ORACLE["stream_fraud_card_alerts_bounded"] = ORACLE["fraud_card_alerts_bounded"]
 ORACLE["stream_fraud_card_alerts_fresh"] = ORACLE["fraud_card_alerts_snapshot"]
+
+# ---- typed rescue of messages (T4, S8): every 13th amount is text, every 17th message has a field the schema doesn't know
+ORACLE["transactions_rescued"] = with_ctes("""
+, m AS (SELECT *, CAST(substr(transaction_id, 4) AS BIGINT) AS _eid FROM transactions)
+SELECT transaction_id, CASE WHEN _eid % 13 = 0 THEN NULL ELSE amount END AS amount, transaction_timestamp,
+  CASE WHEN _eid % 13 = 0 AND _eid % 17 = 0 THEN '{"amount":"' || amount || '","device_risk":{"by":"app","level":' || _eid % 5 || '}}'
+       WHEN _eid % 13 = 0 AND amount IS NOT NULL THEN '{"amount":"' || amount || '"}'
+       WHEN _eid % 17 = 0 THEN '{"device_risk":{"by":"app","level":' || _eid % 5 || '}}' END AS _rescued_data
+FROM m""", "transactions")
