@@ -61,12 +61,17 @@ def keep_valid(df: DataFrame, expectations=TRANSACTION_EXPECTATIONS) -> DataFram
     return df.filter(cond)
 
 
-def quarantine(df: DataFrame, expectations=TRANSACTION_EXPECTATIONS) -> DataFrame:
-    """Rows that fail at least one ``drop`` expectation, with the failed names."""
+def failed_rules(df: DataFrame, expectations=TRANSACTION_EXPECTATIONS) -> DataFrame:
+    """All rows, with the names of the ``drop`` expectations that each fails."""
     failed = F.filter(
         F.array(*[F.when(~e.passed(), F.lit(e.name)) for e in _drop_rules(expectations)]),
         lambda x: x.isNotNull())
-    return df.withColumn("failed_expectations", failed).filter(F.size("failed_expectations") > 0)
+    return df.withColumn("failed_expectations", failed)
+
+
+def quarantine(df: DataFrame, expectations=TRANSACTION_EXPECTATIONS) -> DataFrame:
+    """Rows that fail at least one ``drop`` expectation, with the failed names."""
+    return failed_rules(df, expectations).filter(F.size("failed_expectations") > 0)
 
 
 def observe_expectations(df: DataFrame, name: str, expectations=TRANSACTION_EXPECTATIONS):

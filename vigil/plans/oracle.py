@@ -679,3 +679,16 @@ SELECT transaction_id, CASE WHEN _eid % 13 = 0 THEN NULL ELSE amount END AS amou
        WHEN _eid % 13 = 0 AND amount IS NOT NULL THEN '{"amount":"' || amount || '"}'
        WHEN _eid % 17 = 0 THEN '{"device_risk":{"by":"app","level":' || _eid % 5 || '}}' END AS _rescued_data
 FROM m""", "transactions")
+
+ORACLE["stream_quarantine"] = with_ctes("""
+SELECT _eid AS kafka_offset,
+  concat_ws(',', CASE WHEN transaction_id IS NULL THEN 'valid_transaction_id' END, CASE WHEN customer_id IS NULL THEN 'valid_customer_id' END,
+                 CASE WHEN card_number IS NULL THEN 'valid_card_number' END, CASE WHEN merchant_id IS NULL THEN 'valid_merchant_id' END) AS failed_expectations
+FROM dirty""", "dirty")
+ORACLE["compact_bronze_watchlist"] = ORACLE["bronze_watchlist"]
+
+# ---- delivery (N4): alerts that end in 7 fail once
+ORACLE["outbox_delivery"] = with_ctes("""
+SELECT alert_type, alert_id, CASE WHEN can THEN 'SENT' ELSE 'INVALID' END AS state,
+  CAST(CASE WHEN NOT can THEN 0 WHEN suffix(alert_id, '7') THEN 2 ELSE 1 END AS INTEGER) AS attempts, CAST(NULL AS VARCHAR) AS last_error
+FROM (SELECT alert_type, alert_id, bool_or(trim(coalesce(customer_email, '')) <> '' AND transaction_amount IS NOT NULL) AS can FROM hv_alerts GROUP BY 1, 2)""", "hv_alerts")

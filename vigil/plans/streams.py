@@ -327,3 +327,55 @@ def q_stream_fraud_card_alerts_fresh(spark, sf_dir):
     p.publish_watchlist()
     p.gold_fraud_card_fresh()
     return _read(spark, layout.table("gold", "fraud_card_alert_fresh")).drop("query", "batch_id")
+
+
+@register("stream_quarantine")
+def q_stream_quarantine(spark, sf_dir):
+    """P4 on a stream: dirty messages split by one scan and one parse into silver and quarantine, committed together."""
+    layout = Layout(fresh_dir(spark, "stream_quarantine"))
+    p = Pipeline(spark, layout, partition_by_date=False)
+    A.kafka_messages(spark, sf_dir, dirty=True).write.parquet(layout.landing("transactions"))
+    p.bronze_transactions(spark.readStream.schema(KAFKA_SCHEMA).parquet(layout.landing("transactions")))
+    p.silver_transactions_once()
+    kept = p.committed("transactions").select("kafka_offset", F.lit("").alias("failed_expectations"))
+    failed = p.committed("transactions_quarantine").select(F.col("offset").alias("kafka_offset"), F.concat_ws(",", "failed_expectations").alias("failed_expectations"))
+    return kept.unionByName(failed)
+
+
+@register("compact_bronze_watchlist")
+def q_compact_bronze_watchlist(spark, sf_dir):
+    """Bronze watchlist in many small files, packed while it grows; the rows stay the same."""
+    from vigil.sources.compaction import compact, read_compacted
+    layout = Layout(fresh_dir(spark, "compact_watchlist"))
+    p = Pipeline(spark, layout)
+    records = A.watchlist_messages(spark, sf_dir).withColumn("_turn", F.get_json_object("value", "$.watchlist_id"))
+    for turn in range(3):
+        mine = records.filter(F.pmod(F.crc32(F.col("_turn").cast("binary")), F.lit(3)) == turn)
+        mine.select("value").repartition(6).write.mode("append").text(layout.landing("fraud_watchlist"))
+        p.bronze_watchlist(layout.landing("fraud_watchlist"))
+        if turn < 2:
+            compact(spark, layout.table("bronze", "fraud_watchlist"))
+        p.silver_watchlist()
+    rows = read_compacted(spark, layout.table("bronze", "fraud_watchlist"))
+    return rows.drop("ingestion_timestamp").withColumn("source_file", F.col("source_file").isNotNull()).withColumnRenamed("source_file", "has_source_file")
+
+
+@register("outbox_delivery")
+def q_outbox_delivery(spark, sf_dir):
+    """The high-value outbox delivered in two runs; what ends in 7 fails the first time and is tried again after its pause."""
+    import datetime as dt
+
+    from vigil.operators.notify import high_value_notifications
+    from vigil.streaming.delivery import deliver, delivery_report, read_ledger
+    path = fresh_dir(spark, "outbox_delivery")
+    high_value_notifications(Domain(spark, sf_dir).hv_alerts()).write.parquet(f"{path}/outbox")
+    outbox = spark.read.parquet(f"{path}/outbox")
+
+    def send(row):
+        if row["alert_id"].endswith("7") and row["attempt"] == 1:
+            raise ConnectionError("refused")
+
+    now = dt.datetime(2024, 2, 1)
+    for i in range(3):                       # the second run comes too early for a second try
+        deliver(outbox, f"{path}/ledger", f"run{i}", send, now + dt.timedelta(seconds=45 * i))
+    return delivery_report(outbox, read_ledger(spark, f"{path}/ledger"))

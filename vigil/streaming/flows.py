@@ -47,6 +47,7 @@ from vigil.sources.tables import (
     setup_namespaces,
     write_snapshot,
 )
+from vigil.streaming.commits import read_committed, write_batch
 from vigil.streaming.outbox import outbox_writer
 from vigil.streaming.progress import late_rows_report, recorded, stream_expectation_report
 
@@ -261,6 +262,35 @@ class Pipeline:
         self._finish(quarantine)
         return q
 
+    def silver_transactions_once(self) -> StreamingQuery:
+        """bronze -> silver and quarantine with one scan and one parse: each micro-batch is parsed once, kept and
+        failing messages are written and committed together (``streaming.commits``); read them with ``committed``."""
+        bronze = self._read("bronze", "transactions", self.bronze_schema())
+        path, query_id = self.layout.table("silver", "committed"), QueryId()
+        rules = Q._drop_rules(Q.TRANSACTION_EXPECTATIONS)
+
+        def split(batch_df: DataFrame, batch_id: int) -> None:
+            raw = ["key", "value", "topic", "partition", "offset", "timestamp"]
+            message = batch_df.withColumn("_raw", F.struct(*raw))
+            # parse_transactions names what it returns; the raw message goes along for the quarantine
+            parsed = SV.parse_transactions(message, carry=("_raw",))
+            both = Q.failed_rules(parsed, rules).persist()
+            try:
+                kept = both.filter("size(failed_expectations) = 0").drop("_raw", "failed_expectations")
+                failed = both.filter("size(failed_expectations) > 0").select("_raw.*", "failed_expectations")
+                write_batch(path, query_id(), batch_id, {"transactions": kept, "transactions_quarantine": failed})
+            finally:
+                both.unpersist()
+
+        q = query_id.started(bronze.writeStream.foreachBatch(split)
+             .option("checkpointLocation", self.layout.checkpoint("silver_transactions_once"))
+             .queryName("silver_transactions_once").trigger(**self._trigger()).start())
+        self.queries.append(q)
+        return self._finish(q)
+
+    def committed(self, name: str) -> DataFrame:
+        return read_committed(self.spark, self.layout.table("silver", "committed"), name)
+
     def bronze_watchlist(self, landing_dir: str) -> StreamingQuery:
         files = read_watchlist_stream(self.spark, landing_dir, self.max_files_per_trigger)
         return self._finish(self._start(SV.watchlist_to_bronze(files), "bronze", "fraud_watchlist"))
