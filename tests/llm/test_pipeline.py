@@ -45,8 +45,10 @@ def test_rows_are_judged_by_their_own_text(spark, tmp_path):
         c = groups[i][1]
         best[c] = min(best.get(c, (True, 0, i)), (doc is None, doc or 0, i))
     want = [data[i] for _, _, i in best.values()]
-    assert got == sorted(want, key=repr) and (2, clean[2] + " end") in got and len(got) < len(data)
-    assert rows(corpus_pipeline.near_duplicates(spark, docs.filter("true").select("*", F.lit(1).alias("_at")), str(tmp_path)).select("doc_id", "text")) == got
+    assert sorted((i for i, _ in got), key=repr) == sorted((i for i, _ in want), key=repr) and set(got) <= set(data) and (2, clean[2] + " end") in got
+    assert len({t.removesuffix(" end") if t else t for _, t in got}) == len({t.removesuffix(" end") if t else t for _, t in data}) and len(got) < len(data)
+    again = corpus_pipeline.near_duplicates(spark, docs.limit(100).select("*", F.lit(1).alias("_row")), str(tmp_path)).select("doc_id", "text")
+    assert [i for i, _ in rows(again)] == [i for i, _ in got]                    # not read straight from files
 
     left = corpus_pipeline.decontamination(spark, docs, str(tmp_path))
     assert rows(left.select("doc_id", "text")) == sorted((r for r in data if r[1] not in dirty), key=repr)
