@@ -246,7 +246,7 @@ def q_stream_fraud_scores_corrected(spark, sf_dir):
     tx = tx.withColumn("_turn", F.coalesce(turn, F.lit(0)))
     for i in range(5):
         tx.filter(F.col("_turn") == i).drop("_eid", "_turn").write.mode("append").parquet(layout.table("silver", "transactions"))
-        p.fraud_scores(A.merchants(spark, sf_dir), _test_rules(), method="corrected", watermark=f"{2 * fifth // 1_000_000 + 1} seconds")
+        p.fraud_scores(A.merchants(spark, sf_dir), _test_rules(), method="corrected", watermark=f"{2 * fifth // 1_000_000 + 1} seconds", state_partitions=8)
     return latest_scores(_read(spark, layout.table("gold", "fraud_scores_corrected"))).select(
         "transaction_id", "customer_id", "fraud_score", "fraud_reason")
 

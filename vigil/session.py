@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -61,6 +62,23 @@ def apply_runtime_conf(spark: SparkSession) -> None:
         spark.conf.set(k, CORE_CONF[k])
 
 
+@contextmanager
+def rocksdb_state(spark: SparkSession, partitions: int | None = None):
+    """Queries started in the block keep their state in RocksDB, whatever the session's store is, in ``partitions``
+    partitions where given (a query keeps the settings that it starts with)."""
+    wanted = {"spark.sql.streaming.stateStore.providerClass": CORE_CONF["spark.sql.streaming.stateStore.providerClass"]}
+    if partitions:
+        wanted["spark.sql.shuffle.partitions"] = str(partitions)
+    before = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Base folder shared by the cluster (``spark.checkpoint.dir``).
 

@@ -17,10 +17,12 @@ pass by the state.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -112,8 +114,9 @@ def corrected_scores(transactions: DataFrame, customers: DataFrame, merchants: D
                      watermark: str = K.WATERMARK_DELAY) -> DataFrame:
     """Scores of a transaction stream, with ``revision`` (0 for a row's first score) and what tells rows
     apart: (customer_id, bucket, seq)."""
-    from vigil.session import ship_package
-    ship_package(transactions.sparkSession)
+    # the processor travels by value: Spark also starts it on the driver, where shipped files aren't on the path
+    for module in ("vigil.streaming.corrected", "vigil.operators.rules"):
+        cloudpickle.register_pickle_by_value(sys.modules[module])
     t = (transactions.withWatermark("transaction_timestamp", watermark)
          .join(customers.select("customer_id", "trusted_device_id"), "customer_id", "left")
          .join(merchants.select("merchant_id", "merchant_risk", "is_blacklisted"), "merchant_id", "left"))

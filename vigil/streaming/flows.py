@@ -35,6 +35,7 @@ from vigil.operators import silver as SV
 from vigil.operators.skew import card_salts, card_sketches
 from vigil.operators.windows import transaction_counts
 from vigil.schemas import KAFKA_SCHEMA
+from vigil.session import rocksdb_state
 from vigil.sources.buckets import BucketedSnapshot
 from vigil.sources.changes import read_changes
 from vigil.sources.evolution import SchemaStore, evolving_writer, read_evolved
@@ -439,7 +440,8 @@ class Pipeline:
         self.queries.append(q)
         return self._finish(q)
 
-    def fraud_scores(self, merchants: DataFrame, cfg=None, method: str = "state", watermark: str = K.WATERMARK_DELAY) -> StreamingQuery:
+    def fraud_scores(self, merchants: DataFrame, cfg=None, method: str = "state", watermark: str = K.WATERMARK_DELAY,
+                     state_partitions: int | None = None) -> StreamingQuery:
         """Fraud scores of the silver stream into gold.fraud_scores.
 
         ``method="state"``: per-customer state (``applyInPandasWithState``),
@@ -448,7 +450,8 @@ class Pipeline:
         (``foreachBatch``, JVM only, hot customers split over tasks); output
         folders per batch id. ``method="corrected"``: state per customer and time
         bucket; rows whose history changes by a late one are emitted again into
-        gold.fraud_scores_corrected (``corrected.latest_scores`` reads the last ones)."""
+        gold.fraud_scores_corrected (``corrected.latest_scores`` reads the last ones);
+        ``state_partitions`` is the number of its state's partitions, fixed for the life of its checkpoint."""
         from vigil.operators.rules import DEFAULT_RULES
         from vigil.streaming.stateful import stream_scores, tail_scoring_writer
         cfg = cfg or DEFAULT_RULES
@@ -456,7 +459,9 @@ class Pipeline:
         if method == "corrected":
             from vigil.streaming.corrected import corrected_scores
             out = corrected_scores(tx, self.customers(), merchants, cfg, watermark)
-            return self._finish(self._start(out, "gold", "fraud_scores_corrected"))
+            with rocksdb_state(self.spark, state_partitions):      # the only store that holds list state and timers
+                q = self._start(out, "gold", "fraud_scores_corrected")
+            return self._finish(q)
         if method == "state":
             out = stream_scores(tx, self.customers(), merchants, cfg)
             return self._finish(self._start(out, "gold", "fraud_scores"))
