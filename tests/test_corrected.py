@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from test_rules import T0, make_fixture
 from vigil.operators.rules import RULE_COLUMNS, RuleConfig, score_transactions
-from vigil.streaming.corrected import corrected_scores, latest_scores
+from vigil.streaming.corrected import SHARDS, corrected_scores, latest_scores
 from vigil.streaming.flows import state_rows
 
 COLUMNS = ("transaction_id string, customer_id string, card_number string, merchant_id string, amount double, device_id string, city string, "
@@ -74,3 +74,22 @@ def test_a_late_row_corrects_the_row_after_it_and_closed_buckets_are_evicted(spa
     before = latest_scores(s.spark.read.parquet(f"{workdir}/out")).count()
     out = s.send([tx(6, 5, "Delhi")])                                      # a day late: dropped
     assert latest_scores(out).count() == before == 5
+
+
+def test_state_keys_are_bounded_however_many_customers(spark, workdir):
+    """Before, every customer of a time bucket was a state key of its own."""
+    rows = [(f"T{i}", f"N{i}", "x", "M0", 5.0, "DEV1", "Delhi", T0 + timedelta(minutes=i % 7), False) for i in range(900)]
+    s = Scorer(spark, workdir)
+    out = s.send(rows)
+    assert s.compared(latest_scores(out)) == s.batch()
+    assert 0 < state_rows(s.query) <= 2 * 2 * SHARDS                     # keys and timers of a bucket and the next
+
+
+def test_customers_of_one_shard_do_not_see_each_other(spark, workdir, monkeypatch):
+    monkeypatch.setattr(corrected_scores, "__defaults__", (*corrected_scores.__defaults__[:-1], 1))
+    rows = sorted(make_fixture(n=300), key=lambda r: r[7])
+    s = Scorer(spark, workdir)
+    s.send([r for i, r in enumerate(rows) if i % 5])
+    out = s.send([r for i, r in enumerate(rows) if not i % 5])
+    assert s.compared(latest_scores(out)) == s.batch()
+    assert out.select("customer_id").distinct().count() > 1 and out.filter("revision > 0").count() > 5

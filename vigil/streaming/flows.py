@@ -448,7 +448,7 @@ class Pipeline:
         rows evaluated in arrival order. ``method="tail"``: each micro-batch
         scored with the batch plan against the tail of earlier events
         (``foreachBatch``, JVM only, hot customers split over tasks); output
-        folders per batch id. ``method="corrected"``: state per customer and time
+        folders per batch id. ``method="corrected"``: state per shard of customers and time
         bucket; rows whose history changes by a late one are emitted again into
         gold.fraud_scores_corrected (``corrected.latest_scores`` reads the last ones);
         ``state_partitions`` is the number of its state's partitions, fixed for the life of its checkpoint."""
