@@ -1,4 +1,6 @@
+import glob
 import json
+import os
 from datetime import datetime
 
 import pytest
@@ -66,6 +68,19 @@ def test_publish_one_record_per_file_and_read_back(spark, workdir):
     assert ids(back) == ["wl1", "wl2", "wl3"]
 
 
+def tasks_of(landing):
+    """Numbers of the tasks that wrote the files."""
+    return {os.path.basename(f).split("-")[1] for f in glob.glob(landing.replace("file:", "") + "/part-*")}
+
+
+def test_one_record_files_are_written_by_many_tasks(spark, workdir):
+    """Before, by as few as the records had partitions: one for a small table."""
+    names = [f"wl{i}" for i in range(40)]
+    FS.publish_watchlist_files(wl(spark, names).coalesce(1), f"{workdir}/landing")
+    assert ids(FS.read_watchlist_files(spark, f"{workdir}/landing")) == sorted(names)
+    assert len(glob.glob(workdir.replace("file:", "") + "/landing/part-*")) == 40 and len(tasks_of(f"{workdir}/landing")) > 4
+
+
 def test_infer_and_store_schema_is_reused(spark, workdir):
     landing = f"{workdir}/landing"
     FS.publish_watchlist_files(wl(spark, ["wl1"]), landing)

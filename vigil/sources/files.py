@@ -77,9 +77,15 @@ def infer_and_store_schema(spark: SparkSession, landing_dir: str, schema_path: s
     return schema
 
 
+def spread(records: DataFrame) -> DataFrame:
+    """``records`` dealt evenly over the shuffle partitions, however few partitions they come in: for
+    writes of a file for each record, whose time is that of making the files."""
+    return records.repartition(int(records.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def publish_watchlist_files(records: DataFrame, landing_dir: str) -> None:
     """Write one JSON document per file (append), as the feed publishes them."""
-    (records.select(*WATCHLIST_COLUMNS).write.mode("append")
+    (spread(records.select(*WATCHLIST_COLUMNS)).write.mode("append")
      .option("maxRecordsPerFile", 1).json(landing_dir))
 
 
