@@ -164,3 +164,14 @@ def test_ship_package_once_per_application(spark):
     assert len(new) == 1
     names = zipfile.ZipFile(new.pop()).namelist()
     assert "vigil/streaming/stateful.py" in names and "vigil/__init__.py" in names
+
+
+def test_bronze_watchlist_query_lands_its_files_by_many_tasks(spark):
+    from vigil.plans.catalog import QUERIES
+    from vigil.session import shared_dir
+
+    base = shared_dir(spark).replace("file:", "") + "/vigil"
+    before = set(glob.glob(f"{base}/bronze_watchlist-*"))
+    rows = QUERIES["bronze_watchlist"](spark, "/root/testdata/sf0.01").count()
+    (made,) = set(glob.glob(f"{base}/bronze_watchlist-*")) - before
+    assert len(glob.glob(f"{made}/source/fraud_watchlist/part-*")) == rows and len(tasks_of(f"{made}/source/fraud_watchlist")) > 4

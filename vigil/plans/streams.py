@@ -105,8 +105,9 @@ def q_stream_outbox(spark, sf_dir):
 @register("bronze_watchlist")
 def q_bronze_watchlist(spark, sf_dir):
     """Incremental ingestion of one-record JSON files with rescued data and source file."""
+    from vigil.sources.files import spread
     layout = Layout(fresh_dir(spark, "bronze_watchlist"))
-    A.watchlist_messages(spark, sf_dir).select("value").write.option("maxRecordsPerFile", 1) \
+    spread(A.watchlist_messages(spark, sf_dir).select("value")).write.option("maxRecordsPerFile", 1) \
         .text(layout.landing("fraud_watchlist"))
     p = Pipeline(spark, layout)
     p.bronze_watchlist(layout.landing("fraud_watchlist"))
