@@ -308,6 +308,33 @@ def test_late_rows_look_only_at_earlier_ones():
     assert sum(many.values()) == 10
 
 
+def test_customers_that_share_a_state_key_do_not_see_each_other(spark, workdir):
+    """Before, each customer was a state key of its own, and a call for each cost most of the time."""
+    from datetime import timedelta
+
+    from test_rules import T0
+    from vigil.streaming import stateful
+    from vigil.streaming.flows import state_rows
+
+    cfg = RuleConfig(velocity_count=2, velocity_seconds=600)
+    columns = ("transaction_id string, customer_id string, merchant_id string, amount double, device_id string, city string, "
+               "transaction_timestamp timestamp, is_international boolean")
+    rows = [(f"T{i:05d}{n}", None if i == 7 else f"N{i}", "M0", 5.0, "DEV1", cfg.travel_from if n == 0 else cfg.travel_to, T0 + timedelta(minutes=n, seconds=i % 40), False)
+            for i in range(2000) for n in range(1 + i % 4)]
+    df = spark.createDataFrame(rows, columns)
+    for part in (0, 1):
+        df.filter(F.unix_timestamp("transaction_timestamp") % 2 == part).coalesce(1).write.mode("append").parquet(f"{workdir}/in")
+    customers = spark.createDataFrame([("N1", "DEV1")], "customer_id string, trusted_device_id string")
+    merchants = spark.createDataFrame([("M0", "HIGH", False)], "merchant_id string, merchant_risk string, is_blacklisted boolean")
+    q = (stateful.stream_scores(spark.readStream.schema(df.schema).parquet(f"{workdir}/in"), customers, merchants, cfg).writeStream.format("parquet")
+         .option("path", f"{workdir}/out").option("checkpointLocation", f"{workdir}/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    columns = ["transaction_id", "fraud_score", "fraud_reason", "rule_velocity", "rule_impossible_travel"]
+    got = sorted(spark.read.parquet(f"{workdir}/out").select(*columns).collect())
+    assert got == sorted(score_transactions(df, customers, merchants, cfg).select(*columns).collect()) and any(r.rule_velocity for r in got)
+    assert 0 < state_rows(q) <= stateful.SHARDS
+
+
 def alerts_for(spark, messages, customers):
     from vigil.operators.alerts import high_value_alerts
     from vigil.operators.silver import kafka_to_bronze, parse_transactions

@@ -444,7 +444,7 @@ class Pipeline:
                      state_partitions: int | None = None) -> StreamingQuery:
         """Fraud scores of the silver stream into gold.fraud_scores.
 
-        ``method="state"``: per-customer state (``applyInPandasWithState``),
+        ``method="state"``: history by shard of customers (``applyInPandasWithState``),
         rows evaluated in arrival order. ``method="tail"``: each micro-batch
         scored with the batch plan against the tail of earlier events
         (``foreachBatch``, JVM only, hot customers split over tasks); output

@@ -1,14 +1,16 @@
-"""Streaming fraud scoring with per-customer state (history rules).
+"""Streaming fraud scoring with state of each customer's history (history rules).
 
 Stateless rules are plain column expressions evaluated before the state
 operator. The history rules (previous transaction, k earlier ones within s
 seconds) need the customer's earlier transactions; they are kept in state as
-arrays (event time in microseconds, transaction id, city), all of them that can
-still matter: none is older than the watermark less the rules' horizon, and an
-event-time timeout removes a customer's state once the watermark is more than
-the horizon past its last transaction.
-
-The new rows of a customer are merged with the history in the order of (event
+arrays (customer, event time in microseconds, transaction id, city), all of them that can
+still matter: none is older than the watermark less the rules' horizon. The customers of
+a shard, told by a hash, share a state key, so that a micro-batch calls the Python
+function at most ``SHARDS`` times, however many customers there are; the number is
+fixed for the life of a checkpoint. An event-time timeout removes a shard's state once the
+watermark is more than the horizon past its last transaction.
+
+The new rows of a shard are merged with the history in the order of (customer, event
 time, transaction id), so a row that arrives late but within the watermark looks
 only at earlier rows; the lags are array shifts (numpy, one pass per group; no
 per-row Python loop). A row beyond the watermark gets no score: Spark drops it and counts
@@ -40,7 +42,10 @@ from vigil import constants as K
 from vigil.operators.rules import DEFAULT_RULES, RuleConfig, score
 from vigil.sources.tables import is_missing_path
 
+SHARDS = 1024
+
 STATE_SCHEMA = StructType([
+    StructField("customer_id", ArrayType(StringType())),
     StructField("ts_us", ArrayType(LongType())),
     StructField("id", ArrayType(StringType())),
     StructField("city", ArrayType(StringType())),
@@ -63,11 +68,12 @@ OUTPUT_SCHEMA = StructType([
 ])
 
 
-def _lag(values: np.ndarray, k: int, at: np.ndarray, fill) -> np.ndarray:
-    """values[i - k] for the positions ``at``, ``fill`` before the start."""
+def _lag(values: np.ndarray, customer: np.ndarray, k: int, at: np.ndarray, fill) -> np.ndarray:
+    """values[i - k] for the positions ``at``, ``fill`` before the customer's start."""
     idx = at - k
     out = np.full(len(idx), fill, dtype=values.dtype if fill is not None else object)
     ok = idx >= 0
+    ok[ok] = customer[idx[ok]] == customer[at[ok]]
     out[ok] = values[idx[ok]]
     return out
 
@@ -87,21 +93,23 @@ def history_processor(cfg: RuleConfig, watermark_seconds: int):
         if new.empty:
             return
         new_ts = new["_ts_us"].to_numpy(dtype="float64", na_value=np.nan)
-        hist_ts, hist_id, hist_city = (list(x or []) for x in state.get) if state.exists else ([], [], [])
+        hist_customer, hist_ts, hist_id, hist_city = (list(x or []) for x in state.get) if state.exists else ([], [], [], [])
         n_hist = len(hist_ts)
         ts = np.concatenate([np.asarray(hist_ts, dtype="float64"), new_ts])
         ids = np.concatenate([np.asarray(hist_id, dtype=object), new["transaction_id"].to_numpy(dtype=object)])
         city = np.concatenate([np.asarray(hist_city, dtype=object), new["city"].to_numpy(dtype=object)])
-        # event order of history and batch: (time, id); missing times first
-        order = np.lexsort((ids.astype(str), np.nan_to_num(ts, nan=-np.inf)))
-        ts, ids, city = ts[order], ids[order], city[order]
+        who = np.concatenate([np.asarray(hist_customer, dtype=object), new["customer_id"].to_numpy(dtype=object)])
+        customer = pd.factorize(who, use_na_sentinel=False)[0]
+        # event order of history and batch: (customer, time, id); missing times first
+        order = np.lexsort((ids.astype(str), np.nan_to_num(ts, nan=-np.inf), customer))
+        ts, ids, city, who, customer = ts[order], ids[order], city[order], who[order], customer[order]
         at = np.flatnonzero(order >= n_hist)             # where the new rows stand
         new = new.iloc[order[at] - n_hist]
         new_ts, new_city = ts[at], city[at]
-        prev_ts = _lag(ts, 1, at, np.nan)
-        prev_city = _lag(city, 1, at, None)
-        vel_ts = _lag(ts, cfg.velocity_count, at, np.nan)
-        card_ts = _lag(ts, cfg.card_test_count, at, np.nan)
+        prev_ts = _lag(ts, customer, 1, at, np.nan)
+        prev_city = _lag(city, customer, 1, at, None)
+        vel_ts = _lag(ts, customer, cfg.velocity_count, at, np.nan)
+        card_ts = _lag(ts, customer, cfg.card_test_count, at, np.nan)
         amount = new["amount"].to_numpy(dtype="float64", na_value=np.nan)
         with np.errstate(invalid="ignore"):
             travel = ((prev_city == cfg.travel_from) & (new_city == cfg.travel_to)
@@ -118,7 +126,7 @@ def history_processor(cfg: RuleConfig, watermark_seconds: int):
         if len(timed):
             watermark_us = max(state.getCurrentWatermarkMs() * 1000, int(timed.max()) - delay_us)
             valid = ts >= watermark_us - horizon_ms * 1000
-            state.update((ts[valid].astype("int64").tolist(), [None if x is None else str(x) for x in ids[valid]],
+            state.update(([None if x is None else str(x) for x in who[valid]], ts[valid].astype("int64").tolist(), [None if x is None else str(x) for x in ids[valid]],
                           [None if c is None else str(c) for c in city[valid]]))
             expire_ms = int(timed.max() // 1000) + horizon_ms
             state.setTimeoutTimestamp(max(expire_ms, state.getCurrentWatermarkMs() + 1))
@@ -155,7 +163,7 @@ def stream_scores(transactions: DataFrame, customers: DataFrame, merchants: Data
         F.coalesce(F.col("is_blacklisted"), F.lit(False)).alias("rule_blacklisted_merchant"),
         F.coalesce(F.col("is_international"), F.lit(False)).alias("rule_international"),
     )
-    flagged = t.groupBy("customer_id").applyInPandasWithState(
+    flagged = t.withColumn("shard", F.pmod(F.xxhash64("customer_id"), F.lit(SHARDS))).groupBy("shard").applyInPandasWithState(
         history_processor(cfg, _seconds(watermark)), OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
     return score(flagged.withColumn("transaction_timestamp", F.timestamp_micros("_ts_us")).drop("_ts_us"))
 
