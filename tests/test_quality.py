@@ -45,3 +45,21 @@ def test_quarantine_messages_keep_raw_text_and_parse_only_rule_fields(spark):
     parse = [line for line in plan.splitlines() if "from_json" in line][0]
     assert "transaction_id" in parse and "merchant_id" in parse
     assert "StructField(amount" not in parse and "StructField(city" not in parse
+
+
+def test_quarantine_parses_a_message_once(spark):
+    """Before, the filter was moved below the parse and held one for each rule."""
+    from pyspark.sql import functions as F
+    from vigil.operators import silver as SV
+
+    good = '{"transaction_id":"T1","customer_id":"C1","card_number":"4","merchant_id":"M1","amount":1.0}'
+    texts = [good, good.replace('"C1"', "null"), "not json", None, "", "[]", "{}", good.replace('"4"', '{"a":1}'), good[:40], "[" + good + "," + good + "]"]
+    bronze = spark.createDataFrame([(str(i), t, "x", 0, i, None) for i, t in enumerate(texts)],
+                                   "key string, value string, topic string, partition int, offset long, timestamp timestamp")
+    out = Q.quarantine_messages(bronze)
+    every = ["valid_transaction_id", "valid_customer_id", "valid_card_number", "valid_merchant_id"]
+    got = {r.offset: r.failed_expectations for r in out.collect()}
+    kept = {r.kafka_offset for r in Q.keep_valid(SV.parse_transactions(bronze.withColumn("ingestion_timestamp", F.current_timestamp()))).collect()}
+    assert got[1] == ["valid_customer_id"] and all(got[i] == every for i in (2, 3, 4, 6)) and 0 not in got
+    assert set(got) | kept == set(range(len(texts))) and not set(got) & kept
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
