@@ -24,10 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.scratch import ship_by_value
+from vigil.llm.scratch import giving_back, ship_by_value
 from vigil.llm.textops import blocks, column_bytes
 
 UNDETERMINED = "und"
+BLOCK_BYTES = 1 << 18  # a byte takes 60 bytes or so while its block is scored
 
 
 def labelled_pieces(docs: DataFrame, piece_chars: int, sample_chars: int, seed: int = 7) -> DataFrame:
@@ -138,7 +139,7 @@ def code_lengths(model: dict, data: np.ndarray, offsets: np.ndarray) -> np.ndarr
     rows, langs = len(offsets) - 1, len(model["langs"])
     out = np.zeros((rows, langs))
     a, cost = model["a"], model["cost"].reshape(-1, langs)
-    for first, raw, at in blocks(data, offsets):
+    for first, raw, at in blocks(data, offsets, BLOCK_BYTES):
         if not len(raw):
             continue
         s = model["symbol"][raw]
@@ -173,12 +174,13 @@ def identify(docs: DataFrame, labelled: DataFrame, *, order: int = 3, min_count:
         pieces.sort()
     model = spark.sparkContext.broadcast(train(samples, order, min_count))
     names = docs.columns if carry is None else carry
+    text = f"c{names.index('text')}" if "text" in names else "_text"  # a text goes to the worker once
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         langs = np.array([*m["langs"], UNDETERMINED], dtype=object)
         for batch in batches:
-            data, offsets = column_bytes(batch.column("_text"))
+            data, offsets = column_bytes(batch.column(text))
             none = np.full(batch.num_rows, len(m["langs"]))
             if m["langs"]:
                 bits = code_lengths(m, data, offsets)
@@ -195,10 +197,10 @@ def identify(docs: DataFrame, labelled: DataFrame, *, order: int = 3, min_count:
                 [*columns, pa.array(langs[pred], pa.string()), pa.array(sure, pa.float64())],
                 names=[*(f"c{i}" for i in range(len(names))), "lang_pred", "score"])
 
-    given = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)), F.col("text").alias("_text"),
+    given = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)), *([F.col("text").alias(text)] if text == "_text" else []),
                         F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("_letter"))
     schema = given.drop("_text", "_letter").withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
-    out = given.mapInArrow(score, schema)
+    out = given.mapInArrow(giving_back(score), schema)
     keep = [i for i, c in enumerate(names) if c not in ("lang_pred", "score")]  # clashing columns give way
     return out.select(*(F.col(f"c{i}").alias(names[i]) for i in keep), "lang_pred", "score")
 

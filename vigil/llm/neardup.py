@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.llm.components import components
-from vigil.llm.scratch import broadcast_if_small, ship_by_value, stored
+from vigil.llm.scratch import broadcast_if_small, giving_back, ship_by_value, stored
 from vigil.llm.textops import WHITE_SPACE, blocks, column_bytes, mix, ngram_hashes, sequence_hash, word_hashes
 
 CHUNKS, CHUNK = 12, 4
@@ -102,7 +102,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
                                              names=["doc_id", "n_shingles", "h1", "h2", "sig"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, n_shingles long, h1 long, h2 long, sig array<int>")
+        giving_back(run), "doc_id long, n_shingles long, h1 long, h2 long, sig array<int>")
 
 
 def fine_signatures(docs: DataFrame, width: int) -> DataFrame:
@@ -119,7 +119,7 @@ def fine_signatures(docs: DataFrame, width: int) -> DataFrame:
                     fine = fine[:, ::2] * np.uint8(16) + fine[:, 1::2]
                     yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(start + full)), pa.array([x.tobytes() for x in fine], pa.binary())], names=["rep", "fine"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "rep long, fine binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(giving_back(run), "rep long, fine binary")
 
 
 def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -136,7 +136,7 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(start, len(sets)), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
                                                  names=["doc_id", "shingles"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, shingles array<long>")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(giving_back(run), "doc_id long, shingles array<long>")
 
 
 def index_keys(classes: DataFrame) -> DataFrame:
@@ -214,7 +214,7 @@ def close_pairs(members: DataFrame, least_equal: int = 0, nearest: int | None =
                 ab = np.concatenate(found)
                 yield pa.RecordBatch.from_arrays([pa.array(ab[:, 0]), pa.array(ab[:, 1])], names=["a", "b"])
 
-    return members.mapInArrow(run, "a long, b long")
+    return members.mapInArrow(giving_back(run), "a long, b long")
 
 
 def mixed_members(buckets: DataFrame, label: DataFrame) -> DataFrame:

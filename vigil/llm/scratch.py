@@ -1,11 +1,14 @@
-"""Intermediate tables in the folder that the cluster shares."""
+"""Intermediate tables in the folder that the cluster shares, and what tasks in Python workers have in common."""
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +52,25 @@ def ship_by_value() -> None:
     cloudpickle.register_pickle_by_value(sys.modules["vigil.llm"])
 
 
+def giving_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, for mapInArrow; at a task's end its worker gives memory that is free back to the system.
+
+    Spark keeps workers for later tasks. Without this, each keeps the most that any
+    of its tasks took, beside whatever the executor does by then.
+    """
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+            if trim:
+                trim(0)
+
+    return task
+
+
 def broadcast_if_small(df: DataFrame, most_rows: int = 1_000_000) -> DataFrame:
     """``df`` marked for broadcast if it has at most ``most_rows`` rows of a few numbers; else as it is.
 

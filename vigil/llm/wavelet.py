@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vigil.llm.scratch import ship_by_value
+from vigil.llm.scratch import giving_back, ship_by_value
 from vigil.llm.textops import blocks, column_bytes
 
 MAGIC = b"VWM1"
@@ -325,7 +325,7 @@ def write_shards(docs: DataFrame, path: str, *, tokenizer: str, end_id: int, sha
             yield shard()
 
     rows = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    rows.mapInArrow(run, "part long, seq long, offset long, n_docs long, n_tokens long, blob binary").write.parquet(path)
+    rows.mapInArrow(giving_back(run), "part long, seq long, offset long, n_docs long, n_tokens long, blob binary").write.parquet(path)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -349,4 +349,4 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     placed = shards.join(F.broadcast(before), "part").select((F.col("before") + F.col("offset")).alias("start"), "blob")
-    return placed.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return placed.mapInArrow(giving_back(run), "doc_id long, start long, n_tokens long, ids_crc32 long")
