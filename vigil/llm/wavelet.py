@@ -25,7 +25,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -63,12 +62,11 @@ class WaveletMatrix:
         size = -(-n // RANK_BITS) * (RANK_BITS // 8)
         for b in range(bits - 1, -1, -1):
             plane = np.zeros(size, np.uint8)
-            packed = np.packbits((values >> b) & 1 > 0, bitorder="little")
+            one = (values >> b) & 1 > 0
+            packed = np.packbits(one, bitorder="little")
             plane[: len(packed)] = packed
             planes.append(plane)
-            mask = pa.BooleanArray.from_buffers(pa.bool_(), n, [None, pa.py_buffer(plane)])
-            column = pa.array(values)
-            values = np.concatenate([column.filter(pc.invert(mask)).to_numpy(), column.filter(mask).to_numpy()])
+            values = np.concatenate([values[np.flatnonzero(~one)], values[np.flatnonzero(one)]])
         return cls(n, planes)
 
     def decode(self) -> np.ndarray:
@@ -80,8 +78,8 @@ class WaveletMatrix:
             z = self.zeros[level]
             now[z:] |= kind(1 << (self.bits - 1 - level))
             out = np.empty_like(now)
-            out[~one] = now[:z]
-            out[one] = now[z:]
+            out[np.flatnonzero(~one)] = now[:z]  # twice as fast as by mask, as the bits are near random
+            out[np.flatnonzero(one)] = now[z:]
             now = out
         return now
 
@@ -181,12 +179,13 @@ class Encoder:
     """Whole texts to ids. Texts are cut where byte-level pre-tokenization always
     cuts: before a space that stands before something other than white space, between an ASCII
     letter and an ASCII sign or digit, and behind a single line end. Each distinct
-    piece of a slice is encoded once. With ``added_tokens``, as by the library's default, the strings
+    piece of a slice is encoded once; a space and ASCII letters go to the model as they are, being one word for it. With ``added_tokens``, as by the library's default, the strings
     of the tokenizer's added tokens get those tokens' ids; without, they are ordinary text."""
 
     def __init__(self, path: str, end_id: int, added_tokens: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, CharDelimiterSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not added_tokens
@@ -199,10 +198,17 @@ class Encoder:
         size = self.tokenizer.get_vocab_size()
         self.bits = max(1, (max(size, end_id + 1) - 1).bit_length())
         self.kind = np.uint16 if self.bits <= 16 else np.uint32
+        # the same model on words of which only the ends are to be found; where texts are split in another way, it isn't used
+        split = self.tokenizer.pre_tokenizer
+        usual = self.tokenizer.normalizer is None and isinstance(split, ByteLevel) and split.use_regex and not split.add_prefix_space
+        self.of_words = None
+        if usual and not any(re.fullmatch("[ A-Za-z]*", x.content) for x in known):
+            self.of_words = Tokenizer(self.tokenizer.model)
+            self.of_words.pre_tokenizer = CharDelimiterSplit(" ")
         self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
 
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _ids(self, texts: list[str], tokenizer=None) -> list[list[int]]:
+        return [e.ids for e in (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)]
 
     def _distinct(self, pieces: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, first id of each piece and the end) of distinct pieces."""
@@ -214,12 +220,16 @@ class Encoder:
         plain &= np.diff(offsets) > 1
         plain[plain] = (data[offsets[:-1][plain]] == 0x20) & ~_MAYBE_WHITE[data[offsets[:-1][plain] + 1]]  # a space in front and nowhere else
         found: list[tuple[np.ndarray, np.ndarray]] = []
-        at = np.flatnonzero(plain)
-        if len(at):
+        letters = np.concatenate([[0], np.cumsum(_LETTER[data])])
+        word = plain & (np.diff(letters[offsets]) == np.diff(offsets) - 1) & (self.of_words is not None)
+        for at, words in ((np.flatnonzero(word), True), (np.flatnonzero(plain & ~word), False)):
+            if not len(at):
+                continue
             joined, cut = column_bytes(pieces.take(pa.array(at)))
             raw = joined.tobytes()
-            runs = [(i, i + len(o) - 1) for i, _, o in blocks(joined, cut, 1 << 16)]
-            ids = np.concatenate([np.array(x, self.kind) for x in self._ids([raw[cut[i]: cut[j]].decode() for i, j in runs])])
+            texts = [raw[cut[i]: cut[i + len(o) - 1]].decode() for i, _, o in blocks(joined, cut, 1 << 16)]
+            each = self._ids(["Ġ" + x[1:].replace(" ", " Ġ") for x in texts], self.of_words) if words else self._ids(texts)
+            ids = np.concatenate([np.array(x, self.kind) for x in each])
             start = np.flatnonzero(self.opens[ids])
             if len(start) != len(at):
                 raise ValueError("the tokenizer doesn't start a token at each space")
