@@ -1,6 +1,7 @@
 """Words that the encoder gives to the model by themselves, against the library."""
 
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -22,12 +23,25 @@ def same_as_library(path, texts, added=True):
     return [w for x in words for w in x.split(" ")]
 
 
+def as_text(word):
+    """A word as the model has it, "Ġ" in front, as text again."""
+    byte = {ord(c): b for b, c in wavelet._OF_BYTE.items()}
+    return word[1:].translate(byte).encode("latin-1").decode()
+
+
 def test_plain_words_go_to_the_model_once_each():
     r = random.Random(3)
     made = ["".join(r.choices("etaoinshrdluETA", k=r.randint(1, 14))) for _ in range(3000)]
     texts = [" ".join(r.choices(made, k=60)) + r.choice([".", " é x", " don't we're 'tis", "\n", " naïve Ġx", " x1 y"]) for _ in range(200)]
     words = same_as_library(tokenizer_path(), texts)
-    assert len(words) == len(set(words)) > 2500 and {w[0] for w in words} == {"Ġ"} and all(w[1:].isascii() and w[1:].isalpha() for w in words)
+    assert len(words) == len(set(words)) > 2500 and {w[0] for w in words} == {"Ġ"} and all(re.fullmatch("[A-Za-zÀ-ÖØ-öø-ÿ]+", as_text(w)) for w in words)
+
+
+def test_words_of_every_latin_letter():
+    letters = [chr(x) for x in range(0xC0, 0x100)]
+    texts = [f"a {x}{y}z {x} z{x} été{x} {y}{x}" for x in letters for y in "à÷ ÿ×'"] + [f" {chr(x)}a{chr(x)} b" for x in range(0x80, 0x400)]
+    words = same_as_library(tokenizer_path(), texts)
+    assert len(words) == len(set(words)) > 300 and all(re.fullmatch("[A-Za-zÀ-ÖØ-öø-ÿ]+", as_text(w)) for w in words)
 
 
 @pytest.mark.parametrize("change", ["normalizer", "digits", "letters"])

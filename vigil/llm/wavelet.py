@@ -40,6 +40,9 @@ _LETTER = np.array([chr(i).isalpha() and i < 128 for i in range(256)])
 _SOLID = np.arange(256) < 128
 _SOLID[[*range(0x09, 0x0E), *range(0x1C, 0x21)]] = False
 _SIGN = _SOLID & ~_LETTER
+#: Second bytes of the letters U+00C0 to U+00FF, and the characters by which byte-level models write the bytes of letters
+_LATIN = np.isin(np.arange(256), [x for x in range(0x80, 0xC0) if x not in (0x97, 0xB7)])
+_OF_BYTE = {b: chr(b + 162) for b in range(0x80, 0xA1)} | {0xAD: chr(0x143)}
 _MAYBE_WHITE = np.isin(np.arange(256), [*range(0x09, 0x0E), *range(0x1C, 0x21), 0xC2, 0xE1, 0xE2, 0xE3])
 
 
@@ -179,7 +182,7 @@ class Encoder:
     """Whole texts to ids. Texts are cut where byte-level pre-tokenization always
     cuts: before a space that stands before something other than white space, between an ASCII
     letter and an ASCII sign or digit, and behind a single line end. Each distinct
-    piece of a slice is encoded once; a space and ASCII letters go to the model as they are, being one word for it. With ``added_tokens``, as by the library's default, the strings
+    piece of a slice is encoded once; a space and letters up to U+00FF, one word for the model, go to it without the library's split. With ``added_tokens``, as by the library's default, the strings
     of the tokenizer's added tokens get those tokens' ids; without, they are ordinary text."""
 
     def __init__(self, path: str, end_id: int, added_tokens: bool = False) -> None:
@@ -220,15 +223,22 @@ class Encoder:
         plain &= np.diff(offsets) > 1
         plain[plain] = (data[offsets[:-1][plain]] == 0x20) & ~_MAYBE_WHITE[data[offsets[:-1][plain] + 1]]  # a space in front and nowhere else
         found: list[tuple[np.ndarray, np.ndarray]] = []
-        letters = np.concatenate([[0], np.cumsum(_LETTER[data])])
+        letter = _LETTER[data]
+        latin = (data[:-1] == 0xC3) & _LATIN[data[1:]]
+        letter[:-1] |= latin
+        letter[1:] |= latin
+        letters = np.concatenate([[0], np.cumsum(letter)])
         word = plain & (np.diff(letters[offsets]) == np.diff(offsets) - 1) & (self.of_words is not None)
         for at, words in ((np.flatnonzero(word), True), (np.flatnonzero(plain & ~word), False)):
             if not len(at):
                 continue
             joined, cut = column_bytes(pieces.take(pa.array(at)))
             raw = joined.tobytes()
-            texts = [raw[cut[i]: cut[i + len(o) - 1]].decode() for i, _, o in blocks(joined, cut, 1 << 16)]
-            each = self._ids(["Ġ" + x[1:].replace(" ", " Ġ") for x in texts], self.of_words) if words else self._ids(texts)
+            texts = [raw[cut[i]: cut[i + len(o) - 1]] for i, _, o in blocks(joined, cut, 1 << 16)]
+            if words:  # bytes as the model's characters
+                each = self._ids(["Ġ" + x[1:].decode("latin-1").translate(_OF_BYTE).replace(" ", " Ġ") for x in texts], self.of_words)
+            else:
+                each = self._ids([x.decode() for x in texts])
             ids = np.concatenate([np.array(x, self.kind) for x in each])
             start = np.flatnonzero(self.opens[ids])
             if len(start) != len(at):
