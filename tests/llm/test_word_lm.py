@@ -60,3 +60,68 @@ def test_scores(spark):
     for g, e in zip(sorted(got, key=lambda x: (repr(x[:2]), x[2])), sorted(want, key=lambda x: (repr(x[:2]), x[2])), strict=True):
         assert g[:2] == e[:2] and abs(g[2] - e[2]) <= 0.02 + 1e-3 * abs(e[2]) and (g[3] is None) == (e[3] is None)
     assert word_lm.score(df.limit(0)).count() == 0
+
+
+def small_network(words=700):
+    g = np.random.default_rng(3)
+    word = g.choice(1 << 40, words, replace=False).astype(np.int64)
+    word[1:60] = word[0] + (np.arange(1, 60) << 45)  # these want one slot
+    n = np.sort(g.zipf(1.3, words).clip(1, 10**6) * 64)[::-1].astype(np.int64)
+    shapes = np.where(np.arange(word_lm.SHAPES) % 3 == 0, 0, g.integers(0, 5000, word_lm.SHAPES))
+    return word_lm.Network(word, n, shapes), word, n, shapes
+
+
+def paths(network):
+    """For each leaf, (node, bit) on the way to it."""
+    order = np.argsort(network.code)
+    out = [[] for _ in range(network.size)]
+    for d in range(network.depth):
+        k, node, bit = network.level(network.code[order], d)
+        for leaf, x, b in zip(order[k:].tolist(), node.tolist(), bit.tolist(), strict=True):
+            out[leaf].append((x, int(b)))
+    return out
+
+
+def test_frequent_words_cost_fewer_nodes():
+    network, word, n, shapes = small_network()
+    way = paths(network)
+    assert sum(2.0 ** -len(x) for x in way) == 1 and len({tuple(x) for x in way}) == network.size
+    assert {x for w in way for x, _ in w} == set(range(network.size - 1))
+    p = np.concatenate([[0], shapes, n]) / (shapes.sum() + n.sum())
+    mean, bits = sum(p * [len(x) for x in way]), -sum(x * math.log2(x) for x in p if x)
+    assert bits <= mean <= bits + 1 < math.log2(network.size) - 1
+    shape = np.full(len(word) + 2, 7)
+    assert network.leaves(np.append(word, [5, word[0] + (99 << 45)]), shape).tolist() == [*range(1 + word_lm.SHAPES, network.size), 8, 8]
+
+
+def test_step_by_definition():
+    network, _, n, _ = small_network()
+    g = np.random.default_rng(4)
+    network.rows += g.normal(0, 0.1, network.rows.shape).astype(np.float32)
+    network.rows[: 2 * network.size, word_lm.HIDDEN] = 0
+    left, token, right = g.choice(np.arange(1 + word_lm.SHAPES, network.size), (3, 3000), p=n / n.sum())
+    left[:20], right[::9], token[:40] = 0, 0, np.arange(40)
+    way, rows = paths(network), network.rows.astype(np.float64)
+    gradient, seen, log_p = np.zeros_like(rows), np.zeros(len(rows), int), []
+    for a, t, b in zip(left.tolist(), token.tolist(), right.tolist(), strict=True):
+        h = np.append(np.tanh(rows[a] + rows[network.size + b])[:-1], 1)
+        back, total = np.zeros(len(h)), 0.0
+        for node, bit in way[t]:
+            i = 2 * network.size + node
+            p = 1 / (1 + math.exp(-(h @ rows[i])))
+            back += (p - bit) * rows[i]
+            gradient[i] += (p - bit) * h
+            seen[i] += 1
+            total += math.log(p if bit else 1 - p)
+        for i in (a, network.size + b):
+            gradient[i, :-1] += (back * (1 - h * h))[:-1]
+            seen[i] += 1
+        log_p.append(total)
+    assert np.allclose(network.log_p(left, token, right), log_p, rtol=1e-4, atol=1e-4)
+    assert np.array_equal(network.touched(*(np.bincount(x, minlength=network.size) for x in (left, token, right))), seen)
+    squares = np.full(len(rows), 1e-2, np.float32)
+    width = np.where(np.arange(len(rows)) < 2 * network.size, word_lm.HIDDEN, word_lm.HIDDEN + 1)
+    want = 1e-2 + (gradient ** 2).sum(1) / width
+    network.step(left, token, right, squares, 0.15)
+    assert np.allclose(squares, want, rtol=1e-3)
+    assert np.allclose(network.rows, rows - 0.15 * gradient / np.sqrt(want)[:, None], atol=2e-4)

@@ -2,8 +2,9 @@
 
 Every white-space word of a text (lower case) is predicted from the word on its left
 and the one on its right by a network: a hidden layer tanh(L[left] + R[right]) and a
-binary tree of logistic nodes over the vocabulary, so that probabilities sum to one
-and a word costs the depth of the tree. The vocabulary is all words that stand
+binary tree of logistic nodes over the vocabulary, so that probabilities sum to one.
+It is a Huffman tree over the corpus' counts: a word costs as many nodes as its code
+has bits, and frequent words cost few. The vocabulary is all words that stand
 ``MIN_COUNT`` times or more in the corpus, and grows with it. A rarer word stands in
 the tree by its shape (length, digits, signs; ``SHAPES`` leaves); its probability is that of its shape
 times its share of the shape's rare words. A score is the sum of log P(word | both
@@ -14,7 +15,7 @@ frequencies and is trained on every word of every document: in each round each p
 minibatch steps over its documents, and the changes of a parameter row are averaged by
 the words that touched it. The rare words of the documents meet their
 counts in a join, whose keys have fewer than ``MIN_COUNT`` rows each. What must fit in a worker's memory is
-the network: 12 * (``HIDDEN`` + 1) bytes for each leaf, twice in training.
+the network: 12 * (``HIDDEN`` + 1) bytes for each leaf, twice in training, and up to 48 beside them for codes and the vocabulary.
 
 Defined results: null and empty texts have n_tokens 0, log_prob 0 and a null
 mean; repeated rows count and are scored each; an empty table gives no rows;
@@ -23,6 +24,7 @@ other columns play no part.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,20 +37,23 @@ from vigil.llm.textops import NOT_ALNUM, WHITE_SPACE, blocks, byte_values, colum
 
 MIN_COUNT, SHAPES, HIDDEN = 64, 32, 16
 BATCH = 8192
+TOP = 5  # levels whose nodes meet all words of a batch in one matrix product
 
 _codes = np.arange(256)
 _DIGIT = (_codes >= 48) & (_codes <= 57)
 _SIGN = NOT_ALNUM & ~_DIGIT
+_KINDS = _DIGIT * (1 << 40) + _SIGN  # sums of digits and of signs in one number
+_LENGTH = np.searchsorted(np.array([2, 3, 4, 6, 8, 10, 13]), np.arange(15))
 
 
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, shape, first): of each word in lower case, and for each row the index of its first word."""
     starts, ends, first = word_spans(data, offsets, WHITE_SPACE)
     h = span_hasher(byte_values(data, lower=True), "byte")(starts, ends).view(np.int64)
-    shape = np.searchsorted(np.array([2, 3, 4, 6, 8, 10, 13]), ends - starts)
-    for kind in (_DIGIT, _SIGN):
-        total = np.concatenate([[0], np.cumsum(kind[data])])
-        shape = shape * 2 + (total[ends] > total[starts])
+    total = np.zeros(len(data) + 1, np.int64)
+    np.cumsum(_KINDS.take(data), out=total[1:])
+    kinds = total.take(ends) - total.take(starts)
+    shape = _LENGTH.take(ends - starts, mode="clip") * 4 + ((kinds >> 40 > 0) * 2 + (kinds & ((1 << 40) - 1) > 0))
     return h, shape, first
 
 
@@ -59,37 +64,93 @@ def word_counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for _, raw, at in blocks(*column_bytes(batch.column("text")), 8 << 20):
                 h, shape, _ = words(raw, at)
-                word, where, n = np.unique(h, return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(shape[where]), pa.array(n)], names=["word", "shape", "n"])
+                order = np.argsort(h)
+                starts, n = runs(h[order])
+                where = order[starts]
+                yield pa.RecordBatch.from_arrays([pa.array(h[where]), pa.array(shape[where]), pa.array(n)], names=["word", "shape", "n"])
 
     found = docs.select("text").mapInArrow(run, "word long, shape long, n long")
     return found.groupBy("word").agg(F.min("shape").alias("shape"), F.sum("n").alias("n"))
 
 
+def code_lengths(mass: np.ndarray) -> np.ndarray:
+    """Depth of each leaf in a Huffman tree over ``mass`` (descending): the two lightest of leaves and nodes go together."""
+    n, mass = len(mass), np.maximum(mass, mass.sum() * 2.0 ** -32)  # so no code is long
+    weight, up = array("d", mass[::-1].tobytes()), array("q", bytes(8 * (2 * n - 1)))
+    leaf, node = 0, n
+    for new in range(n, 2 * n - 1):
+        total = 0.0
+        for _ in range(2):
+            if leaf < n and (node >= new or weight[leaf] <= weight[node]):
+                total, up[leaf], leaf = total + weight[leaf], new, leaf + 1
+            else:
+                total, up[node], node = total + weight[node], new, node + 1
+        weight.append(total)
+    depth = array("q", bytes(8 * (2 * n - 1)))
+    for i in range(2 * n - 3, -1, -1):
+        depth[i] = depth[up[i]] + 1
+    return np.array(depth[:n])[::-1]
+
+
 class Network:
-    """Vocabulary and parameters. Row i of ``rows`` is L of leaf i, size + i is R, 2 * size + i is node i of the tree (its bias last)."""
+    """Vocabulary and parameters. Row i of ``rows`` is L of leaf i, size + i is R, 2 * size + i is node i of the tree (its bias last).
+
+    Codes are canonical: they rise with the leaves' order by mass and with their lengths, and a level's nodes are its last ones.
+    So among tokens in order of their codes those of a level's node stand together, and those that end above it stand before the others.
+    """
 
     def __init__(self, word: np.ndarray, n: np.ndarray, n_shape: np.ndarray, seed: int = 5) -> None:
         """``word``, ``n``: the vocabulary by descending count; ``n_shape``: rare words of each shape."""
-        order = np.argsort(word)
-        self.word, self.leaf = word[order], order + 1 + SHAPES
-        self.depth = int(len(word) + SHAPES).bit_length()
-        self.size = 1 << self.depth
-        mass = np.zeros(2 * self.size)
-        mass[self.size + 1: self.size + 1 + SHAPES + len(word)] = np.concatenate([n_shape, n])
-        for d in range(self.depth - 1, -1, -1):
-            mass[1 << d: 2 << d] = mass[2 << d: 4 << d].reshape(-1, 2).sum(1)
-        self.rows = np.zeros((3 * self.size, HIDDEN + 1), np.float32)
+        self.word = word
+        self.size = 1 + SHAPES + len(word)
+        self.slots = np.zeros(1 << max(10, (4 * len(word)).bit_length()), np.int32)  # leaves by hash, with open addressing; 0: none
+        at, todo = word & (len(self.slots) - 1), np.arange(len(word))
+        while len(todo):
+            free = todo[self.slots[at[todo]] == 0]
+            self.slots[at[free]] = free + 1 + SHAPES
+            todo = todo[self.slots[at[todo]] != todo + 1 + SHAPES]
+            at[todo] = (at[todo] + 1) & (len(self.slots) - 1)
+        mass = np.concatenate([[0.0], n_shape, n])
+        order = np.argsort(-mass, kind="stable")
+        length = np.sort(code_lengths(mass[order]))
+        self.depth = int(length[-1])
+        step = 1 << (self.depth - length)
+        code = np.cumsum(step) - step  # the first bit is the highest of ``depth`` bits
+        self.code = np.empty(self.size, np.int64)
+        self.code[order] = code
+        self.inner = [int(code[np.searchsorted(length, d, side="right")]) for d in range(self.depth)]  # a level's first code that goes on
+        first = [x >> (self.depth - d) for d, x in enumerate(self.inner)]
+        total = np.cumsum([0] + [(1 << d) - x for d, x in enumerate(first)])  # nodes above each level
+        self.node = [int(n) - x for n, x in zip(total, first)]  # plus a code's first d bits: index of its node
+        self.rows = np.zeros((3 * self.size - 1, HIDDEN + 1), np.float32)
         self.rows[: 2 * self.size, :HIDDEN] = np.random.default_rng(seed).normal(0, 0.3, (2 * self.size, HIDDEN))
-        self.rows[2 * self.size + 1:, HIDDEN] = np.log((mass[3::2] + 1e-3) / (mass[2::2] + 1e-3))
+        self.rows[2 * self.size:, HIDDEN] = np.concatenate([np.log((end - middle + 1e-3) / (middle - least + 1e-3)) for least, middle, end in self.below(mass)])
+        self.top = min(TOP, self.depth)
+        self.n_top = int(total[self.top])
+
+    def below(self, mass: np.ndarray) -> Iterator[list[np.ndarray]]:
+        """For each level: the mass of the leaves before each of its nodes, before the middle of the node, and up to its end."""
+        order = np.argsort(self.code)
+        code, total = self.code[order], np.append(0, np.cumsum(mass[order]))
+        for d in range(self.depth):
+            node = np.arange(self.inner[d] >> (self.depth - d), 1 << d)
+            yield [total[np.searchsorted(code, (2 * node + i) << (self.depth - d - 1))] for i in range(3)]
 
     def leaves(self, h: np.ndarray, shape: np.ndarray) -> np.ndarray:
         """Leaf of each word: its own, or its shape's."""
-        out = shape + 1
-        if len(self.word):
-            at = np.minimum(np.searchsorted(self.word, h), len(self.word) - 1)
-            own = self.word[at] == h
-            out[own] = self.leaf[at[own]]
+        out, at = shape + 1, h & (len(self.slots) - 1)
+        if not len(self.word):
+            return out
+        leaf = self.slots.take(at)
+        own = self.word.take(leaf - (1 + SHAPES), mode="clip") == h
+        np.copyto(out, leaf, where=own & (leaf > 0))
+        rest = np.flatnonzero(~own & (leaf > 0))
+        while len(rest):
+            at[rest] = (at[rest] + 1) & (len(self.slots) - 1)
+            leaf = self.slots.take(at[rest])
+            own = (self.word.take(leaf - (1 + SHAPES), mode="clip") == h[rest]) & (leaf > 0)
+            out[rest[own]] = leaf[own]
+            rest = rest[~own & (leaf > 0)]
         return out
 
     def contexts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -105,48 +166,136 @@ class Network:
 
     def hidden(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """With a last column of ones, for the bias."""
-        h = np.ones((len(left), HIDDEN + 1), np.float32)
-        h[:, :HIDDEN] = np.tanh(self.rows[left, :HIDDEN] + self.rows[self.size + right, :HIDDEN])
+        h = self.rows.take(left, axis=0)
+        h += self.rows.take(self.size + right, axis=0)
+        np.tanh(h, out=h)
+        h[:, HIDDEN] = 1
         return h
 
+    def level(self, code: np.ndarray, d: int) -> tuple[int, np.ndarray, np.ndarray]:
+        """(k, node, bit): of ``code`` in order, those from the k-th on have a node on level ``d``: which one, and where they go on from it."""
+        k = int(np.searchsorted(code, self.inner[d]))
+        bits = code[k:] >> (self.depth - d - 1)
+        return k, (bits >> 1) + self.node[d], (bits & 1).astype(np.float32)
+
     def log_p(self, left: np.ndarray, token: np.ndarray, right: np.ndarray) -> np.ndarray:
         """log P(token | left, right)."""
-        out = np.zeros(len(token), np.float32)
+        out = np.empty(len(token), np.float32)
+        nodes = self.rows[2 * self.size:]
         for i in range(0, len(token), BATCH):
-            t = token[i: i + BATCH]
-            h = self.hidden(left[i: i + BATCH], right[i: i + BATCH])
+            code = self.code[token[i: i + BATCH]]
+            order = np.argsort(code)
+            code, h = code[order], self.hidden(left[i: i + BATCH][order], right[i: i + BATCH][order])
+            top = h @ nodes[: self.n_top].T
+            total, product = np.zeros(len(code), np.float32), np.ones(len(code), np.float32)  # of max(z, 0), and of 1 + exp(-|z|)
             for d in range(self.depth):
-                z = np.einsum("ij,ij->i", h, self.rows[2 * self.size + (1 << d) + (t >> (self.depth - d))])
-                np.negative(z, out=z, where=((t >> (self.depth - d - 1)) & 1) > 0)
-                out[i: i + BATCH] -= np.maximum(z, 0) + np.log1p(np.exp(-np.abs(z)))
+                k, node, bit = self.level(code, d)
+                if k == len(code):
+                    break
+                if d < self.top:
+                    z = top.take(np.arange(k, len(code)) * self.n_top + node)
+                else:
+                    z = np.einsum("ij,ij->i", h[k:], nodes.take(node, axis=0))
+                z -= 2 * bit * z
+                total[k:] += np.maximum(z, 0)
+                np.abs(z, out=z)
+                np.negative(z, out=z)
+                np.exp(z, out=z)
+                z += 1
+                product[k:] *= z
+            out[i + order] = -(total + np.log(product))
         return out
 
-    def step(self, left: np.ndarray, token: np.ndarray, right: np.ndarray, squares: np.ndarray, n: np.ndarray, rate: float) -> None:
-        """One minibatch step in place; ``squares``: AdaGrad's sums by row, ``n``: words that touched each row."""
+    def touched(self, n_left: np.ndarray, n_token: np.ndarray, n_right: np.ndarray) -> np.ndarray:
+        """Words that touch each row; given are the words with each leaf as left, token, right."""
+        return np.concatenate([n_left, n_right, *(least[2] - least[0] for least in self.below(n_token))])
 
-        def change(rows: np.ndarray, gradient: np.ndarray) -> None:
+    def step(self, left: np.ndarray, token: np.ndarray, right: np.ndarray, squares: np.ndarray, rate: float) -> None:
+        """One minibatch step in place; ``squares``: AdaGrad's sums by row."""
+
+        def follow(some: np.ndarray, g: np.ndarray, width: int) -> None:
+            now = squares.take(some) + np.einsum("ij,ij->i", g, g) / np.float32(width)
+            squares[some] = now
+            g *= (np.float32(-rate) / np.sqrt(now))[:, None]
+            g += self.rows.take(some, axis=0)
+            self.rows[some] = g
+
+        def change(rows: np.ndarray, gradient: np.ndarray, width: int = HIDDEN + 1) -> None:
             """Add up the gradients of equal neighbours in ``rows`` and follow them."""
-            starts = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-            some, g = rows[starts], np.add.reduceat(gradient, starts, axis=0)
-            squares[some] += np.einsum("ij,ij->i", g, g) / g.shape[1]
-            n[some] += np.diff(np.append(starts, len(rows)))
-            self.rows[some, : g.shape[1]] -= rate * g / np.sqrt(squares[some])[:, None]
-
-        order = np.argsort(token)  # so nodes are in order on each level
-        left, token, right = left[order], token[order], right[order]
+            starts, times = runs(rows)
+            sums, order = run_sums(gradient, starts, times)
+            follow(rows[starts[order]], sums, width)
+
+        code = self.code.take(token)
+        order = np.argsort(code)
+        code, left, right = code[order], left[order], right[order]
         h = self.hidden(left, right)
-        back = np.zeros_like(h)
-        for d in range(self.depth):
-            node = 2 * self.size + (1 << d) + (token >> (self.depth - d))
-            w = self.rows[node]
-            z = np.einsum("ij,ij->i", h, w)
-            e = (0.5 + 0.5 * np.tanh(0.5 * z) - ((token >> (self.depth - d - 1)) & 1)).astype(np.float32)[:, None]
-            back += e * w
-            change(node, e * h)
-        g = (back * (1 - h * h))[:, :HIDDEN]
+        w = self.rows[2 * self.size: 2 * self.size + self.n_top].copy()
+        z = h @ w.T
+        e = np.zeros_like(z)
+        for d in range(self.top):
+            k, node, bit = self.level(code, d)
+            at = np.arange(k, len(code)) * self.n_top + node
+            e.put(at, error(z.take(at), bit))
+        back = e @ w
+        follow(2 * self.size + np.arange(self.n_top), e.T @ h, HIDDEN + 1)  # those without a word have gradient 0
+        nodes, gradient, m = np.empty(2 * len(code), np.int64), np.empty((2 * len(code), HIDDEN + 1), np.float32), 0
+        for d in range(self.top, self.depth):
+            k, node, bit = self.level(code, d)
+            if k == len(code):
+                break
+            if m + len(node) > len(nodes):
+                change(nodes[:m], gradient[:m])
+                m = 0
+            node += 2 * self.size
+            w = self.rows.take(node, axis=0)
+            e = error(np.einsum("ij,ij->i", h[k:], w), bit)[:, None]
+            w *= e
+            back[k:] += w
+            nodes[m: m + len(node)] = node
+            np.multiply(h[k:], e, out=gradient[m: m + len(node)])
+            m += len(node)
+        if m:
+            change(nodes[:m], gradient[:m])
+        h *= h
+        np.subtract(1, h, out=h)  # 0 in the last column, as L and R have no bias
+        back *= h
         for rows in (left, self.size + right):
             order = np.argsort(rows)
-            change(rows[order], g[order])
+            change(rows[order], back.take(order, axis=0), HIDDEN)
+
+
+def error(z: np.ndarray, bit: np.ndarray) -> np.ndarray:
+    """Probability of going right, less ``bit``; in place of ``z``."""
+    z *= np.float32(0.5)
+    np.tanh(z, out=z)
+    z *= np.float32(0.5)
+    z += np.float32(0.5)
+    z -= bit
+    return z
+
+
+def runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths of the runs of equal values."""
+    starts = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.zeros(0, np.int64)
+    return starts, np.diff(starts, append=len(x))
+
+
+def run_sums(x: np.ndarray, starts: np.ndarray, times: np.ndarray, short: int = 8) -> tuple[np.ndarray, np.ndarray | slice]:
+    """Sums of runs of rows of ``x``, and the order of the runs in it. ``reduceat`` costs most for each run and column, so many short runs are added by place."""
+    if len(starts) * 16 < len(x):
+        return np.add.reduceat(x, starts, axis=0), slice(None)
+    kind = short + 1 - np.minimum(times, short + 1)
+    order = np.argsort(kind.astype(np.int8), kind="stable")  # long runs first, then short ones by falling length
+    more = np.cumsum(np.bincount(kind, minlength=short + 1))[short::-1]  # by j: runs of over j rows
+    starts, long = starts[order], more[short]
+    out = x.take(starts, axis=0)
+    for j in range(1, short):
+        out[long: more[j]] += x.take(starts[long: more[j]] + j, axis=0)
+    if long:
+        whole, each = x.take(np.flatnonzero(np.repeat(kind == 0, times)), axis=0), times[order[:long]]
+        out[:long] = np.add.reduceat(whole, np.cumsum(each) - each, axis=0)
+    return out, order
 
 
 def trained(docs: DataFrame, network: Network, *, rounds: int = 2, rate: float = 0.15) -> Network:
@@ -161,13 +310,16 @@ def trained(docs: DataFrame, network: Network, *, rounds: int = 2, rate: float =
             now = shipped.value
             before = now.rows
             now.rows = before.copy()
-            squares, n = np.full(len(before), 1e-2, np.float32), np.zeros(len(before), np.int64)
+            squares, seen = np.full(len(before), 1e-2, np.float32), np.zeros((3, now.size), np.int64)
             try:
                 for batch in batches:
                     for _, raw, at in blocks(*column_bytes(batch.column("text"))):
                         left, token, right, _, _ = now.contexts(raw, at)
+                        for count, x in zip(seen, (left, token, right)):
+                            count += np.bincount(x, minlength=now.size)
                         for k in range(0, len(token), BATCH):
-                            now.step(left[k: k + BATCH], token[k: k + BATCH], right[k: k + BATCH], squares, n, slower)
+                            now.step(left[k: k + BATCH], token[k: k + BATCH], right[k: k + BATCH], squares, slower)
+                n = now.touched(*seen)
                 for touched in np.array_split(np.flatnonzero(n), max(1, int((n > 0).sum()) >> 16)):
                     by = (now.rows[touched] - before[touched]).astype(np.float32)
                     yield pa.RecordBatch.from_arrays([pa.array(touched), pa.array(n[touched]), packed(by)], names=["row", "n", "change"])
