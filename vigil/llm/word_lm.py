@@ -10,7 +10,8 @@ the tree by its shape (length, digits, signs; ``SHAPES`` leaves); its probabilit
 times its share of the shape's rare words. A score is the sum of log P(word | both
 sides), natural logarithm; id 0 stands before and after a text.
 
-Word counts are a distributed table. The network begins as the corpus' word
+Word counts are a distributed table. Texts are read twice, to count and to be stored as leaves,
+which training and scoring read. The network begins as the corpus' word
 frequencies and is trained on every word of every document: in each round each partition takes
 minibatch steps over its documents, and the changes of a parameter row are averaged by
 the words that touched it. The rare words of the documents meet their
@@ -37,6 +38,7 @@ from vigil.llm.textops import NOT_ALNUM, WHITE_SPACE, blocks, byte_values, colum
 
 MIN_COUNT, SHAPES, HIDDEN = 64, 32, 16
 BATCH = 8192
+_ONES = np.ones(HIDDEN + 1, np.float32)
 TOP = 5  # levels whose nodes meet all words of a batch in one matrix product
 
 _codes = np.arange(256)
@@ -63,7 +65,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, raw, at in blocks(*column_bytes(batch.column("text")), 8 << 20):
-                h, shape, _ = words(raw, at)
+                h, shape = (np.concatenate(x) for x in zip(*(words(*block)[:2] for _, *block in blocks(raw, at)), strict=True))
                 order = np.argsort(h)
                 starts, n = runs(h[order])
                 where = order[starts]
@@ -153,17 +155,6 @@ class Network:
             rest = rest[~own & (leaf > 0)]
         return out
 
-    def contexts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(left, token, right, first, hash): leaves of each word and of its neighbours."""
-        h, shape, first = words(data, offsets)
-        token = self.leaves(h, shape)
-        left, right = np.zeros_like(token), np.zeros_like(token)
-        left[1:], right[:-1] = token[:-1], token[1:]
-        some = np.flatnonzero(np.diff(first) > 0)
-        left[first[some]] = 0
-        right[first[some + 1] - 1] = 0
-        return left, token, right, first, h
-
     def hidden(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """With a last column of ones, for the bias."""
         h = self.rows.take(left, axis=0)
@@ -195,7 +186,9 @@ class Network:
                 if d < self.top:
                     z = top.take(np.arange(k, len(code)) * self.n_top + node)
                 else:
-                    z = np.einsum("ij,ij->i", h[k:], nodes.take(node, axis=0))
+                    w = nodes.take(node, axis=0)
+                    w *= h[k:]
+                    z = w @ _ONES
                 z -= 2 * bit * z
                 total[k:] += np.maximum(z, 0)
                 np.abs(z, out=z)
@@ -214,7 +207,7 @@ class Network:
         """One minibatch step in place; ``squares``: AdaGrad's sums by row."""
 
         def follow(some: np.ndarray, g: np.ndarray, width: int) -> None:
-            now = squares.take(some) + np.einsum("ij,ij->i", g, g) / np.float32(width)
+            now = squares.take(some) + (g * g) @ _ONES / np.float32(width)
             squares[some] = now
             g *= (np.float32(-rate) / np.sqrt(now))[:, None]
             g += self.rows.take(some, axis=0)
@@ -248,12 +241,12 @@ class Network:
                 change(nodes[:m], gradient[:m])
                 m = 0
             node += 2 * self.size
-            w = self.rows.take(node, axis=0)
-            e = error(np.einsum("ij,ij->i", h[k:], w), bit)[:, None]
+            w, g = self.rows.take(node, axis=0), gradient[m: m + len(node)]
+            e = np.repeat(error(np.multiply(h[k:], w, out=g) @ _ONES, bit), HIDDEN + 1).reshape(w.shape)
+            np.multiply(h[k:], e, out=g)
             w *= e
             back[k:] += w
             nodes[m: m + len(node)] = node
-            np.multiply(h[k:], e, out=gradient[m: m + len(node)])
             m += len(node)
         if m:
             change(nodes[:m], gradient[:m])
@@ -298,10 +291,47 @@ def run_sums(x: np.ndarray, starts: np.ndarray, times: np.ndarray, short: int =
     return out, order
 
 
+def encoded(docs: DataFrame, network: Network) -> DataFrame:
+    """A stored table (row, doc_id, leaves, rare) of ``docs``: the words' leaves as 32-bit numbers, and the hashes of the rare ones."""
+    shipped = docs.sparkSession.sparkContext.broadcast(network)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        at_row = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            for start, raw, at in blocks(*column_bytes(batch.column("text"))):
+                h, shape, first = words(raw, at)
+                token, m = shipped.value.leaves(h, shape), len(at) - 1
+                rare = token <= SHAPES
+                ends = np.concatenate([[0], np.cumsum(rare)])[first].astype(np.int32)
+                leaves = pa.LargeBinaryArray.from_buffers(pa.large_binary(), m, [None, pa.py_buffer(first * 4), pa.py_buffer(token.astype(np.int32))])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(at_row, at_row + m)), batch.column("doc_id").slice(start, m), leaves.cast(pa.binary()),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(h[rare]))],
+                    names=["row", "doc_id", "leaves", "rare"])
+                at_row += m
+
+    schema = "row long, doc_id long, leaves binary, rare array<long>"
+    return stored(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema), "leaves")
+
+
+def contexts(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, left, token, right, first) of blocks of rows of leaves: each word and its neighbours, and for each row the index of its first word."""
+    for start, raw, at in blocks(*column_bytes(column)):
+        token, first = raw.view(np.int32).astype(np.int64), at >> 2
+        left, right = np.zeros_like(token), np.zeros_like(token)
+        left[1:], right[:-1] = token[:-1], token[1:]
+        some = np.flatnonzero(np.diff(first) > 0)
+        left[first[some]] = 0
+        right[first[some + 1] - 1] = 0
+        yield start, left, token, right, first
+
+
 def trained(docs: DataFrame, network: Network, *, rounds: int = 2, rate: float = 0.15) -> Network:
-    """``network`` after ``rounds`` passes over all words of ``docs``."""
+    """``network`` after ``rounds`` passes over all words of ``docs``, a table with texts or one of ``encoded``."""
     sc = docs.sparkSession.sparkContext
-    some = docs.select("text").coalesce(sc.defaultParallelism)
+    some = (encoded(docs, network) if "text" in docs.columns else docs).select("leaves").coalesce(sc.defaultParallelism)
 
     for i in range(rounds):
         shipped, slower = sc.broadcast(network), rate / (i + 1)
@@ -313,8 +343,7 @@ def trained(docs: DataFrame, network: Network, *, rounds: int = 2, rate: float =
             squares, seen = np.full(len(before), 1e-2, np.float32), np.zeros((3, now.size), np.int64)
             try:
                 for batch in batches:
-                    for _, raw, at in blocks(*column_bytes(batch.column("text"))):
-                        left, token, right, _, _ = now.contexts(raw, at)
+                    for _, left, token, right, _ in contexts(batch.column("leaves")):
                         for count, x in zip(seen, (left, token, right)):
                             count += np.bincount(x, minlength=now.size)
                         for k in range(0, len(token), BATCH):
@@ -381,34 +410,27 @@ def score(docs: DataFrame) -> DataFrame:
     """(doc_id, n_tokens, log_prob, mean_log_prob) of every row of ``docs`` (doc_id, text)."""
     ship_by_value()
     counts = stored(word_counts(docs), "words")
-    model = docs.sparkSession.sparkContext.broadcast(trained(docs, network_of(counts)))
+    network = network_of(counts)
+    leaves = encoded(docs, network)
+    model = docs.sparkSession.sparkContext.broadcast(trained(leaves, network))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        network, at_row = model.value, TaskContext.get().partitionId() << 40
         for batch in batches:
-            for start, raw, at in blocks(*column_bytes(batch.column("text"))):
-                left, token, right, first, h = network.contexts(raw, at)
-                m = len(at) - 1
+            for start, left, token, right, first in contexts(batch.column("leaves")):
+                m = len(first) - 1
                 total = np.zeros(m)
                 some = np.flatnonzero(np.diff(first) > 0)
                 if len(some):
-                    total[some] = np.add.reduceat(network.log_p(left, token, right), first[some], dtype=np.float64)
-                rare = token <= SHAPES
-                ends = np.concatenate([[0], np.cumsum(rare)])[first].astype(np.int32)
+                    total[some] = np.add.reduceat(model.value.log_p(left, token, right), first[some], dtype=np.float64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(at_row, at_row + m)), batch.column("doc_id").slice(start, m), pa.array(np.diff(first).astype(np.int64)), pa.array(total),
-                     pa.ListArray.from_arrays(pa.array(ends), pa.array(h[rare]))],
-                    names=["row", "doc_id", "n_tokens", "log_prob", "rare"])
-                at_row += m
+                    [batch.column("row").slice(start, m), batch.column("doc_id").slice(start, m), pa.array(np.diff(first)), pa.array(total)],
+                    names=["row", "doc_id", "n_tokens", "log_prob"])
 
-    found = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "row long, doc_id long, n_tokens long, log_prob double, rare array<long>")
-    found = stored(found, "scores")
+    found = leaves.select("row", "doc_id", "leaves").mapInArrow(run, "row long, doc_id long, n_tokens long, log_prob double")
     few = counts.filter(F.col("n") < MIN_COUNT)
     of_shape = few.groupBy("shape").agg(F.sum("n").alias("n_shape"))
     share = few.join(F.broadcast(of_shape), "shape").select("word", F.log(F.col("n") / F.col("n_shape")).alias("share"))
-    shares = found.select("row", F.explode("rare").alias("word")).join(share, "word").groupBy("row").agg(F.sum("share").alias("share"))
+    shares = leaves.select("row", F.explode("rare").alias("word")).join(share, "word").groupBy("row").agg(F.sum("share").alias("share"))
     total = F.col("log_prob") + F.coalesce(F.col("share"), F.lit(0.0))
-    return found.drop("rare").join(shares, "row", "left").select(
+    return found.join(shares, "row", "left").select(
         "doc_id", "n_tokens", total.alias("log_prob"), F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")).alias("mean_log_prob"))
