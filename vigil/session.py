@@ -62,6 +62,19 @@ def apply_runtime_conf(spark: SparkSession) -> None:
         spark.conf.set(k, CORE_CONF[k])
 
 
+@contextmanager
+def _settings(spark: SparkSession, wanted: dict[str, str]):
+    """``wanted`` holds in the block; then the session is as before."""
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 @contextmanager
 def rocksdb_state(spark: SparkSession, partitions: int | None = None):
     """Queries started in the block keep their state in RocksDB, whatever the session's store is, in ``partitions``
@@ -69,14 +82,33 @@ def rocksdb_state(spark: SparkSession, partitions: int | None = None):
     wanted = {"spark.sql.streaming.stateStore.providerClass": CORE_CONF["spark.sql.streaming.stateStore.providerClass"]}
     if partitions:
         wanted["spark.sql.shuffle.partitions"] = str(partitions)
-    before = {k: spark.conf.get(k) for k in wanted}
-    for k, v in wanted.items():
-        spark.conf.set(k, v)
-    try:
+    with _settings(spark, wanted):
+        yield
+
+
+# One limit for the block cache and the write buffers of all stores of an executor, below the memory that executors get
+# beside their heap (``spark.executor.memoryOverhead``: 384 MB or more)
+JOIN_STATE_MEMORY_MB = 200
+
+
+@contextmanager
+def join_state(spark: SparkSession):
+    """Joins of streams started in the block keep their state on local disk instead of the executors' heap, whatever the
+    session's store is, in memory that doesn't grow with the rows held. A checkpoint keeps the store it began with.
+
+    A partition has one RocksDB store, not four. A commit writes the store's buffers as files: with a log of changes
+    (``changelogCheckpointing``) they would stay in memory for every store that waits for its next batch."""
+    prefix = "spark.sql.streaming.stateStore"
+    limit = f"{prefix}.rocksdb.maxMemoryUsageMB"
+    with _settings(spark, {
+        f"{prefix}.providerClass": CORE_CONF[f"{prefix}.providerClass"],
+        "spark.sql.streaming.join.stateFormatVersion": "3",
+        f"{prefix}.rocksdb.boundedMemoryUsage": "true",
+        limit: spark.conf.get(limit, str(JOIN_STATE_MEMORY_MB)),
+        f"{prefix}.rocksdb.changelogCheckpointing.enabled": "false",
+        f"{prefix}.rocksdb.allowFAllocate": "false",            # else 4 MB of disk for each store, however small
+    }):
         yield
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -35,7 +35,7 @@ from vigil.operators import silver as SV
 from vigil.operators.skew import card_salts, card_sketches
 from vigil.operators.windows import transaction_counts
 from vigil.schemas import KAFKA_SCHEMA
-from vigil.session import rocksdb_state
+from vigil.session import join_state, rocksdb_state
 from vigil.sources.buckets import BucketedSnapshot
 from vigil.sources.changes import read_changes
 from vigil.sources.evolution import SchemaStore, evolving_writer, read_evolved
@@ -405,8 +405,9 @@ class Pipeline:
     def gold_fraud_card(self, lookback: str | None = None, snapshot: bool = False, salt: int | DataFrame = 1) -> StreamingQuery:
         """Watchlist alerts. Without ``lookback`` the join has no time condition
         (state is kept for ever); with it, transactions match entries from
-        ``effective_from`` to ``effective_from + lookback`` and the join state
-        older than the watermarks is evicted. ``snapshot=True`` joins the
+        ``effective_from`` to ``effective_from + lookback``, the join state
+        older than the watermarks is evicted, and what is held lies on disk
+        (``session.join_state``). ``snapshot=True`` joins the
         transaction stream with the latest active watchlist entries read when
         the run starts (stateless). ``salt`` > 1 spreads each card over that
         many join (state) partitions; ``salt=self.card_salts()`` only the cards with
@@ -420,8 +421,10 @@ class Pipeline:
         if lookback:
             out = AL.fraud_card_alerts_bounded(tx, wl, self.customers(), lookback=lookback,
                                                alert_time=self.alert_time, salt=salt)
-        else:
-            out = AL.fraud_card_alerts(tx, wl, self.customers(), alert_time=self.alert_time, salt=salt)
+            with join_state(self.spark):
+                q = self._start(out, "gold", "fraud_card_alert", "transaction_timestamp")
+            return self._finish(q)
+        out = AL.fraud_card_alerts(tx, wl, self.customers(), alert_time=self.alert_time, salt=salt)
         return self._finish(self._start(out, "gold", "fraud_card_alert", "transaction_timestamp"))
 
     def gold_counts(self, window: str = K.TUMBLING_WINDOW, slide: str | None = None,
