@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from conftest import SF_CHECK
+from vigil.operators.skew import card_salts, card_sketches
 from vigil.plans.catalog import Domain
 from vigil.session import _settings, join_state
 from vigil.sources import adapter as A
@@ -46,3 +47,11 @@ def test_join_state_leaves_the_session_as_it_was(spark):
     assert [spark.conf.get(k, None) for k in names] == before
     with _settings(spark, {limit: "900"}), join_state(spark):                     # the submitter's limit holds
         assert spark.conf.get(limit) == "900"
+
+
+def test_salts_where_tasks_have_no_sketch(spark):
+    cards = spark.createDataFrame([("A", d) for d in range(3) for _ in range(60)] + [(f"B{i}", i % 3) for i in range(60)], "card_number string, day int")
+    with _settings(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        sketches = card_sketches(cards, "day").repartition(20)
+        assert [(r.card_number, r.salts) for r in card_salts(sketches, spread=10).collect()] == [("A", 8)]
+        assert card_salts(card_sketches(cards.limit(0), "day"), spread=10).collect() == []

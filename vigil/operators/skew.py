@@ -25,7 +25,8 @@ def card_sketches(transactions: DataFrame, by: str | None = None, tracked: int =
 
 def card_salts(sketches: DataFrame, spread: int = 1000, most_cards: int = 10_000, tracked: int = 20_000) -> DataFrame:
     """(card_number, salts) of the cards with more than a ``spread``-th of all rows; there are fewer than ``spread`` of these."""
-    merged = sketches.agg(F.sum("rows").alias("total"), F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {tracked}), {min(spread, most_cards)})").alias("top"))
+    # grouped, by a constant: combining fails in a task that has no sketch to combine
+    merged = sketches.groupBy(F.lit(0).alias("_all")).agg(F.sum("rows").alias("total"), F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {tracked}), {min(spread, most_cards)})").alias("top"))
     cards = merged.select("total", F.explode("top").alias("t")).select(F.col("t.item").alias("card_number"), F.col("t.count").alias("n"), "total")
     share = F.ceil(F.try_divide(F.col("n") * spread, F.col("total"))).cast("int")
     return cards.filter((F.col("n") * spread > F.col("total")) & F.col("card_number").isNotNull()).select("card_number", F.least(share, F.lit(spread)).alias("salts"))
