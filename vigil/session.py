@@ -94,7 +94,8 @@ JOIN_STATE_MEMORY_MB = 200
 @contextmanager
 def join_state(spark: SparkSession):
     """Joins of streams started in the block keep their state on local disk instead of the executors' heap, whatever the
-    session's store is, in memory that doesn't grow with the rows held. A checkpoint keeps the store it began with.
+    session's store is, in memory with one limit (a soft one: see the README's figures). A checkpoint keeps the store it
+    began with.
 
     A partition has one RocksDB store, not four. A commit writes the store's buffers as files: with a log of changes
     (``changelogCheckpointing``) they would stay in memory for every store that waits for its next batch."""
